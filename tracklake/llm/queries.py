@@ -8,12 +8,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language_id
+from .bpe import encode_decode
 from .common import table
 from .exact_dedup import content_sort_dedup
+from .packing import pack
 from .simhash import simhash_components
 
 
+def tokenizer(name: str) -> str:
+    """Where the installed package of public tokenizers has the file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), window=2048, end_id=1)
+
+
+def op2_bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_dedup(table(spark, sf_dir, "documents"))
 
@@ -22,9 +41,19 @@ def op9_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    learned = language_id.learn_dictionaries(docs.filter(~held_out))
+    return language_id.identify(docs, learned, {"held_out": held_out}, reject=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pack_nnls": op1_pack_nnls,
+    "op2_bpe_pair_index": op2_bpe_pair_index,
     "op6_content_sort": op6_content_sort,
     "op9_simhash_tiles": op9_simhash_tiles,
+    "op10_language_zstd": op10_language_zstd,
 }
 
 ORACLE_SQL: dict[str, str] = {
