@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Letters of a text that the sort key holds; a digest stands for the rest.
+KEY_LETTERS = 32
+
 _RUN = "_id {kind}, text_sha256 string, pid int, size long, top {kind}, tail boolean, edge boolean"
 
 
@@ -78,10 +81,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group rows by identical text; of equal texts the row with the largest id stays.
 
-    Sampled splitters range-partition the rows by (text, id), Spark's external
-    sort places equal texts side by side, and each text is compared in full
-    with the one before it.  The id in the key lets the splitters cut through a
-    large group of copies, so that no task holds a whole group.  A group that
+    Sampled splitters range-partition the rows, Spark's external sort places
+    equal texts side by side, and each text is compared in full with the one
+    before it.  The sort key is the text's first ``KEY_LETTERS`` letters, then a
+    digest for what lies beyond them, then the id: splitters stay small however
+    long the texts are, and can cut through a large group of copies, so that no
+    task holds a whole group.  A group that
     crosses partition borders is joined again from the runs at the borders, of
     which each partition has at most two; these are told apart by SHA-256.
 
@@ -96,8 +101,9 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
         F.col(id_col).alias("_id"),
     )
-    ordered = base.repartitionByRange("_text", "_id").sortWithinPartitions("_text", "_id")
-    ready = ordered.select("_text", F.sha2(F.col("_text"), 256).alias("_sha"), "_id")
+    keyed = base.select("_text", F.sha2(F.col("_text"), 256).alias("_sha"), "_id", F.substring("_text", 1, KEY_LETTERS).alias("_key"))
+    key = ["_key", "_sha", "_id"]
+    ready = keyed.repartitionByRange(*key).sortWithinPartitions(*key).select("_text", "_sha", "_id")
     runs = materialize(ready.mapInArrow(_runs, _RUN.format(kind=kind)), "runs")
     edges = (
         runs.filter("edge and tail")
