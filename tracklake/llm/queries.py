@@ -14,8 +14,10 @@ from . import language_id
 from .bpe import encode_decode
 from .common import table
 from .exact_dedup import content_sort_dedup
+from .nearest import nearest
 from .packing import pack
 from .simhash import simhash_components
+from .substring_dedup import cut_repeats
 
 
 def tokenizer(name: str) -> str:
@@ -37,6 +39,14 @@ def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
+def op8_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -52,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
     "op2_bpe_pair_index": op2_bpe_pair_index,
     "op6_content_sort": op6_content_sort,
+    "op7_recompression": op7_recompression,
+    "op8_collision_counting": op8_collision_counting,
     "op9_simhash_tiles": op9_simhash_tiles,
     "op10_language_zstd": op10_language_zstd,
 }
