@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, quality, toxicity
 from .bpe import encode_decode
 from .common import table
 from .exact_dedup import content_sort_dedup
@@ -35,6 +35,16 @@ def op2_bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort_dedup(table(spark, sf_dir, "documents"))
 
@@ -61,6 +71,8 @@ def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
     "op2_bpe_pair_index": op2_bpe_pair_index,
+    "op3_toxicity_ordinal": op3_toxicity_ordinal,
+    "op5_quality_cotraining": op5_quality_cotraining,
     "op6_content_sort": op6_content_sort,
     "op7_recompression": op7_recompression,
     "op8_collision_counting": op8_collision_counting,
