@@ -18,6 +18,7 @@ from .nearest import nearest
 from .packing import pack
 from .simhash import simhash_components
 from .substring_dedup import cut_repeats
+from .toolcalls import link_conversations
 
 
 def tokenizer(name: str) -> str:
@@ -40,6 +41,10 @@ def op3_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
     "op2_bpe_pair_index": op2_bpe_pair_index,
     "op3_toxicity_ordinal": op3_toxicity_ordinal,
+    "op4_tool_calls": op4_tool_calls,
     "op5_quality_cotraining": op5_quality_cotraining,
     "op6_content_sort": op6_content_sort,
     "op7_recompression": op7_recompression,
