@@ -7,8 +7,8 @@ import xxhash
 from pyspark.sql import types as T
 
 from tracklake.llm.components import connected_components
-from tracklake.llm.exact_dedup import content_sort_dedup
-from tracklake.llm.simhash import near_fingerprints, simhash_components
+from tracklake.llm.exact_dedup import content_sort_dedup, drop_copies
+from tracklake.llm.simhash import near_dedup, near_fingerprints, simhash_components
 
 DOCS = T.StructType(
     [
@@ -117,3 +117,18 @@ def test_components_of_a_long_chain(spark):
     got = {r.u: r.root for r in connected_components(edges).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {700: 600}
     assert connected_components(edges.limit(0)).collect() == []
+
+
+def test_whole_rows_stay(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice([None, "", "a b", f"text {i % 40}", "hot"])) for i in range(2000)] + [(None, "a b"), (None, "only here")]
+    df = docs(spark, rows).repartition(9)
+    got = drop_copies(df).collect()
+    best: dict = {}
+    for i, t in rows:
+        best[t or ""] = max(best.get(t or "", -1), -1 if i is None else i)
+    assert sorted((r.text or "", -1 if r.doc_id is None else r.doc_id) for r in got) == sorted(best.items())
+    assert got[0].asDict().keys() == {"doc_id", "text", "fp", "keep_id"} and got[0].fp == "x"
+    once = near_dedup(docs(spark, [(3, "a b"), (2, "A b"), (9, "other words"), (None, "a  b"), (None, "alone now here")]))
+    assert sorted((r.doc_id is None, r.text) for r in once.collect()) == [(False, "A b"), (False, "other words"), (True, "alone now here")]
+    assert drop_copies(docs(spark, [])).collect() == [] and near_dedup(docs(spark, [])).collect() == []

@@ -78,6 +78,56 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
 
+def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each run of equal texts in a sorted partition the last row, whole, and whether the run may go on elsewhere."""
+    from pyspark import TaskContext
+
+    pid = TaskContext.get().partitionId()
+    held = None
+    first = True
+
+    def mark(rows: pa.RecordBatch, edge: list[bool]) -> pa.RecordBatch:
+        new = [pa.repeat(pa.scalar(pid, pa.int32()), rows.num_rows), pa.array(edge, pa.bool_())]
+        return pa.RecordBatch.from_arrays([*rows.columns, *new], names=[*rows.schema.names, "_pid", "_edge"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        text = batch.column("_text")
+        ends = pc.indices_nonzero(pc.not_equal(text.slice(1), text.slice(0, batch.num_rows - 1)))
+        if held is not None and held.column("_text")[0] != text[0]:
+            yield mark(held, [first])
+            first = False
+        if len(ends):
+            yield mark(batch.take(ends), [first] + [False] * (len(ends) - 1))
+            first = False
+        held = batch.slice(batch.num_rows - 1)
+    if held is not None:
+        yield mark(held, [True])
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without those whose text another row with a larger id repeats.
+
+    The same sort as in ``content_sort_dedup``; the rows go through it whole, so
+    that they need no second shuffle.
+    """
+    ready = _sorted(docs.withColumns({"_text": F.coalesce(F.col(text_col), F.lit("")), "_id": F.col(id_col)}))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema.fields)
+    tails = materialize(ready.mapInArrow(_tails, f"{fields}, _pid int, _edge boolean").drop("_text"), "tails")
+    last = tails.filter("_edge").groupBy("_sha").agg(F.max("_pid").alias("_last")).withColumn("_edge", F.lit(True))
+    # at most two rows for each partition; null ids sort first, so the last partition has the largest id
+    out = tails.join(F.broadcast(last), ["_sha", "_edge"], "left")
+    return out.filter(F.col("_pid") == F.coalesce("_last", "_pid")).select(*docs.columns)
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    """Rows with ``_text`` and ``_id``, range-partitioned and sorted so that equal texts are side by side."""
+    keyed = rows.withColumns({"_sha": F.sha2(F.col("_text"), 256), "_key": F.substring("_text", 1, KEY_LETTERS)})
+    key = ["_key", "_sha", "_id"]
+    return keyed.repartitionByRange(*key).sortWithinPartitions(*key).drop("_key")
+
+
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group rows by identical text; of equal texts the row with the largest id stays.
 
@@ -101,9 +151,7 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
         F.col(id_col).alias("_id"),
     )
-    keyed = base.select("_text", F.sha2(F.col("_text"), 256).alias("_sha"), "_id", F.substring("_text", 1, KEY_LETTERS).alias("_key"))
-    key = ["_key", "_sha", "_id"]
-    ready = keyed.repartitionByRange(*key).sortWithinPartitions(*key).select("_text", "_sha", "_id")
+    ready = _sorted(base).select("_text", "_sha", "_id")
     runs = materialize(ready.mapInArrow(_runs, _RUN.format(kind=kind)), "runs")
     edges = (
         runs.filter("edge and tail")

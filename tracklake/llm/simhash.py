@@ -43,15 +43,16 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """Columns ``id`` and ``fp`` (the fingerprint's bits as a signed bigint)."""
+    """Columns ``id``, ``digest`` (a hash of the text) and ``fp`` (the fingerprint's bits as a signed bigint)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in texts(batch.column(1))], dtype=np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+            found = np.array([fingerprint(t, shingle) for t in texts(batch.column(2))], dtype=np.uint64)
+            yield pa.record_batch([*batch.columns[:2], pa.array(found.view(np.int64))], names=["id", "digest", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
+    return own.mapInArrow(run, f"id {kind}, digest long, fp long")
 
 
 def _counts(fps: np.ndarray) -> np.ndarray:
@@ -162,6 +163,16 @@ def near_fingerprints(fps: DataFrame, radius: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_compare(radius), "u long, v long")
 
 
+def _components(fps: DataFrame, radius: int) -> DataFrame:
+    """Each distinct ``fp`` with the ``root`` of its component and that component's smallest id."""
+    links = connected_components(near_fingerprints(fps, radius))
+    own = fps.groupBy("fp").agg(F.min("id").alias("own"))
+    rooted = own.join(links, own["fp"] == links["u"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "own")
+    rooted = materialize(rooted, "rooted")
+    best = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
+    return materialize(rooted.join(best, "root").select("fp", "root", "component_id"), "named")
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4
 ) -> DataFrame:
@@ -174,14 +185,22 @@ def simhash_components(
     result; other columns are ignored.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fps")
-    links = connected_components(near_fingerprints(fps, radius))
-    own = fps.groupBy("fp").agg(F.min("id").alias("own"))
-    rooted = own.join(links, own["fp"] == links["u"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "own")
-    rooted = materialize(rooted, "rooted")
-    best = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
-    named = materialize(rooted.join(best, "root").select("fp", "component_id"), "named")
-    return fps.join(named, "fp").select(
+    return fps.join(_components(fps, radius), "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs``, all columns, but of each component only the one with the smallest id.
+
+    Rows without an id come last; among rows that share the smallest id one
+    text stays, with its exact repeats, if there are any.
+    """
+    fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fps")
+    rows = fps.join(_components(fps, radius), "fp")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best"))
+    kept = materialize(best.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")), "kept")
+    match = docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_digest"])
+    return docs.join(kept, match, "left_semi")
