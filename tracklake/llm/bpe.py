@@ -132,7 +132,8 @@ class WordBpe:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
         self.word = regex.compile(pattern)
-        self.young = regex.compile("[" + (young := young_letters()) + "]") if young_letters() else None
+        young = young_letters()
+        self.young = frozenset(young)
         for kind in ("L", "N"):  # for texts with such letters, a pattern that does not know them
             pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{young}]]" if young else rf"\p{{{kind}}}")
         self.old_word = regex.compile(pattern, regex.V1)
@@ -149,7 +150,7 @@ class WordBpe:
                 word = self.word
                 if not part.isascii():
                     part = unicodedata.normalize("NFC", part).replace("Σ", "σ")  # letter by letter: no final sigma
-                    if self.young and self.young.search(part):
+                    if not self.young.isdisjoint(part):
                         word = self.old_word
                 out += word.findall(part.lower())
         return out
