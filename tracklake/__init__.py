@@ -1,0 +1 @@
+"""Sensor-track analytics on Spark DataFrames."""

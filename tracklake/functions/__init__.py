@@ -1,0 +1 @@
+"""Column functions: numbers, time, text and geometry."""

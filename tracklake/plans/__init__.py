@@ -1,0 +1 @@
+"""Configuration, the staged pipeline, and its command line."""

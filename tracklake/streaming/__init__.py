@@ -1,0 +1 @@
+"""The same operators on streams of readings."""
