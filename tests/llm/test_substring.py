@@ -68,7 +68,7 @@ def test_equal_windows_have_equal_anchors():
         words = rng.integers(1, vocab + 1, 3000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         words = np.concatenate((words, words[500:700], words[:100], words[1000:1035]))
         starts = np.array([0, 1000, 3000, 3200, 3210])
-        name, at, n = anchors(words, starts, 35)
+        name, at, n, _ = anchors(words, starts, 35)
         own = {int(a) + k: int(x) for x, a, m in zip(name, at, n) for k in range(m)}
         ends = [*starts[1:], len(words)]
         assert sorted(own) == [s for a, b in zip(starts, ends) for s in range(a, b - 34)]

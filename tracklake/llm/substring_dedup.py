@@ -67,10 +67,10 @@ def name_rounds(h: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, ...
     they stand.  A symbol at the border of a sequence also hangs on what would
     stand beyond, so its span reaches beyond.
 
-    Returns (name, low, high) of the symbols after each round.
+    Returns (name, start, words, low, high) of the symbols made in any round.
     """
     n = len(h)
-    name, low, high = h, np.arange(n), np.arange(1, n + 1)
+    name, low, high, at_word = h, np.arange(n), np.arange(1, n + 1), np.arange(n)
     first = np.zeros(n, bool)
     first[starts] = True
     ends = np.append(starts[1:], n)
@@ -83,29 +83,32 @@ def name_rounds(h: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, ...
             head = np.append(True, (name[1:] != name[:-1]) | first[1:])
             at = np.flatnonzero(head)
             count = np.diff(np.append(at, len(name)))
-            long = mix(name[at] * _ODD[0] + count.astype(np.uint64))
+            made = count > 1
             low, high = before[at], after[at + count - 1]
-            name = np.where(count > 1, long, name[at])
+            name = np.where(made, mix(name[at] * _ODD[0] + count.astype(np.uint64)), name[at])
         else:
             right = mix(name + _salt(k)) >> np.uint64(63) == 1
             pair = ~right & np.append(right[1:], False) & ~last
             at = np.flatnonzero(~np.append(False, pair[:-1]))
-            two = pair[at]
+            made = pair[at]
             mate = np.minimum(at + 1, len(name) - 1)
-            low = np.where(~two & right[at], before[at], low[at])
-            high = np.where(two, high[mate], np.where(right[at], high[at], after[at]))
-            name = np.where(two, mix(mix(name[at]) + name[mate] * _ODD[0]), name[at])
-        first = first[at]
-        out.append((name, low, high))
-    return out
-
-
-def anchors(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of window starts that share an anchor: (name, first start, number of starts).
-
-    The anchor of a window is the leftmost symbol of the highest round whose
-    determining span lies in the window; a window without one, as in a long run
-    of one word, is its own anchor.  So equal windows have equal anchors.
+            low = np.where(~made & right[at], before[at], low[at])
+            high = np.where(made, high[mate], np.where(right[at], high[at], after[at]))
+            name = np.where(made, mix(mix(name[at]) + name[mate] * _ODD[0]), name[at])
+        first, at_word = first[at], at_word[at]
+        words = np.diff(np.append(at_word, n))
+        out.append((name[made], at_word[made], words[made], low[made], high[made]))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def anchors(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Runs of window starts that share an anchor: (name, first start, number of starts, context).
+
+    The anchor of a window is the longest symbol whose determining span lies in
+    the window, of equally long ones the one whose name is greatest, of equal
+    names the leftmost.  So equal windows have equal anchors.  A window without
+    any, as in a long run of one word, is its own anchor.  The context is a
+    hash of all words that the run's windows cover.
     """
     n = len(h)
     ends = np.append(starts[1:], n)
@@ -113,29 +116,51 @@ def anchors(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray,
     fits = ends - starts >= window
     np.add.at(free, starts[fits], 1)
     np.add.at(free, ends[fits] - window + 1, -1)
-    todo = np.flatnonzero(np.cumsum(free[:n]) > 0)
-    name = np.zeros(n, np.uint64)
-    which = np.full(n, -1, np.int64)
-    shift = 0
-    levels = name_rounds(h, starts) if len(todo) else []
-    for k in range(len(levels) - 1, -1, -1):
-        names, low, high = levels[k]
-        at = np.cumsum(np.bincount(low + 1, minlength=n + 2))[todo]
-        good = at < len(names)
-        good[good] = high[at[good]] <= todo[good] + window
-        own, at = todo[good], at[good]
-        name[own] = mix(names[at] + _salt(k + 1))
-        which[own] = at + shift
-        shift += len(names)
-        todo = todo[~good]
-    if len(todo):
-        name[todo] = span_hashes(h, 0)(todo, todo + window)
-        which[todo] = shift + todo
-    cut = np.append(True, which[1:] != which[:-1])
-    at = np.flatnonzero(cut)
+    todo = np.cumsum(free[:n]) > 0
+    if not todo.any():
+        none = np.zeros(0, np.int64)
+        return none.view(np.uint64), none, none, none.view(np.uint64)
+    name, start, words, low, high = name_rounds(h, starts)
+    good = high - low <= window
+    name, start, words, low, high = (x[good] for x in (name, start, words, low, high))
+    order = np.lexsort((-start, name, words))  # from the least to the best
+    name, low, high = name[order], low[order], high[order]
+    best = _cover(np.maximum(high - window, 0), low + 1, n)
+    which = np.where(todo, best, -2)
+    own = np.flatnonzero(which == -1)
+    which[own] = len(name) + own
+    spans = span_hashes(h, 0)
+    names = np.zeros(n, np.uint64)
+    ok = (which >= 0) & (best >= 0)
+    names[ok] = mix(name[which[ok]] + _salt(1))
+    names[own] = spans(own, own + window)
+    at = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
     size = np.diff(np.append(at, n))
-    used = which[at] >= 0
-    return name[at[used]], at[used], size[used]
+    used = which[at] != -2
+    at, size = at[used], size[used]
+    return names[at], at, size, spans(at, at + size + window - 1)
+
+
+def _cover(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places the greatest k of the intervals [a[k], b[k]) over it, or -1.
+
+    Each interval is two blocks of a power of two; blocks are then handed down
+    to their halves.
+    """
+    length = b - a
+    level = np.frexp(np.maximum(length, 1))[1] - 1
+    above = None
+    for k in range(int(level.max(initial=0)), -1, -1):
+        here = np.full(n, -1, np.int64)
+        own = np.flatnonzero((level == k) & (length > 0))
+        here[a[own]] = own  # in rising order, so the greatest stays
+        np.maximum.at(here, b[own] - (1 << k), own)
+        if above is not None:
+            np.maximum(here, above, out=here)
+            half = 1 << k
+            np.maximum(here[half:], above[:-half], out=here[half:])
+        above = here
+    return above
 
 
 def _segments(batches: Iterator[pa.RecordBatch], window: int):
@@ -166,13 +191,14 @@ def _find_anchors(window: int):
         for batch, held in _segments(batches, window):
             lengths = np.array([len(h) for _, _, h in held])
             starts = np.cumsum(lengths) - lengths
-            name, at, n = anchors(np.concatenate([h for _, _, h in held]), starts, window)
+            name, at, n, context = anchors(np.concatenate([h for _, _, h in held]), starts, window)
             piece = np.searchsorted(starts, at, side="right") - 1
             row, offset = (np.array([x[k] for x in held])[piece] for k in (0, 1))
             key, sig = (batch.column(c).take(pa.array(row)) for c in ("key", "sig"))
             s = at - starts[piece] + offset
             yield pa.record_batch(
-                [_signed(name), key, sig, pa.array(s, pa.int64()), pa.array(n, pa.int32())], names=["name", "key", "sig", "s", "n"]
+                [_signed(name), _signed(context), key, sig, pa.array(s, pa.int32()), pa.array(n, pa.int32())],
+                names=["name", "c", "key", "sig", "s", "n"],
             )
 
     return run
@@ -188,38 +214,20 @@ def _lists(batch: pa.RecordBatch):
         yield (lambda n, own=own: [pa.repeat(x, n) for x in own]), text.split(), fields
 
 
-def _contexts(window: int):
-    """For each run of starts a hash of all words that its windows cover."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, words, f in _lists(batch):
-                one = np.unique(np.stack((f["s"], f["n"], f["name"])), axis=1)
-                s, n, name = one[:, one[0] + one[1] + window - 1 <= len(words)]
-                if len(s):
-                    c = span_hashes(word_hashes(words), 0)(s, s + n + window - 1)
-                    yield pa.record_batch(
-                        [pa.array(name), _signed(c), *key(len(s)), pa.array(s), pa.array(n.astype(np.int32))],
-                        names=["name", "c", "key", "sig", "s", "n"],
-                    )
-
-    return run
-
-
 def _windows(window: int):
     """Each window of each run of starts, as two hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, words, f in _lists(batch):
-                s = np.repeat(f["s"], f["n"]) + np.arange(f["n"].sum()) - np.repeat(np.cumsum(f["n"]) - f["n"], f["n"])
+                s = np.repeat(f["s"].astype(np.int64), f["n"]) + np.arange(f["n"].sum()) - np.repeat(np.cumsum(f["n"]) - f["n"], f["n"])
                 s, at = np.unique(s, return_index=True)
                 one = np.repeat(f["one"], f["n"])[at]
                 s, one = s[fits := s + window <= len(words)], one[fits]
                 if len(s):
                     h = word_hashes(words)
                     yield pa.record_batch(
-                        [*(_signed(span_hashes(h, w)(s, s + window)) for w in (0, 1)), *key(len(s)), pa.array(s), pa.array(one)],
+                        [*(_signed(span_hashes(h, w)(s, s + window)) for w in (0, 1)), *key(len(s)), pa.array(s.astype(np.int32)), pa.array(one)],
                         names=["h1", "h2", "key", "sig", "s", "one"],
                     )
 
@@ -244,7 +252,7 @@ def _cut(window: int, keep: bool):
                 text = b" ".join(left)
                 digest.append(hashlib.sha256(text).hexdigest())
                 kept.append(text)
-            cols = {"id": batch.column("id"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
+            cols = {"rest": batch.column("rest"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
             cols["kept_sha256"] = pa.array(digest, pa.string())
             if keep:
                 cols["kept_text"] = pa.array(kept, pa.binary()).cast(pa.string())
@@ -254,48 +262,54 @@ def _cut(window: int, keep: bool):
 
 
 def cut_repeats(
-    docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", keep: bool = False
+    docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, whole: bool = False
 ) -> DataFrame:
     """Remove each word that a repeated window of ``window`` words covers.
 
     Words are what ASCII white space separates.  Recompression gives each run
     of window starts an anchor symbol.  Anchors whose name is found once in the
     corpus belong to no repeat.  Of the others, whole contexts are compared
-    first: two equal ones settle all their windows at once, and one stands for
-    all.  Only where a name has several contexts are single windows compared,
-    by 128 bits.  Counts come from aggregations with partial sums and go back
-    to the documents by joins that split hot keys; no group is ever collected.
-    Texts are shuffled once, by id, and that exchange is read three times.
+    first, by the name and a second hash: two equal ones settle all their
+    windows at once, and one stands for all.  Only where a name has several
+    contexts are single windows compared, by 128 bits.  Counts come from
+    aggregations with partial sums and go back to the documents by joins that
+    split hot keys; no group is ever collected.  Texts are shuffled once, by
+    id, and that exchange is read three times.
 
     Returns one row per input row: the id, ``n_words``, ``n_removed``,
-    ``kept_sha256`` and, with ``keep``, ``kept_text``.  Null text has no words.
+    ``kept_sha256`` and, with ``keep``, ``kept_text``; with ``whole`` the input's
+    own columns with the kept words, joined by one space, as the text.  Null
+    text has no words.
     Rows that repeat an id or have none are documents of their own.  An empty
     table gives an empty result; other columns are ignored.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    others = [c for c in docs.columns if c != text_col] if whole else [id_col]
     t = docs.select(
-        F.col(id_col).alias("id"),
+        F.struct(*others).alias("rest"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"),
         F.hash(text_col).alias("sig"),  # tells rows apart that repeat an id
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     row = ["key", "sig"]
-    found = t.drop("id").mapInArrow(_find_anchors(window), "name long, key long, sig int, s long, n int")
+    found = t.drop("rest").mapInArrow(_find_anchors(window), "name long, c long, key long, sig int, s int, n int")
     names = materialize(found.groupBy("name").agg(F.count("*").alias("k")).filter("k > 1").select("name"), "names")
     again = materialize(spread(found, names, ["name"], "left_semi"), "anchors")
 
     def listed(rows: DataFrame, *cols: str) -> DataFrame:
         return rows.groupBy(*row).agg(F.collect_list(F.struct(*cols)).alias("list"))
 
-    contexts = t.join(listed(again, "name", "s", "n"), row).mapInArrow(_contexts(window), "name long, c long, key long, sig int, s long, n int")
-    classes = contexts.groupBy("name", "c").agg(F.count("*").alias("k"), F.min(F.struct("key", "sig", "s", "n")).alias("rep"))
-    settled = spread(contexts, classes.filter("k > 1").select("name", "c"), ["name", "c"], "left_semi").select("key", "sig", "s", "n")
+    classes = again.groupBy("name", "c").agg(F.count("*").alias("k"), F.min(F.struct("key", "sig", "s", "n")).alias("rep"))
+    classes = materialize(classes, "contexts")
+    settled = spread(again, classes.filter("k > 1").select("name", "c"), ["name", "c"], "left_semi").select("key", "sig", "s", "n")
     several = classes.groupBy("name").agg(F.count("*").alias("m")).filter("m > 1").select("name")
     open_ = spread(classes, several, ["name"], "left_semi").select("rep.*", (F.col("k") == 1).alias("one"))
-    single = t.join(listed(open_, "s", "n", "one"), row).mapInArrow(_windows(window), "h1 long, h2 long, key long, sig int, s long, one boolean")
+    single = t.join(listed(open_, "s", "n", "one"), row).mapInArrow(_windows(window), "h1 long, h2 long, key long, sig int, s int, one boolean")
     twice = single.groupBy("h1", "h2").agg(F.count("*").alias("k")).filter("k > 1").select("h1", "h2")
     verified = spread(single.filter("one"), twice, ["h1", "h2"], "left_semi").select("key", "sig", "s", F.lit(1).alias("n"))
     marks = listed(settled.unionByName(verified), "s", "n")
-    more = ", kept_text string" if keep else ""
-    out = t.join(marks, row, "left").mapInArrow(_cut(window, keep), f"id {kind}, n_words long, n_removed long, kept_sha256 string{more}")
-    return out.withColumnRenamed("id", id_col)
+    keep = keep or whole
+    fields = f"rest {t.schema['rest'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
+    out = t.join(marks, row, "left").mapInArrow(_cut(window, keep), fields + (", kept_text string" if keep else ""))
+    if whole:
+        return out.select(*(F.col("kept_text" if c == text_col else f"rest.{c}").alias(c) for c in docs.columns))
+    return out.select(F.col("rest")[id_col].alias(id_col), *out.columns[1:])
