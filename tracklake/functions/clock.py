@@ -44,7 +44,7 @@ def shifted(t: Column | str, seconds: Column) -> Column:
 
 def mean_time(t: Column | str) -> Column:
     """Aggregate: the mean instant, to the microsecond below."""
-    return of_micros(F.floor(F.avg(micros(t))))
+    return of_micros(F.floor(F.avg(micros(t).cast("decimal(20,0)"))))
 
 
 def local_to_utc(reading: Column | str, zone: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.functions.clock import micros, seconds_between
+from tracklake.functions.clock import mean_time, micros, seconds_between
 
 
 def _window(by: list[str], order: list[str]):
@@ -62,8 +62,7 @@ def session_means(df: DataFrame, by: list[str], time: str, gap_s: float, least:
     """
     numbered = sessions(df, by, time, gap_s, inclusive=False, order=order, name="flag")
     tails = tail_rows(numbered, [*by, "flag"], order, least, window)
-    mean = F.timestamp_micros(F.floor(F.avg(micros(time))))
-    return tails.groupBy(*by, "flag").agg(mean.alias(time), *(F.avg(v).alias(v) for v in values))
+    return tails.groupBy(*by, "flag").agg(mean_time(time).alias(time), *(F.avg(v).alias(v) for v in values))
 
 
 def passes(df: DataFrame, by: list[str], order: list[str], lat: str, lon: str, places: int = 6, name: str = "drive_pass") -> DataFrame:
