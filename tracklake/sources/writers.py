@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tracklake.sources.readers import cps_long
 
-_LINE = struct.Struct("<BIIdddd")
+#: Byte order, kind (line), number of points, two points.
+_LINE = "<BIIdddd"
 
 
 def with_line(track: DataFrame, name: str = "geometry") -> DataFrame:
@@ -22,7 +23,7 @@ def with_line(track: DataFrame, name: str = "geometry") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [_LINE.pack(1, 2, 2, *e) if e is not None and None not in e else None for e in batch.columns[-1].to_pylist()]
+            lines = [struct.pack(_LINE, 1, 2, 2, *e) if e is not None and None not in e else None for e in batch.columns[-1].to_pylist()]
             yield pa.record_batch([*batch.columns[:-1], pa.array(lines, pa.binary())], names=names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in track.schema.fields)
