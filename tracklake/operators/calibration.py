@@ -9,6 +9,7 @@ from tracklake.functions.clock import floor_second, mean_time, micros
 from tracklake.functions.numbers import calibrated, line_at
 from tracklake.functions.text import is_ion
 from tracklake.operators.ordered import first_per, session_means, tail_rows
+from tracklake.operators.small import small
 
 #: Species left out of the sensitivity line (fixed values).
 NOT_IN_LINE = ("CH5S", "CH5O", "C2H7O", "C10H23")
@@ -48,7 +49,7 @@ def step_means(cps: DataFrame, by: list[str], species: list[str], standards: Dat
     )
     rows = tail_rows(cps.filter(on), by, order or ["date"], least, window)
     long = rows.unpivot([*by, "date", "cal_flow", "zero_flow"], species, "species", "counts")
-    joined = long.join(F.broadcast(standards.select("species", "cal_concs")), "species")  # a row for each species
+    joined = long.join(standards.select("species", "cal_concs"), "species")
     dil = F.col("cal_concs") * F.try_divide(F.col("cal_flow"), F.col("zero_flow"))
     return joined.groupBy(*by, "species").agg(
         F.avg("counts").alias("counts"), F.avg("cal_flow").alias("cal_flow"), F.avg("zero_flow").alias("zero_flow"),
@@ -82,7 +83,7 @@ def sensitivity(stats: DataFrame, rates: DataFrame, by: list[str], default_k: fl
     """
     usable = ~F.col("species").isin(*NOT_IN_LINE) & F.col("slope").isNotNull()
     x = F.col("_k") * 1e9
-    joined = stats.join(F.broadcast(rates.select("species", F.col("ksens").alias("_k"))), "species", "left")
+    joined = stats.join(rates.select("species", F.col("ksens").alias("_k")), "species", "left")
     pair = usable & F.col("_k").isNotNull()
     y, x = F.when(pair, F.col("slope")), F.when(pair, x)
     line = F.when(F.count(x) >= 2, F.regr_slope(y, x) * default_k + F.regr_intercept(y, x))
@@ -108,7 +109,7 @@ def fill_species(stats: DataFrame, species: DataFrame) -> DataFrame:
     """
     missing = species.select("parameter").distinct().join(stats.select("parameter").distinct(), "parameter", "left_anti")
     times = stats.select("instrument", "sample_time", "ksens").distinct()
-    added = times.crossJoin(F.broadcast(missing)).select("instrument", "parameter", "sample_time", F.col("ksens").alias("slope"), "ksens")
+    added = times.crossJoin(missing).select("instrument", "parameter", "sample_time", F.col("ksens").alias("slope"), "ksens")
     return stats.select("instrument", "parameter", "sample_time", "slope", "ksens").unionByName(added)
 
 
@@ -169,7 +170,7 @@ def zero_at(zs: Column, t: Column) -> Column:
 def with_zeros(readings: DataFrame, zeros: DataFrame, time: str = "sample_time", letters: str = "HCOKSNV") -> DataFrame:
     """Add ``zero``: interpolated for ions of the ion instrument, 0 for all else."""
     lines = zero_lines(zeros, ["instrument", "parameter"], time)
-    joined = readings.join(F.broadcast(lines), ["instrument", "parameter"], "left")  # a row for each ion
+    joined = readings.join(small(lines), ["instrument", "parameter"], "left")  # a row for each ion
     ion = (F.col("instrument") == ION_INSTRUMENT) & is_ion("parameter", letters)
     return joined.withColumn("zero", F.when(ion & F.col("_zs").isNotNull(), zero_at(F.col("_zs"), micros(time))).otherwise(F.lit(0.0))).drop("_zs")
 

@@ -48,7 +48,7 @@ def exchange_rows(readings: DataFrame, fields: DataFrame, vehicle: str, rings: D
         F.col("lat_smooth").alias("latitude"), F.col("lon_smooth").alias("longitude"),
         (F.col("summary_flag") != "0").cast("int").alias("status_indicator"), F.col("summary_flag").alias("qualifier_codes"), F.lit(vehicle).alias("vehicle_id"),
     )
-    joined = rows.join(F.broadcast(fields), ["parameter_ucb", "instrument"])  # a few dozen rows
+    joined = rows.join(fields, ["parameter_ucb", "instrument"])
     h3 = cell_id(F.col("latitude"), F.col("longitude")) if cell_id else F.lit(None)
     joined = joined.withColumn("h3_index", h3.cast("string"))
     joined = outside(joined, rings) if rings is not None else joined
@@ -61,7 +61,7 @@ def raw_rows(readings: DataFrame, fields: DataFrame) -> DataFrame:
         F.col("sample_time").alias("timestamp"), F.col("parameter").alias("parameter_ucb"), "instrument", "value", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
         (F.col("summary_flag") != "0").cast("int").alias("status_indicator"), F.col("summary_flag").alias("qualifier_code"),
     )
-    joined = rows.join(F.broadcast(fields), ["parameter_ucb", "instrument"])
+    joined = rows.join(fields, ["parameter_ucb", "instrument"])
     return joined.select("timestamp", "parameter", "method", "duration", "value", "unit", "latitude", "longitude", "status_indicator", "qualifier_code")
 
 

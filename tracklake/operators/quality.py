@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.clock import month, shifted
 from tracklake.functions.numbers import known
 from tracklake.functions.text import flag_text
+from tracklake.operators.small import small
 
 #: Instruments whose NO2 is raw and is left out after flagging; it is derived later (fixed values).
 RAW_NO2 = ("EcoPhysics_NOX", "Vocus-PTR-ToF")
@@ -18,14 +19,14 @@ def apply_lags(readings: DataFrame, lags: DataFrame) -> DataFrame:
 
     ``lags`` (month, instrument, lag_s) is small: months times instruments.
     """
-    table = F.broadcast(lags.select(F.col("month").cast("timestamp").alias("_month"), "instrument", F.col("lag_s").cast("double").alias("_lag")))
+    table = lags.select(F.col("month").cast("timestamp").alias("_month"), "instrument", F.col("lag_s").cast("double").alias("_lag"))
     joined = readings.withColumn("_month", month(F.col("sample_time").cast("timestamp"))).join(table, ["_month", "instrument"], "left")
     return joined.withColumn("sample_time", shifted("sample_time", -F.col("_lag"))).drop("_month", "_lag").select(*readings.columns)
 
 
 def lag_counts(readings: DataFrame, lags: DataFrame) -> DataFrame:
     """How many readings of each instrument have a lag that is not zero."""
-    table = F.broadcast(lags.select(F.col("month").cast("timestamp").alias("_month"), "instrument", "lag_s"))
+    table = lags.select(F.col("month").cast("timestamp").alias("_month"), "instrument", "lag_s")
     rows = readings.withColumn("_month", month(F.col("sample_time").cast("timestamp"))).join(table, ["_month", "instrument"])
     return rows.filter("lag_s <> 0").groupBy("instrument").agg(F.count("*").alias("n_lagged"))
 
@@ -33,7 +34,7 @@ def lag_counts(readings: DataFrame, lags: DataFrame) -> DataFrame:
 def within_track(readings: DataFrame, track: DataFrame, by: list[str], time: str = "sample_time") -> DataFrame:
     """Readings from the first to the last time of the track, both included, in each group of ``by``."""
     bounds = track.groupBy(*by).agg(F.min(time).alias("_low"), F.max(time).alias("_high"))
-    joined = readings.join(F.broadcast(bounds), by) if by else readings.crossJoin(F.broadcast(bounds))  # one row for each drive
+    joined = readings.join(small(bounds), by) if by else readings.crossJoin(F.broadcast(bounds))  # a row for each drive, or one
     return joined.filter(F.col(time).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
 
 
@@ -50,7 +51,7 @@ def range_flag(value: Column, low: Column, high: Column, flag: Column) -> Column
 
 def with_flags(readings: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Add ``flag`` by the range of the reading's instrument and parameter."""
-    table = F.broadcast(thresholds.select("instrument", "parameter", "range_start", "range_end", "flag_value"))  # one row for each pair
+    table = thresholds.select("instrument", "parameter", "range_start", "range_end", "flag_value")
     joined = readings.join(table, ["instrument", "parameter"], "left")
     flag = range_flag(F.col("value"), F.col("range_start"), F.col("range_end"), F.col("flag_value"))
     return joined.withColumn("flag", flag).drop("range_start", "range_end", "flag_value")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.geo import DEGREE, bearing, cell, haversine, line_bearing
 from tracklake.functions.numbers import round_even
 from tracklake.functions.text import tag
+from tracklake.operators.small import small
 
 #: Road classes that are taken from the map (fixed values).
 ROAD_CLASSES = (
@@ -136,7 +137,7 @@ def number_segments(segments: DataFrame) -> DataFrame:
     within = Window.partitionBy("_cell").orderBy(*order)
     sizes = celled.groupBy("_cell").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a cell
-    numbered = celled.withColumn("_r", F.row_number().over(within) - 1).join(F.broadcast(before.drop("_n")), "_cell")
+    numbered = celled.withColumn("_r", F.row_number().over(within) - 1).join(small(before.drop("_n")), "_cell")
     return numbered.withColumn("segment_id", (F.col("_base") + F.col("_r")).cast("bigint")).drop("_cell", "_r", "_base")
 
 

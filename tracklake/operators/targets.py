@@ -29,7 +29,7 @@ def target_concentrations(requests: DataFrame, standards: DataFrame) -> DataFram
     ``standards``: cylinder_number, species, cal_concs.
     """
     conc = F.when(F.col("species").isin(*THOUSANDTHS), F.col("cal_concs") / 1000).otherwise(F.col("cal_concs"))
-    return F.broadcast(requests).join(standards.filter("cal_concs > 0"), "cylinder_number").select("instrument", F.col("species").alias("parameter"), conc.alias("conc"))
+    return requests.join(standards.filter("cal_concs > 0"), "cylinder_number").select("instrument", F.col("species").alias("parameter"), conc.alias("conc"))
 
 
 def windows_join(readings: DataFrame, windows: DataFrame, keys: list[str], time: str, start: str, end: str, bucket_s: int) -> DataFrame:
@@ -53,7 +53,7 @@ def ion_targets(readings: DataFrame, gates: DataFrame, concs: DataFrame, drive:
     by = [*drive, "instrument", "parameter"]
     numbered = sessions(rows, by, "sample_time", 3.0, inclusive=True)
     tails = tail_seconds(numbered, [*by, "period"], "sample_time", length_s, 10.0)
-    joined = tails.join(F.broadcast(concs), ["instrument", "parameter"])
+    joined = tails.join(concs, ["instrument", "parameter"])
     val = F.col("value") - diluted(F.col("conc"), F.col("cal_flow"), F.col("zero_flow"))
     return joined.select(*drive, "sample_time", "instrument", "parameter", val.alias("val"))
 
@@ -66,13 +66,13 @@ def inlet_targets(readings: DataFrame, gates: DataFrame, concs: DataFrame, drive
     at = lambda s: F.timestamp_micros(micros("_end") - s * 1_000_000)
     windows = ends.select(*by, at(long_s).alias("_from"), at(skip_s).alias("_to"))
     rows = windows_join(readings.select(*by, "parameter", "sample_time", "value"), windows, by, "sample_time", "_from", "_to", 2 * long_s)
-    joined = rows.join(F.broadcast(concs), ["instrument", "parameter"])
+    joined = rows.join(concs, ["instrument", "parameter"])
     return joined.select(*drive, "sample_time", "instrument", "parameter", (F.col("value") - F.col("conc")).alias("val"))
 
 
 def find_targets(readings: DataFrame, requests: DataFrame, standards: DataFrame, drive: list[str], flow: float = 1.0, length_s: float = 60.0, long_s: int = 70, skip_s: int = 10) -> DataFrame:
     """All residuals of the requested instruments: drive columns, sample_time, instrument, parameter, val."""
-    rows = readings.join(F.broadcast(requests.select("instrument").distinct()), "instrument", "left_semi")
+    rows = readings.join(requests.select("instrument"), "instrument", "left_semi")
     order = ["value"] if "row_number" not in rows.columns else ["row_number"]
     gates = pivot_last(rows, [*drive, "sample_time", "instrument"], GATES, order)
     concs = target_concentrations(requests, standards)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tracklake.functions import clock, geo, numbers, text
 from tracklake.operators import calibration, gps, matching, ordered, output, quality, roads, targets
+from tracklake.operators.small import small
 from tracklake.plans.pipeline import summarise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -433,7 +434,7 @@ def cal_bracket_run(spark, sf):
     SELECT event_id, {sql_r("coalesce(zero + (z2 - zero) * ((epoch_us(sample_time) - epoch_us(t))::DOUBLE / (epoch_us(t2) - epoch_us(t))::DOUBLE), 0)")} AS zero FROM j""")
 def zero_bracket_row(spark, sf):
     lines = calibration.zero_lines(calibrations(spark, sf), ["instrument", "parameter"])
-    rows = readings(spark, sf).join(F.broadcast(lines), ["instrument", "parameter"], "left")
+    rows = readings(spark, sf).join(small(lines), ["instrument", "parameter"], "left")
     zero = F.when(F.col("_zs").isNotNull(), calibration.zero_at(F.col("_zs"), clock.micros("sample_time"))).otherwise(F.lit(0.0))
     return rows.select("event_id", r(zero).alias("zero"))
 

@@ -20,6 +20,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tracklake.functions.clock import name_time
 from tracklake.functions.numbers import fitted_array, scaled_array
+from tracklake.operators.small import small
 
 #: Paths of the arrays in a file (fixed values), and counts per second in a count.
 PEAKS, TIMES, CONTROLS = "/PeakData/PeakData", "/TimingData/BufTimes", "/TPS2/TwData"
@@ -88,7 +89,7 @@ def wide_counts(peaks: DataFrame, controls: DataFrame, names: list[str], size: i
     def placed(df: DataFrame, extra: list) -> DataFrame:
         sizes = df.groupBy("file").agg((F.max("row") + 1).alias("n"))  # one row for each file
         before = sizes.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-        return df.join(F.broadcast(before), "file").select((F.col("_base") + F.col("row")).alias("_at"), *extra)
+        return df.join(small(before), "file").select((F.col("_base") + F.col("row")).alias("_at"), *extra)
 
     start = name_time("file")
     date = F.timestamp_micros(F.unix_micros(start) + (F.col("offset_s") * 1e6).cast("bigint"))
