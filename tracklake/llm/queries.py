@@ -95,4 +95,29 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    "op4_tool_calls": """
+        WITH u AS (SELECT *, conv_id || '/' || turn AS call_id FROM conversations WHERE role = 'user'),
+        a AS (SELECT *, conv_id || '/' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant')
+        SELECT u.conv_id, u.turn, -1 AS at, 'call' AS kind, u.call_id, u.turn AS level,
+               CASE WHEN a.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+               '{"arguments":{"prompt":' || CAST(to_json(u.text) AS VARCHAR) || ',"turn":' || u.turn || '},"depends_on":['
+               || CASE WHEN u.turn >= 2 THEN '"' || u.conv_id || '/' || (u.turn - 2) || '"' ELSE '' END
+               || '],"id":"' || u.call_id || '","name":"reply"'
+               || CASE WHEN a.call_id IS NULL THEN '' ELSE ',"result":' || CAST(to_json(a.text) AS VARCHAR) END || '}' AS json
+        FROM u LEFT JOIN a USING (call_id)
+        UNION ALL
+        SELECT a.conv_id, a.turn, -1, 'result', a.call_id, NULL, 'orphan_result',
+               '{"id":"' || a.call_id || '","result":' || CAST(to_json(a.text) AS VARCHAR) || '}'
+        FROM a ANTI JOIN u USING (call_id)
+    """,
+    "op7_recompression": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT r, i, md5(array_to_string(w[i : i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+        again AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY h) > 1),
+        gone AS (SELECT DISTINCT r, i + k AS p FROM again CROSS JOIN (SELECT unnest(range(0, 35)) AS k)),
+        words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)
+    """,
 }
