@@ -135,10 +135,10 @@ def plan(hist: np.ndarray, window: int) -> list[Pattern]:
     if combos:
         x = nnls(combos, left)
         for k in np.argsort(-x, kind="stable").tolist():
-            if x[k] < 1:
+            if x[k] < 0.5:
                 break
             need = Counter(combos[k])
-            times = min(int(x[k]), *(int(left[a]) // m for a, m in need.items()))
+            times = min(round(x[k]), *(int(left[a]) // m for a, m in need.items()))
             if times > 0:
                 out.append((tuple(sorted(need.items(), reverse=True)), times))
                 for a, m in need.items():
@@ -191,7 +191,7 @@ def pack(
     A document is cut into whole windows and a rest.  The histogram of lengths
     (``window`` numbers) goes to the driver, which enumerates combinations of a
     few lengths that fill a window, solves their repeat counts by non-negative
-    least squares, rounds them down, and packs what is left greedily.  Pieces
+    least squares, rounds them as far as there are pieces, and packs what is left greedily.  Pieces
     of a length are alike, so each finds its place by its rank among them.
     Ranks come from groups of bounded size and sums over the groups, so that
     one common length does not land in one task.
