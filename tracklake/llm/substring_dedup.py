@@ -16,9 +16,10 @@ from .common import materialize, mix, powers, spread, texts
 
 #: Rounds of naming: "r" names runs of a symbol, "p" names pairs.  Fixed, as
 #: equal passages anywhere must be named alike.
-ROUNDS = "rppppppppp"
-#: Window starts that are parsed together, and words whose hash a worker keeps.
-SEGMENT, CACHE_WORDS = 200_000, 500_000
+ROUNDS = "rppppp"
+#: Window starts that are parsed together, bytes that are hashed together, and
+#: bytes of a word beyond which it is hashed by itself.
+SEGMENT, BLOCK, LONG_WORD = 200_000, 1 << 20, 256
 
 _ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
 _BASE = [0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4D & ~7 | 5]
@@ -28,19 +29,34 @@ def _salt(k: int) -> np.uint64:
     return np.uint64(k * int(_ODD[1]) & (1 << 64) - 1)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word, 7)
-        return h
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD[1])
 
 
-_hashes = _WordHash()
+def word_hashes(text: bytes) -> np.ndarray:
+    """A hash of each word of a text, all words at once: a polynomial over its bytes.
 
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > CACHE_WORDS:
-        _hashes.clear()
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    Words of over ``LONG_WORD`` bytes, for which such polynomials can be made to
+    agree, are hashed one by one.
+    """
+    out = []
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > BLOCK:  # cut after a space
+            end = at + BLOCK
+            while end < len(text) and not _SPACE[text[end - 1]]:
+                end += 1
+        block = np.frombuffer(text, np.uint8)[at:end]
+        space = _SPACE[block]
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
+        start, stop = edge[::2], edge[1::2]
+        h = span_hashes(_BYTES[block], 1)(start, stop)
+        for k in np.flatnonzero(stop - start > LONG_WORD).tolist():
+            h[k] = xxhash.xxh64_intdigest(text[at + start[k] : at + stop[k]], 7)
+        out.append(h)
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 @functools.lru_cache(2)
@@ -106,7 +122,7 @@ def anchors(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray,
 
     The anchor of a window is the longest symbol whose determining span lies in
     the window, of equally long ones the one whose name is greatest, of equal
-    names the leftmost.  So equal windows have equal anchors.  A window without
+    names the leftmost of the earliest round.  So equal windows have equal anchors.  A window without
     any, as in a long run of one word, is its own anchor.  The context is a
     hash of all words that the run's windows cover.
     """
@@ -123,7 +139,8 @@ def anchors(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray,
     name, start, words, low, high = name_rounds(h, starts)
     good = high - low <= window
     name, start, words, low, high = (x[good] for x in (name, start, words, low, high))
-    order = np.lexsort((-start, name, words))  # from the least to the best
+    rank = np.minimum(words, 63).astype(np.uint64) << np.uint64(58) | name >> np.uint64(6)
+    order = len(rank) - 1 - np.argsort(rank[::-1], kind="stable")  # from the least to the best, of equal ones the first last
     name, low, high = name[order], low[order], high[order]
     best = _cover(np.maximum(high - window, 0), low + 1, n)
     which = np.where(todo, best, -2)
@@ -168,9 +185,9 @@ def _segments(batches: Iterator[pa.RecordBatch], window: int):
     for batch in batches:
         held, size = [], 0
         for row, text in enumerate(texts(batch.column("text"))):
-            words = text.split()
+            words = word_hashes(text)
             for at in range(0, max(1, len(words) - window + 1), SEGMENT):
-                h = word_hashes(words[at : at + SEGMENT + window - 1])
+                h = words[at : at + SEGMENT + window - 1]
                 if len(h) < window:
                     continue
                 held.append((row, at, h))
@@ -205,13 +222,13 @@ def _find_anchors(window: int):
 
 
 def _lists(batch: pa.RecordBatch):
-    """Of each row a function that repeats its key, the words and the fields of its list of structs."""
+    """Of each row a function that repeats its key, the text and the fields of its list of structs."""
     column = batch.column("list")
     for row, text in enumerate(texts(batch.column("text"))):
         found = column[row].values
         fields = {f.name: found.field(f.name).to_numpy(zero_copy_only=False) for f in found.type} if found is not None else {}
         own = [batch.column(c)[row] for c in ("key", "sig")]
-        yield (lambda n, own=own: [pa.repeat(x, n) for x in own]), text.split(), fields
+        yield (lambda n, own=own: [pa.repeat(x, n) for x in own]), text, fields
 
 
 def _windows(window: int):
@@ -219,13 +236,13 @@ def _windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, words, f in _lists(batch):
+            for key, text, f in _lists(batch):
+                h = word_hashes(text)
                 s = np.repeat(f["s"].astype(np.int64), f["n"]) + np.arange(f["n"].sum()) - np.repeat(np.cumsum(f["n"]) - f["n"], f["n"])
                 s, at = np.unique(s, return_index=True)
                 one = np.repeat(f["one"], f["n"])[at]
-                s, one = s[fits := s + window <= len(words)], one[fits]
+                s, one = s[fits := s + window <= len(h)], one[fits]
                 if len(s):
-                    h = word_hashes(words)
                     yield pa.record_batch(
                         [*(_signed(span_hashes(h, w)(s, s + window)) for w in (0, 1)), *key(len(s)), pa.array(s.astype(np.int32)), pa.array(one)],
                         names=["h1", "h2", "key", "sig", "s", "one"],
@@ -238,7 +255,8 @@ def _cut(window: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, digest, kept = [], [], [], []
-            for _, words, f in _lists(batch):
+            for _, text, f in _lists(batch):
+                words = text.split()
                 if len(f.get("s", ())):
                     edge = np.zeros(len(words) + 1, np.int64)
                     fits = f["s"] + f["n"] + window - 1 <= len(words)
