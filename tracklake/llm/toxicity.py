@@ -77,6 +77,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, penalty: float = 1e-3
 
     The thresholds are a first value plus positive steps, so they stay in order.
     """
+    x = np.ascontiguousarray(x, dtype=np.float64)
     n, d = x.shape
     w, cut = np.zeros(d), np.concatenate(([1.0], np.full(grades - 2, 0.0)))
     m, v = np.zeros(d + grades - 1), np.zeros(d + grades - 1)
