@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -17,8 +18,6 @@ from pyspark.sql import functions as F
 from .bpe import byte_letters
 from .common import materialize, texts
 
-#: Rows that share a length are ranked in groups of about this size.
-RANKED = 100_000
 #: Letters without a space beyond which a text goes to the slower tokenizer,
 #: whose merging does not grow with the square of a word.
 LONG_WORD = 4000
@@ -193,8 +192,8 @@ def pack(
     few lengths that fill a window, solves their repeat counts by non-negative
     least squares, rounds them as far as there are pieces, and packs what is left greedily.  Pieces
     of a length are alike, so each finds its place by its rank among them.
-    Ranks come from groups of bounded size and sums over the groups, so that
-    one common length does not land in one task.
+    Ranks come from salted groups and sums over the groups, so that one common
+    length does not land in one task.
 
     Returns one row per piece: the id, ``start``, ``length``, ``ids_crc32``,
     ``doc_tokens``, ``sequence_id``, ``offset``.  Null or empty text gives the
@@ -202,7 +201,7 @@ def pack(
     result; other columns are ignored.
     """
     done = materialize(tokenise(docs, path, window, end_id, id_col, text_col), "tokens")
-    groups = max(1, done.count() // RANKED)
+    groups = max(1, math.isqrt(done.count()))  # then neither a group of one length nor the number of groups grows fast
     pieces = done.select("id", "doc_tokens", F.posexplode("crcs").alias("k", "ids_crc32")).select(
         "id",
         (F.col("k") * F.lit(window).cast("long")).alias("start"),
