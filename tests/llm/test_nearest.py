@@ -21,8 +21,8 @@ def brute(ids, v, queries, k):
 
 
 def test_recall_on_the_table(spark, monkeypatch):
-    monkeypatch.setattr(module, "BLOCK", 700)
-    monkeypatch.setattr(module, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(module, "BLOCK", 700 * 64)
+    monkeypatch.setattr(module, "QUERY_BLOCK", 8 * 64)
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").toPandas().sort_values("vec_id")
     ids, v = rows.vec_id.to_numpy(), np.stack(rows.embedding.to_numpy()).astype(np.float64)
     want = brute(ids, v, ids[ids % 100 == 0], 10)

@@ -14,8 +14,8 @@ from .common import materialize
 
 #: Projections, the share of them that must collide, and the growth of the windows.
 PROJECTIONS, THRESHOLD, GROWTH = 24, 0.75, 1.25
-#: Vectors in a block of the index and queries in a block of queries.
-BLOCK, QUERY_BLOCK = 16_384, 2_048
+#: Numbers in a block of the index and in a block of queries.
+BLOCK, QUERY_BLOCK = 1 << 20, 1 << 17
 #: A search ends when its k-th distance is within this many window half-widths.
 #: A vector at that distance then collides in 0.89 of the projections on average
 #: (a normal value within 1 / REACH), well over the threshold.
@@ -84,9 +84,9 @@ def nearest(
 ) -> DataFrame:
     """For each query row its ``k`` nearest other rows by Euclidean distance.
 
-    Vectors go into blocks of bounded size by a hash, queries likewise; each
-    block of queries meets each block of vectors once, by an equi-join of
-    blocks.  A block answers with its ``k`` best of each query, and these few
+    Vectors go into blocks of bounded size by a hash, queries likewise; a block
+    of queries is dealt to every block of vectors, so each pair of blocks is
+    one equi-join row with a task's work in it.  A block answers with its ``k`` best of each query, and these few
     are merged.  Every row is in a block.
 
     Returns ``query_id``, ``rank`` from 1, ``id_col`` and ``score``, the exact
@@ -103,8 +103,8 @@ def nearest(
         is_query.alias("q"),
     )
     rows = materialize(rows, "vectors")
-    n, n_queries = rows.agg(F.count("*"), F.count_if("q")).first()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
+    n, n_queries = rows.agg(F.sum("dim"), F.sum(F.when(F.col("q"), F.col("dim")))).first()
+    blocks, query_blocks = max(1, -(-(n or 0) // BLOCK)), max(1, -(-(n_queries or 0) // QUERY_BLOCK))
 
     def pack(df: DataFrame, blocks: int, name: str) -> DataFrame:
         """One row for each block and length: its ids and its vectors end to end, both in binary."""
@@ -140,7 +140,8 @@ def nearest(
                         names=["query_id", "id", "score"],
                     )
 
-    met = ask.join(index, "dim").repartition("x", "y").select("dim", "x_ids", "x_v", "y_ids", "y_v")
+    dealt = ask.withColumn("x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    met = dealt.join(index, ["x", "dim"]).repartition("x", "y").select("dim", "x_ids", "x_v", "y_ids", "y_v")
     found = met.mapInArrow(search, "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "id")
     return (
