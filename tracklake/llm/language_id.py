@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import texts
@@ -27,9 +27,9 @@ def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str =
 
     For each language, whole texts of ``LEAST_BYTES`` to ``MOST_BYTES`` in the
     order of a hash of the id, until ``DICT_BYTES`` are full; where there are
-    none, texts of any length up to the dictionary's.  The sample is drawn by a
-    threshold on the hash and a top-k, so what reaches the driver does not grow
-    with the table.
+    none, texts of any length up to the dictionary's.  The sample of all
+    languages is drawn in one pass, by a threshold on the hash and a top-k, so
+    what reaches the driver does not grow with the table.
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     size = F.octet_length(text_col)
@@ -44,17 +44,17 @@ def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str =
     want = DICT_BYTES // LEAST_BYTES
     order = F.xxhash64(F.col(id_col), F.col(text_col))
     part = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
-    out = {}
-    for lang, n, n_fit in counts:
-        total, usable = (n_fit, fit) if n_fit else (n, size.between(1, DICT_BYTES))
-        few = rows.filter((F.col(lang_col) == lang) & usable & (part <= min(1.0, 4.0 * want / total)))
-        got = b""
-        for row in few.select(F.lower(text_col).alias("t"), order.alias("o")).orderBy("o", "t").limit(want).collect():
-            text = row.t.encode()
-            if len(got) + len(text) < DICT_BYTES:
-                got += text + b"\n"
-        if got:
-            out[lang] = got
+    shares = [(r[0], min(1.0, 4.0 * want / (r.fit or r.n)), r.fit > 0) for r in counts]
+    plan = docs.sparkSession.createDataFrame(shares, f"`{lang_col}` {docs.schema[lang_col].dataType.simpleString()}, _share double, _fit boolean")
+    usable = F.when(F.col("_fit"), fit).otherwise(size.between(1, DICT_BYTES))
+    few = rows.join(F.broadcast(plan), lang_col).filter((part <= F.col("_share")) & usable)  # MOST_LANGS rows at most
+    few = few.select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("t"), order.alias("o"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("o", "t"))  # over the sample alone
+    out: dict[str, bytes] = {}
+    for row in sorted(few.withColumn("k", first).filter(F.col("k") <= want).collect(), key=lambda r: (r.lang, r.k)):
+        text = row.t.encode()
+        if len(out.get(row.lang, b"")) + len(text) < DICT_BYTES:
+            out[row.lang] = out.get(row.lang, b"") + text + b"\n"
     return out
 
 
