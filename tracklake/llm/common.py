@@ -54,6 +54,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_materialized(spark: SparkSession) -> None:
+    """Remove what ``materialize`` has written for this session's folder; results that still read it fail."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tracklake")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join whose hot keys adaptive execution may split.
 
