@@ -16,9 +16,9 @@ from .components import connected_components
 
 #: Fingerprints in a tile, and the most tiles there may be; beyond that, tiles
 #: grow, so that the table of tile bounds stays under a few MB at any size.
-TILE, MOST_TILES = 4096, 65_536
-#: Population counts are taken of so many equal parts of the 64 bits.
-PARTS = 8
+TILE, MOST_TILES = 2048, 65_536
+#: Population counts are taken of the 64 bits whole and in so many equal parts.
+PARTS = (1, 2, 4, 8)
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -56,8 +56,9 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
 
 
 def _counts(fps: np.ndarray) -> np.ndarray:
-    """Population counts of the parts of each fingerprint, one row each."""
-    return np.bitwise_count(fps.astype(">u8").view(np.uint8).reshape(-1, PARTS))
+    """Population counts of each fingerprint whole, of its halves, quarters and bytes, one row each."""
+    of_bytes = np.bitwise_count(fps.astype(">u8").view(np.uint8).reshape(-1, 8))
+    return np.concatenate([of_bytes.reshape(-1, p, 8 // p).sum(axis=2, dtype=np.uint8) for p in PARTS], axis=1)
 
 
 def _tiles(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -91,13 +92,18 @@ def _tiles(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 def _near_tiles(tile: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int):
-    """Pairs of tiles whose population counts come within the radius."""
+    """Pairs of tiles whose population counts come within the radius, for every way to cut the bits.
+
+    The counts of disjoint parts differ, in sum, by no more than the bits do.
+    """
+    cuts = np.cumsum((0, *PARTS))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for one in frame["tile"]:
                 i = int(np.searchsorted(tile, one))
-                apart = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:])).sum(axis=1)
+                gap = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:]))
+                apart = np.max([gap[:, a:b].sum(axis=1) for a, b in zip(cuts, cuts[1:], strict=False)], axis=0)
                 yield pd.DataFrame({"a": one, "b": tile[i:][apart <= radius]})
 
     return run
@@ -140,16 +146,22 @@ def _compare(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def near_fingerprints(fps: DataFrame, radius: int) -> DataFrame:
     """Links (``u``, ``v``) that connect all distinct values of ``fp`` within the radius.
 
-    Distinct fingerprints are sorted by the population counts of their eight
-    bytes and cut into tiles.  The counts of two fingerprints differ by no more
-    than their bits, so a pair of tiles whose counts lie further apart than the
-    radius is skipped; of the others every pair of fingerprints is compared.
+    Distinct fingerprints are sorted by their population count, then that of
+    one half, of one quarter in each half, of one byte in each quarter, and cut
+    into tiles.  The counts of two fingerprints differ by no more than their
+    bits, so a pair of tiles whose counts lie further apart than the radius is
+    skipped; of the others every pair of fingerprints is compared.  The more
+    tiles there are, the narrower their counts and the more pairs are skipped.
     """
     spark = fps.sparkSession
     distinct = materialize(fps.select("fp").distinct(), "distinct-fps")
     n = distinct.count()
     size = max(TILE, -(-n // MOST_TILES))
-    parts = [F.bit_count(F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(255))) for i in reversed(range(PARTS))]
+    parts = [F.bit_count("fp")]
+    for p in PARTS[1:]:
+        bits = 64 // p
+        mask = F.lit((1 << bits) - 1).cast("bigint")
+        parts += [F.bit_count(F.shiftrightunsigned("fp", bits * i).bitwiseAND(mask)) for i in range(p - 1, 0, -2)]
     tiles = distinct.repartitionByRange(max(1, -(-n // size)), *parts, "fp").sortWithinPartitions(*parts, "fp")
     tiles = materialize(tiles.mapInArrow(_tiles(size), "tile long, fps binary, low binary, high binary"), "tiles")
     bounds = sorted(tiles.select("tile", "low", "high").collect())  # MOST_TILES rows at most, and one for each partition
