@@ -157,12 +157,16 @@ def near_fingerprints(fps: DataFrame, radius: int) -> DataFrame:
     distinct = materialize(fps.select("fp").distinct(), "distinct-fps")
     n = distinct.count()
     size = max(TILE, -(-n // MOST_TILES))
-    parts = [F.bit_count("fp")]
+    key, free = F.shiftleft(F.bit_count("fp").cast("bigint"), 56), 56
     for p in PARTS[1:]:
         bits = 64 // p
         mask = F.lit((1 << bits) - 1).cast("bigint")
-        parts += [F.bit_count(F.shiftrightunsigned("fp", bits * i).bitwiseAND(mask)) for i in range(p - 1, 0, -2)]
-    tiles = distinct.repartitionByRange(max(1, -(-n // size)), *parts, "fp").sortWithinPartitions(*parts, "fp")
+        for i in range(p - 1, 0, -2):
+            free -= bits.bit_length()
+            key = key.bitwiseOR(F.shiftleft(F.bit_count(F.shiftrightunsigned("fp", bits * i).bitwiseAND(mask)).cast("bigint"), free))
+    key = key.bitwiseOR(F.col("fp").bitwiseAND(F.lit((1 << free) - 1)))  # one number, so the splitters' sample is small
+    keyed = distinct.select("fp", key.alias("key"))
+    tiles = keyed.repartitionByRange(max(1, -(-n // size)), "key").sortWithinPartitions("key").select("fp")
     tiles = materialize(tiles.mapInArrow(_tiles(size), "tile long, fps binary, low binary, high binary"), "tiles")
     bounds = sorted(tiles.select("tile", "low", "high").collect())  # MOST_TILES rows at most, and one for each partition
     if not bounds:
