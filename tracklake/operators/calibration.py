@@ -155,16 +155,20 @@ def zero_lines(zeros: DataFrame, keys: list[str], time: str = "sample_time") ->
     ).filter(F.size("_zs") >= 2)
 
 
-def zero_at(zs: Column, t: Column) -> Column:
-    """The line through the two zeros around ``t``; before the first and after the last it goes on.
+def add_zero(df: DataFrame, time: str, lines: str = "_zs", name: str = "zero") -> DataFrame:
+    """Add the value at each row's time of the line through the two zeros around it, from its array ``lines``.
 
-    Equal times give the left one; what is not a finite number gives 0.
+    Before the first zero and after the last the line goes on; equal times give
+    the left one; without an array, or where the result is not a finite number,
+    it is 0.  The place in the array is found once and kept as a column.
     """
-    n = F.size(F.filter(zs, lambda z: z["t"] < t))
-    right = F.greatest(F.lit(1), F.least(n, F.size(zs) - 1))
-    a, b = F.get(zs, right - 1), F.get(zs, right)
-    v = line_at(t, a["t"], a["v"], b["t"], b["v"])
-    return F.coalesce(F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v), F.lit(0.0))
+    right = F.greatest(F.lit(1), F.least(F.size(F.filter(lines, lambda z: z["t"] < F.col("_t"))), F.size(lines) - 1))
+    placed = df.withColumn("_t", micros(time)).withColumn("_at", F.when(F.col(lines).isNotNull(), right))
+    ends = placed.withColumn("_ends", F.when(F.col("_at").isNotNull(), F.struct(F.get(lines, F.col("_at") - 1).alias("a"), F.get(lines, F.col("_at")).alias("b"))))
+    a, b = F.col("_ends.a"), F.col("_ends.b")
+    valued = ends.withColumn("_v", line_at(F.col("_t"), a["t"], a["v"], b["t"], b["v"]))
+    finite = ~F.isnan("_v") & (F.abs("_v") != float("inf"))
+    return valued.withColumn(name, F.coalesce(F.when(finite, F.col("_v")), F.lit(0.0))).drop("_t", "_at", "_ends", "_v")
 
 
 def with_zeros(readings: DataFrame, zeros: DataFrame, time: str = "sample_time", letters: str = "HCOKSNV") -> DataFrame:
@@ -172,7 +176,7 @@ def with_zeros(readings: DataFrame, zeros: DataFrame, time: str = "sample_time",
     lines = zero_lines(zeros, ["instrument", "parameter"], time)
     joined = readings.join(small(lines), ["instrument", "parameter"], "left")  # a row for each ion
     ion = (F.col("instrument") == ION_INSTRUMENT) & is_ion("parameter", letters)
-    return joined.withColumn("zero", F.when(ion & F.col("_zs").isNotNull(), zero_at(F.col("_zs"), micros(time))).otherwise(F.lit(0.0))).drop("_zs")
+    return add_zero(joined.withColumn("_zs", F.when(ion, F.col("_zs"))), time).drop("_zs")
 
 
 def derived_difference(readings: DataFrame, by: list[str], instrument: str, minuend: str, subtrahend: str, name: str) -> DataFrame:

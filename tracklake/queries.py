@@ -435,8 +435,7 @@ def cal_bracket_run(spark, sf):
 def zero_bracket_row(spark, sf):
     lines = calibration.zero_lines(calibrations(spark, sf), ["instrument", "parameter"])
     rows = readings(spark, sf).join(small(lines), ["instrument", "parameter"], "left")
-    zero = F.when(F.col("_zs").isNotNull(), calibration.zero_at(F.col("_zs"), clock.micros("sample_time"))).otherwise(F.lit(0.0))
-    return rows.select("event_id", r(zero).alias("zero"))
+    return calibration.add_zero(rows, "sample_time").select("event_id", r("zero").alias("zero"))
 
 
 @query(f"SELECT l_orderkey, l_linenumber, {sql_r('(l_extendedprice - l_tax - l_discount) / nullif(l_quantity - 25, 0)')} AS value FROM lineitem")
