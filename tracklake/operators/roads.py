@@ -89,9 +89,13 @@ def _steps(coords: Column) -> Column:
     return F.aggregate(F.slice(coords, F.lit(2), F.greatest(F.size(coords) - 1, F.lit(0))), F.array(zero), step)
 
 
-def _point(steps: Column, d: Column) -> Column:
-    """The point at a distance along a line."""
-    k = F.greatest(F.lit(1), F.least(F.size(F.filter(steps, lambda s: s["d"] < d)), F.size(steps) - 1))
+def _place(steps: Column, d: Column) -> Column:
+    """The number of the vertex before the point at a distance along a line."""
+    return F.greatest(F.lit(1), F.least(F.size(F.filter(steps, lambda s: s["d"] < d)), F.size(steps) - 1))
+
+
+def _point(steps: Column, d: Column, k: Column) -> Column:
+    """The point at a distance along a line, behind vertex ``k``."""
     a, b = F.get(steps, k - 1), F.get(steps, k)
     share = F.coalesce(F.try_divide(d - a["d"], b["d"] - a["d"]), F.lit(0.0))
     return F.struct((a["lat"] + share * (b["lat"] - a["lat"])).alias("lat"), (a["lon"] + share * (b["lon"] - a["lon"])).alias("lon"))
@@ -109,7 +113,10 @@ def segmentise(roads: DataFrame, length_m: float = 30.0, least_m: float | None =
     n = F.when(F.col("_len") < least, F.lit(1)).otherwise(F.greatest(F.lit(1.0), F.rint(F.col("_len") / length_m))).cast("int")
     parts = lined.withColumn("_n", n).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     size = F.col("_len") / F.col("_n")
-    ends = parts.withColumns({"_a": _point(F.col("_s"), F.col("part") * size), "_b": _point(F.col("_s"), (F.col("part") + 1) * size), "_c": _point(F.col("_s"), (F.col("part") + 0.5) * size)})
+    steps = F.col("_s")
+    ends = parts.withColumns({"_da": F.col("part") * size, "_db": (F.col("part") + 1) * size, "_dc": (F.col("part") + 0.5) * size})
+    ends = ends.withColumns({f"_k{x}": _place(steps, F.col(f"_d{x}")) for x in "abc"})
+    ends = ends.withColumns({f"_{x}": _point(steps, F.col(f"_d{x}"), F.col(f"_k{x}")) for x in "abc"})
     middle = F.get("coords", F.floor(F.size("coords") / 2).cast("int"))
     short = F.col("_len") < least
     pick = lambda c, f: F.when(short, middle[f]).otherwise(F.col(c)[f])
@@ -123,7 +130,7 @@ def segmentise(roads: DataFrame, length_m: float = 30.0, least_m: float | None =
             "center_lat": round_even(pick("_c", "lat"), 6), "center_lon": round_even(pick("_c", "lon"), 6),
             "bearing_deg": bearing(a("lat"), a("lon"), b("lat"), b("lon")),
         }
-    ).drop("_s", "_len", "_n", "_a", "_b", "_c")
+    ).drop("_s", "_len", "_n", *(f"{k}{x}" for k in ("_", "_d", "_k") for x in "abc"))
 
 
 def number_segments(segments: DataFrame) -> DataFrame:
