@@ -6,6 +6,7 @@ import functools
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -138,7 +139,7 @@ class WordBpe:
             pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{young}]]" if young else rf"\p{{{kind}}}")
         self.old_word = regex.compile(pattern, regex.V1)
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")")
-        self.known: dict[str, tuple[bytes, int, bytes]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def words(self, text: str) -> list[str]:
         """The words of a text after normalising; special tokens stand for themselves."""
@@ -161,18 +162,19 @@ class WordBpe:
             self.known.clear()
         if not self.known:
             for t, i in self.special.items():
-                self.known[t] = (np.array([i], "<u4").tobytes(), 1, t.encode())
+                self.known[t] = (np.array([i], "<u4").tobytes(), t.encode())
         new = sorted(w for w in words if w not in self.known)
         for w, ids in zip(new, self.index.encode([w.encode() for w in new]), strict=True):
-            self.known[w] = (np.array(ids, "<u4").tobytes(), len(ids), b" ".join(map(self.token.__getitem__, ids)))
+            self.known[w] = (struct.pack(f"<{len(ids)}I", *ids), b" ".join(map(self.token.__getitem__, ids)))
 
     def encode(self, docs: list[str]) -> Iterator[tuple[bytes, int, bytes]]:
         """Of each text the ids as little-endian bytes, their number, and the text decoded again."""
         split = [self.words(d) for d in docs]
         self.learn(set().union(*split))
         for words in split:
-            found = [self.known[w] for w in words]
-            yield b"".join([f[0] for f in found]), sum([f[1] for f in found]), b" ".join([f[2] for f in found])
+            found = list(map(self.known.__getitem__, words))
+            ids = b"".join([f[0] for f in found])
+            yield ids, len(ids) // 4, b" ".join([f[1] for f in found])
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
