@@ -65,7 +65,7 @@ def world(tmp_path_factory, spark):
     config = f"""
 paths:
   gps_raw: {root}/raw
-  vandaq_raw: {root}/raw
+  logs_raw: {root}/raw
   gps_processed: {root}/out/gps
   roads_cache: {root}/roads
   vocus_h5_raw: {root}/vocus
@@ -78,10 +78,10 @@ paths:
   tps_columns: {root}/ref/controls.csv
   flags_file: {root}/ref/flags.csv
   lag_times: {root}/ref/lags.csv
-  aclima_fields: {root}/ref/fields.csv
+  field_map: {root}/ref/fields.csv
   exclusion_poly: {root}/ref/zone.geojson
   output_l2: {root}/out/l2
-  output_aclima: {root}/out/exchange
+  output_exchange: {root}/out/exchange
   output_targets: {root}/out/targets
 config:
   org: van

@@ -37,7 +37,7 @@ class Paths:
     vocus_cps: str = ""
     vocus_cal_stats: str = ""
     vocus_diagnostics: str = ""
-    vandaq_raw: str = ""
+    logs_raw: str = ""
     cal_standards: str = ""
     ksens_standards: str = ""
     NO_NO2_NOx_O3_cal: str = ""
@@ -46,17 +46,17 @@ class Paths:
     tps_columns: str = ""
     flags_file: str = ""
     lag_times: str = ""
-    aclima_fields: str = ""
+    field_map: str = ""
     exclusion_poly: str = ""
     output_l2: str = ""
-    output_aclima: str = ""
+    output_exchange: str = ""
     output_targets: str = ""
 
     def __post_init__(self) -> None:
-        raw = {"gps_raw": "vandaq", "vandaq_raw": "vandaq", "vocus_h5_raw": "vocus"}
+        raw = {"gps_raw": "logs", "logs_raw": "logs", "vocus_h5_raw": "vocus"}
         done = {
             "gps_processed": "gps", "vocus_cps": "vocus/cps", "vocus_cal_stats": "vocus/cal_stats", "vocus_diagnostics": "vocus/diagnostics",
-            "roads_cache": "road_segments", "output_l2": "l2", "output_aclima": "aclima", "output_targets": "targets",
+            "roads_cache": "road_segments", "output_l2": "l2", "output_exchange": "exchange", "output_targets": "targets",
         }
         for base, names in ((self.base_raw, raw), (self.base_processed, done)):
             for name, folder in names.items():
@@ -69,7 +69,7 @@ class Paths:
             Stage.GPS: {"gps_raw": True, "gps_processed": False},
             Stage.ARRAYS: {"vocus_h5_raw": True, "peak_columns": True, "tps_columns": True, "vocus_cps": False},
             Stage.ION_CAL: {"vocus_cps": False, "cal_standards": True},
-            Stage.INSTRUMENT: {"vandaq_raw": True, "gps_processed": False, "flags_file": True, "lag_times": True, "aclima_fields": True},
+            Stage.INSTRUMENT: {"logs_raw": True, "gps_processed": False, "flags_file": True, "lag_times": True, "field_map": True},
         }
         out: dict[str, bool] = {}
         for s in chosen(stages):

@@ -114,10 +114,10 @@ class Pipeline:
 
     def instrument_stage(self, day: date) -> None:
         p, c, spark, by = self.paths, self.config, self.spark, ["drive_date"]
-        fields = readers.read_fields(spark, p.aclima_fields)
+        fields = readers.read_fields(spark, p.field_map)
         cps = self.out(Stage.ARRAYS, day)
         ions = [r.parameter_ucb for r in fields.filter(is_ion("parameter_ucb", c.ptr_prefixes)).select("parameter_ucb").distinct().collect()]
-        rows = readers.read_day(spark, p.vandaq_raw, day)
+        rows = readers.read_day(spark, p.logs_raw, day)
         if self.exists(cps):
             wide = readers.read_cps(spark, cps, c.cps_zone)
             extra = [n for n in wide.columns if n in ions or n in targets.GATES]
@@ -137,9 +137,9 @@ class Pipeline:
         done = spark.read.parquet(self.out(Stage.INSTRUMENT, day))
         rings = readers.read_rings(spark, p.exclusion_poly) if p.exclusion_poly else None
         if "L2a" in c.output_types:
-            writers.write_table(output.exchange_rows(done, fields, c.org, rings), f"{p.output_aclima}/l2a_{day}_{c.revision}.parquet")
+            writers.write_table(output.exchange_rows(done, fields, c.org, rings), f"{p.output_exchange}/l2a_{day}_{c.revision}.parquet")
         if "L1" in c.output_types:
-            writers.write_table(output.raw_rows(placed, fields), f"{p.output_aclima}/l1_{day}_{c.revision}.parquet")
+            writers.write_table(output.raw_rows(placed, fields), f"{p.output_exchange}/l1_{day}_{c.revision}.parquet")
         if c.target_instruments:
             want = targets.requested(spark, c.target_instruments, c.target_cylinders)
             found = targets.find_targets(done, want, readers.read_standards(spark, p.cal_standards), by, c.vocus_target_flow, float(c.target_length))
