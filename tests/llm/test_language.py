@@ -1,8 +1,10 @@
 """Language identification: held-out accuracy and edge cases."""
 
+import random
+
 from pyspark.sql import types as T
 
-from tracklake.llm.language_id import identify, learn_dictionaries
+from tracklake.llm.language_id import MARGIN, CompressionClassifier, identify, learn_dictionaries
 from tracklake.llm.queries import op10_language_zstd
 
 SF = "/root/testdata/sf0.01"
@@ -38,3 +40,15 @@ def test_edge_cases(spark):
     assert {r.lang_pred for r in identify(tests, learned, margin=1.1).collect()} == {"und"}
     assert identify(tests.limit(0), learned).collect() == []
     assert learn_dictionaries(train.limit(0)) == {}
+
+
+def test_all_parts_of_a_long_text_count():
+    rng = random.Random(5)
+    words = {lang: ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(3000)] for lang in ("aa", "bb")}
+    prose = lambda lang, n: " ".join(rng.choices(words[lang], k=n // 7)).encode()
+    model = CompressionClassifier({lang: prose(lang, 31_000) for lang in words})
+    for lang, other in (("aa", "bb"), ("bb", "aa")):
+        assert model(prose(other, 300_000) + b" " + prose(lang, 900_000))[0] == lang
+        short, long = model(prose(lang, 4_000)), model(prose(lang, 1_500_000))
+        assert long[0] == lang and long[2] >= MARGIN
+        assert long[1] > 0.9 * short[1] and long[2] > 0.8 * short[2]

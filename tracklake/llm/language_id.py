@@ -16,6 +16,8 @@ from .common import texts
 DICT_BYTES, LEAST_BYTES, MOST_BYTES = 32_000, 200, 8_000
 #: The most languages that are learned, by number of rows; it bounds what a task holds to 8 MB.
 MOST_LANGS = 256
+#: A text is compressed in equal blocks of at most this size: far below the coder's window, so every byte can refer to the dictionary.
+BLOCK_BYTES = 4_000
 #: A result counts as sure from this share between the best two sizes on.
 MARGIN = 0.01
 
@@ -59,7 +61,11 @@ def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str =
 
 
 class CompressionClassifier:
-    """Compresses a text once with each language's dictionary; the smallest wins."""
+    """Compresses all blocks of a text with each language's dictionary; the smallest sum wins.
+
+    Each block meets the dictionary afresh, so all parts of a text count alike
+    and shares of the sums do not fall with the number of blocks.
+    """
 
     def __init__(self, dictionaries: dict[str, bytes]) -> None:
         z = zstandard
@@ -78,7 +84,9 @@ class CompressionClassifier:
         if not self.coders or not _LETTER.search(text):
             return "und", 0.0, 0.0
         data = text.lower().encode()
-        sizes = sorted((len(c.compress(data)), lang) for lang, c in self.coders)
+        step = -(-len(data) // -(-len(data) // BLOCK_BYTES))
+        blocks = [data[i : i + step] for i in range(0, len(data), step)]
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in self.coders)
         best, lang = sizes[0]
         if len(sizes) == 1:
             return lang, 1.0, 1.0
