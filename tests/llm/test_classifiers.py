@@ -70,3 +70,17 @@ def test_edge_cases(spark):
     both = spark.createDataFrame([(2, 1, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.score(docs, toxicity.train(docs, both)).count() == len(rows)
     assert quality.score(docs.drop("lang", "source"), quality.train(docs, both)).count() == len(rows)
+
+
+def test_views_learn_from_all_rows_without_a_label(spark):
+    """A source that only the last ids by hash have still reaches the metadata view."""
+    ids = [r[0] for r in spark.range(6_600).orderBy(F.xxhash64("id"), "id").collect()]
+    prose, junk = "The house stands near the river and the people walk along it every day.", "$$$ 777 ### WIN %% 999 @@ " * 4
+    label = {i: k % 2 for k, i in enumerate(ids[:200])}
+    rows = [(i, f"{prose} It is number {i}." if label.get(i, k % 3 > 0) else f"{junk}{i}", "en", f"s{k % 2}") for k, i in enumerate(ids[:6_400])]
+    rows += [(i, f"{junk} {i} $$$ ### %%%", "en", "rare") for i in ids[6_400:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = quality.train(docs, spark.createDataFrame(list(label.items()), "doc_id long, quality int"))
+    rare = quality.metadata_features(b"", None, "rare") - quality.metadata_features(b"", None, None)
+    assert not any(rare @ quality.metadata_features(b"", "en", s) for s in ("s0", "s1"))
+    assert model.metadata @ rare < 0

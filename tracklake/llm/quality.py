@@ -9,15 +9,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import materialize, spread, texts
 
-#: Labelled rows of either kind and rows without a label that training sees, at most.
-GOOD_ROWS, BAD_ROWS, POOL_ROWS = 4_000, 3_000, 6_000
+#: Labelled rows of either kind that training sees, at most; rows without a label are all seen.
+GOOD_ROWS, BAD_ROWS = 4_000, 3_000
 #: Rounds of co-training, and rows of either kind that a view passes on in a round.
 ROUNDS, PASSED = 5, 60
+#: A view passes on rows from these odds (logarithms of 0.2 to 0.8 and 0.9 to 0.1) on.
+SURE_BAD, SURE_GOOD = -np.log(4.0), np.log(9.0)
 #: A document is kept from this combined probability of good quality on.
 KEEP = 0.35
 
@@ -77,6 +79,10 @@ def metadata_features(text: bytes, lang: str | None, source: str | None) -> np.n
     return out
 
 
+#: The number of content features.
+_CONTENT = len(content_features(b""))
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 25) -> np.ndarray:
     """Weighted logistic regression by Newton steps."""
     w = np.zeros(x.shape[1])
@@ -108,39 +114,52 @@ class QualityModel:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (za, zb, both))
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> QualityModel:
+def _surest(a: np.ndarray, b: np.ndarray, key: np.ndarray, weights: list[np.ndarray], quota: list[int], taken: list[set[int]]) -> Iterator[tuple]:
+    """(view, label, score, row) of the rows that each view is surest of; rows of one key count once, ``taken`` ones not."""
+    for k, x in enumerate((a, b)):
+        z = x @ weights[k]
+        free = ~np.isin(key, np.fromiter(taken[k], np.int64, len(taken[k])))
+        for label, far in ((0, z), (1, -z)):
+            sure = np.flatnonzero(free & (far < (SURE_BAD, -SURE_GOOD)[label]))
+            order = sure[np.lexsort((key[sure], far[sure]))]
+            first = np.sort(np.unique(key[order], return_index=True)[1])[: quota[label]]
+            for i in order[first].tolist():
+                yield k, label, float(far[i]), i
+
+
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, surest=None) -> QualityModel:
     """Co-training; ``y`` is 1, 0 or -1 where there is no label.
 
     Each view starts from the labelled rows.  In a round each names the rows of
     the pool that it is surest of, in the proportion of the classes, and the
-    other view takes them as labelled.  A quarter of the labelled rows is set
-    apart; on it each view's score is calibrated, then their combination.
+    other view takes them as labelled.  The pool is the rows without a label, or
+    what ``surest(weights, quota, taken)`` looks through; that gives (view,
+    label, key, content, metadata) of each row.  A quarter of the labelled rows
+    is set apart; on it each view's score is calibrated, then their combination.
     """
     rows = np.flatnonzero(y >= 0)
     apart = rows[::4] if len(rows) >= 40 else rows
     seed = np.setdiff1d(rows, apart) if len(rows) >= 40 else rows
     share = y[seed].mean()
     quota = [max(1, round(PASSED * (1 - share))), max(1, round(PASSED * share))]
-    given = [dict(zip(seed.tolist(), y[seed].tolist(), strict=True)) for _ in range(2)]
-    views, weights = (a, b), [np.zeros(a.shape[1]), np.zeros(b.shape[1])]
-    pool = np.flatnonzero(y < 0)
+    views, pool = (a, b), np.flatnonzero(y < 0)
+    taken: list[set[int]] = [set(), set()]
+    given: list[list] = [[], []]
+
+    def own(weights: list[np.ndarray], quota: list[int], taken: list[set[int]]) -> list[tuple]:
+        found = _surest(a[pool], b[pool], pool, weights, quota, taken)
+        return [(k, label, int(pool[i]), a[pool[i]], b[pool[i]]) for k, label, _, i in found]
 
     def fit(k: int) -> np.ndarray:
-        at = np.fromiter(given[k], np.int64, len(given[k]))
-        known = y[at] >= 0
-        label = np.fromiter(given[k].values(), float, len(given[k]))
-        return fit_logistic(views[k][at], label, np.where(known, 1.0, 0.3))
+        x = np.stack([*views[k][seed], *(row for _, row in given[k])])
+        label = np.array([*y[seed], *(label for label, _ in given[k])], float)
+        return fit_logistic(x, label, np.repeat((1.0, 0.3), (len(seed), len(given[k]))))
 
     for _ in range(ROUNDS):
         weights = [fit(0), fit(1)]
-        for k in (0, 1):
-            left = np.array([i for i in pool.tolist() if i not in given[1 - k]], np.int64)
-            order = left[np.argsort(views[k][left] @ weights[k], kind="stable")]
-            p = 1 / (1 + np.exp(-np.clip(views[k][order] @ weights[k], -30, 30)))
-            for i in order[: quota[0]][p[: quota[0]] < 0.2]:
-                given[1 - k][int(i)] = 0
-            for i in order[::-1][: quota[1]][p[::-1][: quota[1]] > 0.9]:
-                given[1 - k][int(i)] = 1
+        for k, label, key, *row in (surest or own)(weights, quota, taken):
+            taken[k].add(key)
+            given[1 - k].append((label, row[1 - k]))
     weights = [fit(0), fit(1)]
     target, ones = y[apart].astype(float), np.ones(len(apart))
     scale = np.zeros((3, 3))
@@ -173,12 +192,49 @@ def _features(docs: DataFrame, id_cols: list[str], text_col: str, finish, fields
     return base.mapInArrow(run, fields)
 
 
+def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Content and metadata features of packed rows."""
+    x = np.stack([np.frombuffer(v, np.float32) for v in texts(column)]).astype(np.float64)
+    return x[:, :_CONTENT], x[:, _CONTENT:]
+
+
+def _pool(rows: DataFrame):
+    """The rows that each view is surest of among all ``rows`` (columns key and f): a top-k of each batch, of each task, then of all."""
+
+    def surest(weights: list[np.ndarray], quota: list[int], taken: list[set[int]]) -> list[tuple]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[int, int], dict[int, tuple[float, bytes]]] = {(k, label): {} for k in (0, 1) for label in (0, 1)}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                key = batch.column(0).to_numpy()
+                for k, label, far, i in _surest(*_unpack(batch.column(1)), key, weights, quota, taken):
+                    held[k, label][int(key[i])] = (far, batch.column(1)[i].as_py())
+                for of, best in held.items():
+                    if len(best) > quota[of[1]]:
+                        held[of] = dict(sorted(best.items(), key=lambda x: (x[1][0], x[0]))[: quota[of[1]]])
+            out = [(*of, key, *row) for of, best in held.items() for key, row in best.items()]
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.binary())
+            yield pa.record_batch([pa.array([x[c] for x in out], kind) for c, kind in enumerate(kinds)], names=["view", "label", "key", "far", "f"])
+
+        found = rows.mapInArrow(run, "view int, label int, key long, far double, f binary")
+        found = found.groupBy("view", "label", "key").agg(F.min("far").alias("far"), F.min("f").alias("f"))
+        first = F.row_number().over(Window.partitionBy("view", "label").orderBy("far", "key"))
+        best = found.withColumn("n", first).filter(F.col("n") <= F.when(F.col("label") == 0, quota[0]).otherwise(quota[1])).filter(F.col("n") <= max(quota))
+        best = sorted(best.collect(), key=lambda r: (r.view, r.label, r.n))
+        return [(r.view, r.label, r.key, *(x[0] for x in _unpack(pa.array([r.f], pa.binary())))) for r in best]
+
+    return surest
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
-    """Fit both views on bounded samples of rows with and without a label.
+    """Fit both views on a bounded sample of labelled rows and all rows without a label.
 
-    Samples are the ids that come first by a hash.  Only features reach the
-    driver, of ``GOOD_ROWS + BAD_ROWS + POOL_ROWS`` documents at most.  None
-    where there are no labels of both kinds.
+    Features of all rows are written once, in single precision.  The labelled
+    sample is the ids that come first by a hash, ``GOOD_ROWS + BAD_ROWS`` at
+    most, with one row each.  In each round Spark scores all rows without a
+    label, those without an id too, and only the rows that the views pass on
+    reach the driver.  None where there are no labels of both kinds.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -189,22 +245,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         picked |= {r[0]: y for r in known.filter(F.col("_y") == y).orderBy(order, id_col).limit(n).collect()}
     if len(set(picked.values())) < 2:
         return None
-    ids = docs.select(id_col).filter(F.col(id_col).isNotNull())
-    pool = ids.join(known.select(id_col), id_col, "left_anti").orderBy(order, id_col).limit(POOL_ROWS)
-    picked |= {r[0]: -1 for r in pool.collect() if r[0] not in picked}
-    marked = spark.createDataFrame(list(picked.items()), f"{id_col} {kind}, _y int")
-    sample = docs.join(F.broadcast(marked), id_col)
 
     def finish(columns, a, b):
-        lists = (pa.array(list(x), pa.list_(pa.float64())) for x in (a, b))
-        return pa.record_batch([*columns, *lists], names=["id", "y", "a", "b"])
-
-    rows = _features(sample, [id_col, "_y"], text_col, finish, f"id {kind}, y int, a array<double>, b array<double>").collect()
-    rows.sort()
+        packed = [x.tobytes() for x in np.column_stack((a, b)).astype(np.float32)]
+        key = pa.array([xxhash.xxh3_64_intdigest(x) for x in packed], pa.uint64()).view(pa.int64())
+        return pa.record_batch([columns[0], key, pa.array(packed, pa.binary())], names=["id", "key", "f"])
+
+    every = _features(docs, [id_col], text_col, finish, f"id {kind}, key long, f binary")
+    every = materialize(spread(every, known.select(F.col(id_col).alias("id"), F.col("_y").alias("y")), ["id"], "left"), "features")
+    marked = spark.createDataFrame(list(picked.items()), f"id {kind}, y int")
+    sample = every.filter("y IS NOT NULL").drop("y").join(F.broadcast(marked), "id").groupBy("id", "y").agg(F.min(F.struct("key", "f")).alias("row"))
+    rows = sorted(sample.select("id", "y", "row.f").collect())
     y = np.array([r.y for r in rows])
     if not (y == 0).any() or not (y == 1).any():
         return None
-    return co_train(np.array([r.a for r in rows]), np.array([r.b for r in rows]), y)
+    a, b = _unpack(pa.array([r.f for r in rows], pa.binary()))
+    return co_train(a, b, y, _pool(every.filter("y IS NULL").select("key", "f")))
 
 
 def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
