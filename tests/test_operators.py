@@ -228,6 +228,22 @@ def test_roads(spark):
     assert len(one) == 1 and one[0].center_lat == 37.80001
 
 
+def test_cuts_follow_nodes_and_repeats_dissolve(spark):
+    kind = "type string, id long, lat double, lon double, nodes array<long>, tags map<string,string>"
+    nodes = [("node", i, 37.8, -122.0 + i * 0.001, None, None) for i in range(12)]
+    a, b, c = ({"highway": "residential", "name": n, "oneway": o} for n, o in (("A", "-1"), ("B", "no"), ("C", "no")))
+    ways = [
+        (1, [0, 1, 2, 3], a), (2, [4, 2], a),  # turned, share node 2
+        (3, [5, 99, 6, 7, 8], b), (4, [9, 7], b),  # node 99 is unknown, 6 and 7 are shared
+        (5, [6, 11], c),  # shares node 6 with a way of another group
+        (6, [8, 7, 9], b),  # repeats both a part of 3 and all of 4
+    ]
+    el = spark.createDataFrame([*nodes, *(("way", k, None, None, n, t) for k, n, t in ways)], kind)
+    cut = roads.split_at_crossings(roads.cluster_directions(roads.parse_roads(el)), el).collect()
+    got = sorted((r.way_id, [round((p.lon + 122) * 1000) for p in r.coords]) for r in cut)
+    assert got == [(1, [2, 1, 0]), (1, [3, 2]), (2, [2, 4]), (3, [5, 6]), (3, [6, 7]), (3, [7, 8]), (4, [9, 7]), (5, [6, 11])]
+
+
 def test_geometry(spark):
     one = spark.range(1)
     x = lambda c: one.select(c.alias("x")).first()[0]

@@ -28,13 +28,14 @@ def parse_roads(elements: DataFrame, classes: tuple[str, ...] = ROAD_CLASSES) ->
     """Roads from map elements (type, id, lat, lon, nodes, tags): one row for each way with two known nodes or more.
 
     Nodes are joined to the ways' lists and gathered again in order, a way at a
-    time.  A way that is one-way against its direction is turned round.
+    time; each place keeps its node's id.  A way that is one-way against its
+    direction is turned round.
     """
     nodes = elements.filter("type = 'node'").select(F.col("id").alias("node"), "lat", "lon")
     ways = elements.filter("type = 'way'").select(F.col("id").alias("way_id"), "nodes", "tags").filter(tag("tags", "highway").isin(*classes))
     places = ways.select("way_id", F.posexplode("nodes").alias("at", "node")).join(nodes, "node")
-    lines = places.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("at", "lat", "lon"))).alias("_p"))
-    coords = F.transform("_p", lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon")))
+    lines = places.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("at", "lat", "lon", "node"))).alias("_p"))
+    coords = F.transform("_p", lambda p: F.struct(*(p[c].alias(c) for c in ("lat", "lon", "node"))))
     text = tag("tags", "oneway", "no")
     back = text == "-1"
     roads = ways.join(lines, "way_id").filter(F.size("_p") >= 2).select(
@@ -57,23 +58,29 @@ def cluster_directions(roads: DataFrame, threshold: float = 90.0) -> DataFrame:
     return roads.withColumn("cluster", F.when(split, (off > threshold / 2).cast("int")).otherwise(F.lit(-1)))
 
 
-def split_at_crossings(roads: DataFrame, elements: DataFrame) -> DataFrame:
-    """Ways cut at nodes that they share with other ways or with themselves.
+def split_at_crossings(roads: DataFrame, elements: DataFrame | None = None) -> DataFrame:
+    """Ways cut at nodes that they share with other ways or with themselves; repeats in a group are dissolved.
 
-    It stands for the noding of a geometry library: lines that cross without a
-    shared node stay whole.
+    Nodes are those that ``coords`` carry, so turned ways and unknown nodes do
+    not move cuts; ``elements`` is not needed.  A group is one class, name,
+    ``oneway``, cluster (where there is one) and ``service``; null is a value.
+    Of its pieces with the same nodes, in either direction, the first by way and
+    place stays.  It stands for the union of a geometry library: lines that
+    cross without a shared node stay whole, and ways of other groups cut too.
     """
-    ways = elements.filter("type = 'way'").select(F.col("id").alias("way_id"), F.posexplode("nodes").alias("at", "node"))
-    ways = ways.join(roads.select("way_id"), "way_id", "left_semi")
-    shared = ways.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node")
-    cuts = ways.join(shared, "node").groupBy("way_id").agg(F.collect_set("at").alias("_cuts"))
+    group = [c for c in ("rd_type", "rd_name", "oneway", "cluster", "service") if c in roads.columns]
+    keyed = roads.withColumn("_g", F.to_json(F.struct(*group)))
+    nodes = roads.select("way_id", F.posexplode("coords.node").alias("at", "node"))
+    shared = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node")
+    cuts = nodes.join(shared, "node").groupBy("way_id").agg(F.collect_set("at").alias("_cuts"))
     last = F.size("coords") - 1
-    joined = roads.join(cuts, "way_id", "left")
+    joined = keyed.join(cuts, "way_id", "left")
     inner = F.filter(F.coalesce("_cuts", F.array().cast("array<int>")), lambda c: (c > 0) & (c < last))
-    turned = F.when(F.col("rd_deg") == line_bearing(F.col("coords")), inner).otherwise(inner)
-    marks = F.array_sort(F.array_union(turned, F.array(F.lit(0), last)))
+    marks = F.array_sort(F.array_union(inner, F.array(F.lit(0), last)))
     pieces = F.transform(F.sequence(F.lit(1), F.size("_m") - 1), lambda k: F.slice("coords", F.get("_m", k - 1) + 1, F.get("_m", k) - F.get("_m", k - 1) + 1))
-    cut = joined.withColumn("_m", marks).withColumn("coords", F.explode(pieces)).drop("_m", "_cuts")
+    cut = joined.withColumn("_m", marks).select(*joined.columns, F.posexplode(pieces).alias("_at", "_piece")).drop("coords").withColumnRenamed("_piece", "coords")
+    same = Window.partitionBy("_g", F.least("coords.node", F.reverse("coords.node"))).orderBy("way_id", "_at")
+    cut = cut.withColumn("_n", F.row_number().over(same)).filter("_n = 1").select(*roads.columns)
     return cut.withColumn("rd_deg", line_bearing(F.col("coords")))
 
 
