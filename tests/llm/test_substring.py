@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklake.llm import substring_dedup
@@ -79,3 +80,13 @@ def test_equal_windows_have_equal_anchors():
 
 def test_empty(spark):
     assert cut_repeats(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_rows_without_an_id_whose_texts_share_a_short_hash(spark):
+    """Both texts have the same 32-bit hash; only the first holds a repeat."""
+    first, other = (" ".join(f"w{i}_{k}" for k in range(1, 51)) for i in (97217, 233648))
+    again = " ".join(first.split()[:40])
+    docs = spark.createDataFrame([(None, first), (None, other), (1, again)], "doc_id long, text string")
+    assert docs.filter("doc_id IS NULL").select(F.hash("text")).distinct().count() == 1
+    got = cut_repeats(docs, window=35, keep=True).collect()
+    assert sorted(r.kept_text for r in got) == sorted(("", " ".join(first.split()[40:]), other))

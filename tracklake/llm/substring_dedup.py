@@ -292,7 +292,7 @@ def cut_repeats(
     contexts are single windows compared, by 128 bits.  Counts come from
     aggregations with partial sums and go back to the documents by joins that
     split hot keys; no group is ever collected.  Texts are shuffled once, by
-    id, and that exchange is read three times.
+    a digest of id and text, and that exchange is read three times.
 
     Returns one row per input row: the id, ``n_words``, ``n_removed``,
     ``kept_sha256`` and, with ``keep``, ``kept_text``; with ``whole`` the input's
@@ -304,12 +304,11 @@ def cut_repeats(
     others = [c for c in docs.columns if c != text_col] if whole else [id_col]
     t = docs.select(
         F.struct(*others).alias("rest"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"),
-        F.hash(text_col).alias("sig"),  # tells rows apart that repeat an id
+        *(F.xxhash64(F.lit(salt), id_col, text_col).alias(c) for salt, c in enumerate(("key", "sig"))),  # 128 bits, as rows may repeat an id
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     row = ["key", "sig"]
-    found = t.drop("rest").mapInArrow(_find_anchors(window), "name long, c long, key long, sig int, s int, n int")
+    found = t.drop("rest").mapInArrow(_find_anchors(window), "name long, c long, key long, sig long, s int, n int")
     names = materialize(found.groupBy("name").agg(F.count("*").alias("k")).filter("k > 1").select("name"), "names")
     again = materialize(spread(found, names, ["name"], "left_semi"), "anchors")
 
@@ -321,7 +320,7 @@ def cut_repeats(
     settled = spread(again, classes.filter("k > 1").select("name", "c"), ["name", "c"], "left_semi").select("key", "sig", "s", "n")
     several = classes.groupBy("name").agg(F.count("*").alias("m")).filter("m > 1").select("name")
     open_ = spread(classes, several, ["name"], "left_semi").select("rep.*", (F.col("k") == 1).alias("one"))
-    single = t.join(listed(open_, "s", "n", "one"), row).mapInArrow(_windows(window), "h1 long, h2 long, key long, sig int, s int, one boolean")
+    single = t.join(listed(open_, "s", "n", "one"), row).mapInArrow(_windows(window), "h1 long, h2 long, key long, sig long, s int, one boolean")
     twice = single.groupBy("h1", "h2").agg(F.count("*").alias("k")).filter("k > 1").select("h1", "h2")
     verified = spread(single.filter("one"), twice, ["h1", "h2"], "left_semi").select("key", "sig", "s", F.lit(1).alias("n"))
     marks = listed(settled.unionByName(verified), "s", "n")
