@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from tracklake import queries
 from tracklake.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +38,10 @@ def test_query(spark, duck, name):
     assert sorted(want.columns) == cols
     at = [want.columns.index(c) for c in cols]
     assert sorted((tuple(plain(r[c]) for c in cols) for r in rows), key=repr) == sorted((tuple(plain(r[i]) for i in at) for r in want.fetchall()), key=repr)
+
+
+def test_each_vehicles_day_is_smoothed_alone(spark, monkeypatch):
+    smooth, seen = queries.gps.smooth, []
+    monkeypatch.setattr(queries.gps, "smooth", lambda track, by: seen.append(by) or smooth(track, by))
+    QUERIES["kalman_rts"](spark, SF)
+    assert sorted(seen[0]) == ["day", "user_id"]

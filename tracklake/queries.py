@@ -323,7 +323,7 @@ def displacement_guard(spark, sf):
 def kalman_rts(spark, sf):
     lat, lon = lat_lon()
     e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), "user_id", F.col("ts").alias("sample_time"), lat.alias("lat"), lon.alias("lon"))
-    return gps.smooth(e, ["day"]).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
+    return gps.smooth(e, ["day", "user_id"]).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
 
 
 REF = 37.805
