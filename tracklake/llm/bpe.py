@@ -14,9 +14,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import texts
+from .common import column, texts
 
 #: Words whose encoding a worker keeps, and bytes of text that it takes at a time.
 CACHE_WORDS, CHUNK_BYTES = 300_000, 4 << 20
@@ -40,6 +39,26 @@ def young_letters() -> str:
     return "".join(part for part, _ in Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str(recent))
 
 
+@functools.cache
+def newer_letters(path: str) -> frozenset[str]:
+    """Letters whose normal form Python's Unicode tables, older than the tokenizers library's, do not give.
+
+    They are those that the library by itself turns into something else, and,
+    as they may also join with their neighbours, all that Python does not know.
+    """
+    from tokenizers import Tokenizer
+
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c) != "|"]
+    unknown = set(regex.findall(r"\P{Cn}", "".join(c for c in every if unicodedata.category(c) == "Cn")))
+    theirs = Tokenizer.from_file(path).normalizer.normalize_str("|".join(every)).split("|")
+    return frozenset(unknown | {c for c, x in zip(every, theirs, strict=True) if x != " " and x != plain_form(c)})
+
+
+def plain_form(text: str) -> str:
+    """Composed and in lower case letter by letter: no final sigma."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class PairIndex:
     """Encoder of words under a ranked list of merges.
 
@@ -121,9 +140,16 @@ class PairIndex:
 
 
 class WordBpe:
-    """A tokenizer file of word-end BPE: its normaliser, splitter, merges and decoder."""
+    """A tokenizer file of word-end BPE: its normaliser, splitter, merges and decoder.
+
+    ``newer`` are letters for which a text is normalised by the library itself.
+    """
+
+    def __init__(self, path: str, newer: frozenset[str] | None = None) -> None:
+        from tokenizers import Tokenizer
 
-    def __init__(self, path: str) -> None:
+        self.newer = newer_letters(path) if newer is None else newer
+        self.normalise = Tokenizer.from_file(path).normalizer.normalize_str
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -149,11 +175,13 @@ class WordBpe:
                 out.append(part)
             else:
                 word = self.word
-                if not part.isascii():
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")  # letter by letter: no final sigma
+                if part.isascii():
+                    part = part.lower()
+                else:
+                    part = plain_form(part) if self.newer.isdisjoint(part) else self.normalise(part)
                     if not self.young.isdisjoint(part):
                         word = self.old_word
-                out += word.findall(part.lower())
+                out += word.findall(part)
         return out
 
     def learn(self, words: set[str]) -> None:
@@ -184,12 +212,15 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     ids as little-endian unsigned 32-bit integers) and ``decoded_sha256``; with
     ``keep`` also ``ids`` and ``decoded``.  Null text counts as empty and has no
     ids.  There is no shuffle: a partition's words go through one pair index,
-    in chunks of bounded size.  Other columns are ignored.
+    in chunks of bounded size.  Whole texts are encoded however long they are;
+    repeated rows are encoded each; an empty table gives an empty result; other
+    columns, whatever their names, are ignored.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    own = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
+    kind, newer = own.schema["id"].dataType.simpleString(), newer_letters(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(path)
+        bpe = WordBpe(path, newer)
 
         def chunk(ids: list, part: list[str]) -> pa.RecordBatch:
             done = list(bpe.encode(part))
@@ -214,7 +245,5 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                     part, size, at = [], 0, i + 1
 
     more = ", ids array<int>, decoded string" if keep else ""
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}"
-    )
+    out = own.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
     return out.withColumnRenamed("id", id_col)

@@ -10,17 +10,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch.  Texts may be long, so batches are kept short: this
-#: bounds what a Python worker holds at one time.
-ARROW_ROWS = 512
+#: Rows and bytes in an Arrow batch.  Texts may be long, so batches are kept
+#: short: this bounds what a Python worker holds at one time.
+ARROW_ROWS, ARROW_BYTES = 512, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named table, with Arrow batches sized for whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Folders that ``materialize`` has written, in order.
+written: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts its lineage.
 
@@ -51,14 +56,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tracklake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders that ``materialize`` has written; results that still read them fail."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard_materialized(spark: SparkSession) -> None:
     """Remove what ``materialize`` has written for this session's folder; results that still read it fail."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tracklake")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, [f"{shared_dir(spark).rstrip('/')}/tracklake"])
+    written.clear()
+
+
+def column(name: str) -> Column:
+    """The column of that very name, which may hold dots and backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns renamed by place to c0, c1, ..., and the new names of ``names``.
+
+    Whole rows can then pass through an operator: no name of the input, however
+    odd, meets one of the operator's.
+    """
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns)))), [f"c{df.columns.index(n)}" for n in names]
 
 
 def spread(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
