@@ -4,7 +4,7 @@ import json
 import random
 
 from tracklake.llm.queries import op4_tool_calls
-from tracklake.llm.toolcalls import canonical, faults, link_calls, link_conversations, topological_levels
+from tracklake.llm.toolcalls import canonical, faults, link_calls, link_conversations, parse, topological_levels
 
 CALLS = "conv_id long, turn long, at int, call_id string, name string, arguments string, depends_on array<string>"
 RESULTS = "conv_id long, turn long, at int, call_id string, content string"
@@ -84,3 +84,23 @@ def test_tags_and_schema_faults(spark):
     assert {(c, s) for c, a, s, _ in got} >= {(1, "no_id"), (1, "linked"), (3, "invalid_arguments")}
     assert faults([1, "a"], {"type": "array", "items": {"type": "integer"}}) == ["$[1]: not integer"]
     assert faults(True, {"type": "integer"}) and faults(3, {"enum": [1, 2]})
+
+
+def test_odd_arguments(spark):
+    deep = lambda n: "[" * n + "]" * n
+    assert parse(deep(200))[1] == [] and parse(deep(201)) == (deep(201), ["$: nested more than 200 deep"])
+    assert parse('{"a":"' + "[" * 500 + '\\""}')[1] == [] and parse("[" * 100_000)[1]
+    for bad in ("NaN", "[1, -Infinity]", "1e999", "{", "", "9" * 5000, None):
+        assert parse(bad) == (bad, ["$: not JSON"])
+    assert canonical(parse('{"b":"\\ud800x","a":"\\ud83d\\ude00"}')[0]) == '{"a":"😀","b":"\\ud800x"}'
+    assert faults(1, {"type": "integral"}) == ["$: not integral"] and faults(1, {"type": ["integral", "number"]}) == []
+    schemas = SCHEMAS | {"odd": {"type": "integral"}, "any": {}}
+    given = ['{"a":"\\ud800"}', deep(100_000), "NaN", "1e999", '{"a": 1}', "\x00", '"' + "x" * 2_000_000 + '"']
+    rows = [(1, k, 0, f"c{k}", "any", a, []) for k, a in enumerate(given)] + [(1, 90, 0, "o", "odd", "1", []), (1, 90, 0, "o", "odd", "1", [])]
+    calls = spark.createDataFrame([(*r, "extra", "extra") for r in rows], CALLS + ", level string, state string")
+    results = spark.createDataFrame([(1, 1, 0, "c0", "done", "x"), (1, 1, 0, "c0", "done", "x")], RESULTS + ", status string")
+    got = sorted(((r.turn, r.kind, r.status, r.json) for r in link_calls(calls, results, schemas).collect()), key=str)
+    states = {(t, k): s for t, k, s, _ in got}
+    assert [states[k, "call"] for k in range(7)] == ["linked", "invalid_arguments", "invalid_arguments", "invalid_arguments", "no_result", "invalid_arguments", "no_result"]
+    assert [s for t, k, s, _ in got if t == 90] == ["invalid_arguments"] * 2
+    assert len([1 for r in got if json.loads(r[3], parse_constant=int)["id"]]) == len(got)

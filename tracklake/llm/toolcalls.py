@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +19,10 @@ CALL_TAG, RESULT_TAG = "tool_call", "tool_result"
 _CALLS = "struct<id:string,name:string,arguments:string,depends_on:array<string>>"
 _RESULTS = "struct<id:string,content:string>"
 
+#: The deepest nesting of arguments that is validated and written as JSON.
+DEEPEST = 200
+
+_LONE = re.compile("[\ud800-\udfff]")
 _TYPES = {
     "string": lambda v: isinstance(v, str),
     "integer": lambda v: isinstance(v, int) and not isinstance(v, bool),
@@ -98,10 +104,13 @@ def topological_levels(calls: DataFrame) -> DataFrame:
 
 
 def faults(value, schema: dict, path: str = "$") -> list[str]:
-    """What is wrong with a value under a JSON schema of types, properties, required, items, enum and additionalProperties."""
+    """What is wrong with a value under a JSON schema of types, properties, required, items, enum and additionalProperties.
+
+    A type that JSON does not have fits no value.
+    """
     kinds = schema.get("type", [])
     kinds = [kinds] if isinstance(kinds, str) else kinds
-    if kinds and not any(_TYPES[k](value) for k in kinds):
+    if kinds and not any(k in _TYPES and _TYPES[k](value) for k in kinds):
         return [f"{path}: not {' or '.join(kinds)}"]
     out = [f"{path}: not one of the values"] if "enum" in schema and value not in schema["enum"] else []
     if isinstance(value, dict):
@@ -118,8 +127,36 @@ def faults(value, schema: dict, path: str = "$") -> list[str]:
 
 
 def canonical(value) -> str:
-    """JSON with sorted keys and no spaces; letters stand as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """JSON with sorted keys and no spaces; letters stand as they are, halves of surrogate pairs escaped."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def _finite(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError(f"{text} is no number of JSON")
+    return value
+
+
+def parse(text: str | None) -> tuple[object, list[str]]:
+    """The value of a JSON text and no fault; or the text itself and what is wrong with it.
+
+    Faults are: no JSON (NaN and numbers beyond a double's range are none), and
+    nesting beyond ``DEEPEST``.
+    """
+    if text is None:
+        return None, ["$: not JSON"]
+    depth = most = 0
+    for part in re.findall(r'"(?:[^"\\]|\\.)*"|[\[\]{}]', text, re.DOTALL):
+        depth += (part in "[{") - (part in "]}") if len(part) == 1 else 0
+        most = max(most, depth)
+    if most > DEEPEST:
+        return text, [f"$: nested more than {DEEPEST} deep"]
+    try:
+        return json.loads(text, parse_float=_finite, parse_constant=_finite), []
+    except ValueError:
+        return text, ["$: not JSON"]
 
 
 def _serialise(schemas: dict[str, dict]):
@@ -132,10 +169,7 @@ def _serialise(schemas: dict[str, dict]):
                     state = r["state"]
                     out = {"id": r["call_id"], "result": r["content"]}
                 else:
-                    try:
-                        arguments, wrong = json.loads(r["arguments"]), []
-                    except (TypeError, ValueError):
-                        arguments, wrong = r["arguments"], ["$: not JSON"]
+                    arguments, wrong = parse(r["arguments"])
                     state = r["state"]
                     if not wrong and r["name"] in schemas:
                         wrong = faults(arguments, schemas[r["name"]])
@@ -169,7 +203,14 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     identifier never gives pairs.  Other states: ``linked``, ``no_result``,
     ``orphan_result``, ``invalid_arguments``, ``unknown_tool``, ``cycle``,
     ``no_id``.  Null conversations and identifiers join nothing.
+
+    Arguments that are no JSON, or nested more than ``DEEPEST`` deep, are
+    ``invalid_arguments`` and stand as the text that they are.  Rows that repeat
+    place and identifier are linked each.  Texts of any length are taken whole.
+    Empty tables give no rows of their kind; other columns are ignored.
     """
+    calls = calls.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("at").cast("int").alias("at"), "call_id", "name", "arguments", "depends_on")
+    results = results.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("at").cast("int").alias("at"), "call_id", "content")
     key, place = ["conv_id", "call_id"], F.struct("turn", "at")
     named = lambda df: df.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
     first_call = materialize(named(calls).groupBy(*key).agg(F.min(place).alias("c"), F.min(F.struct("turn", "at", "depends_on")).alias("d")), "first-calls")
