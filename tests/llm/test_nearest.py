@@ -22,7 +22,6 @@ def brute(ids, v, queries, k):
 
 def test_recall_on_the_table(spark, monkeypatch):
     monkeypatch.setattr(module, "BLOCK", 700 * 64)
-    monkeypatch.setattr(module, "QUERY_BLOCK", 8 * 64)
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").toPandas().sort_values("vec_id")
     ids, v = rows.vec_id.to_numpy(), np.stack(rows.embedding.to_numpy()).astype(np.float64)
     want = brute(ids, v, ids[ids % 100 == 0], 10)
@@ -47,3 +46,45 @@ def test_edge_cases(spark):
     assert [(q, r, i) for q, r, i, _ in got] == [(100, 1, 1), (100, 2, 2), (100, 3, 2), (200, 1, 2), (200, 2, 1), (200, 3, 2)]
     assert got[0][3] == 0.0 and got[2][3] == 0.5
     assert nearest(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_extreme_vectors(spark):
+    """Finite numbers near the ends of a double's range neither loop nor hide neighbours."""
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(60, 8))
+    v[50], v[51], v[52], v[53] = 1e308, -1e308, 1e308, 1e-308
+    v[52, ::2] *= -1
+    v[54:60] *= 1e-200
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.lit(True), k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for i in range(60):
+        want = sorted((float(module.distances(v[j : j + 1], v[i])[0]), j) for j in range(60) if j != i)[:5]
+        assert [(d, j) for j, d in got[i]] == want
+    assert 0 < got[54][0][1] < 1e-198
+
+
+def test_many_copies_of_a_vector_and_several_lengths(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK", 100 * 6)
+    rng = np.random.default_rng(3)
+    hot = rng.normal(size=6).round(3)
+    rows = [(i, (hot if i % 3 == 0 else rng.normal(size=6)).tolist()) for i in range(1500)] + [(2000 + i, rng.normal(size=2 + i % 12).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got = {}
+    for r in nearest(df, F.col("vec_id") % 50 == 0, k=4).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    hit = total = 0
+    for i, x in rows:
+        if i % 50 == 0:
+            near = sorted((float(module.distances(np.array([y]), np.array(x))[0]), j) for j, y in rows if j != i and len(y) == len(x))[:4]
+            if i % 3 == 0 and i < 2000:
+                assert got[i] == [j for _, j in near]
+            hit, total = hit + len({j for _, j in near} & set(got.get(i, []))), total + len(near)
+    assert hit / total > 0.95
+
+
+def test_odd_names(spark):
+    df = spark.createDataFrame([(100, [1.0, 2.0], "x", "y"), (1, [1.0, 2.5], "x", "y")], "`vec.id` long, `emb`` x` array<float>, v string, salt string")
+    got = nearest(df, F.col("`vec.id`") % 100 == 0, id_col="vec.id", vector_col="emb` x").collect()
+    assert [tuple(r) for r in got] == [(100, 1, 1, 0.5)]
