@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, texts
+from .common import column, materialize, numbered, texts
 from .components import connected_components
 
 #: Fingerprints in a tile, and the most tiles there may be; beyond that, tiles
 #: grow, so that the table of tile bounds stays under a few MB at any size.
 TILE, MOST_TILES = 2048, 65_536
+#: Groups of tiles that squares are made of, as far as a group, which a task
+#: holds, stays within MOST_SIDE tiles (4 MB); and the most partitions of squares.
+GROUPS, MOST_SIDE, MOST_SQUARES = 24, 256, 4096
 #: Population counts are taken of the 64 bits whole and in so many equal parts.
 PARTS = (1, 2, 4, 8)
 
@@ -50,9 +52,8 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
             found = np.array([fingerprint(t, shingle) for t in texts(batch.column(2))], dtype=np.uint64)
             yield pa.record_batch([*batch.columns[:2], pa.array(found.view(np.int64))], names=["id", "digest", "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
-    return own.mapInArrow(run, f"id {kind}, digest long, fp long")
+    own = docs.select(column(id_col).alias("id"), F.xxhash64(column(text_col)).alias("digest"), column(text_col).alias("text"))
+    return own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, digest long, fp long")
 
 
 def _counts(fps: np.ndarray) -> np.ndarray:
@@ -91,20 +92,32 @@ def _tiles(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
-def _near_tiles(tile: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int):
-    """Pairs of tiles whose population counts come within the radius, for every way to cut the bits.
+def _apart(low: np.ndarray, high: np.ndarray, of: int, to: np.ndarray | slice) -> np.ndarray:
+    """The least number of bits by which fingerprints of tile ``of`` and of the tiles ``to`` differ, as their counts say.
 
-    The counts of disjoint parts differ, in sum, by no more than the bits do.
+    The counts of disjoint parts differ, in sum, by no more than the bits do;
+    each way to cut the bits gives a bound.
     """
     cuts = np.cumsum((0, *PARTS))
+    gap = np.maximum(0, np.maximum(low[to] - high[of], low[of] - high[to]))
+    return np.max([gap[:, a:b].sum(axis=1) for a, b in zip(cuts, cuts[1:], strict=False)], axis=0)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for one in frame["tile"]:
-                i = int(np.searchsorted(tile, one))
-                gap = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:]))
-                apart = np.max([gap[:, a:b].sum(axis=1) for a, b in zip(cuts, cuts[1:], strict=False)], axis=0)
-                yield pd.DataFrame({"a": one, "b": tile[i:][apart <= radius]})
+
+def _deal(number: dict[int, int], low: np.ndarray, high: np.ndarray, radius: int, side: int):
+    """Send each tile to the squares of ``side`` x ``side`` tiles in which it has a pair to compare."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, rank, a, b = [], [], [], []
+            for i, tile in enumerate(batch.column("tile").to_pylist()):
+                own = number[tile]
+                for other in np.unique(np.flatnonzero(_apart(low, high, own, slice(None)) <= radius) // side).tolist():
+                    row.append(i)
+                    rank.append(own)
+                    a.append(min(own // side, other))
+                    b.append(max(own // side, other))
+            fps = batch.column("fps").take(pa.array(row, pa.int64()))
+            yield pa.record_batch([*(pa.array(x, pa.int32()) for x in (a, b, rank)), fps], names=["a", "b", "tile", "fps"])
 
     return run
 
@@ -132,13 +145,26 @@ def _links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.nd
     return nodes[moved], nodes[label[moved]]
 
 
-def _compare(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _compare(low: np.ndarray, high: np.ndarray, radius: int, side: int):
+    """Links within squares; tiles come sorted by square and number, so the first group of a square is held and the second streams past it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        square, held = None, []
         for batch in batches:
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                u, v = _links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), a == b, radius)
-                if len(u):
-                    yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+            for a, b, tile, fps in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "tile", "fps")), strict=True):
+                if square != (a, b):
+                    square, held = (a, b), []
+                own = np.frombuffer(fps, np.uint64)
+                if tile // side == a:
+                    held.append((tile, own))
+                    if a != b:
+                        continue
+                near = _apart(low, high, tile, np.array([t for t, _ in held], np.int64)) <= radius if held else ()
+                for (t, other), go in zip(held, near, strict=True):
+                    if go:
+                        u, v = _links(other, own, t == tile, radius)
+                        if len(u):
+                            yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
     return run
 
@@ -152,6 +178,8 @@ def near_fingerprints(fps: DataFrame, radius: int) -> DataFrame:
     bits, so a pair of tiles whose counts lie further apart than the radius is
     skipped; of the others every pair of fingerprints is compared.  The more
     tiles there are, the narrower their counts and the more pairs are skipped.
+    Tiles meet in squares of two groups of neighbouring tiles, so a tile travels
+    once for each group that it has a pair in, not once for each pair.
     """
     spark = fps.sparkSession
     distinct = materialize(fps.select("fp").distinct(), "distinct-fps")
@@ -172,11 +200,11 @@ def near_fingerprints(fps: DataFrame, radius: int) -> DataFrame:
     if not bounds:
         return spark.createDataFrame([], "u long, v long")
     low, high = (np.array([np.frombuffer(bytes(r[k]), np.uint8) for r in bounds], np.int16) for k in (1, 2))
-    ids = np.array([r[0] for r in bounds], np.int64)
-    pairs = tiles.select("tile").mapInPandas(_near_tiles(ids, low, high, radius), "a long, b long")
-    left = tiles.select(F.col("tile").alias("a"), F.col("fps").alias("x"))
-    right = tiles.select(F.col("tile").alias("b"), F.col("fps").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_compare(radius), "u long, v long")
+    side = min(MOST_SIDE, -(-len(bounds) // GROUPS))
+    groups = -(-len(bounds) // side)
+    dealt = tiles.select("tile", "fps").mapInArrow(_deal({r[0]: k for k, r in enumerate(bounds)}, low, high, radius, side), "a int, b int, tile int, fps binary")
+    dealt = dealt.repartition(min(groups * (groups + 1) // 2, MOST_SQUARES), "a", "b").sortWithinPartitions("a", "b", "tile")
+    return dealt.mapInArrow(_compare(low, high, radius, side), "u long, v long")
 
 
 def _components(fps: DataFrame, radius: int) -> DataFrame:
@@ -196,9 +224,10 @@ def simhash_components(
 
     Returns one row per input row: the id, ``fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id that links lead to.  Null or blank text
-    has fingerprint zero, which links like any other.  A component all of whose
-    ids are null has a null ``component_id``.  An empty table gives an empty
-    result; other columns are ignored.
+    has fingerprint zero, which links like any other.  Texts of any length are
+    read whole.  Repeated rows are rows each.  A component all of whose ids are
+    null has a null ``component_id``.  An empty table gives an empty result;
+    other columns, whatever their names, are ignored.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fps")
     return fps.join(_components(fps, radius), "fp").select(
@@ -212,11 +241,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, all columns, but of each component only the one with the smallest id.
 
     Rows without an id come last; among rows that share the smallest id one
-    text stays, with its exact repeats, if there are any.
+    text stays, with its exact repeats, if there are any.  Columns of any names
+    pass through.  An empty table gives an empty result.
     """
-    fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fps")
-    rows = fps.join(_components(fps, radius), "fp")
-    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best"))
-    kept = materialize(best.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")), "kept")
-    match = docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_digest"])
-    return docs.join(kept, match, "left_semi")
+    rows, (i, t) = numbered(docs, id_col, text_col)
+    fps = materialize(fingerprints(rows, i, t, shingle), "fps")
+    named = fps.join(_components(fps, radius), "fp")
+    best = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best"))
+    kept = materialize(best.select(F.col("best.id").alias("id"), F.col("best.digest").alias("digest")), "kept")
+    match = rows[i].eqNullSafe(kept["id"]) & (F.xxhash64(rows[t]) == kept["digest"])
+    return rows.join(kept, match, "left_semi").toDF(*docs.columns)
