@@ -90,3 +90,19 @@ def test_rows_without_an_id_whose_texts_share_a_short_hash(spark):
     assert docs.filter("doc_id IS NULL").select(F.hash("text")).distinct().count() == 1
     got = cut_repeats(docs, window=35, keep=True).collect()
     assert sorted(r.kept_text for r in got) == sorted(("", " ".join(first.split()[40:]), other))
+
+
+def test_many_equal_rows_cost_no_more_than_their_texts(spark):
+    """100,000 rows without an id and with one text, as a table that repeats rows has them."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    rows = rows.union(spark.createDataFrame([(1, text[:-4]), (2, "own words")], "doc_id long, text string"))
+    got = cut_repeats(rows, window=35).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 60, 60, 100_000), (1, 59, 59, 1), (2, 2, 0, 1)], key=str)
+
+
+def test_text_ids_and_odd_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([("a", text, 1, "x", "y"), ("b", text + " end", 2, "x", "y")], "`id.x` string, `te``xt` string, `key` int, `_k` string, kept_text string")
+    got = sorted(map(tuple, cut_repeats(df, id_col="id.x", text_col="te`xt", whole=True).collect()))
+    assert got == [("a", "", 1, "x", "y"), ("b", "end", 2, "x", "y")]

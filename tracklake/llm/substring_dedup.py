@@ -11,8 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize, mix, powers, spread, texts
+from .common import materialize, mix, numbered, powers, spread, texts
 
 #: Rounds of naming: "r" names runs of a symbol, "p" names pairs.  Fixed, as
 #: equal passages anywhere must be named alike.
@@ -297,36 +298,39 @@ def cut_repeats(
     Returns one row per input row: the id, ``n_words``, ``n_removed``,
     ``kept_sha256`` and, with ``keep``, ``kept_text``; with ``whole`` the input's
     own columns with the kept words, joined by one space, as the text.  Null
-    text has no words.
-    Rows that repeat an id or have none are documents of their own.  An empty
-    table gives an empty result; other columns are ignored.
+    text has no words; texts of any length are read whole.  Rows that repeat an
+    id or have none are documents of their own.  Rows that repeat id and text
+    share one list of marks, so their number costs no more than their texts.
+    An empty table gives an empty result; other columns, whatever their names,
+    are ignored or, with ``whole``, pass through.
     """
-    others = [c for c in docs.columns if c != text_col] if whole else [id_col]
-    t = docs.select(
+    rows, (i, x) = numbered(docs, id_col, text_col)
+    others = [c for c in rows.columns if c != x] if whole else [i]
+    t = rows.select(
         F.struct(*others).alias("rest"),
-        *(F.xxhash64(F.lit(salt), id_col, text_col).alias(c) for salt, c in enumerate(("key", "sig"))),  # 128 bits, as rows may repeat an id
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *(F.xxhash64(F.lit(salt), i, x).alias(c) for salt, c in enumerate(("key", "sig"))),  # 128 bits, as rows may repeat an id
+        F.coalesce(x, F.lit("")).alias("text"),
     )
     row = ["key", "sig"]
     found = t.drop("rest").mapInArrow(_find_anchors(window), "name long, c long, key long, sig long, s int, n int")
     names = materialize(found.groupBy("name").agg(F.count("*").alias("k")).filter("k > 1").select("name"), "names")
     again = materialize(spread(found, names, ["name"], "left_semi"), "anchors")
 
-    def listed(rows: DataFrame, *cols: str) -> DataFrame:
-        return rows.groupBy(*row).agg(F.collect_list(F.struct(*cols)).alias("list"))
+    def listed(marks: DataFrame, *cols: str) -> DataFrame:
+        return marks.groupBy(*row).agg(F.collect_set(F.struct(*cols)).alias("list"))  # a set: equal rows have equal marks
 
     classes = again.groupBy("name", "c").agg(F.count("*").alias("k"), F.min(F.struct("key", "sig", "s", "n")).alias("rep"))
     classes = materialize(classes, "contexts")
     settled = spread(again, classes.filter("k > 1").select("name", "c"), ["name", "c"], "left_semi").select("key", "sig", "s", "n")
     several = classes.groupBy("name").agg(F.count("*").alias("m")).filter("m > 1").select("name")
     open_ = spread(classes, several, ["name"], "left_semi").select("rep.*", (F.col("k") == 1).alias("one"))
-    single = t.join(listed(open_, "s", "n", "one"), row).mapInArrow(_windows(window), "h1 long, h2 long, key long, sig long, s int, one boolean")
+    single = spread(t, listed(open_, "s", "n", "one"), row).mapInArrow(_windows(window), "h1 long, h2 long, key long, sig long, s int, one boolean")
     twice = single.groupBy("h1", "h2").agg(F.count("*").alias("k")).filter("k > 1").select("h1", "h2")
     verified = spread(single.filter("one"), twice, ["h1", "h2"], "left_semi").select("key", "sig", "s", F.lit(1).alias("n"))
     marks = listed(settled.unionByName(verified), "s", "n")
     keep = keep or whole
-    fields = f"rest {t.schema['rest'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
-    out = t.join(marks, row, "left").mapInArrow(_cut(window, keep), fields + (", kept_text string" if keep else ""))
+    fields = T.StructType([t.schema["rest"], *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept_sha256", T.StringType())])
+    out = spread(t, marks, row, "left").mapInArrow(_cut(window, keep), fields.add("kept_text", T.StringType()) if keep else fields)
     if whole:
-        return out.select(*(F.col("kept_text" if c == text_col else f"rest.{c}").alias(c) for c in docs.columns))
-    return out.select(F.col("rest")[id_col].alias(id_col), *out.columns[1:])
+        return out.select(*(F.col("kept_text" if c == x else f"rest.{c}") for c in rows.columns)).toDF(*docs.columns)
+    return out.select(F.col("rest")[i].alias(id_col), *out.columns[1:])
