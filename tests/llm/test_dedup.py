@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import types as T
 
 from tracklake.llm.components import connected_components
-from tracklake.llm.exact_dedup import content_sort_dedup, drop_copies
+from tracklake.llm.exact_dedup import _chains, content_sort_dedup, drop_copies
 from tracklake.llm.simhash import near_dedup, near_fingerprints, simhash_components
 
 DOCS = T.StructType(
@@ -132,3 +132,21 @@ def test_whole_rows_stay(spark):
     once = near_dedup(docs(spark, [(3, "a b"), (2, "A b"), (9, "other words"), (None, "a  b"), (None, "alone now here")]))
     assert sorted((r.doc_id is None, r.text) for r in once.collect()) == [(False, "A b"), (False, "other words"), (True, "alone now here")]
     assert drop_copies(docs(spark, [])).collect() == [] and near_dedup(docs(spark, [])).collect() == []
+
+
+def test_runs_at_borders_are_compared_in_full(spark):
+    """Runs in the order of partitions: only equal neighbours, across empty partitions too, are one group."""
+    rows = [(0, 0, "a"), (0, 1, "b"), (2, 0, "b"), (3, 0, "b"), (3, 1, "c"), (4, 0, "d"), (4, 1, "c"), (5, 0, "c")]
+    got = _chains(spark.createDataFrame(rows, "pid int, run int, text string"))
+    assert [got[p, r] for p, r, _ in rows] == [1, 2, 2, 2, 3, 4, 5, 5]
+    assert _chains(spark.createDataFrame([], "pid int, run int, text string")) == {}
+
+
+def test_whole_rows_with_odd_names(spark):
+    cols = "doc_id long, `te.xt` string, `_text` string, `_id` string, `_sha` string, `pid` int, `run` int, `d``x` string"
+    rows = [(i, t, f"t{i}", f"i{i}", "s", i, None, "d") for i, t in ((1, "a"), (2, "a"), (3, None), (4, ""), (5, "b"))]
+    df = spark.createDataFrame(rows, cols)
+    out = drop_copies(df, text_col="te.xt")
+    assert out.columns == df.columns and sorted(map(tuple, out.collect())) == [rows[1], rows[3], rows[4]]
+    near = near_dedup(df, text_col="te.xt")
+    assert near.columns == df.columns and sorted(r[0] for r in near.collect()) == [1, 3, 5]
