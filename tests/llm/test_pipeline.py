@@ -4,10 +4,11 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tracklake.llm import toxicity
-from tracklake.llm.common import materialize, table
+from tracklake.llm.common import materialize, table, written
 from tracklake.llm.simhash import fingerprint
 
 from .test_dedup import brute_components
@@ -38,6 +39,7 @@ def test_names_and_columns(outputs):
 def test_toxic_documents_go(spark, outputs):
     model = toxicity.train(outputs[0], table(spark, SF, "labels"))
     bad = {r.doc_id for r in toxicity.score(outputs[0], model).filter("rejected").collect()}
+    assert bad
     assert rows(outputs[1]) == sorted((tuple(r) for r in outputs[0].collect() if r.doc_id not in bad), key=str)
     known = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
     assert sum(known.get(i) == 0 for i in bad) == 0
@@ -90,3 +92,27 @@ def test_edge_cases(spark):
         for name, stage in corpus_pipeline.STAGES:
             df = materialize(stage(spark, df, SF), name.replace(" ", "-"))
         assert df.select("doc_id").distinct().count() == n
+
+
+def test_columns_with_names_that_operators_use(spark):
+    """Each stage keeps such columns, their order and their values."""
+    names = ["rejected", "severity", "_text", "_id", "_sha", "_key", "_k", "_edge", "_y", "key", "sig", "rest", "kept_text", "id", "y", "fp", "digest", "pid", "run", "c0", "n_words", "a.b", "c`d"]
+    docs = table(spark, SF, "documents").filter("doc_id < 60")
+    wide = docs.select("*", *(F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        got = materialize(stage(spark, wide, SF), name.replace(" ", "-"))
+        if name != "packing":
+            assert got.columns == wide.columns
+            plain = materialize(stage(spark, docs, SF), "plain")
+            cols = [F.col("`" + n.replace("`", "``") + "`") for n in names]
+            assert rows(got.select(docs.columns)) == rows(plain)
+            assert all(r[k] == f"{n}-{r.doc_id}" for r in got.select("doc_id", *cols).collect() for k, n in enumerate(names, 1))
+
+
+def test_what_stages_wrote_goes(spark):
+    first = len(written)
+    assert corpus_pipeline.run(spark, SF).count()
+    from pathlib import Path
+
+    left = [p for p in written[first:] if Path(p.removeprefix("file:")).exists()]
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in left] == ["substring-dedup", "tokens", "lengths"]

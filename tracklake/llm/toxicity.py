@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import column, materialize, numbered, texts
 
 #: Labelled rows of either kind that the model is fitted on, at most.
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
@@ -103,22 +103,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit the model on a bounded sample of labelled rows.
 
     The sample is the labelled ids that come first by a hash, ``TOXIC_ROWS`` and
-    ``CLEAN_ROWS`` of them at most; only they, their counts of chosen features
-    and the chosen features reach the driver.  Features are the words and stems
+    ``CLEAN_ROWS`` of them at most, with one row each, the one whose text comes
+    first; only they, their counts of chosen features and the chosen features
+    reach the driver.  Labels that are null or other than 0 and 1 do not count,
+    of several for one id the greatest does.  Without labelled rows of both
+    kinds the model has no features and rejects nothing.  Features are the words and stems
     whose document shares differ most.  Labels only say toxic or not, so the
     severity of a toxic text is graded by how many of its words are marked: have
     a feature that is hardly ever found in clean texts.
     """
-    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("_y"))
-    order = F.xxhash64(F.col(id_col))
-    some = [known.filter(F.col("_y") == y).orderBy(order, id_col).limit(n) for y, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
+    docs = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
+    labels = labels.select(column(id_col).alias("id"), column(label_col).alias("y"))
+    known = labels.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
+    order = F.xxhash64("id")
+    some = [known.filter(F.col("y") == y).orderBy(order, "id").limit(n) for y, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     ids = {r[0]: r[1] for part in some for r in part.collect()}
     empty = OrdinalModel([], np.zeros(0), np.array([10.0, 11.0, 12.0]))
     if not ids:
         return empty
     spark = docs.sparkSession
-    marked = spark.createDataFrame(list(ids.items()), f"{id_col} {docs.schema[id_col].dataType.simpleString()}, _y int")
-    sample = docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(marked), id_col).select("_y", "_text")
+    marked = spark.createDataFrame(list(ids.items()), f"id {docs.schema['id'].dataType.simpleString()}, y int")
+    sample = docs.join(F.broadcast(marked), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
+    sample = materialize(sample.select("y", "text"), "toxic-sample")
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[int]] = {}
@@ -128,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     sums.setdefault(f, [0, 0])[y] += 1
         yield pa.record_batch([pa.array(list(sums), pa.string()), *(pa.array([v[k] for v in sums.values()], pa.int64()) for k in (0, 1))], names=["f", "clean", "toxic"])
 
-    totals = dict(sample.groupBy("_y").count().collect())
+    totals = dict(sample.groupBy("y").count().collect())
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     if not n0 or not n1:
         return empty
@@ -173,28 +179,46 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return OrdinalModel(features, w, theta)
 
 
-def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+def _graded(model: OrdinalModel, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Each batch, whose last column is the text, with the probabilities of its rows."""
+    of = Features(model.features)
+    for batch in batches:
+        x = np.zeros((batch.num_rows, 2 * len(model.features)))
+        for i, t in enumerate(texts(batch.columns[-1])):
+            at, value = of(t)
+            x[i, at] = value
+        yield batch, model.probabilities(x)
+
+
+def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Expected severity of every whole text, without a shuffle.
 
-    Returns one row per input row: the id (with ``whole`` all columns of the
-    input), ``severity`` (the expected grade, from 0 on), ``p_toxic`` (of grade
-    1 or more), ``grade`` (the likeliest) and ``rejected``.  Null and empty
-    texts score as texts without any feature.
+    Returns one row per input row, repeated ones too: the id, ``severity`` (the
+    expected grade, from 0 on), ``p_toxic`` (of grade 1 or more), ``grade`` (the
+    likeliest) and ``rejected``.  Null and empty texts score as texts without
+    any feature.  An empty table gives an empty result; other columns, whatever
+    their names, are ignored.
     """
-    base = docs.select(*(docs.columns if whole else [id_col]), F.col(text_col).alias("_text"))
-    names = [*base.columns[:-1], "severity", "p_toxic", "grade", "rejected"]
+    base = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Features(model.features)
-        for batch in batches:
-            x = np.zeros((batch.num_rows, 2 * len(model.features)))
-            for i, t in enumerate(texts(batch.columns[-1])):
-                at, value = of(t)
-                x[i, at] = value
-            p = model.probabilities(x)
+        for batch, p in _graded(model, batches):
             steps = -np.diff(np.column_stack((np.ones(len(p)), p, np.zeros(len(p)))), axis=1)
             new = [pa.array(p.sum(axis=1)), pa.array(p[:, 0]), pa.array(steps.argmax(axis=1).astype(np.int32)), pa.array(p[:, 0] >= REJECT)]
-            yield pa.record_batch([*batch.columns[:-1], *new], names=names)
+            yield pa.record_batch([batch.column(0), *new], names=["id", "severity", "p_toxic", "grade", "rejected"])
+
+    kind = base.schema["id"].dataType.simpleString()
+    out = base.mapInArrow(run, f"id {kind}, severity double, p_toxic double, grade int, rejected boolean")
+    return out.withColumnRenamed("id", id_col)
+
+
+def drop_rejected(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns of any names, without those that ``score`` rejects."""
+    rows, (t,) = numbered(docs, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, p in _graded(model, batches):
+            whole = pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1])
+            yield whole.filter(pa.array(p[:, 0] < REJECT))
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[:-1]]
-    return base.mapInArrow(run, ", ".join([*fields, "severity double, p_toxic double, grade int, rejected boolean"]))
+    return rows.withColumn("text", F.col(t)).mapInArrow(run, rows.schema).toDF(*docs.columns)
