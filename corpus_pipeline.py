@@ -3,8 +3,9 @@
 ``STAGES`` lists the stages in order.  Each takes (spark, docs, sf_dir), works
 on all rows that the stage before it kept, and returns a DataFrame that is
 written as Parquet and read again as the next one's ``docs``.  All but the last
-return the columns of ``docs``.  Nulls in any column, empty tables and repeated
-rows are handled as the operators' docstrings say.
+return the columns of ``docs``, also such as clash with names that operators
+use.  Nulls in any column, empty tables and repeated rows are handled as the
+operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -13,15 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm import exact_dedup, simhash, substring_dedup, toxicity
-from tracklake.llm.common import materialize, table
+from tracklake.llm.common import discard, materialize, table, written
 from tracklake.llm.packing import pack
 from tracklake.llm.queries import tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model rejects go; all others stay as they are."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, whole=True).filter("not rejected").select(*docs.columns)
+    return toxicity.drop_rejected(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the table ``documents``; the last one's rows."""
+    """All stages on the table ``documents``; the last one's rows.
+
+    What a stage has written goes once the next one's output is there.
+    """
     docs = table(spark, sf_dir, "documents")
+    first = len(written)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(spark, written[first:-1])
+        first = len(written) - 1
     return STAGES[-1][1](spark, docs, sf_dir)
