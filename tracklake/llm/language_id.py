@@ -9,13 +9,18 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from .common import texts
-
-#: Bytes of each language's dictionary, and of the texts that go into it whole.
-DICT_BYTES, LEAST_BYTES, MOST_BYTES = 32_000, 200, 8_000
-#: The most languages that are learned, by number of rows; it bounds what a task holds to 8 MB.
-MOST_LANGS = 256
+from pyspark.sql import types as T
+
+from .common import column, texts
+
+#: Bytes of a language's dictionary and of all dictionaries together; beyond
+#: TOTAL_BYTES / DICT_BYTES languages each one's dictionary is smaller, so every
+#: language has one and what a task holds is bounded.
+DICT_BYTES, TOTAL_BYTES = 32_000, 64 << 20
+#: Bytes of the texts that go into a dictionary whole, and letters of a slice of a longer one.
+LEAST_BYTES, MOST_BYTES, SLICE = 200, 8_000, 2_000
+#: Coders that a task keeps at a time; more languages than that take turns.
+CODERS = 256
 #: A text is compressed in equal blocks of at most this size: far below the coder's window, so every byte can refer to the dictionary.
 BLOCK_BYTES = 4_000
 #: A result counts as sure from this share between the best two sizes on.
@@ -28,35 +33,34 @@ def learn_dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str =
     """Raw-content dictionaries from a bounded sample of labelled rows.
 
     For each language, whole texts of ``LEAST_BYTES`` to ``MOST_BYTES`` in the
-    order of a hash of the id, until ``DICT_BYTES`` are full; where there are
-    none, texts of any length up to the dictionary's.  The sample of all
-    languages is drawn in one pass, by a threshold on the hash and a top-k, so
-    what reaches the driver does not grow with the table.
+    order of a hash of id and text, until the dictionary is full; where there
+    are none, other texts, of longer ones a slice that the hash places.  The
+    sample of all languages is drawn in one pass, by a threshold on the hash
+    and a running sum of bytes, so what reaches the driver is bounded by the
+    dictionaries.  Rows without text or language teach nothing; a language all
+    of whose texts are empty is not learned.
     """
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    size = F.octet_length(text_col)
+    text, size = F.col("text"), F.octet_length("text")
+    rows = docs.select(column(text_col).alias("text"), column(lang_col).cast("string").alias("lang"), F.xxhash64(column(id_col), column(text_col)).alias("o"))
+    rows = rows.filter((size > 0) & F.col("lang").isNotNull())
     fit = size.between(LEAST_BYTES, MOST_BYTES)
-    counts = (
-        rows.groupBy(lang_col)
-        .agg(F.count("*").alias("n"), F.count_if(fit).alias("fit"))
-        .orderBy(F.desc("n"), lang_col)
-        .limit(MOST_LANGS)
-        .collect()
-    )
-    want = DICT_BYTES // LEAST_BYTES
-    order = F.xxhash64(F.col(id_col), F.col(text_col))
-    part = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
-    shares = [(r[0], min(1.0, 4.0 * want / (r.fit or r.n)), r.fit > 0) for r in counts]
-    plan = docs.sparkSession.createDataFrame(shares, f"`{lang_col}` {docs.schema[lang_col].dataType.simpleString()}, _share double, _fit boolean")
-    usable = F.when(F.col("_fit"), fit).otherwise(size.between(1, DICT_BYTES))
-    few = rows.join(F.broadcast(plan), lang_col).filter((part <= F.col("_share")) & usable)  # MOST_LANGS rows at most
-    few = few.select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("t"), order.alias("o"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("o", "t"))  # over the sample alone
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(fit).alias("fit")).collect()  # one row for each language
+    if not counts:
+        return {}
+    full = min(DICT_BYTES, TOTAL_BYTES // len(counts))
+    want = max(1, DICT_BYTES // LEAST_BYTES)
+    shares = [(r.lang, min(1.0, 4.0 * want / (r.fit or r.n)), r.fit > 0) for r in counts]
+    plan = docs.sparkSession.createDataFrame(shares, "lang string, share double, whole boolean")
+    few = rows.join(F.broadcast(plan), "lang").filter((F.pmod("o", F.lit(1 << 30)) / float(1 << 30) <= F.col("share")) & (fit | ~F.col("whole")))
+    long = size > MOST_BYTES
+    at = F.pmod(F.shiftright("o", 30), F.greatest(F.lit(1), F.char_length("text") - SLICE + 1)) + 1
+    few = few.select("lang", "o", F.lower(F.when(long, F.substr("text", at.cast("int"), F.lit(SLICE))).otherwise(text)).alias("t"))
+    first = Window.partitionBy("lang").orderBy("o", "t").rowsBetween(Window.unboundedPreceding, -1)  # over the sample alone
+    few = few.withColumn("before", F.coalesce(F.sum(F.octet_length("t")).over(first), F.lit(0))).filter(F.col("before") < full)
     out: dict[str, bytes] = {}
-    for row in sorted(few.withColumn("k", first).filter(F.col("k") <= want).collect(), key=lambda r: (r.lang, r.k)):
-        text = row.t.encode()
-        if len(out.get(row.lang, b"")) + len(text) < DICT_BYTES:
-            out[row.lang] = out.get(row.lang, b"") + text + b"\n"
+    for row in sorted(few.collect(), key=lambda r: (r.lang, r.before, r.o, r.t)):
+        if len(found := out.get(row.lang, b"")) < full:
+            out[row.lang] = (found + row.t.encode() + b"\n")[:full]
     return out
 
 
@@ -73,20 +77,23 @@ class CompressionClassifier:
             strategy=z.STRATEGY_LAZY, min_match=4, window_log=18, hash_log=16, chain_log=16, search_log=4,
             write_content_size=False, write_checksum=False, write_dict_id=False,
         )
-        self.coders = [
-            (lang, z.ZstdCompressor(compression_params=how, dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT)))
-            for lang, d in sorted(dictionaries.items())
-        ]
+        self.parts = sorted(dictionaries.items())
+        self.coder = lambda d: z.ZstdCompressor(compression_params=how, dict_data=z.ZstdCompressionDict(d, dict_type=z.DICT_TYPE_RAWCONTENT))
+        self.ready = [(lang, self.coder(d)) for lang, d in self.parts] if len(self.parts) <= CODERS else None
+
+    def coders(self) -> Iterator[tuple[str, zstandard.ZstdCompressor]]:
+        """Each language with its coder; where there are many, a coder lives for one text only."""
+        return iter(self.ready) if self.ready is not None else ((lang, self.coder(d)) for lang, d in self.parts)
 
     def __call__(self, text: bytes) -> tuple[str, float, float]:
         """The language, a score from 0 to 1, and the margin to the next in parts of its size."""
         text = text.decode("utf-8", "replace")
-        if not self.coders or not _LETTER.search(text):
+        if not self.parts or not _LETTER.search(text):
             return "und", 0.0, 0.0
         data = text.lower().encode()
         step = -(-len(data) // -(-len(data) // BLOCK_BYTES))
         blocks = [data[i : i + step] for i in range(0, len(data), step)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in self.coders)
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in self.coders())
         best, lang = sizes[0]
         if len(sizes) == 1:
             return lang, 1.0, 1.0
@@ -105,12 +112,14 @@ def identify(
     ``score`` and ``sure`` (the margin is not narrow).  A text that is null or
     has no letter is ``und``, score 0; with ``reject`` so is one whose margin is
     narrow.  Ties go to the first language by name.  Without dictionaries all
-    texts are ``und``.
+    texts are ``und``.  Repeated rows are judged each; an empty table gives an
+    empty result; other columns, whatever their names, are ignored.
     """
     extra = extra or {}
-    base = docs.select(F.col(text_col).alias("_text"), F.col(id_col), *(c.alias(k) for k, c in extra.items()))
-    rest = base.drop("_text")
-    names = [*rest.columns, "lang_pred", "score", "sure"]
+    base = docs.select(column(text_col), column(id_col), *(c.alias(k) for k, c in extra.items()))
+    names = [*base.columns[1:], "lang_pred", "score", "sure"]
+    base = base.toDF("text", *(f"c{k}" for k in range(len(names) - 3)))
+    fields = [*base.schema.fields[1:], *(T.StructField(n, t) for n, t in (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("sure", T.BooleanType())))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = CompressionClassifier(dictionaries)
@@ -119,7 +128,6 @@ def identify(
             sure = [f[2] >= margin for f in found]
             lang = [f[0] if s or not reject else "und" for f, s in zip(found, sure, strict=True)]
             new = [pa.array(lang, pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array(sure, pa.bool_())]
-            yield pa.record_batch([*batch.columns[1:], *new], names=names)
+            yield pa.record_batch([*batch.columns[1:], *new], names=[f.name for f in fields])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields]
-    return base.mapInArrow(run, ", ".join([*fields, "lang_pred string, score double, sure boolean"]))
+    return base.mapInArrow(run, T.StructType(fields)).toDF(*names)
