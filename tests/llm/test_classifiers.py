@@ -1,10 +1,14 @@
 """Toxicity and quality: held-out figures and edge cases."""
 
+import math
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tracklake.llm import quality, toxicity
+from tracklake.llm.queries import op3_toxicity_ordinal, op5_quality_cotraining
 
 SF = "/root/testdata/sf0.1"
 
@@ -84,3 +88,54 @@ def test_views_learn_from_all_rows_without_a_label(spark):
     rare = quality.metadata_features(b"", None, "rare") - quality.metadata_features(b"", None, None)
     assert not any(rare @ quality.metadata_features(b"", "en", s) for s in ("s0", "s1"))
     assert model.metadata @ rare < 0
+
+
+def test_registered_toxicity_is_the_plain_model(spark):
+    """Every row of the query against the fitted model applied word by word."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    got = {r.doc_id: r for r in op3_toxicity_ordinal(spark, sf).collect()}
+    at = {f: k for k, f in enumerate(model.features)}
+    n = len(at)
+    assert n and len(got) == docs.count()
+    for r in docs.collect():
+        words = re.findall(r"[^\W\d_]+", (r.text or "").lower())
+        count = dict.fromkeys(range(n), 0)
+        for w in words:
+            for f in {w} | ({w[:4] + "*"} if len(w) > 4 else set()) | ({w[:5] + "*"} if len(w) > 5 else set()):
+                if f in at:
+                    count[at[f]] += 1
+        z = sum(model.weights[k] * math.log(1 + c) + model.weights[n + k] * math.log(1 + 100 * c / len(words)) for k, c in count.items() if c)
+        p = [1 / (1 + math.exp(t - z)) for t in model.thresholds]
+        assert abs(got[r.doc_id].severity - sum(p)) < 1e-9 and abs(got[r.doc_id].p_toxic - p[0]) < 1e-9
+        assert got[r.doc_id].rejected == (p[0] >= toxicity.REJECT)
+        steps = [a - b for a, b in zip([1, *p], [*p, 0])]
+        assert steps[got[r.doc_id].grade] > max(steps) - 1e-9
+
+
+def test_registered_quality_is_the_plain_model(spark):
+    """Every row of the query against the fitted views applied to one text at a time."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    got = {r.doc_id: r for r in op5_quality_cotraining(spark, sf).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        text = (r.text or "").encode()
+        za = model.scale[0, 0] * float(quality.content_features(text) @ model.content) + model.scale[0, 1]
+        zb = model.scale[1, 0] * float(quality.metadata_features(text, r.lang, r.source) @ model.metadata) + model.scale[1, 1]
+        both = model.scale[2, 0] * za + model.scale[2, 1] * zb + model.scale[2, 2]
+        assert abs(got[r.doc_id].quality - 1 / (1 + math.exp(-max(-30, min(30, both))))) < 1e-9
+        assert got[r.doc_id].kept == (got[r.doc_id].quality >= quality.KEEP)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    seen = []
+    fit = toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda x, *a: seen.append(len(x)) or fit(x, *a))
+    rows = [(1, f"vile words {i % 7}") for i in range(3000)] + [(i, "good plain words here") for i in range(2, 40)]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, y string, `id` string")
+    labels = spark.createDataFrame([(i, int(i == 1), int(i > 1)) for i in range(1, 40)], "doc_id long, toxic int, quality int")
+    assert toxicity.score(docs, toxicity.train(docs, labels)).count() == len(rows) and seen == [39]
+    assert quality.score(docs, quality.train(docs, labels)).count() == len(rows)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, spread, texts
+from .common import column, materialize, spread, texts
 
 #: Labelled rows of either kind that training sees, at most; rows without a label are all seen.
 GOOD_ROWS, BAD_ROWS = 4_000, 3_000
@@ -171,13 +171,13 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, surest=None) -> Qualit
     return QualityModel(weights[0], weights[1], scale)
 
 
-def _features(docs: DataFrame, id_cols: list[str], text_col: str, finish, fields: str) -> DataFrame:
+def _features(docs: DataFrame, id_col: str, text_col: str, finish, fields: str) -> DataFrame:
     """Apply ``finish(columns, content, metadata)`` to the features of each batch."""
     has = [c if c in docs.columns else None for c in ("lang", "source")]
     base = docs.select(
-        *id_cols,
-        F.col(text_col).alias("_text"),
-        *((F.col(c) if c else F.lit(None)).cast("string").alias(f"_{k}") for k, c in enumerate(has)),
+        column(id_col).alias("id"),
+        column(text_col).alias("text"),
+        *((F.col(c) if c else F.lit(None)).cast("string").alias(f"c{k}") for k, c in enumerate(has)),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,11 +238,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.min(label_col).alias("_y"))
-    order = F.xxhash64(F.col(id_col))
+    labels = labels.select(column(id_col).alias("id"), column(label_col).alias("y"))
+    known = labels.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.min("y").alias("y"))
     picked: dict = {}
     for y, n in ((1, GOOD_ROWS), (0, BAD_ROWS)):
-        picked |= {r[0]: y for r in known.filter(F.col("_y") == y).orderBy(order, id_col).limit(n).collect()}
+        picked |= {r[0]: y for r in known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n).collect()}
     if len(set(picked.values())) < 2:
         return None
 
@@ -251,8 +251,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         key = pa.array([xxhash.xxh3_64_intdigest(x) for x in packed], pa.uint64()).view(pa.int64())
         return pa.record_batch([columns[0], key, pa.array(packed, pa.binary())], names=["id", "key", "f"])
 
-    every = _features(docs, [id_col], text_col, finish, f"id {kind}, key long, f binary")
-    every = materialize(spread(every, known.select(F.col(id_col).alias("id"), F.col("_y").alias("y")), ["id"], "left"), "features")
+    every = _features(docs, id_col, text_col, finish, f"id {kind}, key long, f binary")
+    every = materialize(spread(every, known, ["id"], "left"), "features")
     marked = spark.createDataFrame(list(picked.items()), f"id {kind}, y int")
     sample = every.filter("y IS NOT NULL").drop("y").join(F.broadcast(marked), "id").groupBy("id", "y").agg(F.min(F.struct("key", "f")).alias("row"))
     rows = sorted(sample.select("id", "y", "row.f").collect())
@@ -269,7 +269,9 @@ def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", t
     Returns one row per input row: the id, ``p_content``, ``p_metadata``,
     ``quality`` (combined, from 0 to 1) and ``kept``.  Null text counts as
     empty; null or absent ``lang`` and ``source`` give no feature.  Without a
-    model every document has 1 and is kept.
+    model every document has 1 and is kept.  Repeated rows are scored each; an
+    empty table gives an empty result; other columns, whatever their names, are
+    ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -277,5 +279,5 @@ def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", t
         p = model.probabilities(a, b) if model else (np.ones(len(a)),) * 3
         return pa.record_batch([columns[0], *map(pa.array, p), pa.array(p[2] >= KEEP)], names=["id", "p_content", "p_metadata", "quality", "kept"])
 
-    out = _features(docs, [id_col], text_col, finish, f"id {kind}, p_content double, p_metadata double, quality double, kept boolean")
+    out = _features(docs, id_col, text_col, finish, f"id {kind}, p_content double, p_metadata double, quality double, kept boolean")
     return out.withColumnRenamed("id", id_col)
