@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklake.functions.clock import floor_second, mean_time, micros
@@ -120,14 +120,22 @@ def bracket_runs(readings: DataFrame, cals: DataFrame, run: list[str], time: str
     calibration strictly before its first reading and the first strictly after
     its last; those inside are ignored.  One side alone is constant; none is
     slope 1, intercept 0.  A null intercept counts as 0.
+
+    First and last times of the runs and the calibrations of a key are sorted
+    together, and the calibration seen last is carried along, so runs and
+    calibrations do not meet in pairs.
     """
     key = ["instrument", "parameter"]
-    bounds = readings.groupBy(*run).agg(F.min(time).alias("_low"), F.max(time).alias("_high"))
-    point = F.struct(micros("_cal").alias("t"), F.col("slope").cast("double").alias("s"), F.coalesce(F.col("intercept").cast("double"), F.lit(0.0)).alias("i"))
-    around = bounds.join(cals.select(*key, F.col(time).alias("_cal"), "slope", "intercept"), key).groupBy(*run).agg(
-        F.max_by(point, F.when(F.col("_cal") < F.col("_low"), F.struct("_cal", "slope"))).alias("_a"),
-        F.min_by(point, F.when(F.col("_cal") > F.col("_high"), F.struct("_cal", "slope"))).alias("_b"),
-    )
+    point = F.struct(micros(time).alias("t"), F.col("slope").cast("double").alias("s"), F.coalesce(F.col("intercept").cast("double"), F.lit(0.0)).alias("i"))
+    known = cals.filter(F.col(time).isNotNull() & F.col(key[0]).isNotNull() & F.col(key[1]).isNotNull())
+    known = known.select(*key, micros(time).alias("_t"), F.lit("cal").alias("_what"), point.alias("_p"))
+    bounds = readings.groupBy(*run).agg(F.min(micros(time)).alias("low"), F.max(micros(time)).alias("high"))
+    asks = bounds.unpivot(run, ["low", "high"], "_what", "_t")
+    both = asks.unionByName(known, allowMissingColumns=True).withColumn("_k", (F.col("_what") == "cal").cast("int"))
+    running = lambda *order: Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before, after = running("_t", "_k", F.col("_p.s")), running(F.desc("_t"), "_k", F.desc("_p.s"))
+    seen = both.withColumns({"_a": F.last("_p", True).over(before), "_b": F.last("_p", True).over(after)})
+    around = seen.filter("_k = 0").groupBy(*run).agg(F.max(F.when(F.col("_what") == "low", F.col("_a"))).alias("_a"), F.max(F.when(F.col("_what") == "high", F.col("_b"))).alias("_b"))
     a, b, t = F.col("_a"), F.col("_b"), micros(time)
     none = a.isNull() & b.isNull()
 
@@ -145,38 +153,56 @@ def intercept_units(df: DataFrame) -> DataFrame:
     return df.withColumn("intercept", F.when(p.isin(*SMALL_INTERCEPT), F.col("intercept") / 1000).when(p == NO_INTERCEPT, F.lit(0.0)).otherwise(F.col("intercept")))
 
 
+#: Seconds in a bucket of time in which readings meet the zeros around them.
+ZERO_BUCKET_S = 86_400
+
+
 def zero_lines(zeros: DataFrame, keys: list[str], time: str = "sample_time") -> DataFrame:
-    """For each key its zeros as one array of (t, v), by time; keys with fewer than two are left out.
+    """For each key the lines between neighbouring zeros: (t0, v0) to (t1, v1), and whether it is the first or the last.
 
-    A key's zeros are one number for each zero measured, a few a day.
+    Keys with fewer than two zeros have none.
     """
-    return zeros.filter(F.col(time).isNotNull()).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(micros(time).alias("t"), F.col("zero").cast("double").alias("v")))).alias("_zs")
-    ).filter(F.size("_zs") >= 2)
+    order = Window.partitionBy(*keys).orderBy("_t0", "_v0")
+    points = zeros.filter(F.col(time).isNotNull()).select(*keys, micros(time).alias("_t0"), F.col("zero").cast("double").alias("_v0"))
+    lines = points.withColumns({"_t1": F.lead("_t0").over(order), "_v1": F.lead("_v0").over(order), "_first": F.lag("_t0").over(order).isNull(), "_last": F.lead("_t0", 2).over(order).isNull()})
+    return lines.filter("_t1 IS NOT NULL")
+
 
+def add_zero(df: DataFrame, lines: DataFrame, keys: list[str], time: str, name: str = "zero", where: Column | None = None) -> DataFrame:
+    """Add the value at each row's time of the line through the two zeros around it.
 
-def add_zero(df: DataFrame, time: str, lines: str = "_zs", name: str = "zero") -> DataFrame:
-    """Add the value at each row's time of the line through the two zeros around it, from its array ``lines``.
+    Before the first zero and after the last the line goes on; a time equal to
+    a zero's belongs to the line that ends there.  Without lines, where
+    ``where`` does not hold, or where the result is not a finite number, it is 0.
 
-    Before the first zero and after the last the line goes on; equal times give
-    the left one; without an array, or where the result is not a finite number,
-    it is 0.  The place in the array is found once and kept as a column.
+    Lines are dealt to the time buckets that they touch, so readings meet them
+    by key and bucket, and a reading sees only the lines of its bucket.  Those
+    beyond a key's zeros take its first or last line, of which there is one
+    each a key.
     """
-    right = F.greatest(F.lit(1), F.least(F.size(F.filter(lines, lambda z: z["t"] < F.col("_t"))), F.size(lines) - 1))
-    placed = df.withColumn("_t", micros(time)).withColumn("_at", F.when(F.col(lines).isNotNull(), right))
-    ends = placed.withColumn("_ends", F.when(F.col("_at").isNotNull(), F.struct(F.get(lines, F.col("_at") - 1).alias("a"), F.get(lines, F.col("_at")).alias("b"))))
-    a, b = F.col("_ends.a"), F.col("_ends.b")
-    valued = ends.withColumn("_v", line_at(F.col("_t"), a["t"], a["v"], b["t"], b["v"]))
-    finite = ~F.isnan("_v") & (F.abs("_v") != float("inf"))
-    return valued.withColumn(name, F.coalesce(F.when(finite, F.col("_v")), F.lit(0.0))).drop("_t", "_at", "_ends", "_v")
+    us = ZERO_BUCKET_S * 1_000_000
+    line = ["_t0", "_v0", "_t1", "_v1"]
+    ends = lines.groupBy(*keys).agg(*(F.max(F.when(F.col(f), F.struct(*line))).alias(f) for f in ("_first", "_last")))
+    dealt = lines.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_t0") / us), F.floor(F.col("_t1") / us))))
+    dealt = dealt.select(*(F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)), F.col("_bucket").alias("_lb"), *line, F.col("_first").alias("_f"))
+    rows = df.join(small(ends), keys, "left").withColumns({"_t": micros(time), "_bucket": F.floor(micros(time) / us)})
+    inside = F.col("_t").between(F.col("_first._t0"), F.col("_last._t1"))
+    meets = (F.col("_bucket") == F.col("_lb")) & inside & (F.col("_t") <= F.col("_t1")) & ((F.col("_t") > F.col("_t0")) | F.col("_f"))
+    for i, k in enumerate(keys):
+        meets = (F.col(k) == F.col(f"_l{i}")) & meets
+    rows = rows.join(dealt, meets, "left")
+    at = lambda n: F.when(F.col("_t") < F.col("_first._t0"), F.col(f"_first.{n}")).when(F.col("_t") > F.col("_last._t1"), F.col(f"_last.{n}")).otherwise(F.col(n))
+    value = line_at(F.col("_t"), *(at(n) for n in line))
+    fine = ~F.isnan("_v") & (F.abs("_v") != float("inf")) & (F.lit(True) if where is None else where)
+    valued = rows.withColumn("_v", value).withColumn(name, F.coalesce(F.when(fine, F.col("_v")), F.lit(0.0)))
+    return valued.select(*df.columns, name)
 
 
 def with_zeros(readings: DataFrame, zeros: DataFrame, time: str = "sample_time", letters: str = "HCOKSNV") -> DataFrame:
     """Add ``zero``: interpolated for ions of the ion instrument, 0 for all else."""
-    lines = zero_lines(zeros, ["instrument", "parameter"], time)
-    joined = readings.join(small(lines), ["instrument", "parameter"], "left")  # a row for each ion
+    keys = ["instrument", "parameter"]
     ion = (F.col("instrument") == ION_INSTRUMENT) & is_ion("parameter", letters)
-    return add_zero(joined.withColumn("_zs", F.when(ion, F.col("_zs"))), time).drop("_zs")
+    return add_zero(readings, zero_lines(zeros, keys, time), keys, time, where=ion)
 
 
 def derived_difference(readings: DataFrame, by: list[str], instrument: str, minuend: str, subtrahend: str, name: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklake.functions.clock import micros, nearest_second, seconds_between
 from tracklake.functions.geo import bearing, haversine
@@ -47,34 +48,44 @@ def smooth_axis(t: np.ndarray, z: np.ndarray, process: float, measurement: float
     """Kalman filter forward, Rauch-Tung-Striebel smoother back, for columns of positions.
 
     The state of a column is position and speed; columns do not interact and
-    share their covariance, so the two by two steps are computed once for all.
-    Steps of no or negative length count as one second.
+    share their covariance, so gains are computed once for all, as plain
+    numbers.  Steps of no or negative length count as one second.
     """
     n = len(t)
     if n < 2:
         return z.copy()
     dt = np.diff(t)
     dt[dt <= 0] = 1.0
-    x = np.zeros((n, 2, z.shape[1]))
-    x[0, 0] = z[0]
-    p = np.zeros((n, 2, 2))
-    p[0] = np.eye(2) * 1e-6
-    ahead = np.zeros((n, 2, 2))
-    guess = np.zeros_like(x)
-    for k in range(1, n):
-        d = dt[k - 1]
-        f = np.array([[1.0, d], [0.0, 1.0]])
-        q = process * np.array([[d**3 / 3, d**2 / 2], [d**2 / 2, d]])
-        guess[k] = f @ x[k - 1]
-        ahead[k] = f @ p[k - 1] @ f.T + q
-        gain = ahead[k][:, 0] / (ahead[k][0, 0] + measurement)
-        x[k] = guess[k] + gain[:, None] * (z[k] - guess[k][0])
-        p[k] = ahead[k] - np.outer(gain, ahead[k][0])
-    for k in range(n - 2, -1, -1):
-        f = np.array([[1.0, dt[k]], [0.0, 1.0]])
-        back = p[k] @ f.T @ np.linalg.inv(ahead[k + 1])
-        x[k] += back @ (x[k + 1] - guess[k + 1])
-    return x[:, 0]
+    steps = dt.tolist()
+    a, b, c = 1e-6, 0.0, 1e-6  # covariance of position and speed
+    gains, backs = [], []
+    for d in steps:
+        a1 = a + d * (2 * b + d * c) + process * d**3 / 3
+        b1 = b + d * c + process * d**2 / 2
+        c1 = c + process * d
+        det = a1 * c1 - b1 * b1
+        p, q = a + d * b, b + d * c
+        backs.append(((p * c1 - b * b1) / det, (b * a1 - p * b1) / det, (q * c1 - c * b1) / det, (c * a1 - q * b1) / det))
+        g, h = a1 / (a1 + measurement), b1 / (a1 + measurement)
+        gains.append((g, h))
+        a, b, c = a1 - g * a1, b1 - g * b1, c1 - h * b1
+    out = np.empty_like(z, dtype=float)
+    for k in range(z.shape[1]):
+        x, v = float(z[0, k]), 0.0
+        at, seen = [(x, v)], [(x, v)]
+        for d, (g, h), value in zip(steps, gains, z[1:, k].tolist(), strict=True):
+            guess = x + d * v
+            at.append((guess, v))
+            x, v = guess + g * (value - guess), v + h * (value - guess)
+            seen.append((x, v))
+        found = [x]
+        for i in range(n - 2, -1, -1):
+            e, f = x - at[i + 1][0], v - at[i + 1][1]
+            j = backs[i]
+            x, v = seen[i][0] + j[0] * e + j[1] * f, seen[i][1] + j[2] * e + j[3] * f
+            found.append(x)
+        out[:, k] = found[::-1]
+    return out
 
 
 def smooth(track: DataFrame, by: list[str], time: str = "sample_time", process: float = 1e-9, measurement: float = 1e-10) -> DataFrame:
@@ -90,8 +101,8 @@ def smooth(track: DataFrame, by: list[str], time: str = "sample_time", process:
         return frame.assign(lat_kf=found[:, 0], lon_kf=found[:, 1])
 
     rows = track.withColumn("_us", micros(time))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.groupBy(*by).applyInPandas(run, f"{fields}, lat_kf double, lon_kf double").drop("_us")
+    fields = T.StructType([*rows.schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("lat_kf", "lon_kf"))])
+    return rows.groupBy(*by).applyInPandas(run, fields).drop("_us")
 
 
 def guard_displacement(track: DataFrame, most_m: float = 15.0) -> DataFrame:

@@ -100,16 +100,17 @@ def fill_gaps(df: DataFrame, by: list[str], time: str, values: list[str], limit_
 
     Of a longer gap the first ``limit_s`` seconds are filled too.  Nulls before
     the first value stay; after the last one its value is carried on, as far as
-    the limit.  Both anchors come from one sort of the group.
+    the limit.  Both anchors are the latest known value of a running frame,
+    over the times as they rise and as they fall, so the work is linear in the
+    group.
     """
-    order = _window(by, [time])
-    back = order.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = order.rowsBetween(0, Window.unboundedFollowing)
+    back = _window(by, [time]).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*by).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     t = micros(time)
     out = df
     for v in values:
         at = F.when(F.col(v).isNotNull(), F.struct(t.alias("t"), F.col(v).cast("double").alias("v")))
-        out = out.withColumns({f"_p_{v}": F.last(at, True).over(back), f"_n_{v}": F.first(at, True).over(ahead)})
+        out = out.withColumns({f"_p_{v}": F.last(at, True).over(back), f"_n_{v}": F.last(at, True).over(ahead)})
     new = {}
     for v in values:
         p, n = F.col(f"_p_{v}"), F.col(f"_n_{v}")

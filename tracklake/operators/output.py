@@ -29,12 +29,18 @@ def published_units(df: DataFrame) -> DataFrame:
 def outside(df: DataFrame, rings: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Rows inside none of the rings, and rows without a position.
 
-    ``rings`` has one array of (lat, lon) a row; zones are a handful, and all go
-    along with each task as one array.
+    ``rings`` has one array of (lat, lon) a row.  Rings are dealt to the cells
+    of a grid that their boxes touch, a thousand or so for the largest, so a row
+    is tested only against rings in its cell.
     """
-    zones = rings.agg(F.collect_list("ring").alias("_rings"))
-    hit = F.exists("_rings", lambda r: in_ring(F.col(lat), F.col(lon), r))
-    return df.join(F.broadcast(zones)).filter(~F.coalesce(hit, F.lit(False))).drop("_rings")
+    edges = {f"_{k}{n}": f(F.col(f"ring.{k}")) for k in ("lat", "lon") for n, f in (("0", F.array_min), ("1", F.array_max))}
+    boxed = rings.select("ring").withColumns(edges)
+    extent = boxed.agg(F.max(F.greatest(F.col("_lat1") - F.col("_lat0"), F.col("_lon1") - F.col("_lon0")))).first()[0]
+    size = max(0.01, (extent or 0.0) / 32)
+    cells = lambda k: F.explode(F.sequence(*(F.floor(F.col(f"_{k}{n}") / size).cast("bigint") for n in "01")))
+    dealt = boxed.withColumn("_gy", cells("lat")).withColumn("_gx", cells("lon")).select("ring", "_gy", "_gx")
+    here = [F.floor(F.col(c) / size).cast("bigint") for c in (lat, lon)]
+    return df.join(dealt, (here[0] == dealt["_gy"]) & (here[1] == dealt["_gx"]) & in_ring(F.col(lat), F.col(lon), F.col("ring")), "left_anti")
 
 
 def exchange_rows(readings: DataFrame, fields: DataFrame, vehicle: str, rings: DataFrame | None = None, cell_id=None) -> DataFrame:

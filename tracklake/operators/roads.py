@@ -49,13 +49,15 @@ def cluster_directions(roads: DataFrame, threshold: float = 90.0) -> DataFrame:
     """Two clusters of direction within a name of which any way is one-way and the first class is not ``service``; else -1.
 
     A way joins cluster 1 if it lies more than half the threshold off the
-    name's arithmetic mean.  Ways without a name are no group.
+    name's arithmetic mean.  Ways without a name are no group and do not meet in
+    one task.
     """
     named = Window.partitionBy("rd_name")
     first = F.min_by("rd_type", "way_id").over(named)
-    split = F.col("rd_name").isNotNull() & F.max("oneway").over(named) & (first != "service")
+    split = F.max("oneway").over(named) & (first != "service")
     off = F.abs(F.pmod(F.col("rd_deg") - F.avg("rd_deg").over(named) + 180.0, F.lit(360.0)) - 180.0)
-    return roads.withColumn("cluster", F.when(split, (off > threshold / 2).cast("int")).otherwise(F.lit(-1)))
+    grouped = roads.filter("rd_name IS NOT NULL").withColumn("cluster", F.when(split, (off > threshold / 2).cast("int")).otherwise(F.lit(-1)))
+    return grouped.unionByName(roads.filter("rd_name IS NULL").withColumn("cluster", F.lit(-1)))
 
 
 def split_at_crossings(roads: DataFrame, elements: DataFrame | None = None) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tracklake.functions import clock, geo, numbers, text
 from tracklake.operators import calibration, gps, matching, ordered, output, quality, roads, targets
-from tracklake.operators.small import small
 from tracklake.plans.pipeline import summarise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -433,9 +432,9 @@ def cal_bracket_run(spark, sf):
     j AS (SELECT r.event_id, i.t, i.zero, i.t2, i.z2, r.sample_time FROM readings r LEFT JOIN i ON r.instrument = i.instrument AND r.parameter = i.parameter AND (low IS NULL OR r.sample_time > low) AND (high IS NULL OR r.sample_time <= high))
     SELECT event_id, {sql_r("coalesce(zero + (z2 - zero) * ((epoch_us(sample_time) - epoch_us(t))::DOUBLE / (epoch_us(t2) - epoch_us(t))::DOUBLE), 0)")} AS zero FROM j""")
 def zero_bracket_row(spark, sf):
-    lines = calibration.zero_lines(calibrations(spark, sf), ["instrument", "parameter"])
-    rows = readings(spark, sf).join(small(lines), ["instrument", "parameter"], "left")
-    return calibration.add_zero(rows, "sample_time").select("event_id", r("zero").alias("zero"))
+    keys = ["instrument", "parameter"]
+    lines = calibration.zero_lines(calibrations(spark, sf), keys)
+    return calibration.add_zero(readings(spark, sf), lines, keys, "sample_time").select("event_id", r("zero").alias("zero"))
 
 
 @query(f"SELECT l_orderkey, l_linenumber, {sql_r('(l_extendedprice - l_tax - l_discount) / nullif(l_quantity - 25, 0)')} AS value FROM lineitem")

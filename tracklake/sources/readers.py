@@ -32,6 +32,17 @@ def _csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.csv(path, header=True, nullValue="NA")
 
 
+def _csv_by_header(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Many CSV files as one scan for each header among them, so plans do not grow with the number of files."""
+    if not paths:
+        return []
+    head = F.trim(F.substring_index(F.col("content").cast("string"), "\n", 1))
+    by: dict[str, list[str]] = {}
+    for r in spark.read.format("binaryFile").load(paths).select("path", head.alias("head")).collect():
+        by.setdefault(r.head, []).append(r.path)
+    return [_csv(spark, sorted(found)) for _, found in sorted(by.items())]
+
+
 def _number(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: known(F.col(n).try_cast("double")) for n in names if n in df.columns})
 
@@ -132,12 +143,17 @@ def read_standards(spark: SparkSession, path: str) -> DataFrame:
     return long.select(*ids, without_suffix("species").alias("species"), F.col("cal_concs").try_cast("double").alias("cal_concs"))
 
 
-#: Reaction rates (1e-9 cm3/s) of the species in the two standard cylinders (fixed values).
+#: Reaction rates (cm3/s) of the species in the two standard cylinders (fixed values).
 RATES = {
-    "CC524064": "C2H5O 2.97, CH5O 2.31, CH5S 2.21, C2H7O 2.37, C2H4N 4.03, C3H7O 3.24, C3H4N 4.17, C5H9 1.93, C2H7S 2.26, C4H7O 3.51, C4H9O 3.23, C6H7 1.93, "
-    "C7H9 2.07, C6H19O3Si3 3.20, C8H11 2.21, C10H17 2.48, C9H13 2.42, C10H23 2.50, C10H31O5Si5 3.50",
-    "CC515288": "C2H5O 2.97, CH5O 2.31, C2H7O 2.37, C3H7O 3.24, C3H4N 4.17, C5H9 1.93, C4H7O 3.51, C4H9O 3.23, C7H9 2.07, C8H11 2.21, C10H17 2.48, C9H13 2.42, "
-    "C10H23 2.50, C10H31O5Si5 3.50, C6H15 3.00",
+    "CC524064": {
+        "C2H5O": 2.97e-9, "CH5O": 2.31e-9, "CH5S": 2.21e-9, "C2H7O": 2.37e-9, "C2H4N": 4.03e-9, "C3H7O": 3.24e-9, "C3H4N": 4.17e-9, "C5H9": 1.93e-9,
+        "C2H7S": 2.26e-9, "C4H7O": 3.51e-9, "C4H9O": 3.23e-9, "C6H7": 1.93e-9, "C7H9": 2.07e-9, "C6H19O3Si3": 3.20e-9, "C8H11": 2.21e-9,
+        "C10H17": 2.48e-9, "C9H13": 2.42e-9, "C10H23": 2.50e-9, "C10H31O5Si5": 3.50e-9,
+    },
+    "CC515288": {
+        "C2H5O": 2.97e-9, "CH5O": 2.31e-9, "C2H7O": 2.37e-9, "C3H7O": 3.24e-9, "C3H4N": 4.17e-9, "C5H9": 1.93e-9, "C4H7O": 3.51e-9, "C4H9O": 3.23e-9,
+        "C7H9": 2.07e-9, "C8H11": 2.21e-9, "C10H17": 2.48e-9, "C9H13": 2.42e-9, "C10H23": 2.50e-9, "C10H31O5Si5": 3.50e-9, "C6H15": 3.00e-9,
+    },
 }
 
 
@@ -146,8 +162,7 @@ def read_rates(spark: SparkSession, cylinder: str, path: str | None = None) -> D
     if path:
         df = _csv(spark, path).filter(F.col("cylinder_number") == cylinder)
         return df.select("species", F.col("ksens").try_cast("double").alias("ksens"))
-    rows = [(s, float(k) * 1e-9) for s, k in (x.split() for x in RATES.get(cylinder, "").split(", ") if x)]
-    return spark.createDataFrame(rows, "species string, ksens double")
+    return spark.createDataFrame(list(RATES.get(cylinder, {}).items()), "species string, ksens double")
 
 
 def read_peak_names(spark: SparkSession, path: str) -> list[str]:
@@ -164,8 +179,8 @@ def read_gas_calibrations(spark: SparkSession, plain: list[str], renamed: list[s
     """Slopes and intercepts of the gas instruments, from both shapes of file."""
     out = None
     for paths, names in ((plain, {}), (renamed, {"compound": "parameter", "date": "sample_time", "instrument_d": "instrument"})):
-        for path in paths:
-            df = _number(_csv(spark, path).withColumnsRenamed(names), "slope", "intercept").withColumn("sample_time", parse_mixed("sample_time"))
+        for df in _csv_by_header(spark, paths):
+            df = _number(df.withColumnsRenamed(names), "slope", "intercept").withColumn("sample_time", parse_mixed("sample_time"))
             df = df.withColumns({c: F.lit(None).cast("double") for c in ("slope", "intercept") if c not in df.columns})
             df = df.select("instrument", "parameter", "sample_time", "slope", "intercept")
             out = df if out is None else out.unionByName(df)
@@ -176,15 +191,14 @@ def read_ion_calibrations(spark: SparkSession, stats: list[str], zeros: list[str
     """Slopes of the ions (without intercepts), filled for ions that only have zeros, and the zeros themselves."""
     empty = spark.createDataFrame([], "instrument string, parameter string, sample_time timestamp, zero double")
     z = empty
-    for path in zeros:
-        df = _csv(spark, path)
+    for df in _csv_by_header(spark, zeros):
         if "date" in df.columns:
             df = df.withColumn("date", parse_mixed("date"))
             df = _number(df, *(c for c in df.columns if c[:1] in letters and c != "V1"))
             z = z.unionByName(long_zeros(df, letters))
     s = None
-    for path in stats:
-        df = _number(_csv(spark, path), "slope", "ksens")
+    for df in _csv_by_header(spark, stats):
+        df = _number(df, "slope", "ksens")
         df = df.withColumns({c: F.lit(None).cast("double") for c in ("ksens",) if c not in df.columns})
         df = df.select(F.lit(ION_INSTRUMENT).alias("instrument"), F.col("species").alias("parameter"), floor_second(parse_mixed("date")).alias("sample_time"), "slope", "ksens")
         s = df if s is None else s.unionByName(df)
