@@ -126,6 +126,33 @@ def test_all_stages(spark, world):
     assert found.filter("parameter = 'CH4'").count() == 61
 
 
+def test_roads_from_map_elements(spark, world, tmp_path):
+    """The GPS stage builds the cells that its cache lacks, once, and matches the track to them."""
+    paths, config = load((world / "config.yaml").read_text().replace(f"roads_cache: {world}/roads", f"roads_cache: {tmp_path}/cells").replace(f"gps_processed: {world}/out/gps", f"gps_processed: {tmp_path}/gps"))
+    asked = []
+
+    def elements(cells):
+        asked.append(cells)
+        return readers.read_elements(spark, str(world / "map.json"))
+
+    pipeline = Pipeline(spark, paths, config, elements=elements)
+    for k in range(2):
+        assert pipeline.run(DAY, [Stage.GPS]), pipeline.results
+        assert asked == [[(37.7, -122.3), (37.8, -122.3)]]
+        track = spark.read.parquet(f"{tmp_path}/gps/gps_{DAY}.parquet")
+        assert track.count() == 600 and {r[0] for r in track.select("rd_name").distinct().collect()} == {"North"}
+    assert tuple(pipeline.match_summary(DAY).first())[:3] == (600, 600, 100.0)
+    config.use_cached_roads = False
+    assert pipeline.run(DAY, [Stage.GPS]) and len(asked) == 2
+
+
+def test_settings_from_elsewhere():
+    with pytest.warns(UserWarning, match="generate_diagnostics"):
+        paths, config = load("aliases: {raw_logs_there: logs_raw}\npaths: {raw_logs_there: /x}\nconfig: {generate_diagnostics: true, tof_extraction_freq: 1.5}\n")
+    assert paths.logs_raw == "/x" and config.tof_extraction_freq == 1.5
+    assert load("paths: {other: /y}", {"other": "field_map"})[0].field_map == "/y"
+
+
 def test_command_line_and_policies(spark, world, capsys):
     config = str(world / "config.yaml")
     assert main(["2025-07-15", "-c", config, "-s", "gps", "--skip-existing", "-q"]) == 0

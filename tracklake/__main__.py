@@ -33,7 +33,7 @@ def main(args: list[str] | None = None) -> int:
         print("\n".join(problems), file=sys.stderr)
         return 1
     good = pipeline.run_batch(dates, stages, given.stop_on_error)
-    if not given.quiet:
+    if config.verbose and not given.quiet:
         pipeline.summary().show(len(dates), truncate=False)
         for day, stage, status, detail in pipeline.results:
             if status == "ERROR":

@@ -6,19 +6,24 @@ run; within a stage all work is Spark's.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklake.functions.hexagons import hexagon_cells
 from tracklake.functions.text import is_ion
 from tracklake.operators import calibration, gps, output, quality, roads, targets
 from tracklake.operators.matching import match_and_count
 from tracklake.plans.config import Config, Paths, Stage, chosen
 from tracklake.sources import readers, writers
 from tracklake.sources.arrays import ArraySource, wide_counts
+from tracklake.sources.maps import RoadCache
 
+#: Resolution of the hexagons that published readings name (fixed value).
+EXCHANGE_HEXAGONS = 15
 RESULTS = "drive_date string, stage string, status string, detail string"
 
 
@@ -34,6 +39,8 @@ class Pipeline:
     paths: Paths
     config: Config
     skip_existing: bool = False
+    #: Map elements of a list of cells, for roads that the cache lacks; by default map servers are asked.
+    elements: Callable[[list[tuple[float, float]]], DataFrame] | None = None
     results: list[tuple[str, str, str, str | None]] = field(default_factory=list)
 
     # files
@@ -76,23 +83,28 @@ class Pipeline:
         c = self.config
         long = readers.read_log(self.spark, f"{self.paths.gps_raw}/{readers.log_name(day)}").withColumn("drive_date", F.lit(str(day)))
         track = gps.process_track(long, ["drive_date"], c.kalman_process_noise, c.kalman_measurement_noise, c.kalman_max_displacement_m, c.max_interpolation_gap_s)
-        files = self.listed(f"{self.paths.roads_cache}/*")
-        if not files:
-            raise FileNotFoundError(f"no road segments in {self.paths.roads_cache}")
-        segments = readers.read_segments(self.spark, files)
-        if "segment_id" not in segments.columns:
-            segments = roads.segment_table(segments)
-        segments = roads.in_box(roads.without_service(segments), track)
+        segments = roads.without_service(self.road_segments(track))
         matched = match_and_count(track, segments, ["drive_date"], match_m=c.max_match_distance_m, angle_deg=c.max_match_angle_deg)
         writers.write_track(gps.format_track(matched, ["drive_date"]), self.out(Stage.GPS, day))
 
+    def road_segments(self, track: DataFrame) -> DataFrame:
+        """Segments near a track: from ready files where the folder holds such, else from the cache, whose missing cells are built."""
+        c, folder = self.config, self.paths.roads_cache
+        files = [f for f in self.listed(f"{folder}/*") if not f.rsplit("/", 1)[1].startswith(("cell_lat=", "_", "."))]
+        if files and c.use_cached_roads:
+            segments = readers.read_segments(self.spark, files)
+            if "segment_id" not in segments.columns:
+                segments = roads.segment_table(segments)
+            return roads.in_box(segments, track)
+        return RoadCache(self.spark, folder, c.segment_length_m, elements=self.elements, fresh=not c.use_cached_roads).segments(track)
+
     def arrays_stage(self, day: date) -> None:
         self.spark.dataSource.register(ArraySource)
         folder = f"{self.paths.vocus_h5_raw}/{day:%Y%m%d}"
         read = lambda s: self.spark.read.format("arrays").option("stream", s).load(folder)
         names = readers.read_peak_names(self.spark, self.paths.peak_columns)
         controls = readers.read_control_columns(self.spark, self.paths.tps_columns)
-        writers.write_cps(wide_counts(read("peak"), read("control"), names, len(names), controls), self.out(Stage.ARRAYS, day))
+        writers.write_cps(wide_counts(read("peak"), read("control"), names, len(names), controls, self.config.tof_extraction_freq), self.out(Stage.ARRAYS, day))
 
     def ion_cal_stage(self, day: date) -> None:
         c = self.config
@@ -137,7 +149,7 @@ class Pipeline:
         done = spark.read.parquet(self.out(Stage.INSTRUMENT, day))
         rings = readers.read_rings(spark, p.exclusion_poly) if p.exclusion_poly else None
         if "L2a" in c.output_types:
-            writers.write_table(output.exchange_rows(done, fields, c.org, rings), f"{p.output_exchange}/l2a_{day}_{c.revision}.parquet")
+            writers.write_table(output.exchange_rows(done, fields, c.org, rings, hexagon_cells(EXCHANGE_HEXAGONS)), f"{p.output_exchange}/l2a_{day}_{c.revision}.parquet")
         if "L1" in c.output_types:
             writers.write_table(output.raw_rows(placed, fields), f"{p.output_exchange}/l1_{day}_{c.revision}.parquet")
         if c.target_instruments:
@@ -173,6 +185,10 @@ class Pipeline:
                 break
         return good
 
+    def match_summary(self, day: date) -> DataFrame:
+        """How much of a date's track found a road."""
+        return gps.match_statistics(self.spark.read.parquet(self.out(Stage.GPS, day)).withColumn("segment_id", F.col("lat_30")))
+
     def summary(self) -> DataFrame:
         """A row for each date with the state of each stage."""
         done = self.spark.createDataFrame(self.results, RESULTS)

@@ -79,7 +79,7 @@ def peak_names(names: list[str], size: int) -> list[str]:
     return names[:size] + [f"Peak_{i}" for i in range(len(names), size)]
 
 
-def wide_counts(peaks: DataFrame, controls: DataFrame, names: list[str], size: int, control_columns: list[tuple[int, str]]) -> DataFrame:
+def wide_counts(peaks: DataFrame, controls: DataFrame, names: list[str], size: int, control_columns: list[tuple[int, str]], frequency: float = FREQUENCY) -> DataFrame:
     """Peaks and controls side by side: ``date``, a column for each peak in counts per second, and the controls.
 
     Rows meet by their position in the order of files and rows, as far as the
@@ -93,7 +93,7 @@ def wide_counts(peaks: DataFrame, controls: DataFrame, names: list[str], size: i
 
     start = name_time("file")
     date = F.timestamp_micros(F.unix_micros(start) + (F.col("offset_s") * 1e6).cast("bigint"))
-    fitted = scaled_array(fitted_array("counts", size), FREQUENCY)
+    fitted = scaled_array(fitted_array("counts", size), frequency)
     left = placed(peaks, [date.alias("date"), fitted.alias("_c")])
     right = placed(controls, [F.get("counts", i).alias(n) for i, n in control_columns])
     cols = [F.get("_c", i).alias(n) for i, n in enumerate(peak_names(names, size))]

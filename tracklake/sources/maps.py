@@ -55,6 +55,8 @@ class RoadCache:
     size: float = 0.1
     buffer_m: float = 200.0
     elements: Callable[[list[tuple[float, float]]], DataFrame] | None = None
+    #: Build every cell anew, whatever the cache holds.
+    fresh: bool = False
 
     def fetched(self, cells: list[tuple[float, float]]) -> DataFrame:
         texts = [fetch(roads.map_query(a, b, a + self.size, b + self.size)) for a, b in cells]
@@ -72,7 +74,7 @@ class RoadCache:
     def segments(self, track: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
         """Segments near a track, from the cache, after what is missing was built."""
         needed = roads.cells_of(track, self.size, lat, lon)
-        have = self.stored()
+        have = None if self.fresh else self.stored()
         missing = roads.missing_cells(needed, have.select("cell_lat", "cell_lon").distinct()) if have is not None else needed
         cells = sorted((r.cell_lat, r.cell_lon) for r in missing.collect())  # cells of a drive
         if cells:
