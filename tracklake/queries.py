@@ -148,12 +148,12 @@ def time_window_closed(spark, sf):
 
 
 @query(f"""
-    WITH {READINGS}, track AS (SELECT user_id, date_trunc('minute', ts) AS sample_time, max({LAT}) AS lat_smooth, max({LON}) AS lon_smooth FROM events WHERE event_id % 3 <> 0 GROUP BY ALL)
+    WITH {READINGS}, track AS (SELECT user_id, date_trunc('minute', ts) AS sample_time, max({LAT}) AS lat_smooth, max({LON}) AS lon_smooth FROM events GROUP BY ALL)
     SELECT r.event_id, r.user_id, {sql_r('lat_smooth', 5)} AS lat_smooth, {sql_r('lon_smooth', 5)} AS lon_smooth
     FROM readings r JOIN track t ON r.user_id = t.user_id AND date_trunc('minute', r.sample_time) = t.sample_time""")
 def track_join(spark, sf):
     lat, lon = lat_lon()
-    e = table(spark, sf, "events").filter("event_id % 3 <> 0").withColumns({"lat": lat, "lon": lon, "sample_time": ntz(F.date_trunc("minute", "ts"))})
+    e = table(spark, sf, "events").withColumns({"lat": lat, "lon": lon, "sample_time": ntz(F.date_trunc("minute", "ts"))})
     track = e.groupBy("user_id", "sample_time").agg(F.max("lat").alias("lat_smooth"), F.max("lon").alias("lon_smooth"))
     rows = readings(spark, sf).withColumn("sample_time", ntz(F.date_trunc("minute", "sample_time")))
     joined = quality.join_track(rows, track, ["user_id"])
@@ -318,7 +318,27 @@ def displacement_guard(spark, sf):
     return gps.guard_displacement(e).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE p AS (SELECT event_id, CAST(ts AS DATE) AS day, user_id, epoch_us(ts) / 1e6::DOUBLE AS t, {LAT} AS lat, {LON} AS lon FROM events),
+    s AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY day, user_id) AS n, CASE WHEN t > lag(t) OVER w THEN t - lag(t) OVER w ELSE 1 END AS dt FROM p WINDOW w AS (PARTITION BY day, user_id ORDER BY t)),
+    f AS (
+        SELECT day, user_id, k, n, event_id, dt, lat AS x, 0::DOUBLE AS v, lon AS y, 0::DOUBLE AS w, 1e-6::DOUBLE AS a, 0::DOUBLE AS b, 1e-6::DOUBLE AS c,
+               lat AS gx, 0::DOUBLE AS gv, lon AS gy, 0::DOUBLE AS gw, 0::DOUBLE AS a1, 0::DOUBLE AS b1, 0::DOUBLE AS c1 FROM s WHERE k = 1
+        UNION ALL
+        SELECT day, user_id, k, n, event_id, dt, gx + a1 / (a1 + 1e-10) * (lat - gx), gv + b1 / (a1 + 1e-10) * (lat - gx), gy + a1 / (a1 + 1e-10) * (lon - gy), gw + b1 / (a1 + 1e-10) * (lon - gy),
+               a1 - a1 * a1 / (a1 + 1e-10), b1 - b1 * a1 / (a1 + 1e-10), c1 - b1 * b1 / (a1 + 1e-10), gx, gv, gy, gw, a1, b1, c1
+        FROM (SELECT s.*, f.x + f.v * s.dt AS gx, f.v AS gv, f.y + f.w * s.dt AS gy, f.w AS gw, f.a + s.dt * (2 * f.b + s.dt * f.c) + 1e-9 * s.dt * s.dt * s.dt / 3 AS a1,
+                     f.b + s.dt * f.c + 1e-9 * s.dt * s.dt / 2 AS b1, f.c + 1e-9 * s.dt AS c1
+              FROM f JOIN s ON f.day = s.day AND f.user_id = s.user_id AND s.k = f.k + 1)),
+    r AS (
+        SELECT day, user_id, k, event_id, x AS rx, v AS rv, y AS ry, w AS rw, gx, gv, gy, gw, a1, b1, c1, dt FROM f WHERE k = n
+        UNION ALL
+        SELECT day, user_id, k, event_id, x + j1 * ex + j2 * ev, v + j3 * ex + j4 * ev, y + j1 * ey + j2 * ew, w + j3 * ey + j4 * ew, gx, gv, gy, gw, a1, b1, c1, dt
+        FROM (SELECT f.*, r.rx - r.gx AS ex, r.rv - r.gv AS ev, r.ry - r.gy AS ey, r.rw - r.gw AS ew,
+                     ((f.a + r.dt * f.b) * r.c1 - f.b * r.b1) / (r.a1 * r.c1 - r.b1 * r.b1) AS j1, (f.b * r.a1 - (f.a + r.dt * f.b) * r.b1) / (r.a1 * r.c1 - r.b1 * r.b1) AS j2,
+                     ((f.b + r.dt * f.c) * r.c1 - f.c * r.b1) / (r.a1 * r.c1 - r.b1 * r.b1) AS j3, (f.c * r.a1 - (f.b + r.dt * f.c) * r.b1) / (r.a1 * r.c1 - r.b1 * r.b1) AS j4
+              FROM r JOIN f ON f.day = r.day AND f.user_id = r.user_id AND f.k = r.k - 1))
+    SELECT event_id, {sql_r('rx', 5)} AS lat_kf, {sql_r('ry', 5)} AS lon_kf FROM r""")
 def kalman_rts(spark, sf):
     lat, lon = lat_lon()
     e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), "user_id", F.col("ts").alias("sample_time"), lat.alias("lat"), lon.alias("lon"))
@@ -499,21 +519,34 @@ def no_calibration_guard(spark, sf):
 
 
 @query("""
-    WITH s AS (SELECT p_brand AS parameter, CAST(p_size AS DOUBLE) AS slope, p_size % 3 AS t FROM part WHERE p_size < 5),
+    WITH s AS (SELECT p_brand AS parameter, CAST(p_size AS DOUBLE) AS slope, p_size % 3 AS t FROM part),
     m AS (SELECT DISTINCT p_type AS parameter FROM part UNION SELECT DISTINCT p_brand FROM part), x AS (SELECT parameter FROM m WHERE parameter NOT IN (SELECT parameter FROM s)), d AS (SELECT DISTINCT t, t * 10.0::DOUBLE AS ksens FROM s)
     SELECT parameter, CAST(t AS BIGINT) AS t, slope FROM s UNION ALL SELECT x.parameter, CAST(d.t AS BIGINT), d.ksens FROM d CROSS JOIN x""")
 def species_fill(spark, sf):
     p = table(spark, sf, "part")
-    stats = p.filter("p_size < 5").select(F.lit("i").alias("instrument"), F.col("p_brand").alias("parameter"), (F.col("p_size") % 3).alias("sample_time"), F.col("p_size").cast("double").alias("slope")).withColumn("ksens", F.col("sample_time") * 10.0)
+    stats = p.select(F.lit("i").alias("instrument"), F.col("p_brand").alias("parameter"), (F.col("p_size") % 3).alias("sample_time"), F.col("p_size").cast("double").alias("slope")).withColumn("ksens", F.col("sample_time") * 10.0)
     names = p.select(F.col("p_type").alias("parameter")).union(p.select("p_brand"))
     return calibration.fill_species(stats, names).select("parameter", F.col("sample_time").cast("bigint").alias("t"), "slope")
 
 
-@query()
+BRACKETED = f"""{READINGS}, {CALS},
+    b AS (SELECT CAST(sample_time AS DATE) AS day, instrument, parameter, min(sample_time) AS low, max(sample_time) AS high FROM readings GROUP BY ALL),
+    a AS (SELECT b.day, b.instrument, b.parameter, arg_max(struct_pack(t := t, s := slope, i := intercept), t) FILTER (WHERE t < low) AS x, arg_min(struct_pack(t := t, s := slope, i := intercept), t) FILTER (WHERE t > high) AS y
+          FROM b JOIN cals c ON b.instrument = c.instrument AND b.parameter = c.parameter GROUP BY ALL),
+    j AS (SELECT r.*, x, y, CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN (epoch_us(sample_time) - epoch_us(x.t))::DOUBLE / (epoch_us(y.t) - epoch_us(x.t))::DOUBLE END AS w
+          FROM readings r LEFT JOIN a ON CAST(r.sample_time AS DATE) = a.day AND r.instrument = a.instrument AND r.parameter = a.parameter),
+    v AS (SELECT event_id, sample_time, instrument, parameter, value, CASE WHEN x IS NULL AND y IS NULL THEN 1 WHEN w IS NOT NULL THEN x.s + (y.s - x.s) * w ELSE coalesce(x, y).s END AS slope,
+          CASE WHEN x IS NULL AND y IS NULL THEN 0 WHEN w IS NOT NULL THEN x.i + (y.i - x.i) * w ELSE coalesce(x, y).i END AS intercept FROM j)"""
+
+
+@query(f"""
+    WITH {BRACKETED}
+    SELECT CAST(sample_time AS DATE) AS day, sample_time, instrument, parameter, {sql_r('min((value - intercept) / slope)')} AS value, '0' AS summary_flag FROM v GROUP BY ALL""")
 def calibrate_full(spark, sf):
     rows = readings(spark, sf).select(F.to_date("sample_time").alias("day"), "sample_time", "instrument", "parameter", "value", F.lit("0").alias("summary_flag"))
     cals = calibrations(spark, sf)
-    return calibration.calibrate(rows, cals, cals.select("instrument", "parameter", "sample_time", "zero"), ["day"], ["summary_flag"])
+    out = calibration.calibrate(rows, cals, cals.select("instrument", "parameter", "sample_time", "zero"), ["day"], ["summary_flag"])
+    return out.select("day", "sample_time", "instrument", "parameter", r("value").alias("value"), "summary_flag")
 
 
 # targets
@@ -531,7 +564,7 @@ def range_join_windows(spark, sf):
 
 
 @query(f"""
-    WITH g AS (SELECT CAST(ts AS DATE) AS day, event_type AS instrument, date_trunc('minute', ts) AS t FROM events WHERE user_id % 3 = 1 GROUP BY ALL),
+    WITH g AS (SELECT CAST(ts AS DATE) AS day, event_type AS instrument, date_trunc('minute', ts) AS t FROM events GROUP BY ALL),
     l AS (SELECT *, lag(t) OVER (PARTITION BY day, instrument ORDER BY t) AS p FROM g),
     s AS (SELECT *, sum(CASE WHEN p IS NULL OR epoch_us(t) - epoch_us(p) >= 3000000 THEN 1 ELSE 0 END) OVER (PARTITION BY day, instrument ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM l),
     w AS (SELECT day, instrument, k, max(t) AS e FROM s GROUP BY ALL),
@@ -542,7 +575,7 @@ def range_join_windows(spark, sf):
     JOIN c ON x.instrument = c.instrument AND x.parameter = c.parameter""")
 def inlet_targets(spark, sf):
     rows = readings(spark, sf).withColumns({"day": F.to_date("sample_time"), "sample_time": F.date_trunc("minute", "sample_time")})
-    gates = rows.filter("user_id % 3 = 1").select("day", "instrument", "sample_time", F.lit(1.0).alias("Inlet_Number")).distinct()
+    gates = rows.select("day", "instrument", "sample_time", F.lit(1.0).alias("Inlet_Number")).distinct()
     concs = spark.createDataFrame([(i, f"p{k}", 5.0 * k + n) for n, i in enumerate(INSTRUMENTS) for k in range(4)], "instrument string, parameter string, conc double")
     named = rows.withColumn("parameter", F.concat_ws("#", "parameter", "event_id"))
     wide = concs.join(named.select("instrument", "parameter").distinct(), [concs["instrument"] == named["instrument"], concs["parameter"] == F.split(named["parameter"], "#")[0]]).select(named["instrument"], named["parameter"], "conc")
@@ -610,9 +643,9 @@ def point_mean(spark, sf):
     return output.mean_by_point(e, "value").select("lat", "lon", r("value").alias("value"), "n")
 
 
-@query(f"SELECT event_type || '-' || CAST(user_id AS VARCHAR) AS geometry, {sql_r('avg(value)')} AS value, count(*) AS n FROM events WHERE user_id % 10 <> 0 GROUP BY ALL")
+@query(f"SELECT event_type || '-' || CAST(user_id AS VARCHAR) AS geometry, {sql_r('avg(value)')} AS value, count(*) AS n FROM events GROUP BY ALL")
 def line_mean(spark, sf):
-    line = F.when(F.col("user_id") % 10 != 0, F.concat_ws("-", "event_type", F.col("user_id").cast("string")))
+    line = F.concat_ws("-", "event_type", F.col("user_id").cast("string"))
     return output.mean_by_line(table(spark, sf, "events").select(line.alias("geometry"), "value"), "value").select("geometry", r("value").alias("value"), "n")
 
 
@@ -743,9 +776,43 @@ def parse_roads(spark, sf):
     return out.select("way_id", F.size("coords").cast("bigint").alias("n"), "rd_type", "rd_name", "oneway", r(F.col("coords")[0]["lat"], 5).alias("lat"), r("rd_deg", 3).alias("rd_deg"))
 
 
-@query()
+_STEP = sql_haversine("plat", "plon", "lat", "lon")
+
+
+def _sql_at(d: str, f: str) -> str:
+    """A coordinate at a distance along a piece: between the vertex before it and the next."""
+    k = f"greatest(1, least(len(list_filter(ds, lambda x: x < {d})), m - 1))"
+    share = f"coalesce(({d} - ds[{k}]) / nullif(ds[{k} + 1] - ds[{k}], 0), 0)"
+    return f"({f}[{k}] + {share} * ({f}[{k} + 1] - {f}[{k}]))"
+
+
+@query(f"""
+    WITH n AS (SELECT c_custkey AS id, {_CA} AS lat, {_CO} AS lon FROM customer),
+    w AS (SELECT s_suppkey AS way_id, s_suppkey + i * i AS node, i FROM supplier CROSS JOIN (SELECT unnest(range(1, 7)) AS i) WHERE s_suppkey % 7 <> 0),
+    j AS (SELECT way_id, node, lat, lon, row_number() OVER (PARTITION BY way_id ORDER BY CASE WHEN way_id % 3 = 0 THEN -i ELSE i END) - 1 AS j, count(*) OVER (PARTITION BY way_id) AS m FROM w JOIN n ON w.node = n.id),
+    q AS (SELECT * FROM j WHERE m >= 2),
+    e AS (SELECT way_id, arg_min(lat, j) AS a1, arg_min(lon, j) AS o1, arg_max(lat, j) AS a2, arg_max(lon, j) AS o2 FROM q GROUP BY way_id),
+    g AS (SELECT way_id, CASE WHEN way_id % 5 = 0 THEN 'service' ELSE 'residential' END AS rd_type, 'R' || CAST(way_id % 9 AS VARCHAR) AS rd_name, way_id % 3 <> 2 AS oneway, {sql_bearing('a1', 'o1', 'a2', 'o2')} AS deg FROM e),
+    d AS (SELECT *, bool_or(oneway) OVER (PARTITION BY rd_name) AND first_value(rd_type) OVER (PARTITION BY rd_name ORDER BY way_id) <> 'service' AS split, deg - avg(deg) OVER (PARTITION BY rd_name) + 180 AS off FROM g),
+    k AS (SELECT *, CASE WHEN split THEN CAST(abs((off % 360 + 360) % 360 - 180) > 45 AS INTEGER) ELSE -1 END AS cluster FROM d),
+    c AS (SELECT q.*, j > 0 AND j < m - 1 AND count(*) OVER (PARTITION BY node) > 1 AS cut FROM q),
+    b AS (SELECT *, sum(CAST(cut AS INTEGER)) OVER (PARTITION BY way_id ORDER BY j) AS piece FROM c),
+    v AS (SELECT way_id, piece, j, node, lat, lon FROM b UNION ALL SELECT way_id, piece - 1, j, node, lat, lon FROM b WHERE cut),
+    h AS (SELECT *, lag(lat) OVER u AS plat, lag(lon) OVER u AS plon FROM v WINDOW u AS (PARTITION BY way_id, piece ORDER BY j)),
+    s AS (SELECT *, sum(CASE WHEN plat IS NULL THEN 0 ELSE {_STEP} END) OVER (PARTITION BY way_id, piece ORDER BY j) AS dist FROM h),
+    l AS (SELECT way_id, piece, list(node ORDER BY j) AS nodes, list(lat ORDER BY j) AS las, list(lon ORDER BY j) AS los, list(dist ORDER BY j) AS ds, count(*) AS m, max(dist) AS len FROM s GROUP BY way_id, piece),
+    o AS (SELECT *, row_number() OVER (PARTITION BY rd_type, rd_name, oneway, cluster, CASE WHEN nodes < list_reverse(nodes) THEN nodes ELSE list_reverse(nodes) END ORDER BY way_id, piece) AS copy FROM l JOIN k USING (way_id)),
+    t AS (SELECT *, CASE WHEN len < 15 THEN 1 ELSE greatest(1, CAST(round_even(len / 30, 0) AS BIGINT)) END AS n FROM o WHERE copy = 1),
+    x AS (SELECT *, unnest(range(0, n)) AS part, len / n AS size FROM t),
+    y AS (SELECT *, CASE WHEN n = 1 THEN las[1] ELSE {_sql_at('part * size', 'las')} END AS start_lat, CASE WHEN n = 1 THEN los[1] ELSE {_sql_at('part * size', 'los')} END AS start_lon,
+          CASE WHEN n = 1 THEN las[m] ELSE {_sql_at('(part + 1) * size', 'las')} END AS end_lat, CASE WHEN n = 1 THEN los[m] ELSE {_sql_at('(part + 1) * size', 'los')} END AS end_lon,
+          {sql_r(f"CASE WHEN len < 15 THEN las[m // 2 + 1] ELSE {_sql_at('(part + 0.5) * size', 'las')} END", 6)} AS center_lat, {sql_r(f"CASE WHEN len < 15 THEN los[m // 2 + 1] ELSE {_sql_at('(part + 0.5) * size', 'los')} END", 6)} AS center_lon FROM x)
+    SELECT row_number() OVER (ORDER BY floor(center_lat * 10), floor(center_lon * 10), center_lat, center_lon, rd_type, rd_name, start_lat, start_lon, end_lat, end_lon) - 1 AS segment_id, rd_name AS road_name, rd_type AS highway, oneway,
+           CAST(NULL AS VARCHAR) AS service, {sql_r('start_lat', 6)} AS start_lat, {sql_r('start_lon', 6)} AS start_lon, {sql_r('end_lat', 6)} AS end_lat, {sql_r('end_lon', 6)} AS end_lon, center_lat, center_lon,
+           {sql_r(sql_bearing('start_lat', 'start_lon', 'end_lat', 'end_lon'), 2)} AS bearing_deg FROM y""")
 def segmentise(spark, sf):
-    return roads.build_segments(elements(spark, sf), 30.0)
+    out = roads.build_segments(elements(spark, sf), 30.0)
+    return out.withColumns({c: r(c, 6) for c in ("start_lat", "start_lon", "end_lat", "end_lon")} | {"bearing_deg": r("bearing_deg", 2)})
 
 
 @query(f"""
