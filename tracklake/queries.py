@@ -65,12 +65,16 @@ READINGS = """readings AS (
     FROM events)"""
 
 
-def lat_lon(key: str = "event_id", a: int = 37, b: int = 53) -> tuple[Column, Column]:
-    return F.lit(37.8) + (F.col(key) * a % 1000) / F.lit(1e5), F.lit(-122.3) + (F.col(key) * b % 1000) / F.lit(1e5)
+def lat_lon(key: str = "event_id", a: int = 37, b: int = 53, scale: float = 1e5) -> tuple[Column, Column]:
+    return F.lit(37.8) + (F.col(key) * a % 1000) / F.lit(scale), F.lit(-122.3) + (F.col(key) * b % 1000) / F.lit(scale)
 
 
-def sql_lat_lon(key: str = "event_id", a: int = 37, b: int = 53) -> tuple[str, str]:
-    return f"(37.8::DOUBLE + ({key} * {a} % 1000) / 1e5::DOUBLE)", f"(-122.3::DOUBLE + ({key} * {b} % 1000) / 1e5::DOUBLE)"
+def sql_lat_lon(key: str = "event_id", a: int = 37, b: int = 53, scale: float = 1e5) -> tuple[str, str]:
+    return f"(37.8::DOUBLE + ({key} * {a} % 1000) / {scale}::DOUBLE)", f"(-122.3::DOUBLE + ({key} * {b} % 1000) / {scale}::DOUBLE)"
+
+
+#: Nodes of the map lie on no decimal grid: there, middles of segments would be ties of rounding to six digits.
+NODES = ("c_custkey", 7, 11, 99_973.0)
 
 
 LAT, LON = sql_lat_lon()
@@ -752,7 +756,7 @@ def stage_summary(spark, sf):
 
 def elements(spark, sf):
     """Map elements: a node for each customer, a way over six nodes for each supplier."""
-    lat, lon = lat_lon("c_custkey", 7, 11)
+    lat, lon = lat_lon(*NODES)
     kind = "map<string,string>"
     nodes = table(spark, sf, "customer").select(F.lit("node").alias("type"), F.col("c_custkey").alias("id"), lat.alias("lat"), lon.alias("lon"), F.lit(None).cast("array<bigint>").alias("nodes"), F.lit(None).cast(kind).alias("tags"))
     k = F.col("s_suppkey")
@@ -761,7 +765,7 @@ def elements(spark, sf):
     return nodes.unionByName(ways)
 
 
-_CA, _CO = sql_lat_lon("c_custkey", 7, 11)
+_CA, _CO = sql_lat_lon(*NODES)
 
 
 @query(f"""
