@@ -305,3 +305,23 @@ def test_gaps_of_a_whole_day_are_filled_in_one_pass(spark):
     began = time.time()
     wrong = ordered.fill_gaps(day, ["by"], "t", [f"v{k}" for k in range(4)], 5.0).filter("abs(v3 - 4 * unix_timestamp(t)) > 1e-6 AND unix_timestamp(t) < 86397").count()
     assert wrong == 0 and time.time() - began < 60
+
+
+def test_groups_are_smoothed_alone_however_batches_cut_them(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, None if k == 3 else f"d{k % 2}", float(t), *rng.normal(size=2).tolist()) for k in range(4) for t in range((1, 50, 13, 7)[k])]
+    df = spark.createDataFrame(rows, "k int, day string, s double, lat double, lon double").withColumn("at", F.timestamp_seconds("s")).repartition(3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = {(r.k, r.s): (r.lat_kf, r.lon_kf) for r in gps.smooth(df, ["day", "k"], "at").collect()}
+        whole = gps.smooth(df.filter("k = 1"), [], "at").orderBy("s").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(got) == len(rows)
+    for k in range(4):
+        own = [r for r in rows if r[0] == k]
+        want = gps.smooth_axis(np.array([r[2] for r in own]), np.array([r[3:] for r in own]), 1e-9, 1e-10)
+        assert all(got[k, r[2]] == pytest.approx(tuple(w), abs=1e-12) for r, w in zip(own, want))
+        if k == 1:
+            assert [r.lat_kf for r in whole] == pytest.approx(want[:, 0].tolist(), abs=1e-12)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,17 +92,45 @@ def smooth(track: DataFrame, by: list[str], time: str = "sample_time", process:
     """Add ``lat_kf`` and ``lon_kf``, the smoothed position.
 
     The filter runs through a group in order, so a group (a vehicle's day, of
-    86,400 rows at most) is one unit of work; groups run in parallel.
+    86,400 rows at most) is one unit of work and is all that is held at a time;
+    a task takes its groups one after the other from its sorted rows, however
+    many and small they are.
     """
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_us", kind="stable")
-        found = smooth_axis(frame["_us"].to_numpy() / 1e6, frame[["lat", "lon"]].to_numpy(float), process, measurement)
-        return frame.assign(lat_kf=found[:, 0], lon_kf=found[:, 1])
-
-    rows = track.withColumn("_us", micros(time))
-    fields = T.StructType([*rows.schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("lat_kf", "lon_kf"))])
-    return rows.groupBy(*by).applyInPandas(run, fields).drop("_us")
+    rows = track.withColumns({"_us": micros(time), "_g": F.to_json(F.struct(*by)) if by else F.lit("")})
+    names = [c for c in rows.columns if c not in ("_us", "_g")]
+    fields = T.StructType([*(rows.schema[c] for c in names), *(T.StructField(c, T.DoubleType()) for c in ("lat_kf", "lon_kf"))])
+
+    def smoothed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole groups, end to end."""
+        whole = pa.Table.from_batches(held)
+        t = whole.column("_us").to_numpy() / 1e6
+        z = np.column_stack([whole.column(c).to_numpy().astype(float) for c in ("lat", "lon")])
+        g = whole.column("_g").to_numpy()
+        cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
+        found = [smooth_axis(t[i:j], z[i:j], process, measurement) for i, j in zip([0, *cuts], [*cuts, len(t)], strict=True)]
+        out = np.concatenate(found)
+        done = pa.table([*(whole.column(c) for c in names), pa.array(out[:, 0]), pa.array(out[:, 1])], names=[f.name for f in fields])
+        yield from done.combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g = batch.column("_g").to_numpy(zero_copy_only=False)
+            last = int(np.flatnonzero(g[1:] != g[:-1])[-1]) + 1 if (g[1:] != g[:-1]).any() else 0
+            if not last and held and held[-1].column("_g")[0].as_py() != g[0]:
+                yield from smoothed(held)
+                held = []
+            elif last:
+                yield from smoothed([*held, batch.slice(0, last)])
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield from smoothed(held)
+
+    dealt = rows.repartition(*by) if by else rows.repartition(1)
+    return dealt.sortWithinPartitions("_g", "_us").mapInArrow(run, fields)
 
 
 def guard_displacement(track: DataFrame, most_m: float = 15.0) -> DataFrame:
