@@ -150,3 +150,54 @@ def test_whole_rows_with_odd_names(spark):
     assert out.columns == df.columns and sorted(map(tuple, out.collect())) == [rows[1], rows[3], rows[4]]
     near = near_dedup(df, text_col="te.xt")
     assert near.columns == df.columns and sorted(r[0] for r in near.collect()) == [1, 3, 5]
+
+
+def test_wide_fingerprints_against_brute_force(spark):
+    """Links of 256 bits: all of those that two texts have, found over tiles; the first 64 bits are the narrow fingerprint."""
+    import tracklake.llm.simhash as simhash
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(40):
+        base = [rng.choice(words) for _ in range(rng.choice([3, 80, 200]))]
+        for _ in range(rng.choice([1, 4])):
+            own = list(base)
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            texts.append(" ".join(own))
+    rows = list(enumerate(dict.fromkeys([*texts, "", " ", "x " * 9000])))
+    wide = {i: simhash.wide_fingerprint(t.encode(), 5, 4) for i, t in rows}
+    assert all(int(wide[i][0]) == simhash.fingerprint(t.encode(), 5) for i, t in rows)
+
+    def linked(a, b):
+        apart = [(int(x) ^ int(y)).bit_count() for x, y in zip(wide[a], wide[b], strict=True)]
+        return apart[0] <= 16 and sum(apart) <= 46
+
+    want = brute_components([i for i, _ in rows], linked)
+    old, simhash.TILE = simhash.TILE, 32
+    try:
+        kept = near_dedup(docs(spark, rows)).collect()
+    finally:
+        simhash.TILE = old
+    assert sorted(r.doc_id for r in kept) == sorted(set(want.values())) and len(kept) < len(rows)
+
+
+def test_near_dedup_goes_by_similarity():
+    """Texts with most five-word shingles in common are linked, texts with half of them are not."""
+    import numpy as np
+
+    from tracklake.llm.simhash import wide_fingerprint
+
+    rng, near, far = random.Random(5), 0, 0
+    for _ in range(100):
+        base = [str(rng.randrange(5000)) for _ in range(300)]
+        for changes, half in ((4, False), (20, True)):
+            other = list(base)
+            for k in range(changes):
+                other[(k * 300 // changes) + 7] = "other"
+            a, b = (wide_fingerprint(" ".join(t).encode(), 5, 4) for t in (base, other))
+            apart = np.bitwise_count(a ^ b)
+            linked = bool(apart[0] <= 16 and apart.sum() <= 46)
+            near, far = near + (linked and not half), far + (linked and half)
+    assert near >= 97 and far <= 1  # similarities of 0.87 and 0.5
