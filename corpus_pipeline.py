@@ -30,8 +30,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the row with the smallest id stays."""
-    return simhash.near_dedup(docs, shingle=4, radius=4)
+    """Of each component of near-duplicates (five words, a similarity of 0.8) the row with the smallest id stays."""
+    return simhash.near_dedup(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
