@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, materialize, numbered, texts
+from .common import column, materialize, mix, numbered, spread, texts
 from .components import connected_components
 
 #: Fingerprints in a tile, and the most tiles there may be; beyond that, tiles
@@ -21,6 +21,8 @@ TILE, MOST_TILES = 2048, 65_536
 GROUPS, MOST_SIDE, MOST_SQUARES = 24, 256, 4096
 #: Population counts are taken of the 64 bits whole and in so many equal parts.
 PARTS = (1, 2, 4, 8)
+#: Hashes for further 64 bits are scrambled after so many steps of this size.
+STEP = 0x9E3779B97F4A7C15
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -28,16 +30,6 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int(wide_fingerprint(text, shingle, 1, seed)[0])
 
 
-def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Other hashes of what ``hashes`` are of, for k over 0: the output step of SplitMix64."""
-    if not k:
-        return hashes
-    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def wide_fingerprint(text: bytes, shingle: int, words64: int, seed: int = 42) -> np.ndarray:
     """The SimHash of ``words64`` times 64 bits; the first 64 are those of ``fingerprint``."""
     words = text.lower().split()
@@ -55,7 +47,8 @@ def wide_fingerprint(text: bytes, shingle: int, words64: int, seed: int = 42) ->
     ones = np.zeros((words64, 64), dtype=np.int64)
     for at in range(0, len(hashes), 65_536):
         for k in range(words64):
-            part = _mixed(hashes[at : at + 65_536], k).astype(">u8").view(np.uint8).reshape(-1, 8)
+            part = hashes[at : at + 65_536]
+            part = (mix(part + np.uint64(k * STEP % (1 << 64))) if k else part).astype(">u8").view(np.uint8).reshape(-1, 8)
             ones[k] += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > len(hashes), axis=1).view(">u8").ravel().astype(np.uint64)
 
@@ -266,15 +259,13 @@ def near_fingerprints(fps: DataFrame, radius: int, first: int | None = None) ->
     return dealt.mapInArrow(_compare(low, high, radius, first, side, columns), "u long, v long")
 
 
-def _components(fps: DataFrame, radius: int, first: int | None = None) -> DataFrame:
-    """Each distinct fingerprint's name with the ``root`` of its component and that component's smallest id."""
+def _roots(fps: DataFrame, radius: int, first: int | None = None) -> DataFrame:
+    """Each distinct fingerprint's name with the ``root`` of its component and ``own``, the smallest id that has it."""
     node = _node(fps)
     links = connected_components(near_fingerprints(fps, radius, first))
     own = fps.groupBy(node).agg(F.min("id").alias("own"))
     rooted = own.join(links, own[node] == links["u"], "left").select(node, F.coalesce("root", node).alias("root"), "own")
-    rooted = materialize(rooted, "rooted")
-    best = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
-    return materialize(rooted.join(best, "root").select(node, "root", "component_id"), "named")
+    return materialize(rooted, "rooted")
 
 
 def simhash_components(
@@ -290,7 +281,10 @@ def simhash_components(
     other columns, whatever their names, are ignored.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fps")
-    return fps.join(_components(fps, radius), "fp").select(
+    rooted = _roots(fps, radius)
+    best = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
+    named = materialize(spread(rooted, best, ["root"]).select("fp", "component_id"), "named")
+    return fps.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -313,8 +307,8 @@ def near_dedup(
     """
     rows, (i, t) = numbered(docs, id_col, text_col)
     fps = materialize(fingerprints(rows, i, t, shingle, words64), "fps")
-    named = fps.join(_components(fps, radius, first), _node(fps))
-    best = named.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best"))
+    best = fps.join(_roots(fps, radius, first), _node(fps))
+    best = best.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best"))
     kept = materialize(best.select(F.col("best.id").alias("id"), F.col("best.digest").alias("digest")), "kept")
     match = rows[i].eqNullSafe(kept["id"]) & (F.xxhash64(rows[t]) == kept["digest"])
     return rows.join(kept, match, "left_semi").toDF(*docs.columns)
