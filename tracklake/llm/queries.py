@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from . import language_id, quality, toxicity
 from .bpe import encode_decode
 from .common import table
+from .conversation_repair import damaged, repair
 from .exact_dedup import content_sort_dedup
 from .nearest import nearest
 from .packing import pack
@@ -73,6 +74,10 @@ def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, learned, {"held_out": held_out}, reject=False)
 
 
+def op13_conversation_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack_nnls": op1_pack_nnls,
     "op2_bpe_pair_index": op2_bpe_pair_index,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_collision_counting": op8_collision_counting,
     "op9_simhash_tiles": op9_simhash_tiles,
     "op10_language_zstd": op10_language_zstd,
+    "op13_conversation_viterbi": op13_conversation_viterbi,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -120,4 +126,72 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r)
     """,
+    "op13_conversation_viterbi": r"""
+        WITH RECURSIVE bits AS (  -- the table of crc32
+            SELECT b, b AS c, 0 AS k FROM (SELECT unnest(range(0, 256)) AS b)
+            UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+        ),
+        crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_prepend(4294967295, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))) AS letters
+            FROM conversations
+        ),
+        kinds AS (SELECT conv_id, turn, role, text, xor(list_reduce(letters, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+        harmed AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE kind WHEN 0 THEN []::INTEGER[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM kinds
+        ),
+        ids AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+        placed AS (
+            SELECT c, turn, role, text, left(role, 1) AS r, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open_
+            FROM harmed JOIN ids ON harmed.conv_id IS NOT DISTINCT FROM ids.conv_id
+        ),
+        told AS (
+            SELECT *, NOT blank AND row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+                   lag(r) OVER (PARTITION BY c ORDER BY i) || r AS pair
+            FROM placed
+        ),
+        counts AS (
+            SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+                   count(*) FILTER (NOT blank AND NOT again AND open_) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM told GROUP BY c
+        ),
+        dp AS (  -- by state the least (cost, audit) and what is written: b nothing yet, s, u, a after the system's, user's, assistant's turn
+            SELECT c, CAST(0 AS BIGINT) AS i, {'n': CAST(0 AS BIGINT), 'e': '', 'w': ''} AS b, CAST(NULL AS STRUCT(n BIGINT, e VARCHAR, w VARCHAR)) AS s,
+                   {'n': CAST(2 AS BIGINT), 'e': 'I', 'w': E'\nuser:'} AS u, {'n': CAST(4 AS BIGINT), 'e': 'II', 'w': E'\nuser:\nassistant:'} AS a
+            FROM ids
+            UNION ALL
+            SELECT c, i, b, s, u, list_min([a, CASE WHEN u IS NOT NULL THEN {'n': u.n + 2, 'e': u.e || 'I', 'w': u.w || E'\nassistant:'} END])
+            FROM (
+                SELECT c, i, b, s, a, list_min([u, {'n': b.n + 2, 'e': b.e || 'I', 'w': b.w || E'\nuser:'},
+                       CASE WHEN s IS NOT NULL THEN {'n': s.n + 2, 'e': s.e || 'I', 'w': s.w || E'\nuser:'} END,
+                       CASE WHEN a IS NOT NULL THEN {'n': a.n + 2, 'e': a.e || 'I', 'w': a.w || E'\nuser:'} END]) AS u
+                FROM (
+                    SELECT dp.c, t.i, {'n': b.n + 3, 'e': b.e || 'D', 'w': b.w} AS b,
+                           list_min([CASE WHEN s IS NOT NULL THEN {'n': s.n + 3, 'e': s.e || 'D', 'w': s.w} END,
+                                     CASE WHEN NOT gone AND r = 's' THEN {'n': b.n + late, 'e': b.e || 'K', 'w': b.w || line} END]) AS s,
+                           list_min([CASE WHEN u IS NOT NULL THEN {'n': u.n + 3, 'e': u.e || 'D', 'w': u.w} END,
+                                     CASE WHEN NOT gone THEN {'n': b.n + late + ku, 'e': b.e || eu, 'w': b.w || lu} END,
+                                     CASE WHEN NOT gone AND s IS NOT NULL THEN {'n': s.n + late + ku, 'e': s.e || eu, 'w': s.w || lu} END,
+                                     CASE WHEN NOT gone AND a IS NOT NULL THEN {'n': a.n + late + ku, 'e': a.e || eu, 'w': a.w || lu} END]) AS u,
+                           list_min([CASE WHEN a IS NOT NULL THEN {'n': a.n + 3, 'e': a.e || 'D', 'w': a.w} END,
+                                     CASE WHEN NOT gone AND u IS NOT NULL THEN {'n': u.n + late + ka, 'e': u.e || ea, 'w': u.w || la} END]) AS a
+                    FROM dp JOIN (
+                        SELECT c, i, r, blank OR again AS gone, CASE WHEN open_ THEN 1 ELSE 0 END AS late, E'\n' || role || ':' || text AS line,
+                               CASE r WHEN 'u' THEN 0 ELSE 2 END AS ku, CASE r WHEN 'u' THEN 'K' ELSE 'R' END AS eu, E'\n' || CASE r WHEN 'u' THEN role ELSE 'user' END || ':' || text AS lu,
+                               CASE r WHEN 'a' THEN 0 ELSE 2 END AS ka, CASE r WHEN 'a' THEN 'K' ELSE 'R' END AS ea, E'\n' || CASE r WHEN 'a' THEN role ELSE 'assistant' END || ':' || text AS la
+                        FROM told
+                    ) t ON t.c = dp.c AND t.i = dp.i + 1
+                )
+            )
+        ),
+        ended AS (SELECT c, list_min([b, a]) AS best FROM dp QUALIFY row_number() OVER (PARTITION BY c ORDER BY i DESC) = 1)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               best.n AS cost, best.e AS audit, sha256(substr(best.w, 2)) AS repaired_sha256
+        FROM ids JOIN ended USING (c) LEFT JOIN counts USING (c)
+    """,
 }
