@@ -20,6 +20,7 @@ from .packing import pack
 from .simhash import simhash_components
 from .substring_dedup import cut_repeats
 from .toolcalls import link_conversations
+from .whitening import whiten
 
 
 def tokenizer(name: str) -> str:
@@ -74,6 +75,10 @@ def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, learned, {"held_out": held_out}, reject=False)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(table(spark, sf_dir, "conversations")))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_collision_counting": op8_collision_counting,
     "op9_simhash_tiles": op9_simhash_tiles,
     "op10_language_zstd": op10_language_zstd,
+    "op12_whitening": op12_whitening,
     "op13_conversation_viterbi": op13_conversation_viterbi,
 }
 
