@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality, toxicity
+from . import language_id, pii, quality, toxicity
 from .bpe import encode_decode
 from .common import table
 from .conversation_repair import damaged, repair
@@ -75,6 +75,10 @@ def op10_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, learned, {"held_out": held_out}, reject=False)
 
 
+def op11_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_collision_counting": op8_collision_counting,
     "op9_simhash_tiles": op9_simhash_tiles,
     "op10_language_zstd": op10_language_zstd,
+    "op11_pii_bootstrap": op11_pii_bootstrap,
     "op12_whitening": op12_whitening,
     "op13_conversation_viterbi": op13_conversation_viterbi,
 }
