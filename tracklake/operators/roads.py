@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklake.functions.geo import DEGREE, bearing, cell, haversine, line_bearing
 from tracklake.functions.numbers import round_even
 from tracklake.functions.text import tag
+from tracklake.operators import noding
 from tracklake.operators.small import small
 
 #: Road classes that are taken from the map (fixed values).
@@ -45,18 +46,28 @@ def parse_roads(elements: DataFrame, classes: tuple[str, ...] = ROAD_CLASSES) ->
     return roads.withColumn("rd_deg", line_bearing(F.col("coords")))
 
 
-def cluster_directions(roads: DataFrame, threshold: float = 90.0) -> DataFrame:
+def cluster_directions(roads: DataFrame, threshold: float = 90.0, by: tuple[str, ...] = ("rd_name",), counted: Column | None = None) -> DataFrame:
     """Two clusters of direction within a name of which any way is one-way and the first class is not ``service``; else -1.
 
     A way joins cluster 1 if it lies more than half the threshold off the
-    name's arithmetic mean.  Ways without a name are no group and do not meet in
-    one task.
+    name's arithmetic mean.  ``by`` are the columns that make a name (also of a
+    cell); rows whose ``rd_name`` is null are no group, unless other columns bound
+    it.  ``counted`` tells rows that stand for a way, where it has several.
+    Names are summed up and joined back, so a name of a whole country is no
+    task of its own.
     """
-    named = Window.partitionBy("rd_name")
-    first = F.min_by("rd_type", "way_id").over(named)
-    split = F.max("oneway").over(named) & (first != "service")
-    off = F.abs(F.pmod(F.col("rd_deg") - F.avg("rd_deg").over(named) + 180.0, F.lit(360.0)) - 180.0)
-    grouped = roads.filter("rd_name IS NOT NULL").withColumn("cluster", F.when(split, (off > threshold / 2).cast("int")).otherwise(F.lit(-1)))
+    bounded = set(by) != {"rd_name"}
+    named = roads if bounded else roads.filter("rd_name IS NOT NULL")
+    sums = named.filter(counted) if counted is not None else named
+    stats = sums.groupBy(*by).agg(F.min_by("rd_type", "way_id").alias("_first"), F.max("oneway").alias("_any"), F.avg("rd_deg").alias("_mean"))
+    stats = stats.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [F.coalesce(F.col(c).cast("string"), F.lit("")) == F.coalesce(F.col(f"_{c}").cast("string"), F.lit("")) for c in by]
+    same += [F.col("rd_name").isNull() == F.col("_rd_name").isNull()] if bounded else []
+    off = F.abs(F.pmod(F.col("rd_deg") - F.col("_mean") + 180.0, F.lit(360.0)) - 180.0)
+    split = F.col("_any") & (F.col("_first") != "service")
+    grouped = named.join(stats, same).withColumn("cluster", F.when(split, (off > threshold / 2).cast("int")).otherwise(F.lit(-1))).drop("_first", "_any", "_mean", *(f"_{c}" for c in by))
+    if bounded:
+        return grouped
     return grouped.unionByName(roads.filter("rd_name IS NULL").withColumn("cluster", F.lit(-1)))
 
 
@@ -171,6 +182,22 @@ def build_segments(elements: DataFrame, length_m: float = 30.0, classes: tuple[s
     return segment_table(segmentise(split_at_crossings(roads, elements) if split else roads, length_m))
 
 
+def build_cells(elements: DataFrame, length_m: float = 30.0, size: float = 0.1, classes: tuple[str, ...] = ROAD_CLASSES) -> DataFrame:
+    """Map elements to segments of whole cells, with ``cell_lat`` and ``cell_lon``.
+
+    Each cell is built from the roads that pass it and from nothing else: ways
+    are clustered by name among those of the cell, clipped to it, noded with
+    their group in it and cut into segments.  So a cell's segments are the same
+    whatever else is built with it, provided its elements are whole.
+    """
+    clipped = noding.clip_to_cells(parse_roads(elements, classes), size)
+    cells = ("cell_lat", "cell_lon")
+    clustered = cluster_directions(clipped, by=(*cells, "rd_name"), counted=F.col("run") == 0)
+    return segmentise(noding.node_cells(clustered), length_m).select(
+        *cells, "rd_name", "rd_type", "oneway", "service", "start_lat", "start_lon", "end_lat", "end_lon", "center_lat", "center_lon", "bearing_deg"
+    )
+
+
 def without_service(segments: DataFrame) -> DataFrame:
     """Roads that are not service roads, and named service roads without a kind."""
     return segments.filter((F.col("highway") != "service") | (F.col("road_name").isNotNull() & F.col("service").isNull()))

@@ -46,7 +46,8 @@ class RoadCache:
 
     ``elements`` gives the map elements of a list of cells; by default they are
     fetched, one request for each cell.  Only cells that a track touches and the
-    cache lacks are built; a cell of several dates counts with its newest.
+    cache lacks are built, each from the roads that pass it and clipped to it,
+    so a cell's folder is the same whatever was built with it or before it.
     """
 
     spark: SparkSession
@@ -78,11 +79,8 @@ class RoadCache:
         missing = roads.missing_cells(needed, have.select("cell_lat", "cell_lon").distinct()) if have is not None else needed
         cells = sorted((r.cell_lat, r.cell_lon) for r in missing.collect())  # cells of a drive
         if cells:
-            found = roads.build_segments((self.elements or self.fetched)(cells), self.length_m)
-            placed = found.withColumns({
-                "cell_lat": roads.cell(F.col("center_lat"), self.size), "cell_lon": roads.cell(F.col("center_lon"), self.size),
-                "length_seg": F.lit(int(self.length_m)), "date": F.current_date(),
-            })
+            found = roads.build_cells((self.elements or self.fetched)(cells), self.length_m, self.size)
+            placed = found.withColumnsRenamed({"rd_name": "road_name", "rd_type": "highway"}).withColumns({"length_seg": F.lit(int(self.length_m)), "date": F.current_date()})
             wanted = self.spark.createDataFrame(cells, "cell_lat double, cell_lon double")
             writers.write_cells(placed.join(wanted, ["cell_lat", "cell_lon"], "left_semi"), self.path)
             have = self.stored()
