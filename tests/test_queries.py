@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tracklake import file_queries, queries  # noqa: F401
+from tracklake import file_queries, queries, road_queries  # noqa: F401
 from tracklake.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"

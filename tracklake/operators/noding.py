@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +21,15 @@ def _point(lat: Column, lon: Column) -> Column:
     return F.struct(lat.alias("lat"), lon.alias("lon"))
 
 
+def _let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """``body`` of a struct of values, each worked out once.
+
+    Columns of their own would not do: filters on them are pushed below and
+    carry whole expressions along.
+    """
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), body), 0)
+
+
 def border(index: Column, size: float) -> Column:
     """The lower border of a grid cell, to ten digits: the same number from either side."""
     return F.rint(index * F.lit(size) * 1e10) / 1e10
@@ -28,8 +37,8 @@ def border(index: Column, size: float) -> Column:
 
 def index(v: Column, size: float) -> Column:
     """The number of the cell whose lower border is the last at or below a coordinate."""
-    at = F.floor(v / F.lit(size))
-    return (at + (v >= border(at + 1, size)).cast("int") - (v < border(at, size)).cast("int")).cast("long")
+    near = {"v": v, "k": F.floor(v / F.lit(size))}
+    return _let(near, lambda p: (p["k"] + (p["v"] >= border(p["k"] + 1, size)).cast("int") - (p["v"] < border(p["k"], size)).cast("int")).cast("long"))
 
 
 def edges_of(lines: DataFrame, keep: Iterable[str]) -> DataFrame:
@@ -41,16 +50,14 @@ def edges_of(lines: DataFrame, keep: Iterable[str]) -> DataFrame:
 
 def _through(edges: DataFrame, size: float, slack: float) -> DataFrame:
     """Each edge with the rows ``i`` and columns ``j`` of the grid that it passes: row by row, so a slanting edge costs what it passes."""
-    a, b = (F.struct(F.col(f"{p}.lat").alias("y"), F.col(f"{p}.lon").alias("x")) for p in "ab")
-    low, high = F.least(a["y"], b["y"]) - slack, F.greatest(a["y"], b["y"]) + slack
-    rows = edges.withColumn("i", F.explode(F.sequence(index(low, size), index(high, size))))
-    share = lambda y: F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(y - a["y"], b["y"] - a["y"]))), F.lit(0.0))
-    level = (b["y"] - a["y"]) == 0
-    s, t = share(border(F.col("i"), size)), share(border(F.col("i") + 1, size))
-    x0 = F.when(level, a["x"]).otherwise(a["x"] + s * (b["x"] - a["x"]))
-    x1 = F.when(level, b["x"]).otherwise(a["x"] + t * (b["x"] - a["x"]))
-    tip = slack + F.abs(b["x"] - a["x"]) * 1e-9
-    return rows.withColumn("j", F.explode(F.sequence(index(F.least(x0, x1) - tip, size), index(F.greatest(x0, x1) + tip, size))))
+    (y0, x0), (y1, x1) = ((F.col(f"{p}.lat"), F.col(f"{p}.lon")) for p in "ab")
+    span = lambda p, q, slack: _let({"l": F.least(p, q) - slack, "h": F.greatest(p, q) + slack}, lambda v: F.sequence(index(v["l"], size), index(v["h"], size)))
+    rows = edges.withColumn("i", F.explode(span(y0, y1, F.lit(slack))))
+    share = lambda y: F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(y - y0, y1 - y0))), F.lit(0.0))
+    ends = {"s": share(border(F.col("i"), size)), "t": share(border(F.col("i") + 1, size))}
+    tip = F.lit(slack) + F.abs(x1 - x0) * 1e-9
+    columns = F.when(y0 == y1, span(x0, x1, tip)).otherwise(_let(ends, lambda e: span(x0 + e["s"] * (x1 - x0), x0 + e["t"] * (x1 - x0), tip)))
+    return rows.withColumn("j", F.explode(columns))
 
 
 def clip_to_cells(roads: DataFrame, size: float = 0.1, key: str = "way_id") -> DataFrame:
@@ -67,24 +74,9 @@ def clip_to_cells(roads: DataFrame, size: float = 0.1, key: str = "way_id") -> D
     """
     keep = [c for c in roads.columns if c != "coords"]
     parts = _through(edges_of(roads, keep), size, 0.0)
-    lat, lon = F.col("a.lat"), F.col("a.lon")
-    dy, dx = F.col("b.lat") - lat, F.col("b.lon") - lon
-    south, north, west, east = border(F.col("i"), size), border(F.col("i") + 1, size), border(F.col("j"), size), border(F.col("j") + 1, size)
-    meets = lambda edge, at, d: F.try_divide(edge - at, d)
-    first = lambda d, low, high: F.when(d > 0, low).otherwise(high)  # noqa: E731  the border that is met first
-    parts = parts.withColumns({
-        "_yin": F.when(dy != 0, meets(first(dy, south, north), lat, dy)), "_yout": F.when(dy != 0, meets(first(dy, north, south), lat, dy)),
-        "_xin": F.when(dx != 0, meets(first(dx, west, east), lon, dx)), "_xout": F.when(dx != 0, meets(first(dx, east, west), lon, dx)),
-    })
-    parts = parts.withColumns({"_s": F.greatest(F.lit(0.0), "_yin", "_xin"), "_t": F.least(F.lit(1.0), "_yout", "_xout")})
-    here = ((dy != 0) | (index(lat, size) == F.col("i"))) & ((dx != 0) | (index(lon, size) == F.col("j")))
-    parts = parts.filter(here & (F.col("_t") - F.col("_s") > SLIVER))
-    on = lambda t, y, x, ey, ex: _point(
-        F.when(F.col(t) == F.col(y), ey).otherwise(lat + F.col(t) * dy), F.when(F.col(t) == F.col(x), ex).otherwise(lon + F.col(t) * dx)
-    )
-    start = F.when(F.col("_s") > 0, on("_s", "_yin", "_xin", first(dy, south, north), first(dx, west, east))).otherwise(F.col("a"))
-    stop = F.when(F.col("_t") < 1, on("_t", "_yout", "_xout", first(dy, north, south), first(dx, east, west))).otherwise(F.col("b"))
-    parts = parts.select(*keep, border(F.col("i"), size).alias("cell_lat"), border(F.col("j"), size).alias("cell_lon"), "at", "_s", "_t", start.alias("a"), stop.alias("b"))
+    found = F.filter(F.array(_inside(size)), lambda p: p["here"] & (p["t"] - p["s"] > SLIVER))
+    parts = parts.select(*keep, border(F.col("i"), size).alias("cell_lat"), border(F.col("j"), size).alias("cell_lon"), "at", F.explode(found).alias("p"))
+    parts = parts.select(*keep, "cell_lat", "cell_lon", "at", F.col("p.s").alias("_s"), F.col("p.t").alias("_t"), "p.a", "p.b")
     place = [key, "cell_lat", "cell_lon"]
     line = Window.partitionBy(*place).orderBy("at", "_s")
     follows = (F.lag("at").over(line) == F.col("at") - 1) & (F.lag("_t").over(line) == 1.0) & (F.col("_s") == 0.0)
@@ -95,32 +87,73 @@ def clip_to_cells(roads: DataFrame, size: float = 0.1, key: str = "way_id") -> D
     return runs.withColumn("coords", _joined("_e")).select(*keep, "coords", "cell_lat", "cell_lon", "run")
 
 
+def _inside(size: float) -> Column:
+    """The part of an edge in cell (``i``, ``j``): shares s and t where it begins and ends, the points there, and whether an edge along a border belongs ``here``."""
+    i, j = F.col("i"), F.col("j")
+    given = {
+        "y": F.col("a.lat"), "x": F.col("a.lon"), "v": F.col("b.lat"), "u": F.col("b.lon"), "dy": F.col("b.lat") - F.col("a.lat"), "dx": F.col("b.lon") - F.col("a.lon"),
+        "south": border(i, size), "north": border(i + 1, size), "west": border(j, size), "east": border(j + 1, size),
+    }
+
+    def cut(e: Column) -> Column:
+        up = lambda d, low, high: F.when(e[d] > 0, e[low]).otherwise(e[high])
+        doors = {"iny": up("dy", "south", "north"), "outy": up("dy", "north", "south"), "inx": up("dx", "west", "east"), "outx": up("dx", "east", "west")}
+        return _let(doors, lambda d: _let({f"{k}{a}": F.when(e[f"d{a}"] != 0, F.try_divide(d[f"{k}{a}"] - e[a], e[f"d{a}"])) for k in ("in", "out") for a in "yx"}, lambda m: ends(e, d, m)))
+
+    def ends(e: Column, d: Column, m: Column) -> Column:
+        at = lambda t, k, a: F.when(t == m[f"{k}{a}"], d[f"{k}{a}"]).otherwise(e[a] + t * e[f"d{a}"])  # noqa: E731  on a border exactly
+        here = ((e["dy"] != 0) | ((e["south"] <= e["y"]) & (e["y"] < e["north"]))) & ((e["dx"] != 0) | ((e["west"] <= e["x"]) & (e["x"] < e["east"])))
+        start = lambda s: F.when(s > 0, _point(at(s, "in", "y"), at(s, "in", "x"))).otherwise(_point(e["y"], e["x"]))
+        stop = lambda t: F.when(t < 1, _point(at(t, "out", "y"), at(t, "out", "x"))).otherwise(_point(e["v"], e["u"]))
+        shares = {"s": F.greatest(F.lit(0.0), m["iny"], m["inx"]), "t": F.least(F.lit(1.0), m["outy"], m["outx"])}
+        return _let(shares, lambda h: F.struct(here.alias("here"), h["s"].alias("s"), h["t"].alias("t"), start(h["s"]).alias("a"), stop(h["t"]).alias("b")))
+
+    return _let(given, cut)
+
+
 def _joined(edges: str) -> Column:
     """The vertices of edges in a row."""
     return F.concat(F.array(F.get(edges, 0)["a"]), F.transform(edges, lambda e: e["b"]))
 
 
-def _meetings(x: str, y: str, joint: Column) -> Column:
-    """Where two edges meet, as an array of (of the first, share, lat, lon); ``joint``: they follow each other, and their common end is no meeting."""
-    end = lambda n, p: (F.col(f"{n}.{p}.lon"), F.col(f"{n}.{p}.lat"))
-    (ax, ay), (bx, by), (cx, cy), (dx, dy) = end(x, "a"), end(x, "b"), end(y, "a"), end(y, "b")
-    ux, uy, vx, vy, rx, ry = bx - ax, by - ay, dx - cx, dy - cy, cx - ax, cy - ay
-    u, v = F.sqrt(ux * ux + uy * uy), F.sqrt(vx * vx + vy * vy)
-    den = ux * vy - uy * vx
-    parallel = F.abs(den) <= 1e-12 * u * v
+def _meetings(joint: Column) -> Column:
+    """Where the edges ``x`` and ``y`` of a row meet, as an array of marks (of the first, share, lat, lon).
+
+    ``joint``: they follow each other, and their common end is no meeting.
+    """
+    mark = lambda first, t, lat, lon: F.struct(F.lit(first).alias("first"), t.alias("t"), lat.alias("lat"), lon.alias("lon"))
     snap = lambda t, n: F.when(F.abs(t) * n <= NEAR, 0.0).when(F.abs(t - 1) * n <= NEAR, 1.0).otherwise(t)
-    s, t = snap(F.try_divide(rx * vy - ry * vx, den), u), snap(F.try_divide(rx * uy - ry * ux, den), v)
-    mark = lambda first, share, px, py: F.struct(F.lit(first).alias("first"), share.alias("t"), py.alias("lat"), px.alias("lon"))
-    fine = lambda c: F.rint(c * 1e10) / 1e10
-    pick = lambda p, q, r, w, inner: F.when(s == 0, p).when(s == 1, q).when(t == 0, r).when(t == 1, w).otherwise(inner)
-    px, py = pick(ax, bx, cx, dx, fine(ax + s * ux)), pick(ay, by, cy, dy, fine(ay + s * uy))
-    crossed = F.when(s.between(0, 1) & t.between(0, 1), F.array(mark(True, s, px, py), mark(False, t, px, py)))
-    off = F.abs(rx * uy - ry * ux) / u  # of the other line, where both are parallel
-    along = lambda qx, qy, ox, oy, wx, wy, n: snap(((qx - ox) * wx + (qy - oy) * wy) / (n * n), n)
-    ends = [mark(True, along(qx, qy, ax, ay, ux, uy, u), qx, qy) for qx, qy in ((cx, cy), (dx, dy))] + [mark(False, along(qx, qy, cx, cy, vx, vy, v), qx, qy) for qx, qy in ((ax, ay), (bx, by))]
-    beside = F.when(off <= NEAR, F.filter(F.array(*ends), lambda m: m["t"].between(0, 1)))
-    found = F.coalesce(F.when(parallel, beside).otherwise(crossed), F.array().cast("array<struct<first:boolean,t:double,lat:double,lon:double>>"))
-    return F.filter(found, lambda m: ~(joint & (m["lat"] == by) & (m["lon"] == bx)))
+    none = F.array().cast("array<struct<first:boolean,t:double,lat:double,lon:double>>")
+
+    def crossed(p: Column, g: Column) -> Column:
+        s, t = F.try_divide(g["rx"] * p["vy"] - g["ry"] * p["vx"], g["den"]), F.try_divide(g["side"], g["den"])
+        spot = lambda h, k: (
+            F.when(h["s"] == 0, p[f"a{k}"]).when(h["s"] == 1, p[f"b{k}"]).when(h["t"] == 0, p[f"c{k}"]).when(h["t"] == 1, p[f"d{k}"]).otherwise(F.rint((p[f"a{k}"] + h["s"] * p[f"u{k}"]) * 1e10) / 1e10)
+        )
+        marks = lambda h: _let({"y": spot(h, "y"), "x": spot(h, "x")}, lambda q: F.array(mark(True, h["s"], q["y"], q["x"]), mark(False, h["t"], q["y"], q["x"])))
+        snapped = lambda e: _let({"s": snap(e["s"], g["nu"]), "t": snap(e["t"], g["nv"])}, lambda h: F.when(h["s"].between(0, 1) & h["t"].between(0, 1), marks(h)).otherwise(none))
+        return _let({"s": s, "t": t}, snapped)
+
+    def beside(p: Column, g: Column) -> Column:
+        """In one line: the ends of each that lie on the other."""
+        along = lambda q, o, w: ((p[f"{q}x"] - p[f"{o}x"]) * p[f"{w}x"] + (p[f"{q}y"] - p[f"{o}y"]) * p[f"{w}y"]) / (g[f"n{w}"] * g[f"n{w}"])
+        end = lambda q, o, w: _let({"t": along(q, o, w)}, lambda e: mark(o == "a", snap(e["t"], g[f"n{w}"]), p[f"{q}y"], p[f"{q}x"]))
+        ends = [end("c", "a", "u"), end("d", "a", "u"), end("a", "c", "v"), end("b", "c", "v")]
+        return F.filter(F.array(*ends), lambda m: m["t"].between(0, 1))
+
+    def met(p: Column) -> Column:
+        rx, ry = p["cx"] - p["ax"], p["cy"] - p["ay"]
+        sums = {
+            "rx": rx, "ry": ry, "nu": F.sqrt(p["ux"] * p["ux"] + p["uy"] * p["uy"]), "nv": F.sqrt(p["vx"] * p["vx"] + p["vy"] * p["vy"]),
+            "den": p["ux"] * p["vy"] - p["uy"] * p["vx"], "side": rx * p["uy"] - ry * p["ux"],
+        }
+        level = lambda g: F.abs(g["den"]) <= 1e-12 * g["nu"] * g["nv"]
+        found = lambda g: F.when(~level(g), crossed(p, g)).when(F.abs(g["side"]) / g["nu"] <= NEAR, beside(p, g)).otherwise(none)
+        return F.filter(_let(sums, found), lambda m: ~(p["joint"] & (m["lat"] == p["by"]) & (m["lon"] == p["bx"])))
+
+    at = {f"{n}{k}": F.col(f"{of}.{part}") for n, of in (("a", "x.a"), ("b", "x.b"), ("c", "y.a"), ("d", "y.b")) for k, part in (("x", "lon"), ("y", "lat"))}
+    ways = {f"{v}{k}": at[f"{q}{k}"] - at[f"{p}{k}"] for v, p, q in (("u", "a", "b"), ("v", "c", "d")) for k in "xy"}
+    return _let(at | ways | {"joint": joint}, met)
 
 
 def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float = TILE) -> DataFrame:
@@ -147,7 +180,7 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     joint = F.col("x.id.at") + 1 == F.col("y.id.at")
     for k in key:
         joint = joint & F.col(f"x.id.{k}").eqNullSafe(F.col(f"y.id.{k}"))
-    met = pairs.select("x.id", F.col("y.id").alias("other"), F.explode(_meetings("x", "y", joint)).alias("m"))
+    met = pairs.select("x.id", F.col("y.id").alias("other"), F.explode(_meetings(joint)).alias("m"))
     cuts = met.select(F.when(F.col("m.first"), F.col("id")).otherwise(F.col("other")).alias("_id"), F.struct("m.t", "m.lat", "m.lon").alias("m"))
     cuts = cuts.groupBy("_id").agg(F.array_sort(F.collect_set("m")).alias("_m"))
     split = edges.withColumn("_id", who).join(cuts, "_id", "left")
