@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -44,6 +46,36 @@ def test_word_bpe_is_the_library(spark):
         assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def differing(found):
+    bpe, ref = WordBpe(P.path("word_bpe_49k.json")), Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    bad = []
+    for k in range(0, len(found), 4096):
+        part = found[k : k + 4096]
+        for text, (ids, n, shown), want in zip(part, bpe.encode(part), ref.encode_batch(part, add_special_tokens=False), strict=True):
+            if np.frombuffer(ids, "<u4").tolist() != want.ids or n != len(want.ids):
+                bad.append(text)
+    return bad
+
+
+def test_marks_in_a_row():
+    """Every mark before and after marks of other classes: they change places as the library has it."""
+    marks = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (unicodedata.combining(chr(c)) or regex.match(r"\p{M}", chr(c)))]
+    assert len(marks) > 2000
+    assert not differing([f"a{x}{y}" for m in marks for other in "\u0316\u0301\u0334\u0651\u0345" for x, y in ((m, other), (other, m))])
+
+
+def test_random_texts_of_marks_letters_and_special_tokens():
+    rng = random.Random(1)
+    marks = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and regex.match(r"\p{M}", chr(c))]
+    letters = [*"aeiouAEIOUéèñßäöüÅİıΣσςѝйㄱ가각각한 .,!'1½", "<|endoftext|>", "<|startoftext|>", "\u00c5", "\u1e9b"]
+    texts = ["".join(rng.choice(marks if rng.random() < 0.4 else letters) for _ in range(rng.randrange(1, 14))) for _ in range(50_000)]
+    assert not differing(texts)
+    ref = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    bpe = WordBpe(P.path("word_bpe_49k.json"))
+    for text, want in zip(texts[:3000], ref.encode_batch(texts[:3000], add_special_tokens=False), strict=True):
+        assert next(bpe.encode([text]))[2].decode() == ref.decode(want.ids, skip_special_tokens=False)
+
+
 @pytest.mark.parametrize("frame", ["a{}B", "1{}2 {}{}é"])
 def test_every_letter(frame):
     """All of Unicode but unassigned planes, in two contexts: not one letter may give other ids."""

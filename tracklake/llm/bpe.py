@@ -41,17 +41,20 @@ def young_letters() -> str:
 
 @functools.cache
 def newer_letters(path: str) -> frozenset[str]:
-    """Letters whose normal form Python's Unicode tables, older than the tokenizers library's, do not give.
+    """Letters whose normal form Python's Unicode tables do not give as the tokenizers library's do.
 
-    They are those that the library by itself turns into something else, and,
-    as they may also join with their neighbours, all that Python does not know.
+    They are those that the library by itself turns into something else; all
+    that Python does not know, as they may also join with their neighbours; and
+    all marks, as the library's tables, which are older for some and newer for
+    others, may give two in a row another order.
     """
     from tokenizers import Tokenizer
 
     every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c) != "|"]
     unknown = set(regex.findall(r"\P{Cn}", "".join(c for c in every if unicodedata.category(c) == "Cn")))
-    theirs = Tokenizer.from_file(path).normalizer.normalize_str("|".join(every)).split("|")
-    return frozenset(unknown | {c for c, x in zip(every, theirs, strict=True) if x != " " and x != plain_form(c)})
+    marks = set(regex.findall(r"\p{M}", "".join(every))) | {c for c in every if unicodedata.combining(c)}
+    theirs = Tokenizer.from_file(path).normalizer.normalize_str("|".join(c for c in every if c not in marks)).split("|")
+    return frozenset(unknown | marks | {c for c, x in zip((c for c in every if c not in marks), theirs, strict=True) if x != " " and x != plain_form(c)})
 
 
 def plain_form(text: str) -> str:
