@@ -3,7 +3,10 @@
 import json
 import random
 
-from tracklake.llm.queries import op4_tool_calls
+import pytest
+
+from tracklake.llm import toolcalls
+from tracklake.llm.queries import op4_tool_calls, tool_call_graph
 from tracklake.llm.toolcalls import canonical, faults, link_calls, link_conversations, parse, topological_levels
 
 CALLS = "conv_id long, turn long, at int, call_id string, name string, arguments string, depends_on array<string>"
@@ -76,6 +79,50 @@ def test_levels_respect_dependencies(spark):
     assert all(got[c, a] > got[c, b] for c, a, b in edges)
 
 
+def longest(rows):
+    """The longest chain of dependencies of each call, by following them; None on or behind a cycle."""
+    needs = {(c, i): [(c, n) for n in set(need) if any(r[0] == c and r[1] == n for r in rows)] for c, i, _, need in rows}
+    out, open_ = {}, set(needs)
+    while ready := [x for x in open_ if all(n in out for n in needs[x])]:
+        for x in ready:
+            out[x] = max((out[n] + 1 for n in needs[x]), default=0)
+        open_ -= set(ready)
+    return out | dict.fromkeys(open_)
+
+
+@pytest.mark.parametrize("most_pairs", [1000, 0])
+def test_levels_are_longest_chains(spark, most_pairs):
+    """Random graphs with cycles, by squaring and by peeling."""
+    rng = random.Random(13)
+    rows = []
+    for c in range(40):
+        n = rng.randrange(1, 14)
+        for i in range(n):
+            need = [f"n{rng.randrange(n + 1)}" for _ in range(rng.randrange(3))] if c % 3 else [f"n{j}" for j in range(i + 1, min(n, i + 3))]
+            rows.append((c, f"n{i}", 5, need))
+    want = longest(rows)
+    got = topological_levels(spark.createDataFrame(rows, "conv_id long, call_id string, turn long, depends_on array<string>"), most_pairs)
+    odd = {c for c, i, _, need in rows if any((c, n) in want for n in need)}
+    assert {(r.conv_id, r.call_id): r.level for r in got.collect()} == {k: v if k[0] in odd else 5 for k, v in want.items()}
+
+
+def test_deep_chain_takes_few_rounds(spark, monkeypatch):
+    """A thousand calls, each waiting for the next turn's, and a cycle behind a chain."""
+    rounds = []
+    real = toolcalls.materialize
+    monkeypatch.setattr(toolcalls, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    rows = [(1, f"n{i}", i, [f"n{i + 1}"]) for i in range(1000)] + [(2, f"n{i}", i, [f"n{(i + 1) % 9}"]) for i in range(9)] + [(2, "behind", 20, ["n3"]), (2, "free", 21, [])]
+    got = {(r.conv_id, r.call_id): r.level for r in topological_levels(spark.createDataFrame(rows, "conv_id long, call_id string, turn long, depends_on array<string>")).collect()}
+    assert all(got[1, f"n{i}"] == 999 - i for i in range(1000))
+    assert got[2, "free"] == 0 and got[2, "behind"] is None and all(got[2, f"n{i}"] is None for i in range(9))
+    assert rounds.count("reach") < 12
+
+
+def test_graph_query_has_every_state(spark):
+    rows = tool_call_graph(spark, "/root/testdata/sf0.01").collect()
+    assert {r.status for r in rows} >= {"linked", "cycle", "invalid_arguments"}
+
+
 def test_tags_and_schema_faults(spark):
     text = 'go <tool_call>{"id":"k","name":"add","arguments":{"b":null,"a":1.5}}</tool_call> and <tool_call>not json</tool_call>'
     rows = [(1, 0, "user", "hi é"), (1, 1, "assistant", text), (1, 2, "tool", '<tool_result>{"id":"k","content":"done"}</tool_result>'), (2, 0, None, None), (3, 0, "user", None)]

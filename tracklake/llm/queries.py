@@ -19,7 +19,7 @@ from .nearest import nearest
 from .packing import pack
 from .simhash import simhash_components
 from .substring_dedup import cut_repeats
-from .toolcalls import link_conversations
+from .toolcalls import exchange_results, link_calls, link_conversations
 from .whitening import whiten
 
 
@@ -47,6 +47,33 @@ def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_conversations(table(spark, sf_dir, "conversations"))
 
 
+#: Tools of ``tool_call_graph``: arguments that do not fit are found by type, by value and within a list.
+TOOLS = {
+    "reply": {"type": "object", "properties": {"prompt": {"type": "string"}, "turn": {"type": "integer"}}, "required": ["prompt", "turn"], "additionalProperties": False},
+    "lookup": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "enum": [2, 8, 14]}}, "required": ["query", "limit"]},
+    "tally": {"type": "object", "properties": {"counts": {"type": "array", "items": {"type": "integer"}}}, "required": ["counts"]},
+}
+
+
+def tool_call_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User messages as calls of three tools.  In a fifth of the conversations a call waits for the next one, in a seventh for both neighbours, which is a cycle."""
+    m = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    name = lambda turn: F.concat_ws("/", F.col("conv_id").cast("string"), turn.cast("string"))
+    turn, tool = F.col("turn"), F.floor(F.col("turn") / 2) % 3
+    arguments = (
+        F.when(tool == 0, F.to_json(F.struct(F.col("text").alias("prompt"), "turn")))
+        .when(tool == 1, F.to_json(F.struct(F.col("text").alias("query"), turn.alias("limit"))))
+        .when(turn % 2 == 0, F.to_json(F.struct(F.array(turn, turn + 1).alias("counts"))))
+        .otherwise(F.concat(F.lit('{"counts":['), turn.cast("string"), F.lit(","), F.substring(F.to_json(F.array("text")), 2, 1 << 30), F.lit("}")))
+    )
+    last, following = F.when(turn >= 2, F.array(name(turn - 2))).otherwise(F.array().cast("array<string>")), F.array(name(turn + 2))
+    needs = F.when(F.col("conv_id") % 7 == 5, F.concat(last, following)).when(F.col("conv_id") % 5 == 3, following).otherwise(last)
+    calls = m.filter("role = 'user'").select(
+        "conv_id", "turn", F.lit(-1).alias("at"), name(turn).alias("call_id"), F.element_at(F.array(*map(F.lit, TOOLS)), (tool + 1).cast("int")).alias("name"), arguments.alias("arguments"), needs.alias("depends_on")
+    )
+    return link_calls(calls, exchange_results(m), TOOLS)
+
+
 def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -92,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_pair_index": op2_bpe_pair_index,
     "op3_toxicity_ordinal": op3_toxicity_ordinal,
     "op4_tool_calls": op4_tool_calls,
+    "tool_call_graph": tool_call_graph,
     "op5_quality_cotraining": op5_quality_cotraining,
     "op6_content_sort": op6_content_sort,
     "op7_recompression": op7_recompression,
@@ -127,6 +155,26 @@ ORACLE_SQL: dict[str, str] = {
                '{"id":"' || a.call_id || '","result":' || CAST(to_json(a.text) AS VARCHAR) || '}'
         FROM a ANTI JOIN u USING (call_id)
     """,
+    "tool_call_graph": """
+        WITH u AS (SELECT conv_id, turn, text, conv_id || '/' || turn AS call_id, turn // 2 % 3 AS tool, CASE WHEN conv_id % 7 = 5 THEN 'both' WHEN conv_id % 5 = 3 THEN 'next' ELSE 'last' END AS rule FROM conversations WHERE role = 'user'),
+        a AS (SELECT *, conv_id || '/' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
+        b AS (SELECT u.*, EXISTS (SELECT 1 FROM u x WHERE x.conv_id = u.conv_id AND x.turn = u.turn + 2) AS after, EXISTS (SELECT 1 FROM u x WHERE x.conv_id = u.conv_id AND x.turn = u.turn - 2) AS before,
+                     turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM u),
+        l AS (SELECT *, CASE WHEN rule = 'last' OR NOT bool_or(after) OVER (PARTITION BY conv_id) THEN turn WHEN rule = 'next' THEN (max(turn) OVER (PARTITION BY conv_id, turn % 2, island) - turn) // 2 WHEN NOT after AND NOT before THEN 0 END AS level FROM b),
+        j AS (SELECT l.*, a.call_id IS NOT NULL AS has, a.text AS answer, CASE tool WHEN 0 THEN 'reply' WHEN 1 THEN 'lookup' ELSE 'tally' END AS name,
+                     CASE WHEN tool = 0 THEN '{"prompt":' || CAST(to_json(l.text) AS VARCHAR) || ',"turn":' || l.turn || '}' WHEN tool = 1 THEN '{"limit":' || l.turn || ',"query":' || CAST(to_json(l.text) AS VARCHAR) || '}'
+                          WHEN l.turn % 2 = 0 THEN '{"counts":[' || l.turn || ',' || (l.turn + 1) || ']}' ELSE '{"counts":[' || l.turn || ',' || CAST(to_json(l.text) AS VARCHAR) || ']}' END AS arguments,
+                     CASE WHEN tool = 1 AND l.turn NOT IN (2, 8, 14) THEN '$.limit: not one of the values' WHEN tool = 2 AND l.turn % 2 = 1 THEN '$.counts[1]: not integer' END AS fault,
+                     list_sort(CASE WHEN rule <> 'next' AND l.turn >= 2 THEN [l.conv_id || '/' || (l.turn - 2)] ELSE [] END || CASE WHEN rule <> 'last' THEN [l.conv_id || '/' || (l.turn + 2)] ELSE [] END) AS needs
+              FROM l LEFT JOIN a ON a.call_id = l.call_id)
+        SELECT conv_id, turn, -1 AS "at", 'call' AS kind, call_id, level, CASE WHEN level IS NULL THEN 'cycle' WHEN fault IS NOT NULL THEN 'invalid_arguments' WHEN has THEN 'linked' ELSE 'no_result' END AS status,
+               '{"arguments":' || arguments || ',"depends_on":[' || array_to_string(list_transform(needs, lambda x: '"' || x || '"'), ',') || ']' || CASE WHEN fault IS NOT NULL THEN ',"faults":["' || fault || '"]' ELSE '' END
+               || ',"id":"' || call_id || '","name":"' || name || '"' || CASE WHEN level IS NOT NULL AND has THEN ',"result":' || CAST(to_json(answer) AS VARCHAR) ELSE '' END || '}' AS json
+        FROM j
+        UNION ALL
+        SELECT a.conv_id, a.turn, -1, 'result', a.call_id, NULL, 'orphan_result', '{"id":"' || a.call_id || '","result":' || CAST(to_json(a.text) AS VARCHAR) || '}'
+        FROM a ANTI JOIN u USING (call_id)
+    """,
     "op7_recompression": r"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         win AS (SELECT r, i, md5(array_to_string(w[i : i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),

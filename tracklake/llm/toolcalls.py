@@ -70,37 +70,75 @@ def exchange_results(messages: DataFrame) -> DataFrame:
     return messages.filter("role = 'assistant'").select("conv_id", "turn", F.lit(-1).alias("at"), call.alias("call_id"), F.col("text").alias("content"))
 
 
-def topological_levels(calls: DataFrame) -> DataFrame:
+#: Pairs of a squared relation, for each call and dependency, up to which it is squared.
+MOST_PAIRS = 16
+
+
+def topological_levels(calls: DataFrame, most_pairs: int = MOST_PAIRS) -> DataFrame:
     """A level for each call: above those of all calls of its conversation that it depends on.
 
     Where every dependency lies in an earlier turn, the turn itself is such a
-    level and nothing is computed.  Conversations with a dependency that does
-    not are peeled round by round: calls whose dependencies all have a level
-    get the next.  What is never reached lies on or behind a cycle and gets no
-    level.  Dependencies on calls that do not exist are ignored.
+    level and nothing is computed.  For conversations with a dependency that
+    does not, the level is the length of the longest chain of dependencies.  In
+    each round the relation "reaches in 2^k steps" is squared; calls that reach
+    nothing in 2^k steps but something, y, in half of them have a level of half
+    of them and the highest level of such y, all of which are known by then.  So
+    there are as many rounds as the longest chain's length has binary digits.
+    What still reaches something in as many steps as its conversation has calls
+    lies on or behind a cycle and has no level.  Where squaring would give more
+    than ``most_pairs`` pairs for each call and dependency, as in wide graphs,
+    which are seldom deep, the calls that are left are peeled level by level.
+    Dependencies on calls that do not exist are ignored.
 
     ``calls`` has ``conv_id``, ``call_id`` (once each), ``turn``, ``depends_on``.
     Returns ``conv_id``, ``call_id``, ``level``.
     """
-    turns = calls.select("conv_id", "call_id", "turn")
-    edges = calls.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("depends_on")).alias("need"))
+    key = ["conv_id", "call_id"]
+    turns = calls.select(*key, "turn")
+    edges = calls.select(*key, "turn", F.explode(F.array_distinct("depends_on")).alias("need"))
     before = turns.select("conv_id", F.col("call_id").alias("need"), F.col("turn").alias("need_turn"))
-    edges = materialize(spread(edges, before, ["conv_id", "need"]).select("conv_id", "call_id", "turn", "need", "need_turn"), "edges")
+    edges = materialize(spread(edges, before, ["conv_id", "need"]).select(*key, "turn", "need", "need_turn"), "edges")
     odd = edges.filter("need_turn >= turn or turn is null or need_turn is null").select("conv_id").distinct()
-    regular = spread(turns, odd, ["conv_id"], "left_anti").select("conv_id", "call_id", F.col("turn").alias("level"))
-    left = materialize(spread(turns, odd, ["conv_id"], "left_semi").select("conv_id", "call_id"), "left")
-    edges = materialize(spread(edges, odd, ["conv_id"], "left_semi").select("conv_id", "call_id", "need"), "edges")
-    done, level, n = regular, 0, left.count()
+    regular = spread(turns, odd, ["conv_id"], "left_anti").select(*key, F.col("turn").alias("level"))
+    left = materialize(spread(turns, odd, ["conv_id"], "left_semi").select(*key), "left")
+    if left.isEmpty():
+        return regular
+    edges = materialize(spread(edges, odd, ["conv_id"], "left_semi").select(*key, "need"), "edges")
+    longest = left.groupBy("conv_id").count().agg(F.max("count")).first()[0]
+    most = most_pairs * (edges.count() + left.count())
+    reach, steps, todo = edges, 1, edges.select(*key).distinct()
+    done = spread(left, todo, key, "left_anti").select(*key, F.lit(0).cast("long").alias("level"))
+    done = materialize(done, "levels")
+    while steps < longest and not reach.isEmpty():
+        ways = reach.groupBy("conv_id", F.col("need").alias("call_id")).agg(F.count("*").cast("double").alias("ins"))
+        pairs = spread(reach.groupBy(*key).agg(F.count("*").alias("outs")), ways, key).agg(F.sum(F.col("outs") * F.col("ins"))).first()[0]
+        if (pairs or 0) > most:
+            return regular.unionByName(_peeled(todo, edges, done))
+        onward = reach.select("conv_id", F.col("call_id").alias("need"), F.col("need").alias("far"))
+        twice = materialize(spread(reach, onward, ["conv_id", "need"]).select(*key, F.col("far").alias("need")).distinct(), "reach")
+        still = twice.select(*key).distinct()
+        ended = spread(reach, still, key, "left_anti")
+        known = done.select("conv_id", F.col("call_id").alias("need"), "level")
+        found = spread(ended, known, ["conv_id", "need"]).groupBy(*key).agg((F.max("level") + steps).alias("level"))
+        done = done.unionByName(materialize(found, "levels"))
+        reach, todo, steps = twice, still, 2 * steps
+    return regular.unionByName(done).unionByName(todo.select(*key, F.lit(None).cast("long").alias("level")))
+
+
+def _peeled(todo: DataFrame, edges: DataFrame, done: DataFrame) -> DataFrame:
+    """Levels of the calls ``todo`` one by one: those whose dependencies all have a level get the next; null on or behind a cycle."""
+    key = ["conv_id", "call_id"]
+    todo, n = materialize(todo, "left"), todo.count()
     while n:
-        free = materialize(spread(left, edges.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti"), "free")
-        found = free.count()
-        if not found:
-            return done.unionByName(left.select("conv_id", "call_id", F.lit(None).cast("long").alias("level")))
-        done = done.unionByName(free.select("conv_id", "call_id", F.lit(level).cast("long").alias("level")))
-        left = materialize(spread(left, free, ["conv_id", "call_id"], "left_anti"), "left")
-        edges = materialize(spread(edges, free.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_anti"), "edges")
-        level, n = level + 1, n - found
-    return done
+        known = done.select("conv_id", F.col("call_id").alias("need"), "level")
+        needs = spread(spread(edges, todo, key, "left_semi"), known, ["conv_id", "need"], "left")
+        tops = needs.groupBy(*key).agg(F.max("level").alias("top"), F.count("*").alias("all"), F.count("level").alias("some"))
+        found = materialize(tops.filter("all = some").select(*key, (F.col("top") + 1).alias("level")), "levels")
+        if not (m := found.count()):
+            break
+        done = materialize(done.unionByName(found), "levels")
+        todo, n = materialize(spread(todo, found, key, "left_anti"), "left"), n - m
+    return done.unionByName(todo.select(*key, F.lit(None).cast("long").alias("level")))
 
 
 def faults(value, schema: dict, path: str = "$") -> list[str]:
