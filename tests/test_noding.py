@@ -1,6 +1,7 @@
 """Clipping and noding against exact fractions, and cells that do not depend on their neighbours."""
 
 import itertools
+import math
 import random
 from fractions import Fraction as Q
 
@@ -146,3 +147,29 @@ def test_crossings_without_a_node_are_cut(spark):
     box = found.filter("center_lat < cell_lat or center_lat > cell_lat + 0.1000001 or end_lat > cell_lat + 0.1000001")
     assert box.isEmpty()
     assert found.filter("rd_name = 'B'").select("bearing_deg").distinct().count() > 1  # opposite ways are two clusters
+
+
+def test_rings_by_their_edges_in_a_cell(spark):
+    """Rings of three sizes, concave, open and with round coordinates, against every edge of every ring."""
+    from tracklake.functions.geo import in_ring
+    from tracklake.operators import output
+
+    rng = random.Random(21)
+
+    def star(lat, lon, radius, n):
+        turn = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        return [(lat + radius * rng.uniform(0.3, 1) * math.sin(t), lon + radius * rng.uniform(0.3, 1) * math.cos(t)) for t in turn]
+
+    rings = [star(rng.uniform(30, 31), rng.uniform(-1, 1), r, n) for r, n in ((0.03, 5), (0.05, 40), (0.5, 60), (0.7, 200), (20.0, 90))]
+    rings = [[*r, r[0]] for r in rings] + [[(30.0, 0.0), (30.0, 0.5), (30.25, 0.5), (30.25, 0.0), (30.0, 0.0)], [(30.5, 0.5), (30.5, 0.625), (30.75, 0.5), (30.5, 0.5)]]
+    df = spark.createDataFrame([(r,) for r in rings], "ring array<struct<lat:double,lon:double>>")
+    points = [(k, rng.uniform(29.5, 31.5), rng.uniform(-1.5, 1.5)) for k in range(4000)] + [(5000, None, 1.0), (5001, 30.1, None), (5002, 89.0, 179.0)]
+    rows = spark.createDataFrame(points, "k long, latitude double, longitude double")
+    for chosen in ([0, 1, 2, 3, 5, 6], [4], range(7)):
+        some = df.filter(F.xxhash64("ring").isin([r[0] for r in spark.createDataFrame([(rings[i],) for i in chosen], df.schema).select(F.xxhash64("ring")).collect()]))
+        plain = rows.crossJoin(F.broadcast(some)).filter(in_ring(F.col("latitude"), F.col("longitude"), F.col("ring"))).select("k").distinct()
+        want = {k for k, *_ in points} - {r.k for r in plain.collect()}
+        assert {r.k for r in output.outside(rows, some).collect()} == want
+        assert 0 < len(want) < len(points) or len(chosen) == 1
+    opened = spark.createDataFrame([([p for p in rings[5][:-1]],), (None,), ([],)], df.schema)
+    assert {r.k for r in output.outside(rows, opened).collect()} == {k for k, a, o in points if a is None or o is None or not (30.0 < a < 30.25 and 0.0 < o < 0.5)}

@@ -48,7 +48,7 @@ def edges_of(lines: DataFrame, keep: Iterable[str]) -> DataFrame:
     return lines.select(*keep, F.posexplode(ends).alias("at", "e")).select(*keep, "at", *(_point(F.col(f"e.{p}.lat"), F.col(f"e.{p}.lon")).alias(p) for p in "ab"))
 
 
-def _through(edges: DataFrame, size: float, slack: float) -> DataFrame:
+def through(edges: DataFrame, size: float, slack: float) -> DataFrame:
     """Each edge with the rows ``i`` and columns ``j`` of the grid that it passes: row by row, so a slanting edge costs what it passes."""
     (y0, x0), (y1, x1) = ((F.col(f"{p}.lat"), F.col(f"{p}.lon")) for p in "ab")
     span = lambda p, q, slack: _let({"l": F.least(p, q) - slack, "h": F.greatest(p, q) + slack}, lambda v: F.sequence(index(v["l"], size), index(v["h"], size)))
@@ -73,7 +73,7 @@ def clip_to_cells(roads: DataFrame, size: float = 0.1, key: str = "way_id") -> D
     ``cell_lon`` (lower borders) and ``run``, the number of the run in its cell.
     """
     keep = [c for c in roads.columns if c != "coords"]
-    parts = _through(edges_of(roads, keep), size, 0.0)
+    parts = through(edges_of(roads, keep), size, 0.0)
     found = F.filter(F.array(_inside(size)), lambda p: p["here"] & (p["t"] - p["s"] > SLIVER))
     parts = parts.select(*keep, border(F.col("i"), size).alias("cell_lat"), border(F.col("j"), size).alias("cell_lon"), "at", F.explode(found).alias("p"))
     parts = parts.select(*keep, "cell_lat", "cell_lon", "at", F.col("p.s").alias("_s"), F.col("p.t").alias("_t"), "p.a", "p.b")
@@ -173,7 +173,7 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     keep = [c for c in lines.columns if c != "coords"]
     edges = edges_of(lines, keep).filter("a <> b").withColumn("_g", F.to_json(F.struct(*(F.col(c).cast("string") for c in group)), {"ignoreNullFields": "false"}))
     who = F.struct(*key, "at")
-    tiled = _through(edges.select("_g", who.alias("id"), "a", "b"), tile, 2 * NEAR).select("_g", "i", "j", F.struct("id", "a", "b").alias("e"))
+    tiled = through(edges.select("_g", who.alias("id"), "a", "b"), tile, 2 * NEAR).select("_g", "i", "j", F.struct("id", "a", "b").alias("e"))
     x, y = tiled.withColumnRenamed("e", "x"), tiled.withColumnRenamed("e", "y")
     over = lambda c: (F.least(f"x.a.{c}", f"x.b.{c}") <= F.greatest(f"y.a.{c}", f"y.b.{c}") + NEAR) & (F.least(f"y.a.{c}", f"y.b.{c}") <= F.greatest(f"x.a.{c}", f"x.b.{c}") + NEAR)
     pairs = x.join(y, ["_g", "i", "j"]).filter((F.col("x.id") < F.col("y.id")) & over("lat") & over("lon"))

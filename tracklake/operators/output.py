@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.functions.geo import cell, in_ring
+from tracklake.functions.geo import cell
 from tracklake.functions.numbers import round_even
+from tracklake.operators import noding
 
 #: Parameters published in thousandths, and the one in thousands (fixed values).
 THOUSANDFOLD, THOUSANDTH = ("CH4", "N2O", "CO"), "BC6"
@@ -26,21 +27,71 @@ def published_units(df: DataFrame) -> DataFrame:
     return df.withColumn("value", value)
 
 
+#: Degrees of the cells that rings are dealt to, by size: the finest that a ring's box meets in at most ``ACROSS`` cells each way, else the last.
+CELLS, ACROSS = (1 / 512, 1 / 32, 1 / 2), 64
+#: Degrees by which the cells' borders lie off round numbers, where vertices are.
+ASIDE = 0.000123456789
+
+
+def _ring_index(rings: DataFrame, size: float) -> DataFrame:
+    """Cells (``i``, ``j``) that rings touch: the edges that pass each, and whether its south-eastern corner lies inside.
+
+    A cell without edges is there only where it lies inside as a whole.
+    """
+    aside = lambda p: F.struct((F.col(f"{p}.lat") - ASIDE).alias("lat"), (F.col(f"{p}.lon") - ASIDE).alias("lon")).alias(p)
+    edges = noding.edges_of(rings.withColumnRenamed("ring", "coords"), ["id"]).filter("a <> b").select("id", F.struct("a", "b").alias("e"), aside("a"), aside("b"))
+    passed = noding.through(edges, size, 1e-9).groupBy("id", "i", "j").agg(F.collect_list("e").alias("edges"))
+    low, high = F.least("a.lat", "b.lat"), F.greatest("a.lat", "b.lat")
+    level = noding.border(F.col("i"), size)
+    met = edges.withColumn("i", F.explode(F.filter(F.sequence(noding.index(low, size), noding.index(high, size)), lambda i: (noding.border(i, size) >= low) & (noding.border(i, size) < high))))
+    met = met.withColumn("x", F.col("a.lon") + (level - F.col("a.lat")) * (F.col("b.lon") - F.col("a.lon")) / (F.col("b.lat") - F.col("a.lat")))
+    met = met.groupBy("id", "i").agg(F.collect_list("x").alias("xs"))
+    span = lambda c: F.explode(F.sequence(*(noding.index(f(F.col(f"ring.{c}")) - ASIDE, size) for f in (F.array_min, F.array_max))))
+    cells = rings.withColumn("i", span("lat")).join(met, ["id", "i"], "left").withColumn("j", span("lon"))
+    east = noding.border(F.col("j") + 1, size)
+    odd = F.coalesce(F.size(F.filter("xs", lambda x: x > east)), F.lit(0)) % 2 == 1
+    return cells.select("id", "i", "j", odd.alias("corner")).join(passed, ["id", "i", "j"], "left").filter("corner or edges is not null")
+
+
+def _inside_cell(lat: Column, lon: Column, size: float) -> Column:
+    """Whether a point of the cell is inside: edges are counted up the cell's eastern border and then west to the point.
+
+    As for whole rings, a point at a vertex's or level edge's latitude counts as just above it.
+    """
+    south, east = noding.border(F.col("i"), size) + ASIDE, noding.border(F.col("j") + 1, size) + ASIDE
+
+    def crosses(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        y = a["lat"] + F.try_divide((east - a["lon"]) * (b["lat"] - a["lat"]), b["lon"] - a["lon"])
+        x = a["lon"] + F.try_divide((lat - a["lat"]) * (b["lon"] - a["lon"]), b["lat"] - a["lat"])
+        up = ((a["lon"] > east) != (b["lon"] > east)) & F.coalesce((y > south) & (y <= lat), F.lit(False))
+        west = ((a["lat"] > lat) != (b["lat"] > lat)) & F.coalesce((x > lon) & (x <= east), F.lit(False))
+        return up != west
+
+    passed = F.coalesce(F.size(F.filter("edges", crosses)), F.lit(0)) % 2 == 1
+    return F.col("corner") != passed
+
+
 def outside(df: DataFrame, rings: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Rows inside none of the rings, and rows without a position.
 
-    ``rings`` has one array of (lat, lon) a row.  Rings are dealt to the cells
-    of a grid that their boxes touch, a thousand or so for the largest, so a row
-    is tested only against rings in its cell.
+    ``rings`` has one array of (lat, lon) a row; open ones are closed.  Each ring
+    is dealt to a grid as fine as its own size asks for, whatever other rings
+    are there.  A cell holds only the edges that pass it and on which side its
+    corner lies, so what a row costs depends on the edges in its cell, not in
+    the ring, and cells wholly inside hold none.  Nothing runs while this is
+    planned.
     """
-    edges = {f"_{k}{n}": f(F.col(f"ring.{k}")) for k in ("lat", "lon") for n, f in (("0", F.array_min), ("1", F.array_max))}
-    boxed = rings.select("ring").withColumns(edges)
-    extent = boxed.agg(F.max(F.greatest(F.col("_lat1") - F.col("_lat0"), F.col("_lon1") - F.col("_lon0")))).first()[0]
-    size = max(0.01, (extent or 0.0) / 32)
-    cells = lambda k: F.explode(F.sequence(*(F.floor(F.col(f"_{k}{n}") / size).cast("bigint") for n in "01")))
-    dealt = boxed.withColumn("_gy", cells("lat")).withColumn("_gx", cells("lon")).select("ring", "_gy", "_gx")
-    here = [F.floor(F.col(c) / size).cast("bigint") for c in (lat, lon)]
-    return df.join(dealt, (here[0] == dealt["_gy"]) & (here[1] == dealt["_gx"]) & in_ring(F.col(lat), F.col(lon), F.col("ring")), "left_anti")
+    closed = F.when(F.get("ring", 0) == F.element_at("ring", -1), F.col("ring")).otherwise(F.concat("ring", F.slice("ring", 1, 1)))
+    whole = rings.select("ring").filter((F.size("ring") > 2) & F.forall("ring", lambda p: p["lat"].isNotNull() & p["lon"].isNotNull()))
+    told = whole.select(F.xxhash64("ring").alias("id"), closed.alias("ring")).distinct()
+    extent = F.greatest(*(F.array_max(F.col(f"ring.{c}")) - F.array_min(F.col(f"ring.{c}")) for c in ("lat", "lon")))
+    least = F.when(extent <= CELLS[0] * ACROSS, 0).when(extent <= CELLS[1] * ACROSS, 1).otherwise(2)
+    y, x = F.col(lat), F.col(lon)
+    for k, size in enumerate(CELLS):
+        index = _ring_index(told.filter(least == k), size)
+        df = df.join(index, (noding.index(y - ASIDE, size) == index["i"]) & (noding.index(x - ASIDE, size) == index["j"]) & _inside_cell(y, x, size), "left_anti")
+    return df
 
 
 def exchange_rows(readings: DataFrame, fields: DataFrame, vehicle: str, rings: DataFrame | None = None, cell_id=None) -> DataFrame:
