@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.functions import clock, geo, numbers, text
-from tracklake.operators import calibration, gps, matching, ordered, output, quality, roads, targets
+from tracklake.operators import calibration, gps, matching, ordered, output, quality, roads, segmented, targets
 from tracklake.plans.pipeline import summarise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,6 +227,12 @@ def gap_interp(spark, sf):
     return ordered.fill_gaps(minutes(spark, sf), ["day"], "t", ["value"], 300.0).select("day", ntz("t").alias("t"), r("value").alias("value"))
 
 
+@query(ORACLE_SQL["gap_interp"])
+def gap_interp_scan(spark, sf):
+    """A day's rows over many tasks."""
+    return segmented.fill_gaps(minutes(spark, sf), ["day"], "t", ["value"], 300.0).select("day", ntz("t").alias("t"), r("value").alias("value"))
+
+
 # sessions
 
 
@@ -246,6 +252,13 @@ def sessions_gt(spark, sf):
     return numbered.groupBy("user_id", F.col("period").cast("bigint").alias("period")).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
 
 
+@query(ORACLE_SQL["sessions_gt"])
+def sessions_gt_scan(spark, sf):
+    """A user's rows over many tasks."""
+    numbered = segmented.sessions(table(spark, sf, "events"), ["user_id"], "ts", 3600, False, ["ts", "event_id"], bucket_s=86_400.0)
+    return numbered.groupBy("user_id", F.col("period").cast("bigint").alias("period")).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+
+
 @query(f"""
     WITH {_sessions_sql('>', 21600)},
     n AS (SELECT *, row_number() OVER (PARTITION BY user_id, period ORDER BY ts DESC, event_id DESC) AS k, count(*) OVER (PARTITION BY user_id, period) AS m FROM s)
@@ -285,6 +298,14 @@ def drive_pass(spark, sf):
     return ordered.passes(e, ["user_id"], ["ts", "event_id"], "lat", "lon").select("event_id", F.col("drive_pass").cast("bigint").alias("drive_pass"))
 
 
+@query(ORACLE_SQL["drive_pass"])
+def drive_pass_scan(spark, sf):
+    """A user's rows over many tasks."""
+    c = F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 3)
+    e = table(spark, sf, "events").withColumns({"lat": c / 1000.0, "lon": c / 500.0})
+    return segmented.passes(e, ["user_id"], ["ts", "event_id"], "lat", "lon", bucket_s=86_400.0).select("event_id", F.col("drive_pass").cast("bigint").alias("drive_pass"))
+
+
 def sql_haversine(a1: str, o1: str, a2: str, o2: str) -> str:
     s = f"(pow(sin(radians(({a2}) - ({a1})) / 2), 2) + cos(radians({a1})) * cos(radians({a2})) * pow(sin(radians(({o2}) - ({o1})) / 2), 2))"
     return f"(12742000.0::DOUBLE * atan2(sqrt({s}), sqrt(1 - {s})))"
@@ -742,7 +763,7 @@ def rollup_status(spark, sf):
 
 
 @query("""
-    WITH s AS (SELECT CAST(o_orderdate AS DATE)::VARCHAR AS drive_date, o_orderstatus, o_orderkey FROM orders WHERE o_orderkey % 100 = 0 OR true)
+    WITH s AS (SELECT CAST(o_orderdate AS DATE)::VARCHAR AS drive_date, o_orderstatus, o_orderkey FROM orders )
     SELECT drive_date, CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') > 0 THEN 'OK' ELSE '-' END AS gps, CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'O') > 0 THEN 'OK' ELSE '-' END AS vocus_h5,
            CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') > 0 THEN 'OK' ELSE '-' END AS vocus_cal, '-' AS instrument FROM s GROUP BY drive_date""")
 def stage_summary(spark, sf):
