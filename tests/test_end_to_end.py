@@ -126,6 +126,34 @@ def test_all_stages(spark, world):
     assert found.filter("parameter = 'CH4'").count() == 61
 
 
+def test_many_dates_in_one_plan(spark, world, tmp_path):
+    """Dates of one plan are those of single runs; one without a log and one with a damaged log hold up no other."""
+    (tmp_path / "raw").mkdir()
+    text = (world / "raw" / readers.log_name(DAY)).read_text()
+    dates = [DAY + timedelta(days=k) for k in range(5)]
+    for k, day in enumerate(dates):
+        if k != 3:
+            (tmp_path / "raw" / readers.log_name(day)).write_text("damaged" if k == 1 else text.replace(str(DAY), str(day)).replace(",400.0,", f",{400.0 + k},"))
+    yaml = (world / "config.yaml").read_text().replace(f"{world}/raw", f"{tmp_path}/raw")
+    outs = {}
+    for name in ("single", "together"):
+        paths, config = load(yaml.replace(f"{world}/out", f"{tmp_path}/{name}"))
+        pipeline = Pipeline(spark, paths, config)
+        run = pipeline.run_together if name == "together" else pipeline.run_batch
+        assert not run(dates, [Stage.GPS, Stage.INSTRUMENT])
+        state = {(r.drive_date, r.gps, r.instrument) for r in pipeline.summary().collect()}
+        assert state == {(str(d), *(("ERROR",) * 2 if k in (1, 3) else ("OK",) * 2)) for k, d in enumerate(dates)}
+        outs[name] = {
+            str(f.relative_to(tmp_path / name)): sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in map(lambda r: tuple(str(x) if not isinstance(x, float) else x for x in r), spark.read.parquet(str(f)).collect()))
+            for f in (tmp_path / name).glob("*/*.parquet")
+        }
+    assert outs["single"].keys() == outs["together"].keys() and len(outs["single"]) >= 12
+    for f, rows in outs["single"].items():
+        assert rows == outs["together"][f], f
+    assert any(r[3] == "600 rows" for r in pipeline.results)
+    assert not list((tmp_path / "together").glob("*/_dates_*"))
+
+
 def test_roads_from_map_elements(spark, world, tmp_path):
     """The GPS stage builds the cells that its cache lacks, once, and matches the track to them."""
     paths, config = load((world / "config.yaml").read_text().replace(f"roads_cache: {world}/roads", f"roads_cache: {tmp_path}/cells").replace(f"gps_processed: {world}/out/gps", f"gps_processed: {tmp_path}/gps"))

@@ -94,14 +94,15 @@ def outside(df: DataFrame, rings: DataFrame, lat: str = "latitude", lon: str = "
     return df
 
 
-def exchange_rows(readings: DataFrame, fields: DataFrame, vehicle: str, rings: DataFrame | None = None, cell_id=None) -> DataFrame:
+def exchange_rows(readings: DataFrame, fields: DataFrame, vehicle: str, rings: DataFrame | None = None, cell_id=None, by: tuple[str, ...] = ()) -> DataFrame:
     """Calibrated readings in the exchange format: one row for each reading that the field table names.
 
     ``fields``: parameter_ucb, parameter, method, duration, unit, instrument.
+    ``by`` are columns of the readings that come along.
     ``cell_id`` makes a cell identifier from two columns; without it that is null.
     """
     rows = published_units(readings).select(
-        F.col("sample_time").alias("timestamp"), F.col("parameter").alias("parameter_ucb"), "instrument", "value",
+        *by, F.col("sample_time").alias("timestamp"), F.col("parameter").alias("parameter_ucb"), "instrument", "value",
         F.col("lat_smooth").alias("latitude"), F.col("lon_smooth").alias("longitude"),
         (F.col("summary_flag") != "0").cast("int").alias("status_indicator"), F.col("summary_flag").alias("qualifier_codes"), F.lit(vehicle).alias("vehicle_id"),
     )
@@ -109,17 +110,17 @@ def exchange_rows(readings: DataFrame, fields: DataFrame, vehicle: str, rings: D
     h3 = cell_id(F.col("latitude"), F.col("longitude")) if cell_id else F.lit(None)
     joined = joined.withColumn("h3_index", h3.cast("string"))
     joined = outside(joined, rings) if rings is not None else joined
-    return joined.select("timestamp", "parameter", "method", "duration", "value", "unit", "latitude", "longitude", "h3_index", "status_indicator", "qualifier_codes", "vehicle_id")
+    return joined.select(*by, "timestamp", "parameter", "method", "duration", "value", "unit", "latitude", "longitude", "h3_index", "status_indicator", "qualifier_codes", "vehicle_id")
 
 
-def raw_rows(readings: DataFrame, fields: DataFrame) -> DataFrame:
+def raw_rows(readings: DataFrame, fields: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Readings before calibration in the exchange format; fields are found by parameter and instrument."""
     rows = readings.select(
-        F.col("sample_time").alias("timestamp"), F.col("parameter").alias("parameter_ucb"), "instrument", "value", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
+        *by, F.col("sample_time").alias("timestamp"), F.col("parameter").alias("parameter_ucb"), "instrument", "value", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
         (F.col("summary_flag") != "0").cast("int").alias("status_indicator"), F.col("summary_flag").alias("qualifier_code"),
     )
     joined = rows.join(fields, ["parameter_ucb", "instrument"])
-    return joined.select("timestamp", "parameter", "method", "duration", "value", "unit", "latitude", "longitude", "status_indicator", "qualifier_code")
+    return joined.select(*by, "timestamp", "parameter", "method", "duration", "value", "unit", "latitude", "longitude", "status_indicator", "qualifier_code")
 
 
 def mean_by_point(df: DataFrame, value: str, lat: str = "lat", lon: str = "lon") -> DataFrame:

@@ -48,8 +48,10 @@ def _number(df: DataFrame, *names: str) -> DataFrame:
 
 
 def read_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A vehicle log in long form (CSV); ``string`` is null where the file has none."""
+    """A vehicle log in long form (CSV); ``instrument`` and ``string`` are null where the file has none, a file without the others is none."""
     df = _csv(spark, path)
+    if missing := {"sample_time", "parameter", "value"} - set(df.columns):
+        raise ValueError(f"{path} is no log: it has no {', '.join(sorted(missing))}")
     have = [f.name for f in LONG if f.name in df.columns]
     df = df.select(*have).withColumns({f.name: F.lit(None).cast(f.dataType) for f in LONG if f.name not in have})
     return df.withColumns({"sample_time": parse_mixed("sample_time"), "value": known(F.col("value").try_cast("double"))}).select(*LONG.names)
