@@ -20,6 +20,7 @@ def main(args: list[str] | None = None) -> int:
     parser.add_argument("--stages", "-s", nargs="+", choices=[s.value for s in Stage], default=["all"])
     parser.add_argument("--skip-existing", action="store_true")
     parser.add_argument("--stop-on-error", action="store_true")
+    parser.add_argument("--together", action="store_true", help="all dates in one plan for each stage")
     parser.add_argument("--quiet", "-q", action="store_true")
     given = parser.parse_args(args)
     dates = [parse_day(d) for d in given.dates]
@@ -32,7 +33,7 @@ def main(args: list[str] | None = None) -> int:
     if problems := pipeline.validate(stages):
         print("\n".join(problems), file=sys.stderr)
         return 1
-    good = pipeline.run_batch(dates, stages, given.stop_on_error)
+    good = pipeline.run_together(dates, stages) if given.together else pipeline.run_batch(dates, stages, given.stop_on_error)
     if config.verbose and not given.quiet:
         pipeline.summary().show(len(dates), truncate=False)
         for day, stage, status, detail in pipeline.results:

@@ -21,7 +21,7 @@ from tracklake.operators import calibration, gps, output, quality, roads, target
 from tracklake.operators.matching import match_and_count
 from tracklake.plans.config import Config, Paths, Stage, chosen
 from tracklake.sources import readers, writers
-from tracklake.sources.arrays import ArraySource, wide_counts
+from tracklake.sources.arrays import read_arrays, wide_counts
 from tracklake.sources.maps import RoadCache
 
 #: Resolution of the hexagons that published readings name (fixed value).
@@ -107,9 +107,8 @@ class Pipeline:
         return RoadCache(self.spark, folder, c.segment_length_m, elements=self.elements, fresh=not c.use_cached_roads).segments(track)
 
     def arrays_stage(self, day: date) -> None:
-        self.spark.dataSource.register(ArraySource)
         folder = f"{self.paths.vocus_h5_raw}/{day:%Y%m%d}"
-        read = lambda s: self.spark.read.format("arrays").option("stream", s).load(folder)
+        read = lambda s: read_arrays(self.spark, folder, s)
         names = readers.read_peak_names(self.spark, self.paths.peak_columns)
         controls = readers.read_control_columns(self.spark, self.paths.tps_columns)
         writers.write_cps(wide_counts(read("peak"), read("control"), names, len(names), controls, self.config.tof_extraction_freq), self.out(Stage.ARRAYS, day))

@@ -3,6 +3,7 @@
     spark.dataSource.register(ArraySource)
     spark.read.format("arrays").option("stream", "peak").load("/runs")
 
+On a cluster, ``read_arrays`` reads them from any store that Spark reads.
 ``stream`` is ``peak`` (file, row, offset_s, counts) or ``control`` (file, row,
 counts).  HDF5 needs the optional library h5py; NumPy archives (.npz) with the
 same array names are read without it.
@@ -11,10 +12,13 @@ same array names are read without it.
 from __future__ import annotations
 
 import glob
+import io
 import os
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -27,19 +31,58 @@ PEAKS, TIMES, CONTROLS = "/PeakData/PeakData", "/TimingData/BufTimes", "/TPS2/Tw
 FREQUENCY = 24_990.0
 
 
-def read_array(path: str, name: str) -> np.ndarray:
-    """An array of a file, flattened to rows of its last dimension."""
+#: Rows in an Arrow batch.
+BATCH_ROWS = 4096
+SCHEMA = "file string, row bigint, offset_s double, counts array<double>"
+
+
+def read_array(path: str, name: str, content: bytes | None = None) -> np.ndarray:
+    """An array of a file, or of a file's content, flattened to rows of its last dimension."""
+    source = path if content is None else io.BytesIO(content)
     if path.endswith(".npz"):
-        with np.load(path) as f:
+        with np.load(source) as f:
             a = f[name.strip("/").replace("/", "_")]
     else:
         import h5py
 
-        with h5py.File(path) as f:
+        with h5py.File(source) as f:
             a = f[name][...]
     return a.reshape(-1, a.shape[-1]) if a.ndim > 1 else a
 
 
+def array_batches(path: str, stream: str, content: bytes | None = None) -> Iterator[pa.RecordBatch]:
+    """A file's rows as Arrow batches, cut from its arrays without a step for each number."""
+    if stream == "control":
+        counts, offsets = read_array(path, CONTROLS, content), None
+    else:
+        counts, offsets = read_array(path, PEAKS, content), read_array(path, TIMES, content).reshape(-1).astype("f8")
+    counts = counts.reshape(len(counts), -1)
+    size, width = len(counts) if offsets is None else len(offsets), counts.shape[1]
+    for a in range(0, size, BATCH_ROWS):
+        n = min(BATCH_ROWS, size - a)
+        part = np.ascontiguousarray(counts[a : a + n], "f8")  # counts follow the times: cut or padded with nothing
+        ends = np.minimum(np.arange(n + 1), len(part)).astype("i4") * width
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(part.reshape(-1)), mask=pa.array(np.arange(n) >= len(part)))
+        yield pa.record_batch(
+            [pa.array([path] * n, pa.string()), pa.array(np.arange(a, a + n, dtype="i8")), pa.nulls(n, pa.float64()) if offsets is None else pa.array(offsets[a : a + n]), lists],
+            names=["file", "row", "offset_s", "counts"],
+        )
+
+
+def read_arrays(spark: SparkSession, folder: str, stream: str = "peak") -> DataFrame:
+    """The rows of all array files of a folder, which may lie in any store that Spark reads; a task for each file."""
+    if stream not in ("peak", "control"):
+        raise ValueError(f"unknown stream {stream!r}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{h5,npz}").load(folder).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                yield from array_batches(path.as_py(), stream, content.as_py())
+
+    return files.mapInArrow(run, SCHEMA)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str, stream: str) -> None:
         self.path, self.stream = path, stream
@@ -49,14 +92,7 @@ class _Reader(DataSourceReader):
         return [InputPartition(p) for p in found]
 
     def read(self, partition: InputPartition):
-        path = partition.value
-        if self.stream == "control":
-            for k, row in enumerate(read_array(path, CONTROLS)):
-                yield path, k, None, [float(x) for x in row]
-            return
-        counts, offsets = read_array(path, PEAKS), read_array(path, TIMES).reshape(-1)
-        for k, offset in enumerate(offsets):  # counts follow the times: cut or padded with nothing
-            yield path, k, float(offset), [float(x) for x in counts[k]] if k < len(counts) else None
+        return array_batches(partition.value, self.stream)
 
 
 class ArraySource(DataSource):
@@ -65,7 +101,7 @@ class ArraySource(DataSource):
         return "arrays"
 
     def schema(self) -> str:
-        return "file string, row bigint, offset_s double, counts array<double>"
+        return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         stream = self.options.get("stream", "peak")

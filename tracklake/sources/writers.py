@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tracklake.sources.readers import cps_long
 
-#: Byte order, kind (line), number of points, two points.
-_LINE = "<BIIdddd"
+#: A line of two points in well-known binary: byte order, kind, number of points, the points.
+_LINE = np.dtype([("order", "u1"), ("kind", "<u4"), ("points", "<u4"), ("xy", "<f8", 4)])
+_ENDS = ("seg_start_lon", "seg_start_lat", "seg_end_lon", "seg_end_lat")
+
+
+def packed_lines(ends: list[pa.Array]) -> pa.Array:
+    """Lines from arrays of longitudes and latitudes; null where any of them is."""
+    here = ends[0].is_valid().to_numpy(zero_copy_only=False)
+    for e in ends[1:]:
+        here = here & e.is_valid().to_numpy(zero_copy_only=False)
+    lines = np.zeros(len(here), _LINE)
+    lines["order"], lines["kind"], lines["points"] = 1, 2, 2
+    for k, e in enumerate(ends):
+        lines["xy"][:, k] = e.cast(pa.float64()).to_numpy(zero_copy_only=False)
+    bits = pa.py_buffer(np.packbits(here, bitorder="little").tobytes())
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(_LINE.itemsize), len(here), [bits, pa.py_buffer(lines.tobytes())]).cast(pa.binary())
 
 
 def with_line(track: DataFrame, name: str = "geometry") -> DataFrame:
     """Add each row's segment as a line in well-known binary; null without a segment."""
-    ends = ("seg_start_lon", "seg_start_lat", "seg_end_lon", "seg_end_lat")
     names = [*track.columns, name]
-    rows = track.withColumn("_ends", F.when(F.coalesce(*(F.col(c).isNull() for c in ends)), None).otherwise(F.array(*ends)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [struct.pack(_LINE, 1, 2, 2, *e) if e is not None and None not in e else None for e in batch.columns[-1].to_pylist()]
-            yield pa.record_batch([*batch.columns[:-1], pa.array(lines, pa.binary())], names=names)
+            yield pa.record_batch([*batch.columns, packed_lines([batch.column(c) for c in _ENDS])], names=names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in track.schema.fields)
-    return rows.mapInArrow(run, f"{fields}, {name} binary")
+    return track.mapInArrow(run, f"{fields}, {name} binary")
 
 
 def write_track(track: DataFrame, path: str, by: list[str] | None = None, lines: bool = True) -> None:
