@@ -135,19 +135,23 @@ def _chains(edges: DataFrame) -> dict[tuple[int, int], int]:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without those whose text another row with a larger id repeats.
 
-    The same sort as in ``content_sort_dedup``, with the same results for nulls,
-    ties and repeated rows; the rows go through it whole, so that they need no
-    second shuffle.  Columns of any names pass through.
+    The same sort as in ``content_sort_dedup``; the rows go through it whole, so
+    that they need no second shuffle, and a text travels once.  Null text equals
+    empty text; of rows that repeat id and text one stays; rows without an id
+    stay only if no row of the group has one; an empty table stays empty.
+    Columns of any names pass through.
     """
     rows, (i, t) = numbered(docs, id_col, text_col)
-    ready = _sorted(rows.withColumns({"_text": F.coalesce(t, F.lit("")), "_id": F.col(i)})).drop("_sha")
+    once = rows.withColumns({"_text": F.coalesce(t, F.lit("")), "_none": F.col(t).isNull(), "_id": F.col(i)}).drop(t)  # each text travels once
+    ready = _sorted(once).drop("_sha")
     fields = T.StructType([*ready.schema.fields, T.StructField("pid", T.IntegerType()), T.StructField("run", T.IntegerType())])
-    tails = materialize(ready.mapInArrow(_tails, fields).drop("_text", "_id"), "tails")
-    chain = _chains(tails.filter("run IS NOT NULL").select("pid", "run", F.coalesce(t, F.lit("")).alias("text")))
+    tails = materialize(ready.mapInArrow(_tails, fields).drop("_id"), "tails")
+    chain = _chains(tails.filter("run IS NOT NULL").select("pid", "run", F.col("_text").alias("text")))
     last = {k: p for (p, _), k in sorted(chain.items())}  # null ids sort first, so the last partition has the largest id
     early = [key for key, k in chain.items() if last[k] != key[0]]
     early = docs.sparkSession.createDataFrame(early, "pid int, run int")  # at most two rows for each partition
-    return tails.join(F.broadcast(early), ["pid", "run"], "left_anti").select(*rows.columns).toDF(*docs.columns)
+    kept = tails.join(F.broadcast(early), ["pid", "run"], "left_anti").withColumn(t, F.when(~F.col("_none"), F.col("_text")))
+    return kept.select(*rows.columns).toDF(*docs.columns)
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
