@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.functions import clock, geo
-from tracklake.operators import calibration, gps, matching, output, roads, targets
+from tracklake.operators import calibration, gps, matching, ordered, output, roads, targets
 from tracklake.plans import config
 from tracklake.plans.pipeline import days
 from tracklake.queries import CALS, INSTRUMENTS, LAT, LON, ORACLE_SQL, REF, calibrations, elements, lat_lon, ntz, query, r, readings, segments, sql_bearing, sql_haversine, sql_lat_lon, sql_r, table
@@ -201,9 +201,18 @@ def target_concentrations(spark, sf):
     return targets.target_concentrations(asks, _standards(spark, sf))
 
 
-@query("SELECT * FROM (VALUES ('C2H5O', 2.97e-9::DOUBLE), ('CH5O', 2.31e-9), ('C2H7O', 2.37e-9), ('C3H7O', 3.24e-9), ('C3H4N', 4.17e-9), ('C5H9', 1.93e-9), ('C4H7O', 3.51e-9), ('C4H9O', 3.23e-9), ('C7H9', 2.07e-9), ('C8H11', 2.21e-9), ('C10H17', 2.48e-9), ('C9H13', 2.42e-9), ('C10H23', 2.50e-9), ('C10H31O5Si5', 3.50e-9), ('C6H15', 3.00e-9)) v(species, ksens)")
+#: Species of the standard cylinder and one that it lacks.
+SPECIES = ("C2H5O", "CH5O", "C2H7O", "C3H7O", "C3H4N", "C5H9", "C4H7O", "C4H9O", "C7H9", "C8H11", "C10H17", "C9H13", "C10H23", "C10H31O5Si5", "C6H15", "C6H7")
+
+
+@query(f"""
+    WITH r AS (SELECT * FROM (VALUES ('C2H5O', 2.97e-9::DOUBLE), ('CH5O', 2.31e-9), ('C2H7O', 2.37e-9), ('C3H7O', 3.24e-9), ('C3H4N', 4.17e-9), ('C5H9', 1.93e-9), ('C4H7O', 3.51e-9), ('C4H9O', 3.23e-9), ('C7H9', 2.07e-9), ('C8H11', 2.21e-9), ('C10H17', 2.48e-9), ('C9H13', 2.42e-9), ('C10H23', 2.50e-9), ('C10H31O5Si5', 3.50e-9), ('C6H15', 3.00e-9)) v(species, ksens)),
+    s AS (SELECT s_suppkey, [{", ".join(f"'{n}'" for n in SPECIES)}][s_suppkey % {len(SPECIES)} + 1] AS species FROM supplier)
+    SELECT s_suppkey, s.species AS species, ksens FROM s LEFT JOIN r USING (species)""")
 def rates_standard(spark, sf):
-    return readers.read_rates(spark, "CC515288")
+    """A species for each supplier, with its rate in the standard cylinder."""
+    s = table(spark, sf, "supplier").select("s_suppkey", F.element_at(F.array(*map(F.lit, SPECIES)), (F.col("s_suppkey") % len(SPECIES) + 1).cast("int")).alias("species"))
+    return s.join(readers.read_rates(spark, "CC515288"), "species", "left").select("s_suppkey", "species", "ksens")
 
 
 @query("SELECT s_name AS species, s_acctbal AS ksens FROM supplier WHERE s_nationkey % 2 = 1")
@@ -360,19 +369,27 @@ def local_times(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", ntz(clock.local_to_utc(at, "America/Los_Angeles")).alias("utc"))
 
 
-@query("SELECT CAST(d AS DATE) AS day, 'measurements_van1_' || strftime(d, '%Y-%m-%d') || CASE WHEN d > DATE '2025-06-29' THEN '_drive_range_long' ELSE '_no-geolocations_long' END || '.csv' AS log FROM (SELECT unnest(generate_series(DATE '2025-06-20', DATE '2025-07-10', INTERVAL 1 DAY)) AS d)")
+@query("""
+    WITH r AS (SELECT CAST(min(ts) AS DATE) + 535 AS low, CAST(max(ts) AS DATE) + 535 AS high FROM events), d AS (SELECT CAST(unnest(generate_series(low, high, INTERVAL 1 DAY)) AS DATE) AS day FROM r),
+    n AS (SELECT CAST(ts AS DATE) + 535 AS day, count(*) AS n FROM events GROUP BY ALL)
+    SELECT day, 'measurements_van1_' || strftime(day, '%Y-%m-%d') || CASE WHEN day > DATE '2025-06-29' THEN '_drive_range_long' ELSE '_no-geolocations_long' END || '.csv' AS log, coalesce(n, 0) AS n FROM d LEFT JOIN n USING (day)""")
 def day_range(spark, sf):
-    """The days of a range, given in both forms of text, and the log of each."""
-    return spark.createDataFrame([(d, readers.log_name(d)) for d in days(readers.parse_day("2025-06-20"), readers.parse_day("20250710"))], "day date, log string")
+    """The days from the first to the last event, moved to where logs change their names, given in both forms of text; the log and the events of each."""
+    e = table(spark, sf, "events").select(F.date_add(F.to_date("ts"), 535).alias("day"))
+    low, high = e.agg(F.date_format(F.min("day"), "yyyy-MM-dd"), F.date_format(F.max("day"), "yyyyMMdd")).first()
+    logs = spark.createDataFrame([(d, readers.log_name(d)) for d in days(readers.parse_day(low), readers.parse_day(high))], "day date, log string")
+    return logs.join(e.groupBy("day").agg(F.count("*").alias("n")), "day", "left").select("day", "log", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("""SELECT * FROM (VALUES ('default_k', '2.5'), ('kalman_max_displacement_m', '15.0'), ('logs_raw', '/raw/logs'), ('max_match_angle_deg', '60.0'), ('min_cal_samples', '80'), ('output_l2', '/elsewhere'), ('roads_cache', '/done/road_segments'), ('stages', 'gps,vocus_h5,vocus_cal,instrument'), ('vocus_cps', '/done/vocus/cps')) v(name, value)""")
+@query("""
+    WITH b AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS back, count(*) OVER (PARTITION BY event_type) AS n FROM events)
+    SELECT event_id, CASE event_id % 3 WHEN 0 THEN '/raw/logs' WHEN 1 THEN '/elsewhere' ELSE '/done/road_segments' END || '/' || event_type AS path FROM b WHERE n >= 80 AND back BETWEEN 21 AND 80""")
 def settings_yaml(spark, sf):
-    """Settings from a file, those it leaves out, and paths that follow from the base folders."""
+    """Settings from a file, those it leaves out, and paths that follow from the base folders, at work on rows: the tail of each type of event."""
     paths, conf = config.load("paths: {base_raw: /raw, base_processed: /done, output_l2: /elsewhere}\nconfig: {min_cal_samples: 80}\n")
-    found = {**vars(paths), **vars(conf), "stages": ",".join(s.value for s in config.chosen(None))}
-    names = ("default_k", "kalman_max_displacement_m", "logs_raw", "max_match_angle_deg", "min_cal_samples", "output_l2", "roads_cache", "stages", "vocus_cps")
-    return spark.createDataFrame([(n, str(found[n])) for n in names], "name string, value string")
+    tails = ordered.tail_rows(table(spark, sf, "events"), ["event_type"], ["event_id"], conf.min_cal_samples, conf.cal_window_samples)
+    folder = F.element_at(F.array(F.lit(paths.logs_raw), F.lit(paths.output_l2), F.lit(paths.roads_cache)), (F.col("event_id") % 3 + 1).cast("int"))
+    return tails.select("event_id", F.concat_ws("/", folder, "event_type").alias("path"))
 
 
 # calibration

@@ -298,6 +298,23 @@ def drive_pass(spark, sf):
     return ordered.passes(e, ["user_id"], ["ts", "event_id"], "lat", "lon").select("event_id", F.col("drive_pass").cast("bigint").alias("drive_pass"))
 
 
+@query(f"""
+    WITH f AS (SELECT user_id % 4 AS car, make_timestamp(1704067200000000 + CAST(round_even(event_id * 2 / 5::DOUBLE, 0) AS BIGINT) * 1000000) AS t, value FROM events),
+    m AS (SELECT car, t, avg(value) AS value FROM f GROUP BY ALL),
+    g AS (SELECT car, unnest(generate_series(min(t), max(t), INTERVAL 1 SECOND)) AS t FROM m GROUP BY car),
+    d AS (SELECT g.car AS car, g.t AS t, value, CASE WHEN value IS NOT NULL THEN g.t END AS ta FROM g LEFT JOIN m ON m.car = g.car AND m.t = g.t),
+    w AS (SELECT *, last_value(ta IGNORE NULLS) OVER p AS tp, last_value(value IGNORE NULLS) OVER p AS vp, first_value(ta IGNORE NULLS) OVER n AS tn, first_value(value IGNORE NULLS) OVER n AS vn
+          FROM d WINDOW p AS (PARTITION BY car ORDER BY t ROWS UNBOUNDED PRECEDING), n AS (PARTITION BY car ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT car, t AS sample_time, {sql_r('value')} AS lat, {sql_r("""CASE WHEN value IS NOT NULL THEN value WHEN (epoch_us(t) - epoch_us(tp)) / 1e6::DOUBLE > 5 THEN NULL
+           ELSE vp + (vn - vp) * ((epoch_us(t) - epoch_us(tp))::DOUBLE / (epoch_us(tn) - epoch_us(tp))::DOUBLE) END""")} AS lat_kf FROM w""")
+def track_1hz(spark, sf):
+    """Several fixes a second and gaps of many: means, and what is filled in between."""
+    at = F.timestamp_micros(F.lit(1704067200000000) + F.col("event_id") * 400_000)
+    names = ("lat", "lon", "lat_kf", "lon_kf", "car_speed_mph", "car_bearing_deg")
+    e = table(spark, sf, "events").select((F.col("user_id") % 4).alias("car"), at.alias("sample_time"), *(F.col("value").alias(n) for n in names))
+    return gps.to_1hz(e, ["car"]).select("car", ntz("sample_time").alias("sample_time"), r("lat").alias("lat"), r("lat_kf").alias("lat_kf"))
+
+
 @query(ORACLE_SQL["drive_pass"])
 def drive_pass_scan(spark, sf):
     """A user's rows over many tasks."""
@@ -840,6 +857,15 @@ def segmentise(spark, sf):
     return out.withColumns({c: r(c, 6) for c in ("start_lat", "start_lon", "end_lat", "end_lon")} | {"bearing_deg": r("bearing_deg", 2)})
 
 
+@query(
+    ORACLE_SQL["segmentise"].replace("j > 0 AND j < m - 1 AND count(*) OVER (PARTITION BY node) > 1 AS cut", "false AS cut").replace("FROM o WHERE copy = 1", "FROM o")
+)
+def segmentise_whole(spark, sf):
+    """Ways as they stand, neither cut nor dissolved."""
+    out = roads.build_segments(elements(spark, sf), 30.0, split=False)
+    return out.withColumns({c: r(c, 6) for c in ("start_lat", "start_lon", "end_lat", "end_lon")} | {"bearing_deg": r("bearing_deg", 2)})
+
+
 @query(f"""
     WITH p AS (SELECT s_suppkey AS way_id, {_SA} AS a1, {_SO} AS o1, {_SA} + 0.0010007::DOUBLE AS a2, {_SO} + (s_suppkey % 10) * 0.0000917::DOUBLE AS o2 FROM supplier),
     d AS (SELECT *, {sql_haversine('a1', 'o1', 'a2', 'o2')} AS len FROM p),
