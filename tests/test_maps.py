@@ -1,5 +1,11 @@
 """Fetching with pauses, and the cache of road segments."""
 
+import http.server
+import json
+import re
+import threading
+import urllib.parse
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +49,37 @@ def test_cache_builds_each_cell_once(spark, tmp_path):
     assert cache.segments(both).count() > first.count() and asked[1:] == [[(37.9, -122.3)]]
 
 
+def test_executors_ask_each_cell_once(spark, tmp_path):
+    """A server of this machine that is busy at first: every cell is answered once, and not asked again after a failed build."""
+    asked = []
+
+    class Server(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            query = urllib.parse.parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode())["data"][0]
+            asked.append(re.search(r"\(([0-9.,-]+)\)", query)[1])
+            self.send_response(503 if len(asked) == 1 else 200)
+            self.end_headers()
+            south, west = (float(x) for x in asked[-1].split(",")[:2])
+            nodes = [{"type": "node", "id": round(south * 1000) * 10 + i, "lat": south + 0.01 + i * 0.01, "lon": west + 0.05} for i in range(5)]
+            way = {"type": "way", "id": round(south * 10), "nodes": [n["id"] for n in nodes], "tags": {"highway": "residential", "name": "A"}}
+            self.wfile.write(json.dumps({"elements": [*nodes, way]}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    cache = RoadCache(spark, str(tmp_path / "cache"), servers=(f"http://127.0.0.1:{server.server_port}/",), pause_s=0.0)
+    track = spark.createDataFrame([(37.85, -122.25), (37.95, -122.25), (38.05, -122.25)], "lat double, lon double")
+    cells = [(37.8, -122.3), (37.9, -122.3), (38.0, -122.3)]
+    assert cache.answers(cells).count() == 3 and len(asked) == 4  # the first was refused and asked again
+    found = cache.segments(track)
+    assert len(asked) == 4 and found.count() > 300 and cache.segments(track).count() == found.count()
+    assert {r.cell_lat for r in cache.stored().select("cell_lat").distinct().collect()} == {37.8, 37.9, 38.0}
+    assert not (tmp_path / "cache/_answers").exists()
+    server.shutdown()
+
+
 def test_hexagons_need_their_library():
     try:
         import h3  # noqa: F401

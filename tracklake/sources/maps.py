@@ -6,9 +6,10 @@ import random
 import time
 import urllib.parse
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,16 +59,49 @@ class RoadCache:
     elements: Callable[[list[tuple[float, float]]], DataFrame] | None = None
     #: Build every cell anew, whatever the cache holds.
     fresh: bool = False
+    servers: tuple[str, ...] = SERVERS
+    #: Requests at a time, and seconds between those of one task.
+    at_once: int = 2
+    pause_s: float = 0.5
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def answers(self, cells: list[tuple[float, float]]) -> DataFrame:
+        """The servers' answers for cells, one row each: cell_lat, cell_lon, answer.
+
+        Executors ask, ``at_once`` of them at a time, each with pauses between
+        its cells.  Answers are written beside the cache before anything is made
+        of them, so a build that fails, or a task that is tried again after its
+        output was committed, asks no cell twice.
+        """
+        folder, kind = f"{self.path}/_answers", "cell_lat double, cell_lon double, answer string"
+        fs, path = self._path(folder)
+        have = self.spark.read.schema(kind).parquet(folder) if fs.exists(path) else self.spark.createDataFrame([], kind)
+        known = {(r.cell_lat, r.cell_lon) for r in have.select("cell_lat", "cell_lon").collect()}  # cells of a drive
+        ask = [(a, b, roads.map_query(a, b, a + self.size, b + self.size)) for a, b in cells if (a, b) not in known]
+        servers, pause_s = self.servers, self.pause_s
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lat, lon, query in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    answer = fetch(query, servers)
+                    time.sleep(pause_s)
+                    yield pa.RecordBatch.from_pylist([{"cell_lat": lat, "cell_lon": lon, "answer": answer}])
+
+        if ask:
+            dealt = self.spark.createDataFrame(ask, "cell_lat double, cell_lon double, query string").repartition(min(self.at_once, len(ask)))
+            dealt.mapInArrow(run, kind).write.mode("append").parquet(folder)
+        return self.spark.read.schema(kind).parquet(folder).filter(F.struct("cell_lat", "cell_lon").isin([F.struct(F.lit(a), F.lit(b)) for a, b in cells]))
 
     def fetched(self, cells: list[tuple[float, float]]) -> DataFrame:
-        texts = [fetch(roads.map_query(a, b, a + self.size, b + self.size)) for a, b in cells]
-        rows = self.spark.createDataFrame([(t,) for t in texts], "t string")
-        return rows.select(F.explode(F.from_json("t", readers.ELEMENTS)["elements"]).alias("e")).select("e.*").distinct()
+        rows = self.answers(cells).select(F.explode(F.from_json("answer", readers.ELEMENTS)["elements"]).alias("e"))
+        return rows.select("e.*").dropDuplicates(["type", "id"])
 
     def stored(self) -> DataFrame | None:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+        fs, path = self._path(self.path)
+        if not fs.exists(path) or not any(s.getPath().getName().startswith("cell_lat=") for s in fs.listStatus(path)):
             return None
         df = self.spark.read.parquet(self.path)
         return df.withColumns({"cell_lat": F.col("cell_lat").cast("double"), "cell_lon": F.col("cell_lon").cast("double")}).filter(F.col("length_seg") == int(self.length_m))
@@ -84,6 +118,8 @@ class RoadCache:
             wanted = self.spark.createDataFrame(cells, "cell_lat double, cell_lon double")
             writers.write_cells(placed.join(wanted, ["cell_lat", "cell_lon"], "left_semi"), self.path)
             have = self.stored()
+            fs, path = self._path(f"{self.path}/_answers")
+            fs.delete(path, True)  # they are in the cells now
         near = have.join(needed, ["cell_lat", "cell_lon"], "left_semi").drop("segment_id")
         near = near.withColumnsRenamed({"road_name": "rd_name", "highway": "rd_type"})
         return roads.in_box(roads.segment_table(near), track, self.buffer_m, lat, lon)
