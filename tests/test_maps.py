@@ -85,3 +85,31 @@ def test_hexagons_need_their_library():
         import h3  # noqa: F401
     except ImportError:
         assert hexagon_cells(12) is None
+
+
+def test_a_box_meets_few_row_groups(spark, tmp_path):
+    """Of a drive laid out along the curve a box meets a few row groups, in the order of time nearly all."""
+    import pyarrow.parquet as pq
+
+    from tracklake.sources import readers, writers
+
+    n = 60_000
+    track = spark.range(n).select(
+        F.col("id").alias("k"), (37.8 + 0.1 * F.abs(F.pmod(F.col("id") / 701.0, F.lit(2.0)) - 1)).alias("lat"), (-122.4 + 0.1 * F.abs(F.pmod(F.col("id") / 997.0, F.lit(2.0)) - 1)).alias("lon")
+    ).unionByName(spark.createDataFrame([(-1, None, None), (-2, 37.85, None)], "k long, lat double, lon double"))
+    box = (37.82, -122.34, 37.83, -122.33)
+
+    def met(path):
+        groups = [f.metadata.row_group(i) for p in path.glob("*.parquet") for f in [pq.ParquetFile(p)] for i in range(f.metadata.num_row_groups)]
+        hit = 0
+        for g in groups:
+            s = [g.column(c).statistics for c in (1, 2)]
+            hit += all(x.has_min_max for x in s) and s[0].max > box[0] and s[0].min < box[2] and s[1].max > box[1] and s[1].min < box[3]
+        return hit, len(groups)
+
+    writers.write_by_place(track, str(tmp_path / "curve"), files=64)
+    track.repartitionByRange(64, "k").sortWithinPartitions("k").write.parquet(str(tmp_path / "time"))
+    rows = [sorted(r.k for r in readers.read_box(spark, str(tmp_path / name), *box).collect()) for name in ("curve", "time")]
+    assert rows[0] == rows[1] and rows[0] and spark.read.parquet(str(tmp_path / "curve")).count() == n + 2
+    (hit, all_), (hit_time, all_time) = met(tmp_path / "curve"), met(tmp_path / "time")
+    assert hit * 8 <= all_ and hit_time * 2 >= all_time, (hit, all_, hit_time, all_time)

@@ -152,6 +152,26 @@ def box_scan(spark, sf):
     return readers.read_box(spark, path, 37.802, -122.299, 37.807, -122.295).select("event_id", r("lat", 5).alias("lat"))
 
 
+@query(ORACLE_SQL["box_scan"])
+def box_scan_curve(spark, sf):
+    """The same from a table that is laid out along a curve."""
+    lat, lon = lat_lon()
+    writers.write_by_place(table(spark, sf, "events").select("event_id", lat.alias("lat"), lon.alias("lon")), path := scratch_path(spark, "curve.parquet"))
+    return readers.read_box(spark, path, 37.802, -122.299, 37.807, -122.295).select("event_id", r("lat", 5).alias("lat"))
+
+
+def _sql_bits(share: str, place: int) -> str:
+    """The bits of a share of the whole at every second place."""
+    n = f"greatest(0, least({2**geo.CURVE_BITS - 1}, CAST(floor(({share}) * {2**geo.CURVE_BITS}::DOUBLE) AS BIGINT)))"
+    return f"CAST(list_sum(list_transform(range(0, {geo.CURVE_BITS}), lambda b: (({n} >> b) & 1) << (2 * b + {place}))) AS BIGINT)"
+
+
+@query(f"SELECT event_id, {_sql_bits(f'({LAT} + 90) / 180', 1)} + {_sql_bits(f'({LON} + 180) / 360', 0)} AS key FROM events")
+def curve_keys(spark, sf):
+    lat, lon = lat_lon()
+    return table(spark, sf, "events").select("event_id", geo.curve_key(lat, lon).alias("key"))
+
+
 @query(f"SELECT {sql_r(f'avg({LAT})', 6)} AS ref_lat FROM events")
 def mean_latitude(spark, sf):
     lat, _ = lat_lon()

@@ -59,6 +59,26 @@ def cell(v: Column, size: float) -> Column:
     return F.rint(F.floor(v / F.lit(size)) * F.lit(size) * scale) / scale
 
 
+#: Bits of each coordinate in a place's key: some two metres at the equator.
+CURVE_BITS = 24
+#: Steps that move the bits of a number to every second place (fixed values).
+SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def curve_key(lat: Column, lon: Column) -> Column:
+    """A place's number on a Z-shaped curve, whose neighbours on the curve are near each other; null without a position."""
+    top = (1 << CURVE_BITS) - 1
+
+    def spread(share: Column) -> Column:
+        x = F.greatest(F.lit(0), F.least(F.lit(top), F.floor(share * float(top + 1)))).cast("long")
+        for shift, mask in SPREAD:
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+        return x
+
+    both = F.shiftleft(spread((lat + 90.0) / 180.0), 1).bitwiseOR(spread((lon + 180.0) / 360.0))
+    return F.when(lat.isNotNull() & lon.isNotNull(), both)
+
+
 def ring(lat: Column, lon: Column, size: float) -> Column:
     """The five corners of a closed square cell from its lower edge."""
     point = lambda a, b: F.struct(a.alias("lat"), b.alias("lon"))

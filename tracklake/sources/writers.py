@@ -7,7 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tracklake.functions.geo import curve_key
 from tracklake.sources.readers import cps_long
 
 #: A line of two points in well-known binary: byte order, kind, number of points, the points.
@@ -54,6 +56,21 @@ def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def write_by_place(df: DataFrame, path: str, lat: str = "lat", lon: str = "lon", files: int | None = None, group_bytes: int | None = None) -> None:
+    """Parquet whose files and row groups each hold one stretch of a curve through all places.
+
+    A box then meets few of them, which Spark sees from their least and greatest
+    latitudes and longitudes; in the order of time nearly every one holds a bit
+    of any box.  Rows are range-partitioned by the curve's key and sorted by it;
+    rows without a position come first.  ``group_bytes`` bounds a row group.
+    """
+    key = curve_key(F.col(lat), F.col(lon))
+    keyed = df.withColumn("_key", key)
+    dealt = (keyed.repartitionByRange(files, "_key") if files else keyed.repartitionByRange("_key")).sortWithinPartitions("_key").drop("_key")
+    writer = dealt.write.mode("overwrite")
+    (writer.option("parquet.block.size", group_bytes) if group_bytes else writer).parquet(path)
+
+
 def write_cps(cps: DataFrame, path: str) -> None:
     write_table(cps, path)
 
