@@ -113,3 +113,34 @@ def test_a_box_meets_few_row_groups(spark, tmp_path):
     assert rows[0] == rows[1] and rows[0] and spark.read.parquet(str(tmp_path / "curve")).count() == n + 2
     (hit, all_), (hit_time, all_time) = met(tmp_path / "curve"), met(tmp_path / "time")
     assert hit * 8 <= all_ and hit_time * 2 >= all_time, (hit, all_, hit_time, all_time)
+
+
+def test_files_say_which_column_is_a_geometry(spark, tmp_path):
+    import json as js
+
+    import pyarrow.parquet as pq
+
+    from tracklake.sources.geoparquet import GeoParquet
+    from tracklake.sources.writers import with_line
+
+    spark.dataSource.register(GeoParquet)
+    track = spark.range(100).select("id", F.timestamp_seconds("id").alias("datetime"), *((F.lit(v) + F.col("id") / d).alias(c) for c, v, d in (("seg_start_lon", -122.0, 100.0), ("seg_start_lat", 37.0, 50.0), ("seg_end_lon", -121.0, 100.0))), F.when(F.col("id") != 7, 40.0).alias("seg_end_lat"))
+    path = tmp_path / "track.parquet"
+    for n in (1, 2):
+        with_line(track).repartition(3).write.format("geoparquet").mode("append").save(str(path))
+        assert len(list(path.iterdir())) == 3 * n
+    with_line(track).repartition(4).write.format("geoparquet").mode("overwrite").save(str(path))
+    files = list(path.iterdir())
+    assert len(files) == 4 and spark.read.parquet(str(path)).filter("length(geometry) = 41").count() == 99
+    boxes = []
+    for f in files:
+        geo = js.loads(pq.ParquetFile(f).metadata.metadata[b"geo"])
+        assert geo["primary_column"] == "geometry" and geo["columns"]["geometry"]["encoding"] == "WKB"
+        boxes.append(geo["columns"]["geometry"]["bbox"])
+    assert [min(b[0] for b in boxes), min(b[1] for b in boxes), max(b[2] for b in boxes), max(b[3] for b in boxes)] == pytest.approx([-122.0, 37.0, -120.01, 40.0])
+    bad = with_line(track).repartition(3).withColumn("id", F.when(F.col("id") == 50, F.raise_error("no")).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        bad.write.format("geoparquet").mode("append").save(str(path))
+    assert sorted(f for f in path.iterdir() if f.name[0] != "_") == sorted(files) and spark.read.parquet(str(path)).count() == 100
+    with pytest.raises(Exception, match="no column"):
+        track.write.format("geoparquet").mode("append").save(str(path))

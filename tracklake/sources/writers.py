@@ -13,7 +13,7 @@ from tracklake.functions.geo import curve_key
 from tracklake.sources.readers import cps_long
 
 #: A line of two points in well-known binary: byte order, kind, number of points, the points.
-_LINE = np.dtype([("order", "u1"), ("kind", "<u4"), ("points", "<u4"), ("xy", "<f8", 4)])
+LINE = np.dtype([("order", "u1"), ("kind", "<u4"), ("points", "<u4"), ("xy", "<f8", 4)])
 _ENDS = ("seg_start_lon", "seg_start_lat", "seg_end_lon", "seg_end_lat")
 
 
@@ -22,12 +22,12 @@ def packed_lines(ends: list[pa.Array]) -> pa.Array:
     here = ends[0].is_valid().to_numpy(zero_copy_only=False)
     for e in ends[1:]:
         here = here & e.is_valid().to_numpy(zero_copy_only=False)
-    lines = np.zeros(len(here), _LINE)
+    lines = np.zeros(len(here), LINE)
     lines["order"], lines["kind"], lines["points"] = 1, 2, 2
     for k, e in enumerate(ends):
         lines["xy"][:, k] = e.cast(pa.float64()).to_numpy(zero_copy_only=False)
     bits = pa.py_buffer(np.packbits(here, bitorder="little").tobytes())
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(_LINE.itemsize), len(here), [bits, pa.py_buffer(lines.tobytes())]).cast(pa.binary())
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(LINE.itemsize), len(here), [bits, pa.py_buffer(lines.tobytes())]).cast(pa.binary())
 
 
 def with_line(track: DataFrame, name: str = "geometry") -> DataFrame:
