@@ -28,7 +28,7 @@ def published_units(df: DataFrame) -> DataFrame:
 
 
 #: Degrees of the cells that rings are dealt to, by size: the finest that a ring's box meets in at most ``ACROSS`` cells each way, else the last.
-CELLS, ACROSS = (1 / 512, 1 / 32, 1 / 2), 64
+CELLS, ACROSS = (1 / 256, 1 / 8), 64
 #: Degrees by which the cells' borders lie off round numbers, where vertices are.
 ASIDE = 0.000123456789
 
@@ -86,7 +86,7 @@ def outside(df: DataFrame, rings: DataFrame, lat: str = "latitude", lon: str = "
     whole = rings.select("ring").filter((F.size("ring") > 2) & F.forall("ring", lambda p: p["lat"].isNotNull() & p["lon"].isNotNull()))
     told = whole.select(F.xxhash64("ring").alias("id"), closed.alias("ring")).distinct()
     extent = F.greatest(*(F.array_max(F.col(f"ring.{c}")) - F.array_min(F.col(f"ring.{c}")) for c in ("lat", "lon")))
-    least = F.when(extent <= CELLS[0] * ACROSS, 0).when(extent <= CELLS[1] * ACROSS, 1).otherwise(2)
+    least = F.when(extent <= CELLS[0] * ACROSS, 0).otherwise(1)
     y, x = F.col(lat), F.col(lon)
     for k, size in enumerate(CELLS):
         index = _ring_index(told.filter(least == k), size)
