@@ -17,6 +17,7 @@ from tracklake.plans import config
 from tracklake.plans.pipeline import days
 from tracklake.queries import CALS, INSTRUMENTS, LAT, LON, ORACLE_SQL, REF, calibrations, elements, lat_lon, ntz, query, r, readings, segments, sql_bearing, sql_haversine, sql_lat_lon, sql_r, table
 from tracklake.sources import readers, writers
+from tracklake.sources.calibration_store import CalibrationStore
 from tracklake.sources.scratch import scratch_path
 
 #: A zone without changes of the clock, seven hours behind UTC.
@@ -480,3 +481,19 @@ def calibrate_day(spark, sf):
     cals = named(calibrations(spark, sf))
     out = calibration.calibrate(rows, cals, cals.select("instrument", "parameter", "sample_time", "zero"), ["day"], ["summary_flag"])
     return out.select("day", "sample_time", "instrument", "parameter", r("value").alias("value"), "summary_flag")
+
+
+@query(ORACLE_SQL["calibrate_day"])
+def calibrate_stored(spark, sf):
+    """The whole calibration from a store that was filled in three parts, in no order of time, and is asked for the readings' span."""
+    named = lambda df: df.withColumns({"instrument": F.expr(_I), "parameter": F.expr(_P)})
+    rows = named(readings(spark, sf)).select(F.to_date("sample_time").alias("day"), ntz(F.date_trunc("hour", "sample_time")).alias("sample_time"), "instrument", "parameter", "value", F.lit("0").alias("summary_flag"))
+    cals = named(calibrations(spark, sf)).withColumn("part", F.pmod(F.xxhash64("sample_time"), F.lit(3)))
+    store = CalibrationStore(spark, scratch_path(spark, "calibrations"), 86_400)
+    none = spark.createDataFrame([], "instrument string, sample_time timestamp, ksens double")
+    for k in range(3):
+        part = cals.filter(F.col("part") == k)
+        store.put(part, none, part)
+    slopes, _, zeros = store.around(*rows.agg(F.min(clock.micros("sample_time")), F.max(clock.micros("sample_time"))).first())
+    out = calibration.calibrate(rows, slopes, zeros, ["day"], ["summary_flag"])
+    return out.select("day", "sample_time", "instrument", "parameter", r("value").alias("value"), "summary_flag")

@@ -113,7 +113,13 @@ def fill_species(stats: DataFrame, species: DataFrame) -> DataFrame:
     return stats.select("instrument", "parameter", "sample_time", "slope", "ksens").unionByName(added)
 
 
-def bracket_runs(readings: DataFrame, cals: DataFrame, run: list[str], time: str = "sample_time") -> DataFrame:
+def without_slope(cals: DataFrame, zeros: DataFrame, time: str = "sample_time") -> DataFrame:
+    """Names (instrument, parameter) that have zeros but no calibration at any time."""
+    key = ["instrument", "parameter"]
+    return zeros.select(*key).distinct().join(cals.filter(F.col(time).isNotNull()).select(*key).distinct(), key, "left_anti")
+
+
+def bracket_runs(readings: DataFrame, cals: DataFrame, run: list[str], time: str = "sample_time", stand_ins: DataFrame | None = None, lacking: DataFrame | None = None) -> DataFrame:
     """Slope and intercept at each reading, on the line between the calibrations around its run.
 
     The bracket of a run (an instrument's parameter on a drive) is the last
@@ -121,16 +127,28 @@ def bracket_runs(readings: DataFrame, cals: DataFrame, run: list[str], time: str
     its last; those inside are ignored.  One side alone is constant; none is
     slope 1, intercept 0.  A null intercept counts as 0.
 
+    ``stand_ins`` (instrument, time, slope) calibrate the parameters in
+    ``lacking`` (instrument, parameter), all by the same rows: the runs ask for
+    them, so they are not repeated for each name as in ``fill_species``.
+
     First and last times of the runs and the calibrations of a key are sorted
     together, and the calibration seen last is carried along, so runs and
     calibrations do not meet in pairs.
     """
-    key = ["instrument", "parameter"]
-    point = F.struct(micros(time).alias("t"), F.col("slope").cast("double").alias("s"), F.coalesce(F.col("intercept").cast("double"), F.lit(0.0)).alias("i"))
-    known = cals.filter(F.col(time).isNotNull() & F.col(key[0]).isNotNull() & F.col(key[1]).isNotNull())
-    known = known.select(*key, micros(time).alias("_t"), F.lit("cal").alias("_what"), point.alias("_p"))
-    bounds = readings.groupBy(*run).agg(F.min(micros(time)).alias("low"), F.max(micros(time)).alias("high"))
-    asks = bounds.unpivot(run, ["low", "high"], "_what", "_t")
+    key, name = ["instrument", "_key"], F.concat(F.lit("="), "parameter")
+
+    def points(df: DataFrame, named: Column) -> DataFrame:
+        point = F.struct(micros(time).alias("t"), F.col("slope").cast("double").alias("s"), F.coalesce(F.col("intercept").cast("double"), F.lit(0.0)).alias("i"))
+        there = df.filter(F.col(time).isNotNull() & F.col("instrument").isNotNull())
+        return there.select("instrument", named.alias("_key"), micros(time).alias("_t"), F.lit("cal").alias("_what"), point.alias("_p")).filter("_key IS NOT NULL")
+
+    known = points(cals, name)
+    bounds = readings.groupBy(*run).agg(F.min(micros(time)).alias("low"), F.max(micros(time)).alias("high")).withColumn("_key", name)
+    if stand_ins is not None and lacking is not None:
+        known = known.unionByName(points(stand_ins.withColumn("intercept", F.lit(0.0)), F.lit("")))
+        marked = lacking.select("instrument", "parameter").distinct().withColumn("_lacks", F.lit(True))
+        bounds = bounds.join(marked, ["instrument", "parameter"], "left").withColumn("_key", F.when(F.col("_lacks"), F.lit("")).otherwise(F.col("_key")))
+    asks = bounds.unpivot([*run, "_key"], ["low", "high"], "_what", "_t")
     both = asks.unionByName(known, allowMissingColumns=True).withColumn("_k", (F.col("_what") == "cal").cast("int"))
     running = lambda *order: Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before, after = running("_t", "_k", F.col("_p.s")), running(F.desc("_t"), "_k", F.desc("_p.s"))
@@ -212,14 +230,16 @@ def derived_difference(readings: DataFrame, by: list[str], instrument: str, minu
     return rows.groupBy(*by, "instrument").agg((mean(minuend) - mean(subtrahend)).alias("value")).withColumn("parameter", F.lit(name)).filter("value is not null")
 
 
-def calibrate(readings: DataFrame, cals: DataFrame, zeros: DataFrame, drive: list[str], carried: list[str], letters: str = "HCOKSNV") -> DataFrame:
+def calibrate(readings: DataFrame, cals: DataFrame, zeros: DataFrame, drive: list[str], carried: list[str], letters: str = "HCOKSNV", sensitivities: DataFrame | None = None) -> DataFrame:
     """Calibrated readings, with NO2 derived from calibrated NOx and NO, each (time, instrument, parameter) once.
 
     ``carried`` are columns of the moment (position, flags), which derived rows
-    take from the first reading of their time.
+    take from the first reading of their time.  ``sensitivities`` (instrument,
+    time, ksens) stand in for parameters that have zeros but no slope.
     """
     run = [*drive, "instrument", "parameter"]
-    rows = with_zeros(intercept_units(bracket_runs(readings, cals, run)), zeros, letters=letters)
+    stand = {} if sensitivities is None else {"stand_ins": sensitivities.withColumn("slope", F.col("ksens")), "lacking": without_slope(cals, zeros)}
+    rows = with_zeros(intercept_units(bracket_runs(readings, cals, run, **stand)), zeros, letters=letters)
     rows = rows.withColumn("value", calibrated(F.col("value"), F.col("zero"), F.col("intercept"), F.col("slope"))).drop("slope", "intercept", "zero")
     moment = [*drive, "sample_time"]
     derived = derived_difference(rows, moment, "EcoPhysics_NOX", "NOx", "NO", "NO2")

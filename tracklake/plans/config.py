@@ -51,6 +51,7 @@ class Paths:
     exclusion_poly: str = ""
     NO_NO2_NOx_O3_cal: str = ""
     CO_N2O_CH4_C2H6_CO2_cal: str = ""
+    calibration_store: str = ""
     output_l2: str = ""
     output_exchange: str = ""
     output_targets: str = ""
@@ -60,6 +61,7 @@ class Paths:
         done = {
             "gps_processed": "gps", "vocus_cps": "vocus/cps", "vocus_cal_stats": "vocus/cal_stats",
             "roads_cache": "road_segments", "output_l2": "l2", "output_exchange": "exchange", "output_targets": "targets",
+            "calibration_store": "calibrations",
         }
         for base, names in ((self.base_raw, raw), (self.base_processed, done)):
             for name, folder in names.items():

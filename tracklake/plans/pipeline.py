@@ -15,6 +15,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tracklake.functions.clock import micros
 from tracklake.functions.hexagons import hexagon_cells
 from tracklake.functions.text import is_ion
 from tracklake.operators import calibration, gps, output, quality, roads, targets
@@ -22,6 +23,7 @@ from tracklake.operators.matching import match_and_count
 from tracklake.plans.config import Config, Paths, Stage, chosen
 from tracklake.sources import readers, writers
 from tracklake.sources.arrays import read_arrays, wide_counts
+from tracklake.sources.calibration_store import CalibrationStore
 from tracklake.sources.maps import RoadCache
 
 #: Resolution of the hexagons that published readings name (fixed value).
@@ -152,12 +154,30 @@ class Pipeline:
         rows = quality.flag_readings(rows, readers.read_thresholds(spark, p.flags_file), by)
         return quality.join_track(rows, track, by)
 
-    def calibrated_readings(self, placed: DataFrame) -> DataFrame:
-        p, c, spark, by = self.paths, self.config, self.spark, ["drive_date"]
-        gas = readers.read_gas_calibrations(spark, self.listed(f"{p.CO_N2O_CH4_C2H6_CO2_cal}/*.csv"), self.listed(f"{p.NO_NO2_NOx_O3_cal}/*.csv"))
-        ion, zeros = readers.read_ion_calibrations(spark, self.listed(f"{p.vocus_cal_stats}/calstats_*.csv"), self.listed(f"{p.vocus_cal_stats}/zeros_*.csv"), c.ptr_prefixes)
+    def calibrations(self, track: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Slopes, sensitivities and zeros for readings on a track: from the store, which takes in new files, or, without one, from all files."""
+        p, c, spark = self.paths, self.config, self.spark
+        patterns = {"gas": f"{p.CO_N2O_CH4_C2H6_CO2_cal}/*.csv", "nox": f"{p.NO_NO2_NOx_O3_cal}/*.csv", "stats": f"{p.vocus_cal_stats}/calstats_*.csv", "zeros": f"{p.vocus_cal_stats}/zeros_*.csv"}
+        files = {name: self.listed(pattern) for name, pattern in patterns.items()}
+
+        def read(found: dict[str, list[str]]) -> tuple[DataFrame, DataFrame, DataFrame]:
+            gas = readers.read_gas_calibrations(spark, found["gas"], found["nox"])
+            ion, zeros = readers.read_ion_slopes(spark, found["stats"], found["zeros"], c.ptr_prefixes)
+            slopes = ion.select("instrument", "parameter", "sample_time", "slope", F.lit(None).cast("double").alias("intercept"))
+            return gas.unionByName(slopes), ion.select("instrument", "sample_time", "ksens").distinct(), zeros
+
+        if not p.calibration_store:
+            return read(files)
+        store = CalibrationStore(spark, p.calibration_store)
+        store.absorb(files, read)
+        span = track.agg(F.min(micros("sample_time")), F.max(micros("sample_time"))).first()
+        return store.around(*span)
+
+    def calibrated_readings(self, placed: DataFrame, track: DataFrame) -> DataFrame:
+        c, by = self.config, ["drive_date"]
+        slopes, sensitivities, zeros = self.calibrations(track)
         carried = [n for n in placed.columns if n not in (*by, "sample_time", "instrument", "parameter", "value")]
-        done = calibration.calibrate(placed, gas.unionByName(ion), zeros, by, carried, c.ptr_prefixes)
+        done = calibration.calibrate(placed, slopes, zeros, by, carried, c.ptr_prefixes, sensitivities)
         return output.round_columns(done, c.value_precision, c.coord_precision)
 
     def published(self, done: DataFrame, placed: DataFrame, fields: DataFrame, by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
@@ -180,8 +200,9 @@ class Pipeline:
 
     def instrument_stage(self, day: date) -> None:
         fields = readers.read_fields(self.spark, self.paths.field_map)
-        placed = self.placed_readings(*self.day_readings(day, fields))
-        writers.write_table(self.calibrated_readings(placed), self.out(Stage.INSTRUMENT, day))
+        rows, track = self.day_readings(day, fields)
+        placed = self.placed_readings(rows, track)
+        writers.write_table(self.calibrated_readings(placed, track), self.out(Stage.INSTRUMENT, day))
         done = self.spark.read.parquet(self.out(Stage.INSTRUMENT, day))
         for path, table in self.published(done, placed, fields).items():
             writers.write_table(table, path.format(day=day))
@@ -223,8 +244,9 @@ class Pipeline:
 
     def instrument_dates(self, dates: list[date], inputs: dict[date, tuple[DataFrame, DataFrame]]) -> dict[date, int]:
         fields = readers.read_fields(self.spark, self.paths.field_map)
-        placed = self.placed_readings(*(_together([inputs[d][k] for d in dates]) for k in (0, 1)))
-        rows = self.write_dates(self.calibrated_readings(placed), self.out(Stage.INSTRUMENT, "{day}"), dates)
+        read, track = (_together([inputs[d][k] for d in dates]) for k in (0, 1))
+        placed = self.placed_readings(read, track)
+        rows = self.write_dates(self.calibrated_readings(placed, track), self.out(Stage.INSTRUMENT, "{day}"), dates)
         done = self.spark.read.parquet(*(self.out(Stage.INSTRUMENT, d) for d in dates))
         day = lambda df: df.withColumn("_day", F.col("drive_date"))
         for path, table in self.published(day(done), day(placed), fields, ("_day",)).items():

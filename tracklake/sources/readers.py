@@ -189,8 +189,8 @@ def read_gas_calibrations(spark: SparkSession, plain: list[str], renamed: list[s
     return out if out is not None else spark.createDataFrame([], "instrument string, parameter string, sample_time timestamp, slope double, intercept double")
 
 
-def read_ion_calibrations(spark: SparkSession, stats: list[str], zeros: list[str], letters: str = "HCOKSNV") -> tuple[DataFrame, DataFrame]:
-    """Slopes of the ions (without intercepts), filled for ions that only have zeros, and the zeros themselves."""
+def read_ion_slopes(spark: SparkSession, stats: list[str], zeros: list[str], letters: str = "HCOKSNV") -> tuple[DataFrame, DataFrame]:
+    """Slopes of the ions with the sensitivity at their time (instrument, parameter, sample_time, slope, ksens), and zeros."""
     empty = spark.createDataFrame([], "instrument string, parameter string, sample_time timestamp, zero double")
     z = empty
     for df in _csv_by_header(spark, zeros):
@@ -205,7 +205,13 @@ def read_ion_calibrations(spark: SparkSession, stats: list[str], zeros: list[str
         df = df.select(F.lit(ION_INSTRUMENT).alias("instrument"), F.col("species").alias("parameter"), floor_second(parse_mixed("date")).alias("sample_time"), "slope", "ksens")
         s = df if s is None else s.unionByName(df)
     if s is None:
-        return spark.createDataFrame([], "instrument string, parameter string, sample_time timestamp, slope double, intercept double"), z
+        s = spark.createDataFrame([], "instrument string, parameter string, sample_time timestamp, slope double, ksens double")
+    return s, z
+
+
+def read_ion_calibrations(spark: SparkSession, stats: list[str], zeros: list[str], letters: str = "HCOKSNV") -> tuple[DataFrame, DataFrame]:
+    """Slopes of the ions (without intercepts), filled for ions that only have zeros, and the zeros themselves."""
+    s, z = read_ion_slopes(spark, stats, zeros, letters)
     s = fill_species(s, z.select("parameter"))
     return s.select("instrument", "parameter", "sample_time", "slope", F.lit(None).cast("double").alias("intercept")), z
 
