@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,20 +44,30 @@ def clean_track(track: DataFrame, by: list[str], time: str = "sample_time", tieb
     return first_per(good, [*by, time], [F.col(c) for c in (tiebreak or ["lat", "lon"])])
 
 
-def smooth_axis(t: np.ndarray, z: np.ndarray, process: float, measurement: float) -> np.ndarray:
+#: Variance of position and of speed at a track's first fix (fixed value).
+FIRST_VARIANCE = 1e-6
+
+
+def smooth_axis(t: np.ndarray, z: np.ndarray, process: float, measurement: float, before: tuple | None = None, after: np.ndarray | None = None) -> np.ndarray:
     """Kalman filter forward, Rauch-Tung-Striebel smoother back, for columns of positions.
 
     The state of a column is position and speed; columns do not interact and
     share their covariance, so gains are computed once for all, as plain
     numbers.  Steps of no or negative length count as one second.
+
+    For a part of a track: ``before`` is the filter at the row before the first
+    (its time, position and speed of each column, covariance), ``after`` the
+    smoothed position and speed of each column at the last row.
     """
+    if before is not None:
+        t, z = np.concatenate([[before[0]], t]), np.vstack([before[1][0], z])
     n = len(t)
     if n < 2:
-        return z.copy()
+        return z.copy() if after is None else after[:1].copy()
     dt = np.diff(t)
     dt[dt <= 0] = 1.0
     steps = dt.tolist()
-    a, b, c = 1e-6, 0.0, 1e-6  # covariance of position and speed
+    a, b, c = (FIRST_VARIANCE, 0.0, FIRST_VARIANCE) if before is None else before[2]  # covariance of position and speed
     gains, backs = [], []
     for d in steps:
         a1 = a + d * (2 * b + d * c) + process * d**3 / 3
@@ -71,13 +81,15 @@ def smooth_axis(t: np.ndarray, z: np.ndarray, process: float, measurement: float
         a, b, c = a1 - g * a1, b1 - g * b1, c1 - h * b1
     out = np.empty_like(z, dtype=float)
     for k in range(z.shape[1]):
-        x, v = float(z[0, k]), 0.0
+        x, v = float(z[0, k]), 0.0 if before is None else float(before[1][1, k])
         at, seen = [(x, v)], [(x, v)]
         for d, (g, h), value in zip(steps, gains, z[1:, k].tolist(), strict=True):
             guess = x + d * v
             at.append((guess, v))
             x, v = guess + g * (value - guess), v + h * (value - guess)
             seen.append((x, v))
+        if after is not None:
+            x, v = after[:, k].tolist()
         found = [x]
         for i in range(n - 2, -1, -1):
             e, f = x - at[i + 1][0], v - at[i + 1][1]
@@ -85,7 +97,34 @@ def smooth_axis(t: np.ndarray, z: np.ndarray, process: float, measurement: float
             x, v = seen[i][0] + j[0] * e + j[1] * f, seen[i][1] + j[2] * e + j[3] * f
             found.append(x)
         out[:, k] = found[::-1]
-    return out
+    return out if before is None else out[1:]
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str, work: Callable[[pa.Table, list[tuple[int, int]]], pa.Table]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by ``key`` to tables of whole groups, for ``work``, with the bounds of each group's rows; no more is held than a group and a batch."""
+    held: list[pa.RecordBatch] = []
+
+    def done() -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(held)
+        g = whole.column(key).to_numpy()
+        cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
+        yield from work(whole, list(zip([0, *cuts], [*cuts, len(g)], strict=True))).combine_chunks().to_batches()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        g = batch.column(key).to_numpy(zero_copy_only=False)
+        last = int(np.flatnonzero(g[1:] != g[:-1])[-1]) + 1 if (g[1:] != g[:-1]).any() else 0
+        if not last and held and held[-1].column(key)[0].as_py() != g[0]:
+            yield from done()
+            held = []
+        elif last:
+            held.append(batch.slice(0, last))
+            yield from done()
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield from done()
 
 
 def smooth(track: DataFrame, by: list[str], time: str = "sample_time", process: float = 1e-9, measurement: float = 1e-10) -> DataFrame:
@@ -100,34 +139,14 @@ def smooth(track: DataFrame, by: list[str], time: str = "sample_time", process:
     names = [c for c in rows.columns if c not in ("_us", "_g")]
     fields = T.StructType([*(rows.schema[c] for c in names), *(T.StructField(c, T.DoubleType()) for c in ("lat_kf", "lon_kf"))])
 
-    def smoothed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole groups, end to end."""
-        whole = pa.Table.from_batches(held)
+    def smoothed(whole: pa.Table, bounds: list[tuple[int, int]]) -> pa.Table:
         t = whole.column("_us").to_numpy() / 1e6
         z = np.column_stack([whole.column(c).to_numpy().astype(float) for c in ("lat", "lon")])
-        g = whole.column("_g").to_numpy()
-        cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
-        found = [smooth_axis(t[i:j], z[i:j], process, measurement) for i, j in zip([0, *cuts], [*cuts, len(t)], strict=True)]
-        out = np.concatenate(found)
-        done = pa.table([*(whole.column(c) for c in names), pa.array(out[:, 0]), pa.array(out[:, 1])], names=[f.name for f in fields])
-        yield from done.combine_chunks().to_batches()
+        out = np.concatenate([smooth_axis(t[i:j], z[i:j], process, measurement) for i, j in bounds])
+        return pa.table([*(whole.column(c) for c in names), pa.array(out[:, 0]), pa.array(out[:, 1])], names=[f.name for f in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            g = batch.column("_g").to_numpy(zero_copy_only=False)
-            last = int(np.flatnonzero(g[1:] != g[:-1])[-1]) + 1 if (g[1:] != g[:-1]).any() else 0
-            if not last and held and held[-1].column("_g")[0].as_py() != g[0]:
-                yield from smoothed(held)
-                held = []
-            elif last:
-                yield from smoothed([*held, batch.slice(0, last)])
-                held = []
-            held.append(batch.slice(last))
-        if held:
-            yield from smoothed(held)
+        return whole_groups(batches, "_g", smoothed)
 
     dealt = rows.repartition(*by) if by else rows.repartition(1)
     return dealt.sortWithinPartitions("_g", "_us").mapInArrow(run, fields)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.functions import clock, geo, numbers, text
-from tracklake.operators import calibration, gps, matching, ordered, output, quality, roads, segmented, targets
+from tracklake.operators import calibration, gps, long_tracks, matching, ordered, output, quality, roads, segmented, targets
 from tracklake.plans.pipeline import summarise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -387,6 +387,14 @@ def kalman_rts(spark, sf):
     return gps.smooth(e, ["day", "user_id"]).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
 
 
+@query(ORACLE_SQL["kalman_rts"])
+def kalman_rts_blocks(spark, sf):
+    """Tracks by blocks of an hour, which meet in the summaries of a day."""
+    lat, lon = lat_lon()
+    e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), "user_id", F.col("ts").alias("sample_time"), lat.alias("lat"), lon.alias("lon"))
+    return long_tracks.smooth(e, ["day", "user_id"]).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
+
+
 REF = 37.805
 
 
