@@ -489,7 +489,7 @@ def calibrate_stored(spark, sf):
     named = lambda df: df.withColumns({"instrument": F.expr(_I), "parameter": F.expr(_P)})
     rows = named(readings(spark, sf)).select(F.to_date("sample_time").alias("day"), ntz(F.date_trunc("hour", "sample_time")).alias("sample_time"), "instrument", "parameter", "value", F.lit("0").alias("summary_flag"))
     cals = named(calibrations(spark, sf)).withColumn("part", F.pmod(F.xxhash64("sample_time"), F.lit(3)))
-    store = CalibrationStore(spark, scratch_path(spark, "calibrations"), 86_400)
+    store = CalibrationStore(spark, scratch_path(spark, "calibrations"), 7 * 86_400)
     none = spark.createDataFrame([], "instrument string, sample_time timestamp, ksens double")
     for k in range(3):
         part = cals.filter(F.col("part") == k)

@@ -389,10 +389,10 @@ def kalman_rts(spark, sf):
 
 @query(ORACLE_SQL["kalman_rts"])
 def kalman_rts_blocks(spark, sf):
-    """Tracks by blocks of an hour, which meet in the summaries of a day."""
+    """Tracks by blocks of six hours, which meet in the summaries of a day."""
     lat, lon = lat_lon()
     e = table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), "user_id", F.col("ts").alias("sample_time"), lat.alias("lat"), lon.alias("lon"))
-    return long_tracks.smooth(e, ["day", "user_id"]).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
+    return long_tracks.smooth(e, ["day", "user_id"], block_s=21_600).select("event_id", r("lat_kf", 5).alias("lat_kf"), r("lon_kf", 5).alias("lon_kf"))
 
 
 REF = 37.805

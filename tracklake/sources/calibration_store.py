@@ -70,16 +70,11 @@ def edges(points: DataFrame, buckets: list[int]) -> DataFrame:
     known, here = F.array(*(F.lit(b).cast("long") for b in buckets)), F.col("bucket")
     following, preceding = F.lead("bucket").over(over), F.lag("bucket").over(over)
     held = ends.withColumns({"_up": F.slice(up_to, F.greatest(F.size(up_to) - 1, F.lit(1)), F.lit(2)), "_on": F.slice(onward, 1, 2), "_next": following, "_prev": preceding})
-    sides = {
-        "before": ("_up", lambda x: (x > here) & (F.col("_next").isNull() | (x <= F.col("_next")))),
-        "after": ("_on", lambda x: (x < here) & (F.col("_prev").isNull() | (x >= F.col("_prev")))),
-    }
-    out = None
-    for side, (carried, where) in sides.items():
-        dealt = held.select(*KEY, F.explode(F.filter(known, where)).alias("_to"), carried).select(*KEY, F.col("_to").alias("bucket"), F.explode(carried).alias("_p"))
-        one = dealt.select(*KEY, "_p.*", F.lit(side).alias("side"), "bucket")
-        out = one if out is None else out.unionByName(one)
-    return out
+    later = lambda x: (x > here) & (F.col("_next").isNull() | (x <= F.col("_next")))
+    earlier = lambda x: (x < here) & (F.col("_prev").isNull() | (x >= F.col("_prev")))
+    to = lambda side, carried, where: F.transform(F.filter(known, where), lambda x: F.struct(F.lit(side).alias("side"), x.alias("bucket"), F.col(carried).alias("p")))
+    dealt = held.select(*KEY, F.explode(F.concat(to("before", "_up", later), to("after", "_on", earlier))).alias("_to"))
+    return dealt.select(*KEY, "_to.side", "_to.bucket", F.explode("_to.p").alias("_p")).select(*KEY, "_p.*", "side", "bucket")
 
 
 class CalibrationStore:
