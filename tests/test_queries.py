@@ -45,3 +45,16 @@ def test_each_vehicles_day_is_smoothed_alone(spark, monkeypatch):
     monkeypatch.setattr(queries.gps, "smooth", lambda track, by: seen.append(by) or smooth(track, by))
     QUERIES["kalman_rts"](spark, SF)
     assert sorted(seen[0]) == ["day", "user_id"]
+
+
+def test_nearly_equal_distances_keep_the_order_of_sql(spark, duck, tmp_path):
+    """Segments 418 and 808 are equally far from these rows but for the last bits."""
+    big = SF.replace("0.001", "0.1")
+    duck.sql(f"COPY (SELECT * FROM '{big}/events.parquet' WHERE event_id % 1000 IN (409, 500, 909)) TO '{tmp_path}/events.parquet'")
+    duck.sql(f"COPY (SELECT * FROM '{big}/supplier.parquet') TO '{tmp_path}/supplier.parquet'")
+    other = duckdb.connect()
+    for name in ("events", "supplier"):
+        other.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    got = QUERIES["haversine_nearest"](spark, str(tmp_path))
+    want = other.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL['haversine_nearest']})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)

@@ -38,9 +38,13 @@ def angle_between(a: Column, b: Column, oneway: Column) -> Column:
 
 
 def planar(lat: Column, lon: Column, ref_lat: Column | float) -> tuple[Column, Column]:
-    """Metres east and north in the planar approximation about a reference latitude."""
+    """Metres east and north in the planar approximation about a reference latitude.
+
+    A degree's length comes first, then the coordinate times it: distances that
+    are nearly equal keep the order they have in SQL written that way.
+    """
     c = math.cos(math.radians(ref_lat)) if isinstance(ref_lat, (int, float)) else F.cos(F.radians(ref_lat))
-    return lon * F.lit(DEGREE) * c, lat * F.lit(DEGREE)
+    return lon * (F.lit(DEGREE) * c), lat * F.lit(DEGREE)
 
 
 def project(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> tuple[Column, Column]:
