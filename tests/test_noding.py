@@ -3,8 +3,10 @@
 import itertools
 import math
 import random
+import time
 from fractions import Fraction as Q
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +175,28 @@ def test_rings_by_their_edges_in_a_cell(spark):
         assert 0 < len(want) < len(points) or len(chosen) == 1
     opened = spark.createDataFrame([([p for p in rings[5][:-1]],), (None,), ([],)], df.schema)
     assert {r.k for r in output.outside(rows, opened).collect()} == {k for k, a, o in points if a is None or o is None or not (30.0 < a < 30.25 and 0.0 < o < 0.5)}
+
+
+def test_a_dense_tile_is_paired_in_blocks(spark):
+    """Streets of one name that all cross within one tile: 1.4 million crossings."""
+    n, step = 1200, 1.6e-6
+    k = F.col("id") % n
+    at, far = F.lit(0.00005) + k * step, F.lit(0.00199)
+    point = lambda lat, lon: F.struct(lat.alias("lat"), lon.alias("lon"))
+    coords = F.when(F.col("id") < n, F.array(point(at, F.lit(0.00001)), point(at, far))).otherwise(F.array(point(F.lit(0.00001), at), point(far, at)))
+    lines = spark.range(2 * n).select(F.col("id").alias("way_id"), F.lit("x").alias("rd_name"), coords.alias("coords"))
+    start = time.monotonic()
+    found = noding.node_lines(lines, ["way_id"], ["rd_name"]).agg(F.count("*"), F.sum(F.size("coords")), F.max("piece")).first()
+    assert tuple(found) == (2 * n * (n + 1), 4 * n * (n + 1), n)
+    assert time.monotonic() - start < 60
+
+
+def test_marks_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    e = np.column_stack([rng.integers(0, 9, (150, 4)) * 2e-4 + 1e-4, np.zeros((150, 2))])
+    e = e[(e[:, :2] != e[:, 2:4]).any(1)]
+    line, at = np.repeat(np.arange(75), 2)[: len(e)], np.tile([0, 1], 75)[: len(e)]
+    told = lambda: sorted((int(i), *map(float, m)) for edges, marks in noding._met_in_tile(e, line, at, 0.002) for i, m in zip(edges, marks, strict=True) if m[0] >= 0)
+    whole = told()
+    monkeypatch.setattr(noding, "PAIRS", 64)
+    assert told() == whole and len(whole) > 1000

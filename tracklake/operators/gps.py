@@ -100,15 +100,19 @@ def smooth_axis(t: np.ndarray, z: np.ndarray, process: float, measurement: float
     return out if before is None else out[1:]
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], key: str, work: Callable[[pa.Table, list[tuple[int, int]]], pa.Table]) -> Iterator[pa.RecordBatch]:
-    """Batches of rows sorted by ``key`` to tables of whole groups, for ``work``, with the bounds of each group's rows; no more is held than a group and a batch."""
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str, work: Callable[[pa.Table, list[tuple[int, int]]], pa.Table | Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by ``key`` to tables of whole groups, for ``work``, with the bounds of each group's rows; no more is held than a group and a batch.
+
+    ``work`` gives a table, or batches one by one where they are many.
+    """
     held: list[pa.RecordBatch] = []
 
     def done() -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(held)
         g = whole.column(key).to_numpy()
         cuts = np.flatnonzero(g[1:] != g[:-1]) + 1
-        yield from work(whole, list(zip([0, *cuts], [*cuts, len(g)], strict=True))).combine_chunks().to_batches()
+        found = work(whole, list(zip([0, *cuts], [*cuts, len(g)], strict=True)))
+        yield from found.combine_chunks().to_batches() if isinstance(found, pa.Table) else found
 
     for batch in batches:
         if not batch.num_rows:

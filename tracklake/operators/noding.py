@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklake.functions.geo import line_bearing
+from tracklake.operators.gps import whole_groups
 
 #: Degrees within which a point lies on a line or is a vertex: a hundredth of a millimetre.
 NEAR = 1e-10
@@ -15,6 +20,12 @@ NEAR = 1e-10
 SLIVER = 1e-9
 #: Degrees of the tiles in which edges look for each other.
 TILE = 0.002
+#: Parts that are no longer, in degrees, and edges of pairs that turn no more from each other (sine), may have the ends of another: two points within ``NEAR`` of two edges.
+SHORT, SLANT = 1e-6, 1e-3
+#: Edges that turn no more from each other meet at no sure place.
+LEVEL = 1e-6
+#: Pairs that are tried at a time, marks and rows that are given on at a time.
+PAIRS, MARKS, ROWS = 1 << 20, 1 << 20, 1 << 16
 
 
 def _point(lat: Column, lon: Column) -> Column:
@@ -115,44 +126,149 @@ def _joined(edges: str) -> Column:
     return F.concat(F.array(F.get(edges, 0)["a"]), F.transform(edges, lambda e: e["b"]))
 
 
-def _meetings(joint: Column) -> Column:
-    """Where the edges ``x`` and ``y`` of a row meet, as an array of marks (of the first, share, lat, lon).
+def _meetings(x: np.ndarray, y: np.ndarray, joint: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Where pairs of edges meet, as (pair, whether on the first, share, lat, lon, whether the pair is nearly level).
 
-    ``joint``: they follow each other, and their common end is no meeting.
+    ``x`` and ``y`` have a row of (ax, ay, bx, by) for each pair.  ``joint``: they
+    follow each other, and their common end is no meeting.
     """
-    mark = lambda first, t, lat, lon: F.struct(F.lit(first).alias("first"), t.alias("t"), lat.alias("lat"), lon.alias("lon"))
-    snap = lambda t, n: F.when(F.abs(t) * n <= NEAR, 0.0).when(F.abs(t - 1) * n <= NEAR, 1.0).otherwise(t)
-    none = F.array().cast("array<struct<first:boolean,t:double,lat:double,lon:double>>")
-
-    def crossed(p: Column, g: Column) -> Column:
-        s, t = F.try_divide(g["rx"] * p["vy"] - g["ry"] * p["vx"], g["den"]), F.try_divide(g["side"], g["den"])
-        spot = lambda h, k: (
-            F.when(h["s"] == 0, p[f"a{k}"]).when(h["s"] == 1, p[f"b{k}"]).when(h["t"] == 0, p[f"c{k}"]).when(h["t"] == 1, p[f"d{k}"]).otherwise(F.rint((p[f"a{k}"] + h["s"] * p[f"u{k}"]) * 1e10) / 1e10)
-        )
-        marks = lambda h: _let({"y": spot(h, "y"), "x": spot(h, "x")}, lambda q: F.array(mark(True, h["s"], q["y"], q["x"]), mark(False, h["t"], q["y"], q["x"])))
-        snapped = lambda e: _let({"s": snap(e["s"], g["nu"]), "t": snap(e["t"], g["nv"])}, lambda h: F.when(h["s"].between(0, 1) & h["t"].between(0, 1), marks(h)).otherwise(none))
-        return _let({"s": s, "t": t}, snapped)
-
-    def beside(p: Column, g: Column) -> Column:
-        """In one line: the ends of each that lie on the other."""
-        along = lambda q, o, w: ((p[f"{q}x"] - p[f"{o}x"]) * p[f"{w}x"] + (p[f"{q}y"] - p[f"{o}y"]) * p[f"{w}y"]) / (g[f"n{w}"] * g[f"n{w}"])
-        end = lambda q, o, w: _let({"t": along(q, o, w)}, lambda e: mark(o == "a", snap(e["t"], g[f"n{w}"]), p[f"{q}y"], p[f"{q}x"]))
-        ends = [end("c", "a", "u"), end("d", "a", "u"), end("a", "c", "v"), end("b", "c", "v")]
-        return F.filter(F.array(*ends), lambda m: m["t"].between(0, 1))
-
-    def met(p: Column) -> Column:
-        rx, ry = p["cx"] - p["ax"], p["cy"] - p["ay"]
-        sums = {
-            "rx": rx, "ry": ry, "nu": F.sqrt(p["ux"] * p["ux"] + p["uy"] * p["uy"]), "nv": F.sqrt(p["vx"] * p["vx"] + p["vy"] * p["vy"]),
-            "den": p["ux"] * p["vy"] - p["uy"] * p["vx"], "side": rx * p["uy"] - ry * p["ux"],
-        }
-        level = lambda g: F.abs(g["den"]) <= 1e-12 * g["nu"] * g["nv"]
-        found = lambda g: F.when(~level(g), crossed(p, g)).when(F.abs(g["side"]) / g["nu"] <= NEAR, beside(p, g)).otherwise(none)
-        return F.filter(_let(sums, found), lambda m: ~(p["joint"] & (m["lat"] == p["by"]) & (m["lon"] == p["bx"])))
-
-    at = {f"{n}{k}": F.col(f"{of}.{part}") for n, of in (("a", "x.a"), ("b", "x.b"), ("c", "y.a"), ("d", "y.b")) for k, part in (("x", "lon"), ("y", "lat"))}
-    ways = {f"{v}{k}": at[f"{q}{k}"] - at[f"{p}{k}"] for v, p, q in (("u", "a", "b"), ("v", "c", "d")) for k in "xy"}
-    return _let(at | ways | {"joint": joint}, met)
+    (ax, ay, bx, by), (cx, cy, dx, dy) = x.T, y.T
+    ux, uy, vx, vy, rx, ry = bx - ax, by - ay, dx - cx, dy - cy, cx - ax, cy - ay
+    nu, nv, den, side = np.sqrt(ux * ux + uy * uy), np.sqrt(vx * vx + vy * vy), ux * vy - uy * vx, rx * uy - ry * ux
+    snap = lambda t, n: np.where(np.abs(t) * n <= NEAR, 0.0, np.where(np.abs(t - 1) * n <= NEAR, 1.0, t))
+    within = lambda t: (t >= 0) & (t <= 1)
+    level, flat = np.abs(den) <= 1e-12 * nu * nv, np.abs(den) <= LEVEL * nu * nv
+    out = []
+
+    def add(i: np.ndarray, first: bool, t: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
+        good = within(t) & ~(joint[i] & (lat == by[i]) & (lon == bx[i]))
+        out.append((i[good], np.full(good.sum(), first), t[good], lat[good], lon[good], flat[i[good]]))
+
+    i = np.flatnonzero(~level)
+    s, t = snap((rx * vy - ry * vx)[i] / den[i], nu[i]), snap(side[i] / den[i], nv[i])
+    met = within(s) & within(t)
+    i, s, t = i[met], s[met], t[met]
+    ends = [s == 0, s == 1, t == 0, t == 1]
+    lat = np.select(ends, [ay[i], by[i], cy[i], dy[i]], np.rint((ay[i] + s * uy[i]) * 1e10) / 1e10)
+    lon = np.select(ends, [ax[i], bx[i], cx[i], dx[i]], np.rint((ax[i] + s * ux[i]) * 1e10) / 1e10)
+    add(i, True, s, lat, lon)
+    add(i, False, t, lat, lon)
+    i = np.flatnonzero(level)
+    i = i[np.abs(side[i]) / nu[i] <= NEAR]  # in one line: the ends of each that lie on the other
+    for first, qx, qy, ox, oy, wx, wy, n in ((True, cx, cy, ax, ay, ux, uy, nu), (True, dx, dy, ax, ay, ux, uy, nu), (False, ax, ay, cx, cy, vx, vy, nv), (False, bx, by, cx, cy, vx, vy, nv)):
+        along = ((qx[i] - ox[i]) * wx[i] + (qy[i] - oy[i]) * wy[i]) / (n[i] * n[i])
+        add(i, first, snap(along, n[i]), qy[i], qx[i])
+    return out
+
+
+def _beside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether edges of a pair may lie so near each other, over some length, that parts of both have the same ends."""
+    (ax, ay, bx, by), (cx, cy, dx, dy) = x.T, y.T
+    ux, uy, vx, vy = bx - ax, by - ay, dx - cx, dy - cy
+    nu, nv = np.sqrt(ux * ux + uy * uy), np.sqrt(vx * vx + vy * vy)
+    c, d = ((cx - ax) * uy - (cy - ay) * ux) / nu, ((dx - ax) * uy - (dy - ay) * ux) / nu
+    return (np.abs(ux * vy - uy * vx) <= SLANT * nu * nv) & ((np.minimum(np.abs(c), np.abs(d)) <= 10 * NEAR) | ((c > 0) != (d > 0)))
+
+
+def _met_in_tile(e: np.ndarray, line: np.ndarray, at: np.ndarray, tile: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The marks of a tile's edges on each other, by blocks of pairs: (edge, marks of (share, lat, lon)); edges with a near companion get a mark at share -1.
+
+    ``e`` has a row of (ax, ay, bx, by, i, j) for each edge, in order.  A point
+    well inside a tile is told there alone, one on a border in all tiles.
+    """
+    n = len(e)
+    low, high = np.minimum(e[:, :2], e[:, 2:4]), np.maximum(e[:, :2], e[:, 2:4])
+    spot, block = e[0, 4:6], max(1, PAIRS // max(n, 1))
+    for k in range(0, n, block):
+        x, rest = slice(k, min(n, k + block)), slice(k + 1, n)
+        over = np.triu(np.ones((x.stop - k, n - k - 1), bool))
+        for c in (0, 1):
+            over &= (low[x, c, None] <= high[None, rest, c] + 10 * NEAR) & (low[None, rest, c] <= high[x, c, None] + 10 * NEAR)
+        i, j = np.nonzero(over)
+        i, j = i + k, j + k + 1
+        p, q = e[i, :4], e[j, :4]
+        beside = _beside(p, q)
+        near = np.unique(np.concatenate([i[beside], j[beside]]))
+        yield near, np.broadcast_to([-1.0, 0.0, 0.0], (len(near), 3))
+        real = ((low[i] <= high[j] + NEAR) & (low[j] <= high[i] + NEAR)).all(1)
+        i, j, p, q = i[real], j[real], p[real], q[real]
+        for pair, first, t, lat, lon, flat in _meetings(p, q, (line[i] == line[j]) & (at[i] + 1 == at[j])):
+            if not len(pair):
+                continue
+            units = np.column_stack([lat, lon]) / tile
+            here = np.floor(units)
+            told = (here == spot).all(1) | (np.abs(units - np.rint(units)) * tile < 10 * NEAR).any(1) | flat
+            yield np.where(first[told], i[pair[told]], j[pair[told]]), np.column_stack([t, lat, lon])[told]
+
+
+def _strings_differ(c: pa.ChunkedArray) -> np.ndarray:
+    """Whether each entry differs from the one before."""
+    v = c.to_numpy()
+    return np.concatenate([[True], v[1:] != v[:-1]]) if len(v) else np.zeros(0, bool)
+
+
+def _doubles(c: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of binary entries one after another, and how many each has; null has none."""
+    parts = [x for x in c.chunks if len(x)]
+    sizes = [pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False) for x in parts]
+    held = [np.frombuffer(b"".join(v for v in x.to_pylist() if v), "<f8").reshape(-1, 3) for x in parts]
+    return (np.concatenate(held), np.concatenate(sizes) // 24) if parts else (np.zeros((0, 3)), np.zeros(0, int))
+
+
+def _packed(marks: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Marks as one binary entry for each count."""
+    offsets = np.concatenate([[0], np.cumsum(counts) * 24]).astype("<i4")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(marks, "<f8").tobytes())])
+
+
+def _parts(whole: pa.Table) -> dict[str, np.ndarray]:
+    """The parts between the marks of whole lines' edges, in order; rows are an edge (``_marks`` null), then its marks."""
+    is_edge = whole.column("_marks").is_null().to_numpy()
+    rows = np.flatnonzero(is_edge)
+    line = np.cumsum(_strings_differ(whole.column("_l"))[rows] if len(rows) else np.zeros(0, int)) - 1
+    a, b = (np.column_stack([whole.column(f"_{e}{c}").to_numpy()[rows] for c in "yx"]) for e in "ab")
+    marks, counts = _doubles(whole.column("_marks"))
+    owner = np.repeat(np.cumsum(is_edge) - 1, counts)
+    has = lambda t: np.isin(np.arange(len(rows)), owner[marks[:, 0] == t])
+    starts, ends, beside = has(0.0), has(1.0), has(-1.0)
+    inner = (marks[:, 0] > 0) & (marks[:, 0] < 1)
+    edge = np.concatenate([np.arange(len(rows)), owner[inner], np.arange(len(rows))])
+    t = np.concatenate([np.full(len(rows), -1.0), marks[inner, 0], np.full(len(rows), 2.0)])
+    p = np.concatenate([a, marks[inner, 1:], b])
+    order = np.lexsort((p[:, 1], p[:, 0], t, edge))
+    edge, p = edge[order], p[order]
+    kept = _first_of_each(edge, p)
+    edge, p = edge[kept], p[kept]
+    same = edge[1:] == edge[:-1]
+    first = np.flatnonzero(same)
+    edge = edge[first]
+    begins = np.concatenate([[True], edge[1:] != edge[:-1]]) if len(edge) else np.zeros(0, bool)
+    k = np.arange(len(edge)) - np.repeat(np.flatnonzero(begins), np.diff(np.append(np.flatnonzero(begins), len(edge))))
+    last = np.append(begins[1:], True) if len(edge) else begins
+    a, b = p[first], p[first + 1]
+    close = np.hypot(*(b - a).T) <= SHORT
+    return {"row": rows[edge], "line": line[edge], "k": k, "a": a, "b": b, "cut": starts[edge] | ~begins, "done": ends[edge] | ~last, "suspect": beside[edge] | close}
+
+
+def _first_of_each(edge: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Which of an edge's points, in order along it, are there for the first time; repeats lie within a run of points that nearly coincide."""
+    if not len(p):
+        return np.zeros(0, bool)
+    kept = np.ones(len(p), bool)
+    near = (edge[1:] == edge[:-1]) & (np.abs(p[1:] - p[:-1]).max(1) <= 100 * NEAR)
+    kept[1:] = ~(near & (p[1:] == p[:-1]).all(1))
+    twice = np.flatnonzero(near[1:] & near[:-1])  # of three or more in a run, others may lie between equal ones
+    at = -1
+    for s in twice.tolist():
+        if s < at:
+            continue
+        at, seen = s, set()
+        while at < len(p) and (at == s or near[at - 1]):
+            place = (p[at, 0], p[at, 1])
+            kept[at] = place not in seen
+            seen.add(place)
+            at += 1
+    return kept
 
 
 def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float = TILE) -> DataFrame:
@@ -166,39 +282,108 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     direction, the first by key and place stays.
 
     Edges look for each other in tiles that they pass, so no group is paired as
-    a whole.  Returns the columns of ``lines`` with new ``coords``, and ``piece``.
+    a whole: a tile's pairs are tried in blocks, and what is told of an edge in a
+    tile travels as one row.  A task then holds a line and its marks at a time.
+    Only parts that can have the ends of another, since they are very short or
+    their edge nearly lies in another one, are compared across lines.
+    Returns the columns of ``lines`` with new ``coords``, and ``piece``.
     Lines of fewer than two vertices, or of no length, go.
     """
     keep = [c for c in lines.columns if c != "coords"]
-    edges = edges_of(lines, keep).filter("a <> b").withColumn("_g", F.to_json(F.struct(*(F.col(c).cast("string") for c in group)), {"ignoreNullFields": "false"}))
-    who = F.struct(*key, "at")
-    tiled = through(edges.select("_g", who.alias("id"), "a", "b"), tile, 2 * NEAR).select("_g", "i", "j", F.struct("id", "a", "b").alias("e"))
-    x, y = tiled.withColumnRenamed("e", "x"), tiled.withColumnRenamed("e", "y")
-    over = lambda c: (F.least(f"x.a.{c}", f"x.b.{c}") <= F.greatest(f"y.a.{c}", f"y.b.{c}") + NEAR) & (F.least(f"y.a.{c}", f"y.b.{c}") <= F.greatest(f"x.a.{c}", f"x.b.{c}") + NEAR)
-    pairs = x.join(y, ["_g", "i", "j"]).filter((F.col("x.id") < F.col("y.id")) & over("lat") & over("lon"))
-    joint = F.col("x.id.at") + 1 == F.col("y.id.at")
-    for k in key:
-        joint = joint & F.col(f"x.id.{k}").eqNullSafe(F.col(f"y.id.{k}"))
-    met = pairs.select("x.id", F.col("y.id").alias("other"), F.explode(_meetings(joint)).alias("m"))
-    cuts = met.select(F.when(F.col("m.first"), F.col("id")).otherwise(F.col("other")).alias("_id"), F.struct("m.t", "m.lat", "m.lon").alias("m"))
-    cuts = cuts.groupBy("_id").agg(F.array_sort(F.collect_set("m")).alias("_m"))
-    split = edges.withColumn("_id", who).join(cuts, "_id", "left")
-    inner = F.filter(F.coalesce("_m", F.array().cast("array<struct<t:double,lat:double,lon:double>>")), lambda m: (m["t"] > 0) & (m["t"] < 1))
-    points = F.array_distinct(F.concat(F.array(F.col("a")), F.transform(inner, lambda m: _point(m["lat"], m["lon"])), F.array(F.col("b"))))
-    has = lambda t: F.coalesce(F.exists("_m", lambda m: m["t"] == t), F.lit(False))
-    parts = F.transform(F.sequence(F.lit(0), F.size("_p") - 2), lambda k: F.struct(F.get("_p", k).alias("a"), F.get("_p", k + 1).alias("b")))
-    split = split.select("_g", *keep, "at", points.alias("_p"), has(0.0).alias("_s"), has(1.0).alias("_e"))
-    small = split.select("_g", *keep, "at", "_s", "_e", F.size("_p").alias("_n"), F.posexplode(parts).alias("k", "e")).select(
-        "_g", *keep, "at", "k", "e.a", "e.b", (F.col("_s") | (F.col("k") > 0)).alias("_cut"), (F.col("_e") | (F.col("k") < F.col("_n") - 2)).alias("_done")
-    )
-    row = F.struct(*(F.col(c) for c in key), "at", "k", *(F.col(c) for c in keep if c not in key), "a", "b", "_cut", "_done")
-    single = small.groupBy("_g", F.least("a", "b").alias("_low"), F.greatest("a", "b").alias("_high")).agg(F.min(row).alias("r")).select("r.*")
-    line = Window.partitionBy(*key).orderBy("at", "k")
-    new = F.col("_cut") | F.lag("_done").over(line) | (F.lag("b").over(line) != F.col("a"))
-    pieces = single.withColumn("_new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("piece", F.sum("_new").over(line) - 1)
-    rest = [c for c in keep if c not in key]
-    done = pieces.groupBy(*key, "piece").agg(*(F.first(c).alias(c) for c in rest), F.array_sort(F.collect_list(F.struct("at", "k", "a", "b"))).alias("_e"))
-    return done.withColumn("coords", _joined("_e")).select(*keep, "piece", "coords")
+    text = lambda names: F.to_json(F.struct(*(F.col(c).cast("string") for c in names)), {"ignoreNullFields": "false"})
+    ends = {f"_{e}{c}": F.col(f"{e}.{name}") for e in "ab" for c, name in (("x", "lon"), ("y", "lat"))}
+    edges = edges_of(lines, keep).filter("a <> b").withColumns({"_g": text(group), "_l": text(key)})
+    tiled = through(edges.select("_g", "_l", *key, "at", "a", "b"), tile, 2 * NEAR)
+    tiled = tiled.select(F.concat_ws("|", "i", "j", "_g").alias("_t"), "i", "j", "_l", *key, "at", *(c.alias(k) for k, c in ends.items()))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(whole: pa.Table, bounds: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+            e = np.column_stack([whole.column(c).to_numpy().astype(float) for c in ("_ax", "_ay", "_bx", "_by", "i", "j")])
+            line, at = np.cumsum(_strings_differ(whole.column("_l"))), whole.column("at").to_numpy()
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+
+            def out() -> pa.RecordBatch:
+                edge, marks = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.argsort(edge, kind="stable")
+                rows, counts = np.unique(edge, return_counts=True)
+                same = [whole.column(c).take(rows).combine_chunks() for c in ("_l", "at")]
+                held.clear()
+                return pa.record_batch([*same, _packed(marks[order], counts)], names=["_l", "at", "_marks"])
+
+            for i, j in bounds:
+                for edge, marks in _met_in_tile(e[i:j], line[i:j], at[i:j], tile):
+                    held.append((edge + i, marks))
+                    if sum(len(h[0]) for h in held[-1:]) and sum(len(h[0]) for h in held) > MARKS:
+                        yield out()
+            if held:
+                yield out()
+
+        return whole_groups(batches, "_t", told)
+
+    marks = tiled.repartition("_t").sortWithinPartitions("_t", *key, "at").mapInArrow(meet, "_l string, at int, _marks binary")
+    own = edges.select("_l", "at", "_g", *keep, *(c.alias(k) for k, c in ends.items())).withColumn("_marks", F.lit(None).cast("binary"))
+    gathered = own.unionByName(marks, allowMissingColumns=True).repartition("_l")
+    order = ["_l", "at", F.col("_marks").isNotNull()]
+
+    def doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(whole: pa.Table, _: list) -> Iterator[pa.RecordBatch]:
+            p = _parts(whole)
+            some = np.flatnonzero(p["suspect"])
+            a, b = p["a"][some], p["b"][some]
+            turned = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
+            low, high = np.where(turned[:, None], b, a), np.where(turned[:, None], a, b)
+            same = whole.select(["_l", "_g", *key, "at"]).take(p["row"][some])
+            yield from pa.table([*same.columns, *(pa.array(x) for x in (p["k"][some], *low.T, *high.T))], names=[*same.column_names, "k", *spots]).to_batches()
+
+        return whole_groups(batches, "_l", found)
+
+    spots = ["_y0", "_x0", "_y1", "_x1"]
+    kinds = {f.name: f.dataType for f in own.schema.fields}
+    doubt = T.StructType([*(T.StructField(c, kinds[c]) for c in ("_l", "_g", *key, "at")), T.StructField("k", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in spots)])
+    ranked = gathered.sortWithinPartitions(*order).mapInArrow(doubtful, doubt).withColumn("_n", F.row_number().over(Window.partitionBy("_g", *spots).orderBy(*key, "at", "k")))
+    lost = ranked.filter("_n > 1").groupBy("_l").agg(F.collect_list(F.struct("at", "k")).alias("_lost"))
+    fields = T.StructType([*(T.StructField(c, kinds[c]) for c in keep), T.StructField("piece", T.LongType()), T.StructField("coords", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("lat", "lon")])))])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(whole: pa.Table, _: list) -> Iterator[pa.RecordBatch]:
+            yield from _pieces(whole, keep)
+
+        return whole_groups(batches, "_l", done)
+
+    return gathered.join(lost, "_l", "left").sortWithinPartitions(*order).mapInArrow(join, fields)
+
+
+def _pieces(whole: pa.Table, keep: list[str]) -> Iterator[pa.RecordBatch]:
+    """Whole lines' parts, without those that are lost, joined to pieces up to the next cut."""
+    p = _parts(whole)
+    gone = np.zeros(len(p["row"]), bool)
+    some = [r for r in np.unique(p["row"]).tolist() if whole.column("_lost")[r].is_valid] if whole.column("_lost").null_count < len(whole) else []
+    for r in some:
+        at = whole.column("at")[r].as_py()
+        mine = np.arange(*np.searchsorted(p["row"], [r, r + 1]))
+        gone[mine] |= np.isin(p["k"][mine], [x["k"] for x in whole.column("_lost")[r].as_py() if x["at"] == at])
+    row, line, a, b, cut, done = (p[x][~gone] for x in ("row", "line", "a", "b", "cut", "done"))
+    if not len(row):
+        return
+    fresh = np.concatenate([[True], line[1:] != line[:-1]])
+    new = cut | fresh
+    new[1:] |= done[:-1] | (b[:-1] != a[1:]).any(1)
+    at = np.flatnonzero(new)
+    count = np.cumsum(new)
+    first = count[fresh]
+    piece = count[at] - np.repeat(first, np.diff(np.append(first, count[-1] + 1)))
+    # of each piece the first vertex, then the ends of its parts
+    size = np.diff(np.append(at, len(row))) + 1
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    coords = np.empty((offsets[-1], 2))
+    coords[offsets[:-1]] = a[at]
+    coords[np.arange(len(row)) + count] = b
+    for i in range(0, len(at), ROWS):
+        j = min(len(at), i + ROWS)
+        points = pa.StructArray.from_arrays([pa.array(c) for c in coords[offsets[i] : offsets[j]].T], ["lat", "lon"])
+        same = whole.select(keep).take(row[at[i:j]])
+        lists = pa.ListArray.from_arrays(pa.array((offsets[i : j + 1] - offsets[i]).astype("i4")), points)
+        yield from pa.table([*same.columns, pa.array(piece[i:j]), lists], names=[*keep, "piece", "coords"]).combine_chunks().to_batches()
 
 
 #: Lines that are united with each other: of one cell, class, name, direction and kind.
