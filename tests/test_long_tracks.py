@@ -1,6 +1,7 @@
 """Tracks smoothed by blocks against tracks smoothed whole."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -72,3 +73,23 @@ def test_blocks_stay_whole_in_skewed_joins(spark):
         for k in conf:
             spark.conf.unset(k)
     assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], rtol=0, atol=1e-9) for k in want)
+
+
+def test_many_short_blocks_are_done_together(spark):
+    """Blocks of one to four fixes of tracks of one to five blocks, as each by itself, and 120,000 of them in seconds."""
+    rng = np.random.default_rng(12)
+    noise, out = (1e-9, 1e-10), []
+    for tracks in (60, 40_000):
+        blocks = rng.integers(1, 6, tracks)
+        size = rng.integers(1, 5, blocks.sum())
+        starts, first = np.cumsum(size) - size, np.cumsum(blocks) - blocks
+        t, z = np.cumsum(rng.integers(0, 9, size.sum())).astype(float), rng.normal(0, 1e-4, (size.sum(), 2)) + [37.8, -122.3]
+        begun = time.monotonic()
+        e = long_tracks.summaries(t, z, starts, *noise)
+        before, after = long_tracks.scans(t[starts], t[starts + size - 1], z[starts], e, first, *noise)
+        out.append((long_tracks.smooth_blocks(t, z, starts, before, after, *noise), time.monotonic() - begun, t, z, starts[first]))
+    assert out[1][1] < 20
+    for got, _, t, z, begins in out:
+        bounds = list(zip(begins.tolist(), [*begins[1:].tolist(), len(t)]))[:60]
+        for i, j in bounds:
+            assert np.abs(got[i:j] - gps.smooth_axis(t[i:j], z[i:j], *noise)).max() < 1e-9
