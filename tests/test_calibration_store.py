@@ -137,3 +137,16 @@ def test_the_instrument_stage_through_the_store(spark, world, tmp_path):  # noqa
             assert pipeline.run_batch([DAY], [Stage.INSTRUMENT]), pipeline.results
         outs.append(sorted(map(str, spark.read.parquet(f"{tmp_path}/{name}/l2/l2_{DAY}.parquet").collect())))
     assert outs[0] == outs[1] == outs[2] and len(outs[0]) > 1000
+
+
+def test_an_update_writes_its_files_in_many_tasks(spark, tmp_path):
+    store = CalibrationStore(spark, str(tmp_path / "s"), bucket_s=86_400)
+    rows = [("a", p, at(h), float(h), 0.0) for p in ("p", "q") for h in range(0, 2400, 12)]
+    store.put(*frames(spark, rows[::2], [], []))
+    store.put(*frames(spark, rows[1::2], [], []))
+    for what in ("points", "edges"):
+        files = list((tmp_path / "s" / what).glob("bucket=*/*.parquet"))
+        assert len(files) == len(store.buckets()) == 100  # one for each bucket
+        assert len({f.name.split("-")[1] for f in files}) > 4
+    slopes, _, _ = store.around(at(1205), at(1206))
+    assert sorted({r.sample_time for r in slopes.collect()}) == [at(h).replace(tzinfo=None) for h in (1176, 1188, 1200, 1212, 1224, 1236)]

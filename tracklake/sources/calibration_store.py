@@ -58,8 +58,9 @@ def edges(points: DataFrame, buckets: list[int]) -> DataFrame:
 
     A key's points are looked at only where they are among the first or last two
     of a bucket; each stretch between two of its buckets is dealt to the
-    buckets in between.
+    buckets in between, by their ranks among all.
     """
+    known = points.sparkSession.createDataFrame(list(enumerate(buckets)), "rank long, bucket long")  # a row for each folder
     inside = Window.partitionBy(*KEY, "bucket")
     at, a, d = F.struct("t", "v", "i"), F.col("_a") <= 2, F.col("_d") <= 2
     ranked = points.withColumns({"_a": F.row_number().over(inside.orderBy("t", "v")), "_d": F.row_number().over(inside.orderBy(F.desc("t"), F.desc("v")))}).filter(a | d)
@@ -67,14 +68,14 @@ def edges(points: DataFrame, buckets: list[int]) -> DataFrame:
     over = Window.partitionBy(*KEY).orderBy("bucket")
     up_to = F.flatten(F.collect_list("last").over(over.rowsBetween(-1, 0)))
     onward = F.flatten(F.collect_list("first").over(over.rowsBetween(0, 1)))
-    known, here = F.array(*(F.lit(b).cast("long") for b in buckets)), F.col("bucket")
-    following, preceding = F.lead("bucket").over(over), F.lag("bucket").over(over)
-    held = ends.withColumns({"_up": F.slice(up_to, F.greatest(F.size(up_to) - 1, F.lit(1)), F.lit(2)), "_on": F.slice(onward, 1, 2), "_next": following, "_prev": preceding})
-    later = lambda x: (x > here) & (F.col("_next").isNull() | (x <= F.col("_next")))
-    earlier = lambda x: (x < here) & (F.col("_prev").isNull() | (x >= F.col("_prev")))
-    to = lambda side, carried, where: F.transform(F.filter(known, where), lambda x: F.struct(F.lit(side).alias("side"), x.alias("bucket"), F.col(carried).alias("p")))
-    dealt = held.select(*KEY, F.explode(F.concat(to("before", "_up", later), to("after", "_on", earlier))).alias("_to"))
-    return dealt.select(*KEY, "_to.side", "_to.bucket", F.explode("_to.p").alias("_p")).select(*KEY, "_p.*", "side", "bucket")
+    following, preceding = F.lead("rank").over(over), F.lag("rank").over(over)
+    held = ends.join(F.broadcast(known), "bucket").withColumns({"_up": F.slice(up_to, F.greatest(F.size(up_to) - 1, F.lit(1)), F.lit(2)), "_on": F.slice(onward, 1, 2), "_next": following, "_prev": preceding})
+    stretch = lambda side, low, high, carried: F.struct(F.lit(side).alias("side"), low.alias("low"), high.alias("high"), F.col(carried).alias("p"))
+    before = stretch("before", F.col("rank") + 1, F.coalesce("_next", F.lit(len(buckets) - 1).cast("long")), "_up")
+    after = stretch("after", F.coalesce("_prev", F.lit(0).cast("long")), F.col("rank") - 1, "_on")
+    spread = held.select(*KEY, F.explode(F.array(before, after)).alias("_s")).filter("_s.low <= _s.high")
+    dealt = spread.select(*KEY, "_s.side", "_s.p", F.explode(F.sequence("_s.low", "_s.high")).alias("rank")).join(F.broadcast(known), "rank")
+    return dealt.select(*KEY, "side", "bucket", F.explode("p").alias("_p")).select(*KEY, "_p.*", "side", "bucket")
 
 
 class CalibrationStore:
@@ -113,20 +114,28 @@ class CalibrationStore:
         parts = list(fs.listStatus(p)) if whole.isDirectory() else [whole]
         return path, sum(s.getLen() for s in parts), max([whole.getModificationTime(), *(s.getModificationTime() for s in parts)])
 
-    def buckets(self) -> list[int]:
+    def buckets(self, what: str = "points") -> list[int]:
         """Numbers of the buckets that hold calibrations."""
-        if not self._there(f"{self.folder}/points"):
+        if not self._there(f"{self.folder}/{what}"):
             return []
-        fs, p = self._fs(f"{self.folder}/points")
+        fs, p = self._fs(f"{self.folder}/{what}")
         names = (s.getPath().getName() for s in fs.listStatus(p))
         return sorted(int(n.split("=")[1]) for n in names if n.startswith("bucket="))
 
-    def _read(self, what: str, chosen: list[int], schema: str) -> DataFrame:
-        paths = [p for b in chosen if self._there(p := f"{self.folder}/{what}/bucket={b}")]
+    def _read(self, what: str, chosen: list[int], schema: str, listed: list[int] | None = None) -> DataFrame:
+        there = set(self.buckets(what) if listed is None else listed)
+        paths = [f"{self.folder}/{what}/bucket={b}" for b in chosen if b in there]
         if not paths:
             return self.spark.createDataFrame([], f"{schema}, bucket long")
+        if len(paths) == len(there):
+            paths = [f"{self.folder}/{what}"]
         return self.spark.read.schema(f"{schema}, bucket long").option("basePath", f"{self.folder}/{what}").parquet(*paths)
 
+    def _write(self, df: DataFrame, path: str, n: int) -> None:
+        """A file for each of ``n`` buckets, dealt to all cores: small as they are, each takes its time to open and close."""
+        tasks = max(1, min(n, 2 * self.spark.sparkContext.defaultParallelism))
+        df.repartition(tasks, "bucket").sortWithinPartitions("bucket", *KEY, "t", "v").write.partitionBy("bucket").parquet(path)
+
     # writing
 
     def absorb(self, files: dict[str, list[str]], read: Callable[[dict[str, list[str]]], Tables]) -> int:
@@ -155,21 +164,25 @@ class CalibrationStore:
         fresh = self.spark.read.parquet(f"{staging}/fresh")
         touched = sorted(r.bucket for r in fresh.select("bucket").distinct().collect())
         there = [] if anew else self.buckets()
-        now = self._read("points", [b for b in there if b in touched], POINTS).unionByName(fresh)
-        now.repartition("bucket").sortWithinPartitions("bucket", *KEY, "t", "v").write.partitionBy("bucket").parquet(f"{staging}/points")
+        new = set(touched)
+        now = self._read("points", [b for b in there if b in new], POINTS, there).unionByName(fresh)
+        self._write(now, f"{staging}/points", len(touched))
         if touched:
             written = self.spark.read.schema(f"{POINTS}, bucket long").parquet(f"{staging}/points")
-            rest = self._read("points", [b for b in there if b not in touched], POINTS)
-            around = edges(rest.unionByName(written), sorted({*there, *touched}))
-            around.repartition("bucket").sortWithinPartitions("bucket", *KEY, "t", "v").write.partitionBy("bucket").parquet(f"{staging}/edges")
+            rest = self._read("points", [b for b in there if b not in new], POINTS, there)
+            every = sorted({*there, *touched})
+            self._write(edges(rest.unionByName(written), every), f"{staging}/edges", len(every))
         self.spark.createDataFrame(list(files), FILES).coalesce(1).write.parquet(f"{staging}/files")
         fs, mark = self._fs(f"{self.folder}/_renaming")
         fs.create(mark, True).close()
         if anew:
             for what in ("points", "edges"):
                 self._delete(f"{self.folder}/{what}")
-        for b in touched:
-            self._move(f"{staging}/points/bucket={b}", f"{self.folder}/points/bucket={b}")
+        if touched and new.issuperset(there):  # all are new: one move
+            self._move(f"{staging}/points", f"{self.folder}/points")
+        else:
+            for b in touched:
+                self._move(f"{staging}/points/bucket={b}", f"{self.folder}/points/bucket={b}")
         self._move(f"{staging}/edges", f"{self.folder}/edges")
         self._move(f"{staging}/files", f"{self.folder}/files")
         fs.delete(mark, False)
