@@ -7,6 +7,7 @@ import time
 from fractions import Fraction as Q
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +201,52 @@ def test_marks_do_not_depend_on_blocks(monkeypatch):
     whole = told()
     monkeypatch.setattr(noding, "PAIRS", 64)
     assert told() == whole and len(whole) > 1000
+
+
+def test_few_parts_are_compared_across_lines():
+    """All parts with the ends of another are suspects, and of edges that cross densely hardly any others are."""
+    rng = np.random.default_rng(8)
+
+    def parts(e):
+        held = [[] for _ in e]
+        for edges, marks in noding._met_in_tile(np.column_stack([e, np.zeros((len(e), 2))]), np.arange(len(e)), np.zeros(len(e), int), 0.002):
+            for i, m in zip(edges, marks, strict=True):
+                held[i].append(m)
+        rows = [(f"{k:05d}", *e[k], None) for k in range(len(e))] + [(f"{k:05d}", None, None, None, None, np.array(m).tobytes()) for k, m in enumerate(held) if m]
+        return noding._parts(pa.Table.from_pylist([dict(zip(("_l", "_ax", "_ay", "_bx", "_by", "_marks"), r, strict=True)) for r in sorted(rows, key=lambda r: (r[0], r[5] is not None))]))
+
+    dense = parts(rng.uniform(1e-5, 1.99e-3, (900, 4)))
+    assert len(dense["row"]) > 100_000 and dense["suspect"].mean() < 0.03
+    low = rng.integers(0, 6, (120, 2)) * 3e-4 + 1e-4  # edges of few directions, many of them in one another or turned by a little
+    turn = np.array([[3e-4, 0], [0, 3e-4], [3e-4, 3e-4], [6e-4, 3e-4 + 2e-10], [6e-4, 3e-4 + 1e-7], [6e-4, 3e-4]])[rng.integers(0, 6, 120)]
+    level = parts(np.column_stack([low, low + turn]))
+    ends = [tuple(sorted([tuple(a), tuple(b)])) for a, b in zip(level["a"], level["b"], strict=True)]
+    twice = np.array([ends.count(x) > 1 for x in ends])
+    assert twice.sum() > 50 and level["suspect"][twice].all()
+
+
+def test_segments_are_those_of_the_column_operator(spark):
+    rng = random.Random(12)
+    lines = [[(37 + rng.uniform(0, 1) * far, -122 + rng.uniform(0, 1) * far) for _ in range(n)] for n in (2, 2, 3, 5, 40) for far in (1e-5, 1e-4, 2e-4, 1e-3, 2e-2) for _ in range(8)]
+    lines += [[(37.0, -122.0)] * 2, [(37.0, -122.0)] * 3, [(37.0, -122.0), (37.0, -122.0), (37.01, -122.0), (37.01, -122.0)]]
+    names = roads.SEGMENT.names
+    df = spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "k long, coords array<struct<lat:double,lon:double>>")
+    want = [tuple(r) for r in roads.segmentise(df).orderBy("k", "part").select("k", *names).collect()]
+    points, offsets = np.array([p for line in lines for p in line]), np.cumsum([0, *map(len, lines)])
+    for rows in (7, noding.ROWS):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(noding, "ROWS", rows)
+            got = [row for of, columns in roads.segments_of()(points, offsets) for row in zip(of.tolist(), *(c.to_pylist() for c in columns), strict=True)]
+        assert [r[0] for r in got] == [r[0] for r in want]
+        off = np.abs(np.array(got) - np.array(want))[:, 1:]
+        assert off[:, :6].max() < 1e-9 and np.minimum(off[:, 6], 360 - off[:, 6]).max() < 1e-4, off.max(0)  # the shortest are a centimetre long
+
+
+def test_segments_of_cells_are_made_where_pieces_are_found(spark):
+    """Pieces can be many times the roads, so nothing after them shuffles, sorts or walks through lists."""
+    wanted = spark.createDataFrame([(37.9, -122.3)], "cell_lat double, cell_lon double")
+    found = roads.build_cells(spark.createDataFrame(town(), KIND), 30.0, only=wanted)
+    after = found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert not any(x in after for x in ("Exchange", "Sort", "Join", "Generate"))
+    whole = roads.build_cells(spark.createDataFrame(town(), KIND), 30.0).filter("cell_lat = 37.9")
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))

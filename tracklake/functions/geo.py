@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +26,20 @@ def bearing(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.pmod(F.degrees(F.atan2(x, y)) + 360.0, F.lit(360.0))
 
 
+def distances(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """``haversine`` of arrays."""
+    u, v = np.sin(np.radians(lat2 - lat1) / 2), np.sin(np.radians(lon2 - lon1) / 2)
+    a = u * u + np.cos(np.radians(lat1)) * np.cos(np.radians(lat2)) * (v * v)
+    return 2 * EARTH * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
+
+
+def bearings(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """``bearing`` of arrays."""
+    a, b, d = np.radians(lat1), np.radians(lat2), np.radians(lon2 - lon1)
+    c = np.cos(b)
+    return np.fmod(np.degrees(np.arctan2(np.sin(d) * c, np.cos(a) * np.sin(b) - np.sin(a) * c * np.cos(d))) + 360.0, 360.0)
+
+
 def line_bearing(coords: Column) -> Column:
     """Bearing from the first to the last vertex of an array of (lat, lon); 0 for fewer than two."""
     a, b = F.try_element_at(coords, F.lit(1)), F.try_element_at(coords, F.lit(-1))

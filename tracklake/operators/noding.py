@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklake.functions.geo import line_bearing
 from tracklake.operators.gps import whole_groups
 
 #: Degrees within which a point lies on a line or is a vertex: a hundredth of a millimetre.
@@ -20,8 +19,9 @@ NEAR = 1e-10
 SLIVER = 1e-9
 #: Degrees of the tiles in which edges look for each other.
 TILE = 0.002
-#: Parts that are no longer, in degrees, and edges of pairs that turn no more from each other (sine), may have the ends of another: two points within ``NEAR`` of two edges.
-SHORT, SLANT = 1e-6, 1e-3
+#: Two points within ``NEAR`` of two edges are the ends of a part of each: such parts are no longer, in degrees, or the edges turn no more from each other (sine).
+#: Of edges that cross, about one part in ten thousand is so short; nearly level ones tell the stretch where they lie together.
+SHORT, SLANT = 5e-8, 2e-2
 #: Edges that turn no more from each other meet at no sure place.
 LEVEL = 1e-6
 #: Pairs that are tried at a time, marks and rows that are given on at a time.
@@ -161,17 +161,29 @@ def _meetings(x: np.ndarray, y: np.ndarray, joint: np.ndarray) -> list[tuple[np.
     return out
 
 
-def _beside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether edges of a pair may lie so near each other, over some length, that parts of both have the same ends."""
+def _beside(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of edges that lie so near each other, over some length, that parts of both can have the same ends, and the shares between which they do, on the first and on the second."""
     (ax, ay, bx, by), (cx, cy, dx, dy) = x.T, y.T
     ux, uy, vx, vy = bx - ax, by - ay, dx - cx, dy - cy
-    nu, nv = np.sqrt(ux * ux + uy * uy), np.sqrt(vx * vx + vy * vy)
-    c, d = ((cx - ax) * uy - (cy - ay) * ux) / nu, ((dx - ax) * uy - (dy - ay) * ux) / nu
-    return (np.abs(ux * vy - uy * vx) <= SLANT * nu * nv) & ((np.minimum(np.abs(c), np.abs(d)) <= 10 * NEAR) | ((c > 0) != (d > 0)))
+    pairs = np.flatnonzero(np.square(ux * vy - uy * vx) <= SLANT**2 * (ux * ux + uy * uy) * (vx * vx + vy * vy))
+
+    def stretch(e: np.ndarray, f: np.ndarray) -> np.ndarray:
+        """Between which shares the second edge is within reach of the first one's line; the greater share comes first if it is nowhere."""
+        u, r, q = e[:, 2:] - e[:, :2], f[:, :2] - e[:, :2], f[:, 2:] - e[:, :2]
+        n = np.hypot(*u.T)
+        c, d = (r[:, 0] * u[:, 1] - r[:, 1] * u[:, 0]) / n, (q[:, 0] * u[:, 1] - q[:, 1] * u[:, 0]) / n
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ends = np.sort(np.column_stack([-10 * NEAR - c, 10 * NEAR - c]) / (d - c)[:, None], axis=1)
+        ends[c == d] = np.where(np.abs(c[c == d]) <= 10 * NEAR, 0.0, 2.0)[:, None] + [0.0, 1.0]
+        return np.column_stack([np.maximum(ends[:, 0], 0.0), np.minimum(ends[:, 1], 1.0)])
+
+    s, t = stretch(y[pairs], x[pairs]), stretch(x[pairs], y[pairs])
+    good = (s[:, 0] <= s[:, 1]) & (t[:, 0] <= t[:, 1])
+    return pairs[good], s[good], t[good]
 
 
 def _met_in_tile(e: np.ndarray, line: np.ndarray, at: np.ndarray, tile: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The marks of a tile's edges on each other, by blocks of pairs: (edge, marks of (share, lat, lon)); edges with a near companion get a mark at share -1.
+    """The marks of a tile's edges on each other, by blocks of pairs: (edge, marks of (share, lat, lon)); edges with a near companion get marks of -1 and the shares between which it is near.
 
     ``e`` has a row of (ax, ay, bx, by, i, j) for each edge, in order.  A point
     well inside a tile is told there alone, one on a border in all tiles.
@@ -187,9 +199,11 @@ def _met_in_tile(e: np.ndarray, line: np.ndarray, at: np.ndarray, tile: float) -
         i, j = np.nonzero(over)
         i, j = i + k, j + k + 1
         p, q = e[i, :4], e[j, :4]
-        beside = _beside(p, q)
-        near = np.unique(np.concatenate([i[beside], j[beside]]))
-        yield near, np.broadcast_to([-1.0, 0.0, 0.0], (len(near), 3))
+        near, s, t = _beside(p, q)
+        spots = [q[near, :2] + t[:, k, None] * (q[near, 2:] - q[near, :2]) for k in (0, 1)]
+        close = ((np.minimum(*spots)[:, ::-1] <= (spot + 1) * tile + 100 * NEAR) & (np.maximum(*spots)[:, ::-1] >= spot * tile - 100 * NEAR)).all(1)
+        near, s, t = near[close], s[close], t[close]
+        yield np.concatenate([i[near], j[near]]), np.column_stack([np.full(2 * len(near), -1.0), np.concatenate([s, t])])
         real = ((low[i] <= high[j] + NEAR) & (low[j] <= high[i] + NEAR)).all(1)
         i, j, p, q = i[real], j[real], p[real], q[real]
         for pair, first, t, lat, lon, flat in _meetings(p, q, (line[i] == line[j]) & (at[i] + 1 == at[j])):
@@ -229,16 +243,21 @@ def _parts(whole: pa.Table) -> dict[str, np.ndarray]:
     a, b = (np.column_stack([whole.column(f"_{e}{c}").to_numpy()[rows] for c in "yx"]) for e in "ab")
     marks, counts = _doubles(whole.column("_marks"))
     owner = np.repeat(np.cumsum(is_edge) - 1, counts)
-    has = lambda t: np.isin(np.arange(len(rows)), owner[marks[:, 0] == t])
-    starts, ends, beside = has(0.0), has(1.0), has(-1.0)
+
+    def has(t: float) -> np.ndarray:
+        out = np.zeros(len(rows), bool)
+        out[owner[marks[:, 0] == t]] = True
+        return out
+
+    starts, ends = has(0.0), has(1.0)
     inner = (marks[:, 0] > 0) & (marks[:, 0] < 1)
     edge = np.concatenate([np.arange(len(rows)), owner[inner], np.arange(len(rows))])
     t = np.concatenate([np.full(len(rows), -1.0), marks[inner, 0], np.full(len(rows), 2.0)])
     p = np.concatenate([a, marks[inner, 1:], b])
-    order = np.lexsort((p[:, 1], p[:, 0], t, edge))
-    edge, p = edge[order], p[order]
+    order = _along(edge, t, p)
+    edge, t, p = edge[order], t[order], p[order]
     kept = _first_of_each(edge, p)
-    edge, p = edge[kept], p[kept]
+    edge, t, p = edge[kept], t[kept], p[kept]
     same = edge[1:] == edge[:-1]
     first = np.flatnonzero(same)
     edge = edge[first]
@@ -246,8 +265,30 @@ def _parts(whole: pa.Table) -> dict[str, np.ndarray]:
     k = np.arange(len(edge)) - np.repeat(np.flatnonzero(begins), np.diff(np.append(np.flatnonzero(begins), len(edge))))
     last = np.append(begins[1:], True) if len(edge) else begins
     a, b = p[first], p[first + 1]
+    t = np.clip(t, 0.0, 1.0)
+    near = marks[:, 0] < 0  # parts within a stretch where another edge is near: those from ``low`` up to ``high``
+    low = np.searchsorted(edge + t[first], owner[near] + marks[near, 1] - 1e-9, side="left")
+    high = np.searchsorted(edge + t[first + 1], owner[near] + marks[near, 2] + 1e-9, side="right")
+    some = low < high
+    beside = np.cumsum(np.bincount(low[some], minlength=len(edge) + 1) - np.bincount(high[some], minlength=len(edge) + 1))[:-1] > 0
     close = np.hypot(*(b - a).T) <= SHORT
-    return {"row": rows[edge], "line": line[edge], "k": k, "a": a, "b": b, "cut": starts[edge] | ~begins, "done": ends[edge] | ~last, "suspect": beside[edge] | close}
+    return {"row": rows[edge], "line": line[edge], "k": k, "a": a, "b": b, "cut": starts[edge] | ~begins, "done": ends[edge] | ~last, "suspect": beside | close}
+
+
+def _along(edge: np.ndarray, t: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The order of points by edge, share, latitude and longitude; shares go from -1 to 2.
+
+    One number of edge and share orders nearly all of them; those that share it are put in order by the rest.
+    """
+    bits = min(50, 62 - int(edge.max(initial=0)).bit_length())  # of a share
+    key = (edge.astype("i8") << bits) + ((t + 1.0) * (1 << bits - 2)).astype("i8")
+    order = np.argsort(key)
+    same = key[order]
+    same = same[1:] == same[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    some = order[tied]
+    order[tied] = some[np.lexsort((p[some, 1], p[some, 0], t[some], edge[some]))]
+    return order
 
 
 def _first_of_each(edge: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -271,7 +312,18 @@ def _first_of_each(edge: np.ndarray, p: np.ndarray) -> np.ndarray:
     return kept
 
 
-def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float = TILE) -> DataFrame:
+#: Lines as points (lat, lon) one after another and the places where each begins, the last one's end added, to rows: the line that each is of, and its columns.
+Shape = Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, list[pa.Array]]]]
+
+_COORDS = T.StructType([T.StructField("coords", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("lat", "lon")])))])
+
+
+def _whole(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
+    """A row for each line, with its points."""
+    yield np.arange(len(offsets) - 1), [pa.ListArray.from_arrays(pa.array(offsets.astype("i4")), pa.StructArray.from_arrays([pa.array(c) for c in points.T], ["lat", "lon"]))]
+
+
+def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float = TILE, keep: list[str] | None = None, shape: Shape = _whole, adds: T.StructType = _COORDS) -> DataFrame:
     """Lines cut at every point where lines of their group meet; what coincides stays once.
 
     ``key`` names a line, ``group`` the lines that see each other (null is a
@@ -286,13 +338,17 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     tile travels as one row.  A task then holds a line and its marks at a time.
     Only parts that can have the ends of another, since they are very short or
     their edge nearly lies in another one, are compared across lines.
-    Returns the columns of ``lines`` with new ``coords``, and ``piece``.
-    Lines of fewer than two vertices, or of no length, go.
+    Returns the columns of ``lines`` (or ``keep`` of them) with new ``coords``,
+    and ``piece``.  Lines of fewer than two vertices, or of no length, go.
+    ``shape`` makes other rows of the pieces where they are found, with the
+    columns ``adds`` in place of ``coords``: pieces can be many times the lines,
+    and costly to carry as lists of points.
     """
-    keep = [c for c in lines.columns if c != "coords"]
+    keep = [c for c in lines.columns if c != "coords"] if keep is None else keep
+    carry = list(dict.fromkeys([*key, *group, *keep]))
     text = lambda names: F.to_json(F.struct(*(F.col(c).cast("string") for c in names)), {"ignoreNullFields": "false"})
     ends = {f"_{e}{c}": F.col(f"{e}.{name}") for e in "ab" for c, name in (("x", "lon"), ("y", "lat"))}
-    edges = edges_of(lines, keep).filter("a <> b").withColumns({"_g": text(group), "_l": text(key)})
+    edges = edges_of(lines, carry).filter("a <> b").withColumns({"_g": text(group), "_l": text(key)})
     tiled = through(edges.select("_g", "_l", *key, "at", "a", "b"), tile, 2 * NEAR)
     tiled = tiled.select(F.concat_ws("|", "i", "j", "_g").alias("_t"), "i", "j", "_l", *key, "at", *(c.alias(k) for k, c in ends.items()))
 
@@ -321,7 +377,7 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
         return whole_groups(batches, "_t", told)
 
     marks = tiled.repartition("_t").sortWithinPartitions("_t", *key, "at").mapInArrow(meet, "_l string, at int, _marks binary")
-    own = edges.select("_l", "at", "_g", *keep, *(c.alias(k) for k, c in ends.items())).withColumn("_marks", F.lit(None).cast("binary"))
+    own = edges.select("_l", "at", "_g", *dict.fromkeys([*key, *keep]), *(c.alias(k) for k, c in ends.items())).withColumn("_marks", F.lit(None).cast("binary"))
     gathered = own.unionByName(marks, allowMissingColumns=True).repartition("_l")
     order = ["_l", "at", F.col("_marks").isNotNull()]
 
@@ -342,19 +398,19 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     doubt = T.StructType([*(T.StructField(c, kinds[c]) for c in ("_l", "_g", *key, "at")), T.StructField("k", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in spots)])
     ranked = gathered.sortWithinPartitions(*order).mapInArrow(doubtful, doubt).withColumn("_n", F.row_number().over(Window.partitionBy("_g", *spots).orderBy(*key, "at", "k")))
     lost = ranked.filter("_n > 1").groupBy("_l").agg(F.collect_list(F.struct("at", "k")).alias("_lost"))
-    fields = T.StructType([*(T.StructField(c, kinds[c]) for c in keep), T.StructField("piece", T.LongType()), T.StructField("coords", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("lat", "lon")])))])
+    fields = T.StructType([*(T.StructField(c, kinds[c]) for c in keep), T.StructField("piece", T.LongType()), *adds.fields])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(whole: pa.Table, _: list) -> Iterator[pa.RecordBatch]:
-            yield from _pieces(whole, keep)
+            yield from _pieces(whole, keep, shape, adds.names)
 
         return whole_groups(batches, "_l", done)
 
     return gathered.join(lost, "_l", "left").sortWithinPartitions(*order).mapInArrow(join, fields)
 
 
-def _pieces(whole: pa.Table, keep: list[str]) -> Iterator[pa.RecordBatch]:
-    """Whole lines' parts, without those that are lost, joined to pieces up to the next cut."""
+def _pieces(whole: pa.Table, keep: list[str], shape: Shape, adds: list[str]) -> Iterator[pa.RecordBatch]:
+    """Whole lines' parts, without those that are lost, joined to pieces up to the next cut; rows of them by ``shape``."""
     p = _parts(whole)
     gone = np.zeros(len(p["row"]), bool)
     some = [r for r in np.unique(p["row"]).tolist() if whole.column("_lost")[r].is_valid] if whole.column("_lost").null_count < len(whole) else []
@@ -380,17 +436,16 @@ def _pieces(whole: pa.Table, keep: list[str]) -> Iterator[pa.RecordBatch]:
     coords[np.arange(len(row)) + count] = b
     for i in range(0, len(at), ROWS):
         j = min(len(at), i + ROWS)
-        points = pa.StructArray.from_arrays([pa.array(c) for c in coords[offsets[i] : offsets[j]].T], ["lat", "lon"])
-        same = whole.select(keep).take(row[at[i:j]])
-        lists = pa.ListArray.from_arrays(pa.array((offsets[i : j + 1] - offsets[i]).astype("i4")), points)
-        yield from pa.table([*same.columns, pa.array(piece[i:j]), lists], names=[*keep, "piece", "coords"]).combine_chunks().to_batches()
+        for of, columns in shape(coords[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
+            same = whole.select(keep).take(row[at[i:j]][of])
+            yield from pa.table([*same.columns, pa.array(piece[i:j][of]), *columns], names=[*keep, "piece", *adds]).combine_chunks().to_batches()
 
 
 #: Lines that are united with each other: of one cell, class, name, direction and kind.
 GROUP = ("rd_type", "rd_name", "oneway", "cluster", "service")
 
 
-def node_cells(lines: DataFrame) -> DataFrame:
-    """Clipped, clustered roads noded within their cell and group, with the bearing of each piece."""
+def node_cells(lines: DataFrame, keep: list[str] | None = None, shape: Shape = _whole, adds: T.StructType = _COORDS) -> DataFrame:
+    """Clipped, clustered roads noded within their cell and group; other arguments are those of ``node_lines``."""
     cells = ["cell_lat", "cell_lon"]
-    return node_lines(lines, ["way_id", *cells, "run"], [*cells, *(c for c in GROUP if c in lines.columns)]).withColumn("rd_deg", line_bearing(F.col("coords")))
+    return node_lines(lines, ["way_id", *cells, "run"], [*cells, *(c for c in GROUP if c in lines.columns)], keep=keep, shape=shape, adds=adds)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tracklake.functions.geo import DEGREE, bearing, cell, haversine, line_bearing
+from tracklake.functions.geo import DEGREE, bearing, bearings, cell, distances, haversine, line_bearing
 from tracklake.functions.numbers import round_even
 from tracklake.functions.text import tag
 from tracklake.operators import noding
@@ -153,19 +158,70 @@ def segmentise(roads: DataFrame, length_m: float = 30.0, least_m: float | None =
     ).drop("_s", "_len", "_n", *(f"{k}{x}" for k in ("_", "_d", "_k") for x in "abc"))
 
 
+#: What a segment has beside its line's columns.
+SEGMENT = T.StructType([T.StructField(c, T.DoubleType()) for c in ("start_lat", "start_lon", "end_lat", "end_lon", "center_lat", "center_lon", "bearing_deg")])
+
+
+def segments_of(length_m: float = 30.0, least_m: float | None = None) -> noding.Shape:
+    """``segmentise`` for lines that a task holds as arrays, all of two vertices or more; columns are those of ``SEGMENT``."""
+    least = length_m / 2 if least_m is None else least_m
+
+    def cut(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
+        first, last, size = offsets[:-1], offsets[1:] - 1, np.diff(offsets)
+        lat, lon = np.ascontiguousarray(points.T)
+        step = distances(lat[:-1], lon[:-1], lat[1:], lon[1:])  # those from line to line are not used
+        d = np.zeros(len(points))
+        by = np.argsort(-size, kind="stable")
+        for k in range(1, int(size.max(initial=1))):  # vertex by vertex, so sums are a line's own
+            at = first[by[: np.searchsorted(-size[by], -k)]] + k
+            d[at] = d[at - 1] + step[at - 1]
+        short = d[last] < least
+        n = np.where(short, 1, np.maximum(1, np.rint(d[last] / length_m))).astype(int)
+        share = d[last] / n
+
+        def place(line: np.ndarray, far: np.ndarray) -> np.ndarray:
+            """The points at distances along lines."""
+            low, high = np.zeros(len(line), int), size[line]
+            while (low < high).any():
+                k = (low + high) // 2
+                before = (low < high) & (d[np.minimum(first[line] + k, last[line])] < far)
+                low, high = np.where(before, k + 1, low), np.where(before, high, np.minimum(high, k))
+            q = first[line] + np.maximum(1, np.minimum(low, size[line] - 1))
+            gap = d[q] - d[q - 1]
+            part = np.divide(far - d[q - 1], gap, out=np.zeros(len(q)), where=gap != 0)
+            return points[q - 1] + part[:, None] * (points[q] - points[q - 1])
+
+        total = np.cumsum(n)
+        i = 0
+        while i < len(n):  # a line, or as many as make ROWS segments
+            j = max(i + 1, int(np.searchsorted(total, total[i] - n[i] + noding.ROWS, side="right")))
+            line = np.repeat(np.arange(i, j), n[i:j])
+            part = np.arange(len(line)) - np.repeat(total[i:j] - n[i:j] - (total[i] - n[i]), n[i:j])
+            a, b, c = points[first[line]], points[last[line]], points[first[line] + size[line] // 2]
+            some = np.flatnonzero(n[line] > 1)
+            a[some], b[some] = (place(line[some], (part[some] + k) * share[line[some]]) for k in (0, 1))
+            some = np.flatnonzero(~short[line])
+            c[some] = place(line[some], (part[some] + 0.5) * share[line[some]])
+            c = np.rint(c * 1e6) / 1e6
+            yield line, [pa.array(np.ascontiguousarray(x)) for x in (*a.T, *b.T, *c.T, bearings(*a.T, *b.T))]
+            i = j
+
+    return cut
+
+
 def number_segments(segments: DataFrame) -> DataFrame:
     """Segments with a number from 0 by (centre, class, name, start), the same on every run.
 
     Numbers come from counts of cells and places within a cell, so no single
     task sees all segments.
     """
-    celled = segments.withColumn("_cell", F.struct(F.floor(F.col("center_lat") * 10).alias("a"), F.floor(F.col("center_lon") * 10).alias("b")))
+    celled = segments.withColumns({"_i": F.floor(F.col("center_lat") * 10), "_j": F.floor(F.col("center_lon") * 10)})
     order = ["center_lat", "center_lon", "rd_type", "rd_name", "start_lat", "start_lon", "end_lat", "end_lon"]
-    within = Window.partitionBy("_cell").orderBy(*order)
-    sizes = celled.groupBy("_cell").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a cell
-    numbered = celled.withColumn("_r", F.row_number().over(within) - 1).join(small(before.drop("_n")), "_cell")
-    return numbered.withColumn("segment_id", (F.col("_base") + F.col("_r")).cast("bigint")).drop("_cell", "_r", "_base")
+    within = Window.partitionBy("_i", "_j").orderBy(*order)
+    sizes = celled.groupBy("_i", "_j").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_i", "_j").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a cell
+    numbered = celled.withColumn("_r", F.row_number().over(within) - 1).join(small(before.drop("_n")), ["_i", "_j"])
+    return numbered.withColumn("segment_id", (F.col("_base") + F.col("_r")).cast("bigint")).drop("_i", "_j", "_r", "_base")
 
 
 def segment_table(segments: DataFrame) -> DataFrame:
@@ -182,20 +238,21 @@ def build_segments(elements: DataFrame, length_m: float = 30.0, classes: tuple[s
     return segment_table(segmentise(split_at_crossings(roads, elements) if split else roads, length_m))
 
 
-def build_cells(elements: DataFrame, length_m: float = 30.0, size: float = 0.1, classes: tuple[str, ...] = ROAD_CLASSES) -> DataFrame:
+def build_cells(elements: DataFrame, length_m: float = 30.0, size: float = 0.1, classes: tuple[str, ...] = ROAD_CLASSES, only: DataFrame | None = None) -> DataFrame:
     """Map elements to segments of whole cells, with ``cell_lat`` and ``cell_lon``.
 
     Each cell is built from the roads that pass it and from nothing else: ways
     are clustered by name among those of the cell, clipped to it, noded with
     their group in it and cut into segments.  So a cell's segments are the same
-    whatever else is built with it, provided its elements are whole.
+    whatever else is built with it, provided its elements are whole; ``only``
+    names the cells that are built, by default all.
     """
     clipped = noding.clip_to_cells(parse_roads(elements, classes), size)
     cells = ("cell_lat", "cell_lon")
-    clustered = cluster_directions(clipped, by=(*cells, "rd_name"), counted=F.col("run") == 0)
-    return segmentise(noding.node_cells(clustered), length_m).select(
-        *cells, "rd_name", "rd_type", "oneway", "service", "start_lat", "start_lon", "end_lat", "end_lon", "center_lat", "center_lon", "bearing_deg"
-    )
+    wanted = clipped if only is None else clipped.join(small(only), list(cells), "left_semi")
+    clustered = cluster_directions(wanted, by=(*cells, "rd_name"), counted=F.col("run") == 0)
+    keep = [*cells, "rd_name", "rd_type", "oneway", "service"]
+    return noding.node_cells(clustered, keep, segments_of(length_m), SEGMENT).drop("piece")
 
 
 def without_service(segments: DataFrame) -> DataFrame:

@@ -113,10 +113,10 @@ class RoadCache:
         missing = roads.missing_cells(needed, have.select("cell_lat", "cell_lon").distinct()) if have is not None else needed
         cells = sorted((r.cell_lat, r.cell_lon) for r in missing.collect())  # cells of a drive
         if cells:
-            found = roads.build_cells((self.elements or self.fetched)(cells), self.length_m, self.size)
-            placed = found.withColumnsRenamed({"rd_name": "road_name", "rd_type": "highway"}).withColumns({"length_seg": F.lit(int(self.length_m)), "date": F.current_date()})
             wanted = self.spark.createDataFrame(cells, "cell_lat double, cell_lon double")
-            writers.write_cells(placed.join(wanted, ["cell_lat", "cell_lon"], "left_semi"), self.path)
+            found = roads.build_cells((self.elements or self.fetched)(cells), self.length_m, self.size, only=wanted)
+            placed = found.withColumnsRenamed({"rd_name": "road_name", "rd_type": "highway"}).withColumns({"length_seg": F.lit(int(self.length_m)), "date": F.current_date()})
+            writers.write_cells(placed if len(cells) <= writers.OPEN else placed.hint("rebalance", "cell_lat", "cell_lon"), self.path)
             have = self.stored()
             fs, path = self._path(f"{self.path}/_answers")
             fs.delete(path, True)  # they are in the cells now

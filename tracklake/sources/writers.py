@@ -92,6 +92,20 @@ def write_if_any(df: DataFrame, path: str, by: list[str] | None = None) -> bool:
     return True
 
 
+#: Files that a task writes side by side.
+OPEN = 64
+
+
 def write_cells(segments: DataFrame, path: str) -> None:
-    """Cached road segments in folders by cell and segment length."""
-    write_table(segments, path, ["cell_lat", "cell_lon", "length_seg"])
+    """Cached road segments in folders by cell and segment length.
+
+    A task writes the files of its first ``OPEN`` cells side by side, so that
+    rows need no order; only those of further cells are sorted.
+    """
+    conf, name = segments.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, OPEN)
+    try:
+        write_table(segments, path, ["cell_lat", "cell_lon", "length_seg"])
+    finally:
+        conf.set(name, before)
