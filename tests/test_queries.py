@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB."""
 
 import math
+import time
 from pathlib import Path
 
 import duckdb
@@ -60,6 +61,23 @@ def test_nearly_equal_distances_keep_the_order_of_sql(spark, duck, tmp_path):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_nearest_among_many_copies_of_segments(spark, tmp_path):
+    """A row meets 120,000 segments in a square kilometre: all of those in its neighbourhood, row by row, were 2e9 pairs."""
+    other = duckdb.connect()
+    other.sql(f"COPY (SELECT i AS s_suppkey, 'S' || i AS s_name FROM range(120000) r(i)) TO '{tmp_path}/supplier.parquet'")
+    start = time.monotonic()
+    counts = []
+    for low, high in ((0, 200_000), (1000, 1200)):
+        other.sql(f"COPY (SELECT i AS event_id, i * 3 % 50 AS value FROM range({low}, {high}) r(i) UNION ALL SELECT 1100, 40 UNION ALL SELECT NULL, 40) TO '{tmp_path}/events.parquet'")
+        got = QUERIES["haversine_nearest"](spark, str(tmp_path))
+        counts.append(got.groupBy("match_type").count().count())
+    assert time.monotonic() - start < 60 and counts == [3, 3]
+    for name in ("events", "supplier"):
+        other.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    want = other.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL['haversine_nearest']})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_mean_times_are_those_of_sql(spark, tmp_path):
     """Sums beyond 64 bits, and means whose fraction is near the next microsecond."""
     other = duckdb.connect()
