@@ -6,12 +6,15 @@ import random
 import time
 from fractions import Fraction as Q
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tracklake import road_queries
 from tracklake.operators import noding, roads
+from tracklake.queries import ORACLE_SQL
 from tracklake.sources.maps import RoadCache
 
 LINES = "way_id long, rd_name string, coords array<struct<lat:double,lon:double>>"
@@ -250,3 +253,33 @@ def test_segments_of_cells_are_made_where_pieces_are_found(spark):
     assert not any(x in after for x in ("Exchange", "Sort", "Join", "Generate"))
     whole = roads.build_cells(spark.createDataFrame(town(), KIND), 30.0).filter("cell_lat = 37.9")
     assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_copies_of_lines_are_noded_as_sql_does(spark, tmp_path, monkeypatch):
+    """Four copies of each line, whose later ones may be cut elsewhere by a last digit, in groups of many tasks; marks are not shuffled."""
+    other = duckdb.connect()
+    other.sql(f"COPY (SELECT i + 80640 * c AS s_suppkey FROM range(500) r(i), range(4) q(c)) TO '{tmp_path}/supplier.parquet'")
+    other.sql(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet'")
+    monkeypatch.setattr(noding, "EDGES", 16)
+    got = road_queries.road_nodes(spark, str(tmp_path))
+    want = other.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL['road_nodes']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 30_000
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 2  # the plan is printed twice
+
+
+def test_equal_edges_are_told_apart_by_their_order():
+    """Marks on an edge are those of all pairs, also where a copy before it and one after it meet another edge at two points."""
+    rng = np.random.default_rng(6)
+    e = rng.integers(0, 60, (40, 4)) * 3.37e-5 + rng.uniform(0, 1e-6, (40, 4))
+    e = np.concatenate([e, e[rng.permutation(40)], e[:10, [2, 3, 0, 1]]])
+    line, at = np.arange(len(e)), np.zeros(len(e), int)
+    found = {k: set() for k in line.tolist()}
+    for edge, marks in noding._met_in_tile(e, line, at, 0.002):
+        for k, m in zip(edge.tolist(), marks.tolist(), strict=True):
+            found[k] |= {tuple(m)} if m[0] >= 0 else set()
+    want = {k: set() for k in line.tolist()}
+    for i, j in itertools.combinations(line.tolist(), 2):
+        for first, k in ((True, i), (False, j)):
+            for _, *m in noding._meetings(e[i : i + 1], e[j : j + 1], np.zeros(1, bool), first):
+                want[k] |= set(zip(*(c.tolist() for c in m), strict=True))
+    assert found == want and sum(map(len, want.values())) > 1000

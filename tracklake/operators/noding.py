@@ -22,10 +22,10 @@ TILE = 0.002
 #: Two points within ``NEAR`` of two edges are the ends of a part of each: such parts are no longer, in degrees, or the edges turn no more from each other (sine).
 #: Of edges that cross, about one part in ten thousand is so short; nearly level ones tell the stretch where they lie together.
 SHORT, SLANT = 5e-8, 2e-2
-#: Edges that turn no more from each other meet at no sure place.
-LEVEL = 1e-6
-#: Pairs that are tried at a time, marks and rows that are given on at a time.
-PAIRS, MARKS, ROWS = 1 << 20, 1 << 20, 1 << 16
+#: Pairs that are tried at a time, marks that are held at a time unless a line has more, rows that are given on at a time.
+PAIRS, MARKS, ROWS = 1 << 17, 1 << 19, 1 << 16
+#: Edges of a group for which there is a task more, and the most tasks of a group: each cuts its lines and holds the edges of all.
+EDGES, TASKS = 1024, 64
 
 
 def _point(lat: Column, lon: Column) -> Column:
@@ -126,38 +126,41 @@ def _joined(edges: str) -> Column:
     return F.concat(F.array(F.get(edges, 0)["a"]), F.transform(edges, lambda e: e["b"]))
 
 
-def _meetings(x: np.ndarray, y: np.ndarray, joint: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """Where pairs of edges meet, as (pair, whether on the first, share, lat, lon, whether the pair is nearly level).
+def _meetings(x: np.ndarray, y: np.ndarray, joint: np.ndarray, of_first: bool) -> list[tuple[np.ndarray, ...]]:
+    """The marks of pairs of edges on the first of each, or on the second: (pair, share, lat, lon).
 
-    ``x`` and ``y`` have a row of (ax, ay, bx, by) for each pair.  ``joint``: they
-    follow each other, and their common end is no meeting.
+    ``x`` and ``y`` have a row of (ax, ay, bx, by) for each pair, ``x`` that of the edge that comes first in order.
+    ``joint``: they follow each other, and their common end is no meeting.
     """
     (ax, ay, bx, by), (cx, cy, dx, dy) = x.T, y.T
     ux, uy, vx, vy, rx, ry = bx - ax, by - ay, dx - cx, dy - cy, cx - ax, cy - ay
     nu, nv, den, side = np.sqrt(ux * ux + uy * uy), np.sqrt(vx * vx + vy * vy), ux * vy - uy * vx, rx * uy - ry * ux
     snap = lambda t, n: np.where(np.abs(t) * n <= NEAR, 0.0, np.where(np.abs(t - 1) * n <= NEAR, 1.0, t))
     within = lambda t: (t >= 0) & (t <= 1)
-    level, flat = np.abs(den) <= 1e-12 * nu * nv, np.abs(den) <= LEVEL * nu * nv
+    level = np.abs(den) <= 1e-12 * nu * nv
     out = []
 
-    def add(i: np.ndarray, first: bool, t: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
+    def add(i: np.ndarray, t: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> None:
         good = within(t) & ~(joint[i] & (lat == by[i]) & (lon == bx[i]))
-        out.append((i[good], np.full(good.sum(), first), t[good], lat[good], lon[good], flat[i[good]]))
+        out.append((i[good], t[good], lat[good], lon[good]))
 
     i = np.flatnonzero(~level)
-    s, t = snap((rx * vy - ry * vx)[i] / den[i], nu[i]), snap(side[i] / den[i], nv[i])
+    with np.errstate(over="ignore"):
+        s, t = (rx * vy - ry * vx)[i] / den[i], side[i] / den[i]
+    met = np.flatnonzero((np.abs(s - 0.5) * nu[i] <= 0.5 * nu[i] + 2 * NEAR) & (np.abs(t - 0.5) * nv[i] <= 0.5 * nv[i] + 2 * NEAR))  # most do not
+    i, s, t = i[met], s[met], t[met]
+    s, t = snap(s, nu[i]), snap(t, nv[i])
     met = within(s) & within(t)
     i, s, t = i[met], s[met], t[met]
     ends = [s == 0, s == 1, t == 0, t == 1]
     lat = np.select(ends, [ay[i], by[i], cy[i], dy[i]], np.rint((ay[i] + s * uy[i]) * 1e10) / 1e10)
     lon = np.select(ends, [ax[i], bx[i], cx[i], dx[i]], np.rint((ax[i] + s * ux[i]) * 1e10) / 1e10)
-    add(i, True, s, lat, lon)
-    add(i, False, t, lat, lon)
+    add(i, s if of_first else t, lat, lon)
     i = np.flatnonzero(level)
     i = i[np.abs(side[i]) / nu[i] <= NEAR]  # in one line: the ends of each that lie on the other
-    for first, qx, qy, ox, oy, wx, wy, n in ((True, cx, cy, ax, ay, ux, uy, nu), (True, dx, dy, ax, ay, ux, uy, nu), (False, ax, ay, cx, cy, vx, vy, nv), (False, bx, by, cx, cy, vx, vy, nv)):
+    for qx, qy, ox, oy, wx, wy, n in ((cx, cy, ax, ay, ux, uy, nu), (dx, dy, ax, ay, ux, uy, nu)) if of_first else ((ax, ay, cx, cy, vx, vy, nv), (bx, by, cx, cy, vx, vy, nv)):
         along = ((qx[i] - ox[i]) * wx[i] + (qy[i] - oy[i]) * wy[i]) / (n[i] * n[i])
-        add(i, first, snap(along, n[i]), qy[i], qx[i])
+        add(i, snap(along, n[i]), qy[i], qx[i])
     return out
 
 
@@ -182,37 +185,158 @@ def _beside(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return pairs[good], s[good], t[good]
 
 
-def _met_in_tile(e: np.ndarray, line: np.ndarray, at: np.ndarray, tile: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The marks of a tile's edges on each other, by blocks of pairs: (edge, marks of (share, lat, lon)); edges with a near companion get marks of -1 and the shares between which it is near.
+class Edges:
+    """The edges of a group in order, which meet each other; equal ones are tried as one.
 
-    ``e`` has a row of (ax, ay, bx, by, i, j) for each edge, in order.  A point
-    well inside a tile is told there alone, one on a border in all tiles.
+    ``e`` has a row of (ax, ay, bx, by) for each.
     """
-    n = len(e)
-    low, high = np.minimum(e[:, :2], e[:, 2:4]), np.maximum(e[:, :2], e[:, 2:4])
-    spot, block = e[0, 4:6], max(1, PAIRS // max(n, 1))
-    for k in range(0, n, block):
-        x, rest = slice(k, min(n, k + block)), slice(k + 1, n)
-        over = np.triu(np.ones((x.stop - k, n - k - 1), bool))
-        for c in (0, 1):
-            over &= (low[x, c, None] <= high[None, rest, c] + 10 * NEAR) & (low[None, rest, c] <= high[x, c, None] + 10 * NEAR)
-        i, j = np.nonzero(over)
-        i, j = i + k, j + k + 1
-        p, q = e[i, :4], e[j, :4]
-        near, s, t = _beside(p, q)
-        spots = [q[near, :2] + t[:, k, None] * (q[near, 2:] - q[near, :2]) for k in (0, 1)]
-        close = ((np.minimum(*spots)[:, ::-1] <= (spot + 1) * tile + 100 * NEAR) & (np.maximum(*spots)[:, ::-1] >= spot * tile - 100 * NEAR)).all(1)
-        near, s, t = near[close], s[close], t[close]
-        yield np.concatenate([i[near], j[near]]), np.column_stack([np.full(2 * len(near), -1.0), np.concatenate([s, t])])
-        real = ((low[i] <= high[j] + NEAR) & (low[j] <= high[i] + NEAR)).all(1)
-        i, j, p, q = i[real], j[real], p[real], q[real]
-        for pair, first, t, lat, lon, flat in _meetings(p, q, (line[i] == line[j]) & (at[i] + 1 == at[j])):
-            if not len(pair):
-                continue
-            units = np.column_stack([lat, lon]) / tile
-            here = np.floor(units)
-            told = (here == spot).all(1) | (np.abs(units - np.rint(units)) * tile < 10 * NEAR).any(1) | flat
-            yield np.where(first[told], i[pair[told]], j[pair[told]]), np.column_stack([t, lat, lon])[told]
+
+    def __init__(self, e: np.ndarray, line: np.ndarray, at: np.ndarray, tile: float) -> None:
+        self.e, self.columns, self.line, self.at, self.tile = e, np.ascontiguousarray(e.T), line, at, tile
+        _, self.first, self.kind, self.count = np.unique(e + 0.0, axis=0, return_index=True, return_inverse=True, return_counts=True)
+        self.kind = self.kind.reshape(-1)
+        self.members = np.argsort(self.kind, kind="stable")  # of each kind, in order
+        self.begins = np.concatenate([[0], np.cumsum(self.count)])
+        self.last = self.members[self.begins[1:] - 1]
+        self.own = self.columns[:, self.first]
+        self.low, self.high = np.minimum(self.own[:2], self.own[2:]), np.maximum(self.own[:2], self.own[2:])
+
+    def met(self, mine: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The marks of all edges on those numbered ``mine``, by blocks of pairs: (place in ``mine``, marks of (share, lat, lon), kinds).
+
+        An edge with a near companion gets marks of -1 and the shares between
+        which it is near; of these alone the kind of the companion is told.  A
+        crossing is worked out from the edge that comes first, so one with equal
+        edges before and after another can meet it at two points.
+        """
+        x = self.columns[:, mine]
+        order = np.lexsort((x[0] + x[2], np.floor((x[1] + x[3]) / (2 * self.tile))))
+        low, high = np.minimum(x[:2], x[2:]), np.maximum(x[:2], x[2:])
+        k = 0
+        while k < len(mine):
+            b = order[k : k + 64]
+            near = np.ones(len(self.first), bool)
+            for c in (0, 1):
+                near &= (self.low[c] <= high[c, b].max() + 10 * NEAR) & (self.high[c] >= low[c, b].min() - 10 * NEAR)
+            near = np.flatnonzero(near)
+            b = b[: max(1, PAIRS // max(1, len(near)))]
+            k += len(b)
+            over = np.ones((len(b), len(near)), bool)
+            for c in (0, 1):
+                over &= (low[c][b][:, None] <= self.high[c][near] + 10 * NEAR) & (self.low[c][near] <= high[c][b][:, None] + 10 * NEAR)
+            i, j = np.nonzero(over)
+            i, j = b[i], near[j]
+            other = (self.kind[mine[i]] != j) | (self.count[j] > 1)
+            i, j = i[other], j[other]
+            p, q = x[:, i].T, self.own[:, j].T
+            beside, s, _ = _beside(p, q)
+            yield i[beside], np.column_stack([np.full(len(beside), -1.0), s]), j[beside]
+            rank, first = mine[i], self.first[j]
+            step = np.where((self.count[j] == 1) & (self.line[rank] == self.line[first]), self.at[first] - self.at[rank], 0)
+            for of_first, some in ((True, rank < self.last[j]), (False, first < rank)):
+                some = np.flatnonzero(some)
+                u, v = x[:, i[some]].T, self.own[:, j[some]].T
+                for pair, t, lat, lon in _meetings(u, v, step[some] == 1, True) if of_first else _meetings(v, u, step[some] == -1, False):
+                    yield i[some[pair]], np.column_stack([t, lat, lon]), np.zeros(0, int)
+
+    def marks(self, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All of them: places, marks, and pairs of a place and the kind of a near companion."""
+        told = list(self.met(mine))
+        place, marks = (np.concatenate([t[k] for t in told]) for k in (0, 1))
+        pairs = np.column_stack([np.concatenate([t[0] for t in told if len(t[2])] or [np.zeros(0, int)]), np.concatenate([t[2] for t in told] or [np.zeros(0, int)])])
+        return place, marks, pairs
+
+    def passing(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which kinds pass both of two points (lat, lon), as (pair of points, kind)."""
+        found = [(np.zeros(0, int), np.zeros(0, int))]
+        ax, ay, bx, by = self.own
+        ux, uy = bx - ax, by - ay
+        n = np.hypot(ux, uy)
+        step = max(1, PAIRS // max(1, len(n)))
+        for k in range(0, len(low), step):
+            over = np.ones((len(low[k : k + step]), len(n)), bool)
+            for points in (low, high):
+                y, x = points[k : k + step, 0, None], points[k : k + step, 1, None]
+                over &= (self.low[0] <= x + 10 * NEAR) & (x <= self.high[0] + 10 * NEAR) & (self.low[1] <= y + 10 * NEAR) & (y <= self.high[1] + 10 * NEAR)
+            i, j = np.nonzero(over)
+            for points in (low, high):
+                y, x = points[k + i, 0], points[k + i, 1]
+                good = np.abs((x - ax[j]) * uy[j] - (y - ay[j]) * ux[j]) <= 10 * NEAR * n[j]
+                i, j = i[good], j[good]
+            found.append((k + i, j))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+    def repeated(self, mine: np.ndarray, p: dict[str, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+        """Which parts of ``mine`` an edge that comes first has, too, in either direction.
+
+        Only suspects are compared, with those of the edges beside them, or that
+        pass both ends of a short one; equal edges after the first are asked
+        only where the first has not the part.
+        """
+        gone, some = np.zeros(len(p["edge"]), bool), np.flatnonzero(p["suspect"])
+        if not len(some):
+            return gone
+        short = some[np.hypot(*(p["b"][some] - p["a"][some]).T) <= SHORT]
+        part, kind = self.passing(p["a"][short], p["b"][short])
+        pairs = np.concatenate([pairs, np.column_stack([p["edge"][short[part]], kind])])
+        mine_ends, ends, rank = _ends(p, some), [], []
+        asked = np.zeros(0, int)
+        for k in (0, 1):
+            left = np.bincount(p["edge"][some[~gone[some]]], minlength=len(mine)) > 0
+            pairs = np.unique(pairs[left[pairs[:, 0]]], axis=0)
+            if k == 0:
+                need = self.first[pairs[:, 1]][self.first[pairs[:, 1]] < mine[pairs[:, 0]]]
+            else:
+                latest = np.zeros(len(self.first), int)
+                np.maximum.at(latest, pairs[:, 1], mine[pairs[:, 0]])
+                need = np.concatenate([m[m < latest[j]] for j in np.flatnonzero(latest).tolist() if len(m := self.members[self.begins[j] + 1 : self.begins[j + 1]])] or [need[:0]])
+            others = np.setdiff1d(np.unique(need), np.concatenate([mine, asked]))
+            for i in range(0, len(others), 64):
+                ask = others[i : i + 64]
+                place, marks, _ = self.marks(ask)
+                o = _cut(np.arange(len(ask)), *_both(self.e[ask]), place, marks)
+                their = np.flatnonzero(o["suspect"])
+                ends.append(_ends(o, their))
+                rank.append(ask[o["edge"][their]])
+            asked = np.concatenate([asked, others])
+            if k == 0 or len(others):
+                gone[some] = _later(np.concatenate([mine_ends, *ends]), np.concatenate([mine[p["edge"][some]], *rank]))[: len(some)]
+        return gone
+
+
+def _both(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both ends of edges, as (lat, lon)."""
+    return e[:, 1::-1], e[:, 3:1:-1]
+
+
+def _ends(p: dict[str, np.ndarray], some: np.ndarray) -> np.ndarray:
+    """The ends of parts, the lower one first."""
+    a, b = p["a"][some], p["b"][some]
+    turned = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
+    return np.where(turned[:, None], np.column_stack([b, a]), np.column_stack([a, b])) + 0.0
+
+
+def _later(ends: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which rows have the ends of another one of lower rank; rows are ordered by a hash, and by all ends should two share it."""
+    bits = np.ascontiguousarray(ends).view("u8")
+    h = np.zeros(len(bits), "u8")
+    for c in bits.T:
+        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    order = np.lexsort((rank, h))
+    same = (ends[order[1:]] == ends[order[:-1]]).all(1)
+    if (same != (h[order[1:]] == h[order[:-1]])).any():
+        order = np.lexsort((rank, *ends.T))
+        same = (ends[order[1:]] == ends[order[:-1]]).all(1)
+    out = np.zeros(len(rank), bool)
+    out[order[1:][same]] = True
+    return out
+
+
+def _met_in_tile(e: np.ndarray, line: np.ndarray, at: np.ndarray, tile: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The marks of edges on each other, by blocks of pairs: (edge, marks of (share, lat, lon)), as ``Edges.met`` has them."""
+    for edge, marks, _ in Edges(e[:, :4], line, at, tile).met(np.arange(len(e))):
+        yield edge, marks
 
 
 def _strings_differ(c: pa.ChunkedArray) -> np.ndarray:
@@ -229,12 +353,6 @@ def _doubles(c: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(held), np.concatenate(sizes) // 24) if parts else (np.zeros((0, 3)), np.zeros(0, int))
 
 
-def _packed(marks: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Marks as one binary entry for each count."""
-    offsets = np.concatenate([[0], np.cumsum(counts) * 24]).astype("<i4")
-    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(marks, "<f8").tobytes())])
-
-
 def _parts(whole: pa.Table) -> dict[str, np.ndarray]:
     """The parts between the marks of whole lines' edges, in order; rows are an edge (``_marks`` null), then its marks."""
     is_edge = whole.column("_marks").is_null().to_numpy()
@@ -242,17 +360,23 @@ def _parts(whole: pa.Table) -> dict[str, np.ndarray]:
     line = np.cumsum(_strings_differ(whole.column("_l"))[rows] if len(rows) else np.zeros(0, int)) - 1
     a, b = (np.column_stack([whole.column(f"_{e}{c}").to_numpy()[rows] for c in "yx"]) for e in "ab")
     marks, counts = _doubles(whole.column("_marks"))
-    owner = np.repeat(np.cumsum(is_edge) - 1, counts)
+    p = _cut(line, a, b, np.repeat(np.cumsum(is_edge) - 1, counts), marks)
+    return p | {"row": rows[p["edge"]]}
+
+
+def _cut(line: np.ndarray, a: np.ndarray, b: np.ndarray, owner: np.ndarray, marks: np.ndarray) -> dict[str, np.ndarray]:
+    """The parts between the marks of edges, in order; ``line`` is each edge's line, ``owner`` each mark's edge."""
+    n = len(line)
 
     def has(t: float) -> np.ndarray:
-        out = np.zeros(len(rows), bool)
+        out = np.zeros(n, bool)
         out[owner[marks[:, 0] == t]] = True
         return out
 
     starts, ends = has(0.0), has(1.0)
     inner = (marks[:, 0] > 0) & (marks[:, 0] < 1)
-    edge = np.concatenate([np.arange(len(rows)), owner[inner], np.arange(len(rows))])
-    t = np.concatenate([np.full(len(rows), -1.0), marks[inner, 0], np.full(len(rows), 2.0)])
+    edge = np.concatenate([np.arange(n), owner[inner], np.arange(n)])
+    t = np.concatenate([np.full(n, -1.0), marks[inner, 0], np.full(n, 2.0)])
     p = np.concatenate([a, marks[inner, 1:], b])
     order = _along(edge, t, p)
     edge, t, p = edge[order], t[order], p[order]
@@ -272,7 +396,7 @@ def _parts(whole: pa.Table) -> dict[str, np.ndarray]:
     some = low < high
     beside = np.cumsum(np.bincount(low[some], minlength=len(edge) + 1) - np.bincount(high[some], minlength=len(edge) + 1))[:-1] > 0
     close = np.hypot(*(b - a).T) <= SHORT
-    return {"row": rows[edge], "line": line[edge], "k": k, "a": a, "b": b, "cut": starts[edge] | ~begins, "done": ends[edge] | ~last, "suspect": beside | close}
+    return {"edge": edge, "line": line[edge], "k": k, "a": a, "b": b, "cut": starts[edge] | ~begins, "done": ends[edge] | ~last, "suspect": beside | close}
 
 
 def _along(edge: np.ndarray, t: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -333,11 +457,13 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     are cut at each other's ends.  Of parts with the same ends, in either
     direction, the first by key and place stays.
 
-    Edges look for each other in tiles that they pass, so no group is paired as
-    a whole: a tile's pairs are tried in blocks, and what is told of an edge in a
-    tile travels as one row.  A task then holds a line and its marks at a time.
-    Only parts that can have the ends of another, since they are very short or
-    their edge nearly lies in another one, are compared across lines.
+    A task cuts some lines of a group and holds the edges of all, ordered by
+    place, so edges try those near them in blocks; a large group has more tasks,
+    and edges are all that is shuffled.  Marks, which can be many times the
+    edges, are found on either side of a pair and stay in the task, some lines'
+    at a time.  Only parts that can have the ends of another, since they are very
+    short or their edge nearly lies in another one, are compared across lines:
+    the task cuts those edges, too.
     Returns the columns of ``lines`` (or ``keep`` of them) with new ``coords``,
     and ``piece``.  Lines of fewer than two vertices, or of no length, go.
     ``shape`` makes other rows of the pieces where they are found, with the
@@ -348,77 +474,53 @@ def node_lines(lines: DataFrame, key: list[str], group: list[str], tile: float =
     carry = list(dict.fromkeys([*key, *group, *keep]))
     text = lambda names: F.to_json(F.struct(*(F.col(c).cast("string") for c in names)), {"ignoreNullFields": "false"})
     ends = {f"_{e}{c}": F.col(f"{e}.{name}") for e in "ab" for c, name in (("x", "lon"), ("y", "lat"))}
-    edges = edges_of(lines, carry).filter("a <> b").withColumns({"_g": text(group), "_l": text(key)})
-    tiled = through(edges.select("_g", "_l", *key, "at", "a", "b"), tile, 2 * NEAR)
-    tiled = tiled.select(F.concat_ws("|", "i", "j", "_g").alias("_t"), "i", "j", "_l", *key, "at", *(c.alias(k) for k, c in ends.items()))
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(whole: pa.Table, bounds: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-            e = np.column_stack([whole.column(c).to_numpy().astype(float) for c in ("_ax", "_ay", "_bx", "_by", "i", "j")])
-            line, at = np.cumsum(_strings_differ(whole.column("_l"))), whole.column("at").to_numpy()
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-
-            def out() -> pa.RecordBatch:
-                edge, marks = (np.concatenate(x) for x in zip(*held, strict=True))
-                order = np.argsort(edge, kind="stable")
-                rows, counts = np.unique(edge, return_counts=True)
-                same = [whole.column(c).take(rows).combine_chunks() for c in ("_l", "at")]
-                held.clear()
-                return pa.record_batch([*same, _packed(marks[order], counts)], names=["_l", "at", "_marks"])
-
-            for i, j in bounds:
-                for edge, marks in _met_in_tile(e[i:j], line[i:j], at[i:j], tile):
-                    held.append((edge + i, marks))
-                    if sum(len(h[0]) for h in held[-1:]) and sum(len(h[0]) for h in held) > MARKS:
-                        yield out()
-            if held:
-                yield out()
-
-        return whole_groups(batches, "_t", told)
-
-    marks = tiled.repartition("_t").sortWithinPartitions("_t", *key, "at").mapInArrow(meet, "_l string, at int, _marks binary")
-    own = edges.select("_l", "at", "_g", *dict.fromkeys([*key, *keep]), *(c.alias(k) for k, c in ends.items())).withColumn("_marks", F.lit(None).cast("binary"))
-    gathered = own.unionByName(marks, allowMissingColumns=True).repartition("_l")
-    order = ["_l", "at", F.col("_marks").isNotNull()]
-
-    def doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(whole: pa.Table, _: list) -> Iterator[pa.RecordBatch]:
-            p = _parts(whole)
-            some = np.flatnonzero(p["suspect"])
-            a, b = p["a"][some], p["b"][some]
-            turned = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
-            low, high = np.where(turned[:, None], b, a), np.where(turned[:, None], a, b)
-            same = whole.select(["_l", "_g", *key, "at"]).take(p["row"][some])
-            yield from pa.table([*same.columns, *(pa.array(x) for x in (p["k"][some], *low.T, *high.T))], names=[*same.column_names, "k", *spots]).to_batches()
-
-        return whole_groups(batches, "_l", found)
-
-    spots = ["_y0", "_x0", "_y1", "_x1"]
-    kinds = {f.name: f.dataType for f in own.schema.fields}
-    doubt = T.StructType([*(T.StructField(c, kinds[c]) for c in ("_l", "_g", *key, "at")), T.StructField("k", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in spots)])
-    ranked = gathered.sortWithinPartitions(*order).mapInArrow(doubtful, doubt).withColumn("_n", F.row_number().over(Window.partitionBy("_g", *spots).orderBy(*key, "at", "k")))
-    lost = ranked.filter("_n > 1").groupBy("_l").agg(F.collect_list(F.struct("at", "k")).alias("_lost"))
+    placed = lines.withColumn("_h", F.xxhash64(F.get("coords", 0)["lat"], F.get("coords", 0)["lon"]))  # lines that begin together are cut by one task
+    edges = edges_of(placed, [*carry, "_h"]).filter("a <> b").withColumns({"_g": text(group), "_l": text(key)})
+    sizes = edges.groupBy("_g").agg(F.least(F.lit(TASKS), F.ceil(F.count("*") / EDGES)).cast("int").alias("_c"))
+    dealt = edges.join(sizes, "_g").withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)))
+    mine = (F.pmod("_h", "_c") == F.col("_k")).alias("_own")
+    dealt = dealt.select(F.concat_ws("|", "_k", "_g").alias("_t"), mine, "_l", "at", *dict.fromkeys([*key, *keep]), *(c.alias(k) for k, c in ends.items()))
+    kinds = {f.name: f.dataType for f in dealt.schema.fields}
     fields = T.StructType([*(T.StructField(c, kinds[c]) for c in keep), T.StructField("piece", T.LongType()), *adds.fields])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(whole: pa.Table, _: list) -> Iterator[pa.RecordBatch]:
-            yield from _pieces(whole, keep, shape, adds.names)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(whole: pa.Table, bounds: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+            for i, j in bounds:
+                yield from _noded(whole.slice(i, j - i).combine_chunks(), tile, keep, shape, adds.names)
 
-        return whole_groups(batches, "_l", done)
+        return whole_groups(batches, "_t", done)
 
-    return gathered.join(lost, "_l", "left").sortWithinPartitions(*order).mapInArrow(join, fields)
+    session = lines.sparkSession
+    parts = 4 * max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)  # edges are few bytes for what is made of them
+    return dealt.repartition(parts, "_t").sortWithinPartitions("_t", *key, "at").mapInArrow(cut, fields)
 
 
-def _pieces(whole: pa.Table, keep: list[str], shape: Shape, adds: list[str]) -> Iterator[pa.RecordBatch]:
-    """Whole lines' parts, without those that are lost, joined to pieces up to the next cut; rows of them by ``shape``."""
-    p = _parts(whole)
-    gone = np.zeros(len(p["row"]), bool)
-    some = [r for r in np.unique(p["row"]).tolist() if whole.column("_lost")[r].is_valid] if whole.column("_lost").null_count < len(whole) else []
-    for r in some:
-        at = whole.column("at")[r].as_py()
-        mine = np.arange(*np.searchsorted(p["row"], [r, r + 1]))
-        gone[mine] |= np.isin(p["k"][mine], [x["k"] for x in whole.column("_lost")[r].as_py() if x["at"] == at])
-    row, line, a, b, cut, done = (p[x][~gone] for x in ("row", "line", "a", "b", "cut", "done"))
+def _noded(edges: pa.Table, tile: float, keep: list[str], shape: Shape, adds: list[str]) -> Iterator[pa.RecordBatch]:
+    """The pieces of a group's lines that are the task's own, as rows by ``shape``; ``edges`` are those of the whole group in order."""
+    own = np.flatnonzero(edges.column("_own").to_numpy())
+    if not len(own):
+        return
+    line, at = np.cumsum(_strings_differ(edges.column("_l"))), edges.column("at").to_numpy()
+    group = Edges(np.column_stack([edges.column(c).to_numpy() for c in ("_ax", "_ay", "_bx", "_by")]), line, at, tile)
+    first = np.flatnonzero(np.concatenate([[True], line[own][1:] != line[own][:-1]]))
+    size = np.diff(np.append(first, len(own)))
+    x, y = group.columns[:2, own[first]]
+    order = np.lexsort((group.kind[own[first]], x, np.floor(y / tile)))
+    i, take = 0, 16
+    while i < len(order):
+        some = order[i : i + take]
+        n = size[some]
+        mine = own[np.repeat(first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        place, marks, pairs = group.marks(mine)
+        p = _cut(np.repeat(np.arange(len(some)), n), *_both(group.e[mine]), place, marks)
+        yield from _pieces(edges, mine, p, group.repeated(mine, p, pairs), keep, shape, adds)
+        i += take
+        take = max(1, min(4 * take, MARKS * len(some) // max(1, len(marks))))
+
+
+def _pieces(edges: pa.Table, mine: np.ndarray, p: dict[str, np.ndarray], gone: np.ndarray, keep: list[str], shape: Shape, adds: list[str]) -> Iterator[pa.RecordBatch]:
+    """Whole lines' parts, without those that are gone, joined to pieces up to the next cut; rows of them by ``shape``."""
+    row, line, a, b, cut, done = (x[~gone] for x in (mine[p["edge"]], *(p[c] for c in ("line", "a", "b", "cut", "done"))))
     if not len(row):
         return
     fresh = np.concatenate([[True], line[1:] != line[:-1]])
@@ -437,7 +539,7 @@ def _pieces(whole: pa.Table, keep: list[str], shape: Shape, adds: list[str]) ->
     for i in range(0, len(at), ROWS):
         j = min(len(at), i + ROWS)
         for of, columns in shape(coords[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
-            same = whole.select(keep).take(row[at[i:j]][of])
+            same = edges.select(keep).take(row[at[i:j]][of])
             yield from pa.table([*same.columns, pa.array(piece[i:j][of]), *columns], names=[*keep, "piece", *adds]).combine_chunks().to_batches()
 
 
