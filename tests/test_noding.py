@@ -283,3 +283,34 @@ def test_equal_edges_are_told_apart_by_their_order():
             for _, *m in noding._meetings(e[i : i + 1], e[j : j + 1], np.zeros(1, bool), first):
                 want[k] |= set(zip(*(c.tolist() for c in m), strict=True))
     assert found == want and sum(map(len, want.values())) > 1000
+
+
+def test_the_cache_keeps_segments_in_few_bytes(spark, tmp_path):
+    """Chains give the same numbers, ends off the tenth digit too; files of plain segments are read; a dense cell takes few bytes a segment."""
+    from tracklake.sources import maps
+
+    rng = random.Random(5)
+    lines = [[(37 + rng.random() * far, -122 + round(rng.random() * far, digits)) for _ in range(n)] for n in (2, 3, 40) for far in (1e-5, 1e-3, 2e-2) for digits in (6, 10, 17) for _ in range(4)]
+    points, offsets = np.array([p for line in lines for p in line]), np.cumsum([0, *map(len, lines)])
+    made = lambda shape, names: pa.concat_tables(pa.table([pa.array(of), *columns], names=["k", *names]) for of, columns in shape(points, offsets))
+    want = made(roads.segments_of(), roads.SEGMENT.names)
+    chains = spark.createDataFrame(made(roads.chains_of(), roads.CHAIN.names))
+    plain = spark.createDataFrame(want)
+    stored = chains.unionByName(plain, allowMissingColumns=True).select("k", *(f.name for f in maps.STORED.fields if f.name in {*roads.CHAIN.names, *roads.SEGMENT.names}))
+    got = [tuple(r[c] for c in roads.SEGMENT.names) for r in roads.unchained(stored).collect()]
+    twice = sorted(zip(*(want[c].to_pylist() for c in roads.SEGMENT.names), strict=True)) * 2
+    assert len(got) == len(twice) > 3000
+    got, twice = np.array(sorted(got)), np.array(sorted(twice))
+    assert (got[:, :6] == twice[:, :6]).all() and np.abs(got[:, 6] - twice[:, 6]).max() < 1e-6
+
+    k = F.col("id")
+    node = lambda i, lat, lon: spark.range(600).select(F.lit("node").alias("type"), (k * 2 + i).alias("id"), lat.alias("lat"), lon.alias("lon"), F.lit(None).cast("array<long>").alias("nodes"), F.lit(None).cast("map<string,string>").alias("tags"))
+    ways = spark.range(600).select(F.lit("way"), k, F.lit(None), F.lit(None), F.array(k * 2, k * 2 + 1), F.create_map(F.lit("highway"), F.lit("residential"), F.lit("name"), F.lit("x")))
+    at = lambda i: (k * 7919 + i * 104729) % 9973 / F.lit(1e6)
+    elements = node(0, 37.001 + at(1), -122.099 + at(2)).unionByName(node(1, 37.001 + at(5), -122.099 + at(7))).union(ways)
+    cache = RoadCache(spark, str(tmp_path / "cells"), elements=lambda cells: elements)
+    cache.segments(spark.createDataFrame([(37.05, -122.05)], "lat double, lon double"))
+    n = cache.stored().count()
+    size = sum(f.stat().st_size for f in (tmp_path / "cells").rglob("*.parquet"))
+    assert n > 10_000 and size < 20 * n, (size, n)
+    assert cache.stored().filter("bearing_deg IS NULL OR center_lat IS NULL").isEmpty()

@@ -209,6 +209,50 @@ def segments_of(length_m: float = 30.0, least_m: float | None = None) -> noding.
     return cut
 
 
+#: Segments in a row, each of which begins where the one before ends, as the cache keeps them.  Ends are whole units of the tenth digit, and as they are
+#: (``odd``) where those do not give the same number; centres are what they are off their segment's end, in units of the sixth digit.
+CHAIN = T.StructType([
+    T.StructField("start_lat", T.DoubleType()), T.StructField("start_lon", T.DoubleType()),
+    *(T.StructField(f"{c}_{what}", T.ArrayType(kind)) for what, kind in (("e10", T.LongType()), ("odd", T.DoubleType()), ("off", T.IntegerType())) for c in ("lat", "lon")),
+])
+#: Segments of a chain at most, as readers hold thousands of rows at a time.
+LONG = 256
+
+
+def chains_of(length_m: float = 30.0, least_m: float | None = None) -> noding.Shape:
+    """The segments of ``segments_of`` as chains, for lines that are alike in what is kept of them; columns are those of ``CHAIN``."""
+    cut = segments_of(length_m, least_m)
+
+    def chained(points: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, list[pa.Array]]]:
+        for line, columns in cut(points, offsets):
+            start, end, centre = ([c.to_numpy() for c in columns[k : k + 2]] for k in (0, 2, 4))
+            new = np.concatenate([[True], (start[0][1:] != end[0][:-1]) | (start[1][1:] != end[1][:-1])])
+            at = np.flatnonzero(new)
+            new |= (np.arange(len(new)) - np.repeat(at, np.diff(np.append(at, len(new))))) % LONG == 0
+            at = np.flatnonzero(new)
+            bounds = pa.array(np.append(at, len(new)).astype("i4"))
+            units = [np.rint(x * 1e10).astype("i8") for x in end]
+            exact = [u / 1e10 == x for u, x in zip(units, end, strict=True)]
+            off = [(np.rint(c * 1e6) - np.rint(x * 1e6)).astype("i4") for c, x in zip(centre, end, strict=True)]
+            lists = [*map(pa.array, units), *(pa.array(x, mask=e) for x, e in zip(end, exact, strict=True)), *map(pa.array, off)]
+            yield line[at], [*(pa.array(x[at]) for x in start), *(pa.ListArray.from_arrays(bounds, v) for v in lists)]
+
+    return chained
+
+
+def unchained(chains: DataFrame) -> DataFrame:
+    """The segments of chains, with the columns of ``SEGMENT``; rows that are segments already stay."""
+    rows = chains.select("*", F.posexplode_outer("lat_e10").alias("_i", "_u"))
+    i = F.col("_i")
+    place = lambda c, k: F.coalesce(F.get(f"{c}_odd", k), F.get(f"{c}_e10", k) / F.lit(1e10))
+    a = {c: F.when(i > 0, place(c, i - 1)).otherwise(F.col(f"start_{c}")) for c in ("lat", "lon")}
+    b = {c: F.coalesce(place(c, i), F.col(f"end_{c}")) for c in ("lat", "lon")}
+    centre = {c: F.coalesce((F.rint(place(c, i) * 1e6) + F.get(f"{c}_off", i)) / F.lit(1e6), F.col(f"center_{c}")) for c in ("lat", "lon")}
+    made = {f"{k}_{c}": v[c] for k, v in (("start", a), ("end", b), ("center", centre)) for c in ("lat", "lon")}
+    made["bearing_deg"] = F.coalesce("bearing_deg", bearing(a["lat"], a["lon"], b["lat"], b["lon"]))
+    return rows.select(*(c for c in chains.columns if c not in {*CHAIN.names, *SEGMENT.names}), *(v.alias(k) for k, v in made.items()))
+
+
 def number_segments(segments: DataFrame) -> DataFrame:
     """Segments with a number from 0 by (centre, class, name, start), the same on every run.
 
@@ -238,8 +282,8 @@ def build_segments(elements: DataFrame, length_m: float = 30.0, classes: tuple[s
     return segment_table(segmentise(split_at_crossings(roads, elements) if split else roads, length_m))
 
 
-def build_cells(elements: DataFrame, length_m: float = 30.0, size: float = 0.1, classes: tuple[str, ...] = ROAD_CLASSES, only: DataFrame | None = None) -> DataFrame:
-    """Map elements to segments of whole cells, with ``cell_lat`` and ``cell_lon``.
+def build_cells(elements: DataFrame, length_m: float = 30.0, size: float = 0.1, classes: tuple[str, ...] = ROAD_CLASSES, only: DataFrame | None = None, chained: bool = False) -> DataFrame:
+    """Map elements to segments of whole cells, with ``cell_lat`` and ``cell_lon``; ``chained``: to chains of them.
 
     Each cell is built from the roads that pass it and from nothing else: ways
     are clustered by name among those of the cell, clipped to it, noded with
@@ -252,7 +296,8 @@ def build_cells(elements: DataFrame, length_m: float = 30.0, size: float = 0.1,
     wanted = clipped if only is None else clipped.join(small(only), list(cells), "left_semi")
     clustered = cluster_directions(wanted, by=(*cells, "rd_name"), counted=F.col("run") == 0)
     keep = [*cells, "rd_name", "rd_type", "oneway", "service"]
-    return noding.node_cells(clustered, keep, segments_of(length_m), SEGMENT).drop("piece")
+    shape = (chains_of(length_m), CHAIN) if chained else (segments_of(length_m), SEGMENT)
+    return noding.node_cells(clustered, keep, *shape).drop("piece")
 
 
 def without_service(segments: DataFrame) -> DataFrame:

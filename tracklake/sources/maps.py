@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklake.operators import roads
 from tracklake.sources import readers, writers
@@ -20,6 +21,14 @@ from tracklake.sources import readers, writers
 SERVERS = ("https://overpass-api.de/api/interpreter",)
 
 
+#: What the cells' files hold: chains of segments, or segments (files of earlier versions).
+STORED = T.StructType([
+    *(T.StructField(c, T.StringType()) for c in ("road_name", "highway")), T.StructField("oneway", T.BooleanType()), T.StructField("service", T.StringType()),
+    *roads.SEGMENT.fields, *(f for f in roads.CHAIN.fields if f.name not in roads.SEGMENT.names),
+    T.StructField("date", T.DateType()), *(T.StructField(c, T.DoubleType()) for c in ("cell_lat", "cell_lon")), T.StructField("length_seg", T.IntegerType()),
+])
+
+
 def post(server: str, query: str, timeout_s: float) -> str:
     data = urllib.parse.urlencode({"data": query}).encode()
     with urllib.request.urlopen(server, data, timeout=timeout_s) as answer:
@@ -46,7 +55,8 @@ class RoadCache:
     """Road segments in folders by cell (lower edges) and segment length.
 
     ``elements`` gives the map elements of a list of cells; by default they are
-    fetched, one request for each cell.  Only cells that a track touches and the
+    fetched, one request for each cell.  Files hold chains of segments
+    (``roads.CHAIN``), an eighth of the bytes of their segments.  Only cells that a track touches and the
     cache lacks are built, each from the roads that pass it and clipped to it,
     so a cell's folder is the same whatever was built with it or before it.
     """
@@ -103,8 +113,7 @@ class RoadCache:
         fs, path = self._path(self.path)
         if not fs.exists(path) or not any(s.getPath().getName().startswith("cell_lat=") for s in fs.listStatus(path)):
             return None
-        df = self.spark.read.parquet(self.path)
-        return df.withColumns({"cell_lat": F.col("cell_lat").cast("double"), "cell_lon": F.col("cell_lon").cast("double")}).filter(F.col("length_seg") == int(self.length_m))
+        return roads.unchained(self.spark.read.schema(STORED).parquet(self.path).filter(F.col("length_seg") == int(self.length_m)))
 
     def segments(self, track: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
         """Segments near a track, from the cache, after what is missing was built."""
@@ -114,7 +123,7 @@ class RoadCache:
         cells = sorted((r.cell_lat, r.cell_lon) for r in missing.collect())  # cells of a drive
         if cells:
             wanted = self.spark.createDataFrame(cells, "cell_lat double, cell_lon double")
-            found = roads.build_cells((self.elements or self.fetched)(cells), self.length_m, self.size, only=wanted)
+            found = roads.build_cells((self.elements or self.fetched)(cells), self.length_m, self.size, only=wanted, chained=True)
             placed = found.withColumnsRenamed({"rd_name": "road_name", "rd_type": "highway"}).withColumns({"length_seg": F.lit(int(self.length_m)), "date": F.current_date()})
             writers.write_cells(placed if len(cells) <= writers.OPEN else placed.hint("rebalance", "cell_lat", "cell_lon"), self.path)
             have = self.stored()

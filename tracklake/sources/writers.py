@@ -50,9 +50,9 @@ def write_track(track: DataFrame, path: str, by: list[str] | None = None, lines:
         write_table(with_line(track) if lines else track, path, by)
 
 
-def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, by: list[str] | None = None, **options: str) -> None:
     """Parquet, in folders by the columns ``by``; rewritten folders replace theirs alone."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
@@ -94,10 +94,12 @@ def write_if_any(df: DataFrame, path: str, by: list[str] | None = None) -> bool:
 
 #: Files that a task writes side by side.
 OPEN = 64
+#: Whole numbers that differ little from one to the next take few bytes as differences, which the second version of the format has.
+SMALL_STEPS = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0", **{f"parquet.enable.dictionary#{c}_e10.list.element": "false" for c in ("lat", "lon")}}
 
 
 def write_cells(segments: DataFrame, path: str) -> None:
-    """Cached road segments in folders by cell and segment length.
+    """Cached road segments, or chains of them, in folders by cell and segment length.
 
     A task writes the files of its first ``OPEN`` cells side by side, so that
     rows need no order; only those of further cells are sorted.
@@ -106,6 +108,6 @@ def write_cells(segments: DataFrame, path: str) -> None:
     before = conf.get(name)
     conf.set(name, OPEN)
     try:
-        write_table(segments, path, ["cell_lat", "cell_lon", "length_seg"])
+        write_table(segments, path, ["cell_lat", "cell_lon", "length_seg"], **(SMALL_STEPS if "lat_e10" in segments.columns else {}))
     finally:
         conf.set(name, before)
