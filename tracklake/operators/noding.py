@@ -17,7 +17,7 @@ from tracklake.operators.gps import whole_groups
 NEAR = 1e-10
 #: Parts of an edge, as a share of it, that are too short to lie in a cell.
 SLIVER = 1e-9
-#: Degrees of the tiles in which edges look for each other.
+#: Degrees of the strips by which edges are ordered, so that those tried together lie together.
 TILE = 0.002
 #: Two points within ``NEAR`` of two edges are the ends of a part of each: such parts are no longer, in degrees, or the edges turn no more from each other (sine).
 #: Of edges that cross, about one part in ten thousand is so short; nearly level ones tell the stretch where they lie together.
